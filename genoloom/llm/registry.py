@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .packing import op2_best_fit_packing
+from .simhash import op10_simhash_near_dedup
 from .token_files import op8_token_files
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op8_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_benchmark_decontamination, op8_token_files, op10_simhash_near_dedup)}
+ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL}
