@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
+from .language import op7_language_id
 from .packing import op2_best_fit_packing
 from .simhash import op10_simhash_near_dedup
 from .token_files import op8_token_files
+from .toxicity import op9_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_benchmark_decontamination, op8_token_files, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_benchmark_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_simhash_near_dedup)}
 ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL}
