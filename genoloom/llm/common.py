@@ -67,7 +67,7 @@ def rows_in_batches(batches: Iterable[pa.RecordBatch], names: list[str], most: i
 
 def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(),
-             "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64())}
+             "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()), "array<binary>": pa.list_(pa.binary())}
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .chat import OP1_SQL, op1_chat_formatting
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .language import op7_language_id
+from .lm import op6_lm_scoring
 from .packing import op2_best_fit_packing
 from .simhash import op10_simhash_near_dedup
 from .token_files import op8_token_files
 from .toxicity import op9_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_benchmark_decontamination, op7_language_id, op8_token_files, op9_toxicity, op10_simhash_near_dedup)}
-ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_benchmark_decontamination, op6_lm_scoring, op7_language_id, op8_token_files, op9_toxicity, op10_simhash_near_dedup)}
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op3_benchmark_decontamination": OP3_SQL}

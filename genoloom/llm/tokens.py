@@ -41,6 +41,7 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.spelt = dict(zip([b for b in range(256) if b not in plain], range(256, 512)))
         self.space = chr(self.spelt[32])
+        self.pieces: list[bytes] = []
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
@@ -101,6 +102,14 @@ class Encoder:
             out[i] = b"".join(map(get, w))[wide:]
         return out
 
+    def decode(self, ids: np.ndarray) -> str:
+        """The exact text of byte-level ids."""
+        if not self.pieces:
+            back = {v: b for b, v in self.spelt.items()}
+            named = {i: t for t, i in self.t.get_vocab(with_added_tokens=False).items()}
+            self.pieces = [bytes(back.get(ord(c), ord(c) & 255) for c in named.get(i, "")) for i in range(self.size)]
+        return b"".join([self.pieces[i] for i in ids.tolist()]).decode()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str, special: bool = False) -> Encoder:
