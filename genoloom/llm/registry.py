@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op5_nearest_neighbours
 from .chat import OP1_SQL, op1_chat_formatting
 from .decontaminate import OP3_SQL, op3_benchmark_decontamination
 from .language import op7_language_id
@@ -12,5 +13,5 @@ from .simhash import op10_simhash_near_dedup
 from .token_files import op8_token_files
 from .toxicity import op9_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_benchmark_decontamination, op4_pii, op6_lm_scoring, op7_language_id, op8_token_files, op9_toxicity, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_benchmark_decontamination, op4_pii, op5_nearest_neighbours, op6_lm_scoring, op7_language_id, op8_token_files, op9_toxicity, op10_simhash_near_dedup)}
 ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op3_benchmark_decontamination": OP3_SQL}
