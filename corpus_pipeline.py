@@ -1,8 +1,58 @@
-"""A training corpus from ``documents``, stage by stage; each stage works on all that the one before it kept."""
+"""A training corpus from ``documents``, stage by stage; each stage works on all that the one before it kept.
 
-STAGES = []
+Every stage but the last returns the columns of ``documents``. Documents without a recognised language go, of each
+group of near-duplicates one stays, documents that hold benchmark windows go, personal data is replaced in the texts
+that stay, and their tokens are packed into sequences.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from genoloom.llm.common import crc_split, shared_dir, table
+from genoloom.llm.decontaminate import drop_contaminated
+from genoloom.llm.language import fit_language_model, keep_known
+from genoloom.llm.packing import pack_documents
+from genoloom.llm.pii import redact
+from genoloom.llm.simhash import keep_one
+from genoloom.llm.tokens import byte_bpe
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = fit_language_model(docs.filter(~crc_split(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang"))
+    return keep_known(docs, model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, byte_bpe())
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pii", pii), ("packing", packing)]
+
+#: Language models and tokenizers can't be said in SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; each stage's result is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
