@@ -57,6 +57,12 @@ def crc_split(doc_id: Column, modulus: int, part: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == part
 
 
+def hashed_share(df: DataFrame, n: int, most: int, key: str) -> DataFrame:
+    """About ``most`` of the ``n`` rows of ``df``, or all if there are fewer, by a hash of ``key``: the same rows in every
+    run, with no sort and nothing sent to the driver."""
+    return df if n <= most else df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < (most << 30) // n)
+
+
 def rows_in_batches(batches: Iterable[pa.RecordBatch], names: list[str], most: int = 1024) -> Iterator[list[list]]:
     """Lists of Python values of the named columns, ``most`` rows at a time."""
     for batch in batches:
