@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, map_rows, saved, ship, stored, table
+from .common import arrow_schema, batch_of, hashed_share, map_rows, saved, ship, stored, table
 
 
 def usable(df: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, k: int, block: int =
 
 def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lists: int | None = None, aim: float = 0.98, tested: int = 200, block_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of ``df`` (vec_id, embedding) where ``is_query`` holds.
-    ``sample`` bounds the vectors that the lists are fitted on, ``lists`` their number (else the root of the number of
+    ``sample`` (give or take its root) bounds the vectors that the lists are fitted on, ``lists`` their number (else the root of the number of
     distinct vectors, at most 4096), ``tested`` the queries that the probe count is measured on."""
     spark = df.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -96,7 +96,7 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lis
         return empty
     queries = stored(rows.withColumnRenamed("id", "vec_id").filter(is_query).select(F.col("vec_id").alias("query_id"), "v").join(distinct.select("v", "uid"), "v"), "queries")
 
-    fit_on = np.array([r.v for r in distinct.orderBy(F.xxhash64("uid"), "uid").limit(sample).select("v").collect()])
+    fit_on = np.array([r.v for r in hashed_share(distinct, n, sample, "uid").select("uid", "v").orderBy("uid").select("v").collect()])
     lists = min(lists or int(np.sqrt(n)), 4096, len(fit_on)) or 1
     centres = kmeans(lifted(fit_on, reach), lists)
     sent = spark.sparkContext.broadcast((centres, reach))

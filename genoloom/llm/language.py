@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_split, map_rows, stored, table
+from .common import crc_split, hashed_share, map_rows, stored, table
 
 ORDERS = (4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -26,9 +26,8 @@ def fit_language_model(labelled: DataFrame, max_docs: int = 6000, max_words: int
     """Log frequencies by language of words seen at least three times and of padded character n-grams, from
     ``labelled`` (doc_id, text, lang). At most about ``max_docs`` documents, chosen by a hash of their id, are read, and
     at most ``max_words`` words and ``max_grams`` grams (the most frequent) are kept: so the model has a fixed bound."""
-    n = max(1, labelled.filter("lang IS NOT NULL").count())
-    share = min(1 << 20, (max_docs << 20) // n)
-    texts = labelled.filter(F.col("lang").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share))
+    known = labelled.filter("lang IS NOT NULL")
+    texts = hashed_share(known, known.count(), max_docs, "doc_id")
     words = stored(texts.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("unit")).groupBy("lang", "unit").agg(F.count("*").alias("n")), "words")
     padded = F.concat(F.lit("_"), F.substring("unit", 1, 40), F.lit("_"))
     grams = words.select("lang", "n", F.explode(F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(padded) - (k - 1), F.lit(1))), lambda i, k=k: F.struct(F.lit(k).alias("k"), F.substr(padded, i, F.lit(k)).alias("unit"))) for k in ORDERS]))).alias("g"))

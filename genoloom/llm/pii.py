@@ -184,13 +184,16 @@ def redact(docs: DataFrame) -> DataFrame:
     Where spans overlap, the one that starts first (at one start, the longest) is replaced, others follow after its end.
     A null text stays null."""
     model = fit(candidates(docs.select("text")))
-    kept = classify(candidates(docs.withColumn("_text", F.col("text"))), model)
+    packed = docs.select("text", F.struct("*").alias("doc"))  # so that no column of docs can clash with ours
+    kept = classify(candidates(packed), model)
     spans = "array_sort(concat(" + ", ".join(f"transform(kept_{k}, x -> named_struct('s', x.s, 'e', -x.e, 'kind', '[{k.upper()}]'))" for k in KINDS) + "))"
-    text = f"""aggregate(_spans, named_struct('at', 0L, 'out', ''), (a, x) -> CASE WHEN x.s < a.at THEN a ELSE named_struct('at', -x.e,
-        'out', concat(a.out, substr(_text, CAST(a.at AS INT) + 1, CAST(x.s - a.at AS INT)), x.kind)) END, a -> concat(a.out, substr(_text, CAST(a.at AS INT) + 1)))"""
-    out = kept.withColumn("_spans", F.expr(spans)).withColumn("text", F.expr(f"CASE WHEN _text IS NULL OR size(_spans) = 0 THEN _text ELSE {text} END"))
-    fit_chars = F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
-    return out.select(*[fit_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    text = """aggregate(spans, named_struct('at', 0L, 'out', ''), (a, x) -> CASE WHEN x.s < a.at THEN a ELSE named_struct('at', -x.e,
+        'out', concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1, CAST(x.s - a.at AS INT)), x.kind)) END, a -> concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1)))"""
+    out = kept.select("doc", F.expr(spans).alias("spans")).withColumn("new", F.expr(f"CASE WHEN doc.text IS NULL OR size(spans) = 0 THEN doc.text ELSE {text} END"))
+    changed = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
+    return out.select(*[changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,10 +180,11 @@ def near_duplicates(docs: DataFrame, limit: int = 4) -> DataFrame:
 def keep_one(docs: DataFrame, limit: int = 4) -> DataFrame:
     """``docs`` without near-duplicates: of each group the document of smallest doc_id stays, once if its id repeats.
     Documents without an id can't be told apart and stay."""
-    kept = near_duplicates(docs, limit).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    same = Window.partitionBy("doc_id").orderBy("text")
-    first = docs.join(kept, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth")
-    return first.unionByName(docs.filter("doc_id IS NULL"))
+    kept = near_duplicates(docs, limit).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("id")).distinct()
+    packed = docs.select(F.col("doc_id").alias("id"), F.struct("*").alias("doc"))  # so that no column of docs can clash with ours
+    same = Window.partitionBy("id").orderBy("doc.text")
+    first = packed.join(kept, "id", "left_semi").withColumn("nth", F.row_number().over(same)).filter("nth = 1")
+    return first.select("doc.*").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

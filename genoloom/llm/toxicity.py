@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_split, map_rows, stored, table
+from .common import crc_split, hashed_share, map_rows, stored, table
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Terms that name groups of people, by kind; each is swapped for the next of its kind.
@@ -62,10 +62,11 @@ def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.nda
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs: int = 5, max_features: int = 4000, fair: float = 1.0) -> dict:
-    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). It reads at most ``max_docs`` labelled
+    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). It reads about ``max_docs`` labelled
     documents, chosen by a hash of their id, and keeps at most ``max_features`` features, those whose rate of toxic
     documents departs most from the average (by its z-score); so ids, features and rows sent to the driver are bounded."""
-    chosen = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+    marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    chosen = hashed_share(marked, marked.count(), max_docs, "doc_id")
 
     def make():
         def step(texts, ys):
@@ -75,7 +76,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs
 
         return step
 
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long").alias("y"))  # max_docs rows at most
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long").alias("y"))  # about max_docs rows
     rows = stored(map_rows(sample, make, "own array<string>, swapped array<string>, y long", ["text", "y"]), "labelled-features")
     n, positive = rows.agg(F.count("*"), F.sum("y")).first()
     if not n:
