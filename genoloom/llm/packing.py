@@ -1,6 +1,6 @@
 """Best-fit packing with certified bin counts.
 
-Documents' lengths are dealt evenly over partitions; each is packed best-fit decreasing and its bin count compared with
+Documents' lengths are dealt over partitions so that each has the same mix; each is packed best-fit decreasing and its bin count compared with
 the largest of several dual-feasible-function lower bounds. A partition that meets its bound is certified and closed.
 The others give the documents of their bins with gaps to a common pool, which is dealt anew over fewer partitions and
 packed again; a round that saves no bin is dropped and ends the work. Lengths alone travel, never ids.
@@ -12,7 +12,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_rows, saved, stored, table
@@ -72,15 +72,32 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], l
 _PLACED = "uid long, length long, part long, bin long, offset long, space long, gap long"
 
 
-def _round(items: DataFrame, parts: int, seed: int, capacity: int) -> DataFrame:
+def dealt(items: DataFrame, parts: int, capacity: int, group: int = 200_000) -> DataFrame:
+    """``items`` with part: dealt like cards in order of length, so that every part gets the same mix of lengths, and
+    none is left with large items that lack small ones. Places come from the count of each length (at most ``capacity``
+    rows on the driver) and a running number within the length; lengths of over ``group`` items are numbered in salted
+    groups of about that size, so no task numbers more."""
+    if parts == 1:
+        return items.withColumn("part", F.lit(0).cast("long"))
+    counts = {r.length: r["count"] for r in items.groupBy("length").count().collect()}
+    before, salts, at = [0] * capacity, [1] * capacity, 0
+    for n in range(1, capacity + 1):
+        before[n - 1], salts[n - 1], at = at, -(-counts.get(n, 1) // group), at + counts.get(n, 0)
+    of = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("length").cast("int"))
+    salted = items.select("uid", "length", of(before).cast("long").alias("before"), of(salts).cast("long").alias("salts")).withColumn("salt", F.pmod(F.xxhash64("uid"), F.col("salts")))
+    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("uid")) - 1
+    share = F.col("salt") * group  # where a salted group starts, about
+    return salted.withColumn("part", F.pmod(F.col("before") + share + nth, F.lit(parts)).cast("long")).select("uid", "length", "part")
+
+
+def _round(items: DataFrame, parts: int, capacity: int) -> DataFrame:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "uid"], ascending=[False, True])
         bins, offsets, free = best_fit_decreasing(pdf["length"].tolist(), capacity)
         gap = len(free) - lower_bound(pdf["length"].to_numpy(), capacity)
         return pdf.assign(bin=bins, offset=offsets, space=np.array(free)[bins], gap=gap)[["uid", "length", "part", "bin", "offset", "space", "gap"]]
 
-    dealt = items.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(parts)).alias("part"))
-    return saved(dealt.groupBy("part").applyInPandas(pack, _PLACED))
+    return saved(dealt(items.select("uid", "length"), parts, capacity).groupBy("part").applyInPandas(pack, _PLACED))
 
 
 def pack_lengths(items: DataFrame, capacity: int, part_items: int = 32_768, rounds: int = 6) -> DataFrame:
@@ -94,7 +111,7 @@ def pack_lengths(items: DataFrame, capacity: int, part_items: int = 32_768, roun
     if not size:
         return empty
     for r in range(rounds):
-        placed = _round(pool, -(-size // part_items), r, capacity)
+        placed = _round(pool, -(-size // part_items), capacity)
         if held is not None:
             if bins(placed)[0] >= bins(held[1])[0]:
                 break  # the exchange saved no bin: the packing before it stays
