@@ -219,6 +219,20 @@ def info_value(info: C, key: str) -> Column:
     return missing_to_null(F.nullif(F.regexp_extract(F.concat(F.lit(";"), col(info)), f";{key}=([^;]*)", 1), F.lit("")))
 
 
+def info_columns(info: C, columns: dict[str, tuple[str, str]]) -> list[Column]:
+    """Columns of an INFO cell by name: (key, kind) with kind text, max, min (of an &-list), or splice (the largest of a
+    |-separated record's four scores, which follow allele and symbol, over all records)."""
+
+    def one(key: str, kind: str) -> Column:
+        value = info_value(info, key)
+        if kind == "splice":
+            fields = F.flatten(F.transform(F.split(value, ","), lambda r: F.slice(F.split(r, r"\|"), 3, 4)))
+            return F.array_max(F.filter(F.transform(fields, lambda t: t.try_cast("double")), lambda x: x.isNotNull()))
+        return {"text": lambda: value, "max": lambda: score_max(value), "min": lambda: score_min(value, strict=True)}[kind]()
+
+    return [one(key, kind).alias(name) for name, (key, kind) in columns.items()]
+
+
 def genotype_fields(fmt: C, sample: C) -> Column:
     """gt, dp, ad_ref, ad_alt, gq, af of a sample cell by its FORMAT; missing values are null, a depth of 0 gives af 0."""
     cells = F.map_from_arrays(F.split(col(fmt), ":"), F.transform(F.sequence(F.lit(1), F.size(F.split(col(fmt), ":"))), lambda i: F.coalesce(F.try_element_at(F.split(col(sample), ":"), i.cast("int")), F.lit("."))))

@@ -46,11 +46,11 @@ def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def excluded_gene(df: DataFrame, exclusions: DataFrame, gene: str = "symbol", out: str = "gene_excluded") -> DataFrame:
     """``df`` with a flag for rows any of whose ;-separated genes (upper case) is on the list (column gene)."""
-    keyed = df.withColumn("_gene", F.explode_outer(F.array_distinct(F.split(F.upper(gene), ";"))))
-    listed = exclusions.select(F.upper("gene").alias("_gene"), F.lit(True).alias("_hit")).distinct()
-    marked = keyed.join(listed, "_gene", "left")
-    rest = df.columns
-    return marked.groupBy(*rest).agg(F.coalesce(F.max("_hit"), F.lit(False)).alias(out))
+    listed = exclusions.select(F.upper("gene").alias("_gene")).distinct()
+    symbols = df.select(F.col(gene).alias("_symbol")).distinct().withColumn("_gene", F.explode(F.split(F.upper("_symbol"), ";")))
+    hits = symbols.join(listed, "_gene", "left_semi").select("_symbol", F.lit(True).alias("_hit")).distinct()
+    marked = df.join(hits, df[gene] == hits["_symbol"], "left")  # one row a symbol, so rows don't multiply
+    return marked.withColumn(out, F.coalesce("_hit", F.lit(False))).drop("_symbol", "_hit")
 
 
 def without_excluded(edges: DataFrame, exclusions: DataFrame, gene: str = "partner") -> DataFrame:

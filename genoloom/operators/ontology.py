@@ -54,32 +54,39 @@ def with_self(ancestors: DataFrame, terms: DataFrame) -> DataFrame:
     return ancestors.union(terms.select("term", F.col("term").alias("ancestor")))
 
 
-def best_lin(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame) -> DataFrame:
-    """term, gene, best: for each distinct query term and gene, the largest Lin similarity to any of the gene's terms.
+def _measure(name: str, a: Column, b: Column, m: Column) -> Column:
+    """Similarity of two terms from their information and that of their best shared ancestor."""
+    lin = F.when(a + b > 0, 2 * m / (a + b)).otherwise(0.0)
+    return {"lin": lin, "resnik": m, "jiang_conrath": 1 - (a + b - 2 * m), "information_coefficient": lin * (1 - 1 / (1 + m))}[name]
 
-    Uses max over b of Lin(a, b) = max over shared ancestors c of 2 ic(c) / (ic(a) + least ic of the gene's terms below c):
-    one aggregate to (gene, ancestor, least ic), one join, one max; no pairs of terms are formed. Ancestors of no
-    information can't raise a maximum above the 0 that a missing pair means, and go before the join, with the root's
-    hot key among them."""
+
+def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin") -> DataFrame:
+    """term, gene, best: for each distinct query term and gene, the largest similarity to any of the gene's terms.
+
+    Every measure grows with the shared ancestor's information and falls with the gene term's, so the maximum over the
+    gene's terms b is the one over shared ancestors c of measure(ic(a), least ic of the gene's terms below c, ic(c)):
+    one aggregate to (gene, ancestor, least ic), one join, one max; no pairs of terms are formed. Where ancestors of no
+    information can't raise a maximum above the 0 that a missing pair means, they go before the join, with the root's hot
+    key among them. A term that shares no ancestor with a gene has no row."""
     ic_of = lambda key, name: ic.select(F.col("term").alias(key), F.col("ic").alias(name))
-    informative = ancestors.join(ic_of("ancestor", "ic_c").filter("ic_c > 0"), "ancestor")
+    informative = ancestors.join(ic_of("ancestor", "ic_c"), "ancestor")
+    informative = informative if measure == "jiang_conrath" else informative.filter("ic_c > 0")
     gene = gene_terms.select("gene", "term").distinct().join(ic_of("term", "ic_b"), "term").join(informative, "term").groupBy("gene", "ancestor", "ic_c").agg(F.min("ic_b").alias("least_b"))
     asked = query.select("term").distinct().join(ic_of("term", "ic_a"), "term").join(ancestors, "term")
-    met = asked.join(gene, "ancestor").filter("ic_a + least_b > 0")
-    return met.groupBy("term", "gene").agg(F.max(2 * F.col("ic_c") / (F.col("ic_a") + F.col("least_b"))).alias("best"))
+    met = asked.join(gene, "ancestor")
+    return met.groupBy("term", "gene").agg(F.max(_measure(measure, F.col("ic_a"), F.col("least_b"), F.col("ic_c"))).alias("best"))
 
 
-def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, key: str = "sample_id") -> DataFrame:
+def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", key: str = "sample_id") -> DataFrame:
     """key, gene, similarity: the median over a query's terms of their best match among the gene's (asymmetric); terms
     without a match count as 0. Genes that match no query term at all are left out: their similarity is 0."""
     terms = query.select(key, "term").distinct().join(ic.select("term"), "term", "left_semi")
-    best = best_lin(terms, gene_terms, ancestors, ic)
-    met = terms.join(best, "term").groupBy(key, "gene").agg(F.sort_array(F.collect_list("best")).alias("_b"))
-    sizes = terms.groupBy(key).agg(F.count("*").alias("_n"))
-    at = lambda i: F.coalesce(F.try_element_at("_b", (i - (F.col("_n") - F.size("_b"))).cast("int")), F.lit(0.0))  # noqa: E731  zeros come first
-    nth = lambda i: F.when(i > F.col("_n") - F.size("_b"), at(i)).otherwise(0.0)
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    return met.join(sizes, key).select(key, "gene", ((nth(low) + nth(high)) / 2).alias("similarity"))
+    best = best_match(terms, gene_terms, ancestors, ic, measure)
+    met = terms.join(best, "term").groupBy(key, "gene").agg(F.collect_list("best").alias("_b"))
+    sizes = terms.groupBy(key).agg(F.count("*").cast("int").alias("_n"))
+    every = F.sort_array(F.concat("_b", F.array_repeat(F.lit(0.0), F.col("_n") - F.size("_b"))))
+    middle = (F.element_at("_s", F.floor((F.col("_n") + 1) / 2).cast("int")) + F.element_at("_s", (F.floor(F.col("_n") / 2) + 1).cast("int"))) / 2
+    return met.join(sizes, key).withColumn("_s", every).select(key, "gene", middle.alias("similarity"))
 
 
 def node_similarity(pairs: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin") -> DataFrame:
@@ -89,20 +96,7 @@ def node_similarity(pairs: DataFrame, ancestors: DataFrame, ic: DataFrame, measu
     p = pairs.select("a", "b").distinct()
     shared = p.join(up("a", "c"), "a").join(up("b", "c"), ["b", "c"]).join(ic.select(F.col("term").alias("c"), "ic"), "c").groupBy("a", "b").agg(F.max("ic").alias("m"))
     full = p.join(shared, ["a", "b"], "left").join(ic.select(F.col("term").alias("a"), F.col("ic").alias("ia")), "a").join(ic.select(F.col("term").alias("b"), F.col("ic").alias("ib")), "b")
-    m = F.coalesce("m", F.lit(0.0))
-    lin = F.when(F.col("ia") + F.col("ib") > 0, 2 * m / (F.col("ia") + F.col("ib"))).otherwise(0.0)
-    by = {"lin": lin, "resnik": m, "jiang_conrath": 1 - (F.col("ia") + F.col("ib") - 2 * m), "information_coefficient": lin * (1 - 1 / (1 + m))}
-    return full.select("a", "b", by[measure].alias("similarity"))
-
-
-def set_similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", key: str = "sample_id") -> DataFrame:
-    """As ``similarity`` for any measure, over the pairs of query and gene terms; every pair of key and gene has a row."""
-    asked = query.select(key, F.col("term").alias("a")).distinct().join(ic.select(F.col("term").alias("a")), "a", "left_semi")
-    owned = gene_terms.select("gene", F.col("term").alias("b")).distinct().join(ic.select(F.col("term").alias("b")), "b", "left_semi")
-    terms_a, terms_b = asked.select("a").distinct(), owned.select("b").distinct()
-    scored = node_similarity(terms_a.join(terms_b, F.lit(True)), ancestors, ic, measure)
-    best = scored.join(owned, "b").groupBy("a", "gene").agg(F.max("similarity").alias("best"))
-    return asked.join(best, "a").groupBy(key, "gene").agg(F.median("best").alias("similarity"))
+    return full.select("a", "b", _measure(measure, F.col("ia"), F.col("ib"), F.coalesce("m", F.lit(0.0))).alias("similarity"))
 
 
 def partner_similarity(edges: DataFrame, per_gene: DataFrame, key: str = "sample_id") -> DataFrame:

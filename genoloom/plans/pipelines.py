@@ -65,8 +65,8 @@ def phenotype_tables(query: DataFrame, gene_terms: DataFrame, edges: DataFrame,
     terms = edges.select("term").union(edges.select(F.col("parent").alias("term"))).distinct()
     ancestors = ontology.closure(edges)
     counts = counts.join(terms, "term", "left_semi")
-    total = counts.agg(F.sum("n").alias("_total"))
-    ic = ontology.inclusive_counts(terms, ancestors, counts).crossJoin(F.broadcast(total)).select("term", (-F.log(F.greatest(F.col("n"), F.lit(1)) / F.col("_total"))).alias("ic"))  # one row is broadcast
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    ic = ontology.information_content(ontology.inclusive_counts(terms, ancestors, counts), total)
     up = ontology.with_self(ancestors, terms) if include_self else ancestors
     per_gene = ontology.similarity(query, gene_terms, up, ic)
     return per_gene, ontology.partner_similarity(graph_edges, per_gene)

@@ -1,6 +1,8 @@
 """Operators against plain restatements, and the shape of their plans."""
 
+import math
 import random
+from statistics import median
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,18 +46,33 @@ def dag(r, n=40):
     return [(i, r.randrange(i)) for i in range(1, n)] + [(i, r.randrange(i)) for i in range(2, n, 3)]
 
 
-def test_similarity_rewrite_equals_plain_pairs(spark):
+@pytest.mark.parametrize("measure", ["lin", "resnik", "jiang_conrath", "information_coefficient"])
+def test_similarity_rewrite_equals_plain_pairs(spark, measure):
     r = random.Random(3)
-    edges = spark.createDataFrame(dag(r), "term long, parent long")
-    counts = spark.createDataFrame([(i, r.randint(1, 20)) for i in range(0, 40, 2)], "term long, n long")
+    raw = dag(r)
+    n = {i: r.randint(1, 20) for i in range(0, 40, 2)}
+    edges = spark.createDataFrame(raw, "term long, parent long")
     terms = edges.select("term").union(edges.select("parent")).distinct()
     up = ontology.closure(edges)
-    ic = ontology.information_content(ontology.inclusive_counts(terms, up, counts), counts.agg(F.sum("n")).first()[0])
-    q = spark.createDataFrame([(s, r.randrange(40)) for s in range(3) for _ in range(5)], "sample_id long, term long")
-    g = spark.createDataFrame([(f"G{i}", r.randrange(40)) for i in range(6) for _ in range(3)], "gene string, term long")
-    fast = {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(q, g, up, ic).collect() if x.similarity}
-    slow = {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.set_similarity(q, g, up, ic).collect() if x.similarity}
-    assert fast == slow and fast
+    ic = ontology.information_content(ontology.inclusive_counts(terms, up, spark.createDataFrame(list(n.items()), "term long, n long")), sum(n.values()))
+    q = {(s, r.randrange(1, 40)) for s in range(3) for _ in range(5)}
+    g = {(f"G{i}", r.randrange(1, 40)) for i in range(6) for _ in range(3)}
+    got = {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(spark.createDataFrame(list(q), "sample_id long, term long"), spark.createDataFrame(list(g), "gene string, term long"), up, ic, measure).collect()}
+
+    above = {t: set() for t in range(40)}
+    for t in range(40):
+        for a, p in raw:
+            if a == t:
+                above[t] |= {p} | above[p]
+    info = {t: -math.log(max(1, sum(c for x, c in n.items() if x == t or t in above[x])) / sum(n.values())) for t in range(40)}
+
+    def sim(a, b):
+        m = max((info[c] for c in above[a] & above[b]), default=0.0)
+        lin = 2 * m / (info[a] + info[b]) if info[a] + info[b] else 0.0
+        return {"lin": lin, "resnik": m, "jiang_conrath": 1 - (info[a] + info[b] - 2 * m), "information_coefficient": lin * (1 - 1 / (1 + m))}[measure]
+
+    want = {(s, gene): round(median(max(sim(a, b) for x, b in g if x == gene) for y, a in q if y == s), 9) for s, _ in q for gene, _ in g}
+    assert all(abs(got.get(k, 0.0) - v) < 1e-8 for k, v in want.items()) and got
 
 
 def test_resolved_terms(spark):

@@ -69,6 +69,12 @@ def test_info_and_csq(spark):
     assert pick([]).Feature == "T2" and pick(["T3"]).Feature == "T3" and pick(["T3"]).SYMBOL is None
 
 
+def test_legacy_info(spark):
+    df = spark.createDataFrame([("AF=0.1&0.3;SPL=A|G1|0.1|0.9|.|0.2|5,B|G1|0.95|0|0|0|7;OE=0.4&-1&0.2;T=x",)], "i string")
+    row = df.select(*X.info_columns("i", {"af": ("AF", "max"), "spl": ("SPL", "splice"), "oe": ("OE", "min"), "t": ("T", "text"), "no": ("NO", "max")})).first()
+    assert tuple(row) == (0.3, 0.95, 0.2, "x", None)
+
+
 def test_overrides(spark):
     run = lambda c, ref="A", alt="G": one(spark, scoring.overridden(F.lit(0.4), "c", "r", "a"), c=c, r=ref, a=alt)
     assert run("missense_variant") == 0.4 and run("synonymous_variant") == 0.0 and run("splice_region_variant") is None
