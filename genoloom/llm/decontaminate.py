@@ -16,6 +16,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,21 +100,30 @@ _OUT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string
 _PART = "doc_id long, row long, n_words long, spans array<long>, items array<string>"
 
 
+def _passes(benchmark: DataFrame, width: int, block_bytes: int):
+    """The number of passes, and a function that sends the windows of one of them, with their items, to the executors."""
+    all_windows = stored(windows(benchmark, width), "windows")
+    n = max(1, math.ceil((all_windows.agg(F.sum(F.length("pattern") + F.length("item"))).first()[0] or 0) / block_bytes))
+
+    def send(k: int):
+        of: dict[bytes, list[str]] = {}
+        for r in all_windows.filter(F.pmod(F.xxhash64("pattern", "item"), F.lit(n)) == k).collect():
+            of.setdefault(bytes(r.pattern), []).append(r.item)
+        return benchmark.sparkSession.sparkContext.broadcast(of)
+
+    return n, send
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 2_000_000) -> DataFrame:
     """One row a document: doc_id, n_words, n_hit (words inside any occurrence of a window), n_items, items_sha256,
     contaminated. ``block_bytes`` bounds the windows that one pass sends to the executors."""
-    spark = docs.sparkSession
-    all_windows = stored(windows(benchmark, width), "windows")
-    passes = max(1, math.ceil((all_windows.agg(F.sum(F.length("pattern") + F.length("item"))).first()[0] or 0) / block_bytes))
+    passes, send = _passes(benchmark, width, block_bytes)
     source = docs.select("doc_id", F.lit(0).cast("long").alias("row"), F.col("text").cast("binary").alias("raw"))
     if passes > 1:
         source = stored(source.withColumn("row", F.monotonically_increasing_id()), "texts")
 
     def one_pass(k: int, ddl: str, finish) -> DataFrame:
-        of: dict[bytes, list[str]] = {}
-        for r in all_windows.filter(F.pmod(F.xxhash64("pattern", "item"), F.lit(passes)) == k).collect():
-            of.setdefault(bytes(r.pattern), []).append(r.item)
-        sent = spark.sparkContext.broadcast(of)
+        sent = send(k)
 
         def make():
             known = sent.value
@@ -148,11 +158,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_
     return map_rows(merged, lambda: lambda ids, ns, spans, items: [list(c) for c in zip(*[(d, *_digest(n, s, set(i))) for d, n, s, i in zip(ids, ns, spans, items)])] or [[]] * 6, _OUT, ["doc_id", "n_words", "spans", "items"])
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a window of the benchmark. Documents without an id stay out of the decision only
-    if no document without an id is contaminated."""
-    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 2_000_000) -> DataFrame:
+    """``docs`` without the rows that hold a window of the benchmark; no text is shuffled. Of several passes, each works
+    on what the one before it kept."""
+    passes, send = _passes(benchmark, width, block_bytes)
+    for k in range(passes):
+        sent = send(k)
+
+        def run(batches, sent=sent):
+            search = WuManber(list(sent.value))
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                yield batch.filter(pa.array([not search.find(b" " + b" ".join(words_of((x or "").encode())) + b" ") for x in texts], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+        docs = stored(docs, "clean") if passes > 1 else docs
+    return docs
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

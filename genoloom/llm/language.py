@@ -111,8 +111,9 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     return map_rows(docs, make, "doc_id long, lang_pred string, score double", ["doc_id", "text"])
 
 
-def keep_known(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """``docs`` without those that are ``und`` or whose language scores under ``least``. All other columns stay as they are."""
+def keep_known(docs: DataFrame, model: dict, least: float = 0.35) -> DataFrame:
+    """``docs`` without those that are ``und`` or whose language scores under ``least`` (a text of unknown words and
+    letters scores 1 / languages; short clean texts may score under a half, and stay). All other columns stay as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

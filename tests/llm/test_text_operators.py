@@ -75,7 +75,7 @@ def test_contamination(spark, block_bytes):
     got = sorted((tuple(r) for r in decontaminate.contamination(docs, items, block_bytes=block_bytes).collect()), key=str)
     assert got == brute_contamination([(r.doc_id, r.text) for r in docs.collect()], bench)
     assert {20, 21, 22} <= {r[0] for r in got if r[5]} and not {23, 24} & {r[0] for r in got if r[5]}
-    kept = decontaminate.drop_contaminated(docs, items)
+    kept = decontaminate.drop_contaminated(docs, items, block_bytes=block_bytes)
     assert kept.columns == docs.columns and not {20, 21, 22} & {r.doc_id for r in kept.collect()}
 
 
