@@ -4,7 +4,8 @@ Vectors get one more component, so that their lengths are equal and the largest
 Lists are k-means cells fitted on a bounded sample; every vector is in the index. A query is scanned against the lists
 nearest to it. Within a list, vectors and queries are turned by one random rotation and distances are summed over blocks
 of columns; after each block a hypothesis test drops the candidates whose partial distance, scaled to all columns, is
-too far beyond the query's bound in that list. Survivors are scored anew on the original vectors in double precision.
+too far beyond the query's bound. The bound comes from the query's nearest list, which is scanned first, so the other
+lists return next to nothing. Survivors are scored anew on the original vectors in double precision.
 
 How many lists to probe is measured: for a sample of queries the exact neighbours are found by brute force over all
 vectors, and the number is the least that holds ``aim`` of them.
@@ -58,18 +59,20 @@ def lifted(x: np.ndarray, reach: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(reach * reach - (x * x).sum(1), 0))[:, None]])
 
 
-def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, k: int, block: int = 16, eps: float = 2.1) -> tuple[np.ndarray, np.ndarray]:
+def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, k: int, bound: np.ndarray | None = None, block: int = 16, eps: float = 2.1) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, vector) that may be among a query's ``k`` nearest. ``queries`` and ``vectors`` are rotated alike.
-    After the first block the ``k`` candidates nearest so far are measured in full; the farthest of them bounds the
-    query's distance. A candidate is dropped when partial distance * D / d > bound * (1 + eps / sqrt(d))**2."""
+    ``bound`` is each query's squared distance to beat. Without it, the ``k`` candidates nearest by the first block are
+    measured in full, and the farthest of them is the bound. A candidate is dropped when partial distance * D / d > bound * (1 + eps / sqrt(d))**2."""
     d = vectors.shape[1]
-    if len(vectors) <= k:
+    if len(vectors) <= k and bound is None:
         q, c = np.indices((len(queries), len(vectors)))
         return q.ravel(), c.ravel()
     a, b = queries[:, :block], vectors[:, :block]
     part = np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0)
-    first = np.argpartition(part, k - 1, axis=1)[:, :k]
-    bound = ((queries[:, None, :] - vectors[first]) ** 2).sum(2).max(1) * (1 + 1e-9)
+    if bound is None:
+        first = np.argpartition(part, k - 1, axis=1)[:, :k]
+        bound = ((queries[:, None, :] - vectors[first]) ** 2).sum(2).max(1)
+    bound = bound * (1 + 1e-9) + 1e-12  # ties with the bound stay
     q, c = np.nonzero(part * (d / min(block, d)) <= (bound * (1 + eps / np.sqrt(min(block, d))) ** 2)[:, None])
     total = part[q, c]
     for at in range(block, d, block):
@@ -81,7 +84,7 @@ def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, k: int, block: int =
     return q, c
 
 
-def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lists: int | None = None, aim: float = 0.98, tested: int = 200, block_rows: int = 4096) -> DataFrame:
+def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lists: int | None = None, aim: float = 0.95, tested: int = 200, block_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of ``df`` (vec_id, embedding) where ``is_query`` holds.
     ``sample`` (give or take its root) bounds the vectors that the lists are fitted on, ``lists`` their number (else the root of the number of
     distinct vectors, at most 4096), ``tested`` the queries that the probe count is measured on."""
@@ -145,19 +148,17 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lis
         def step(uids, vs):
             x = np.array(vs)
             near = lifted(x, 0.0) @ centres.T * (reach / np.linalg.norm(x, axis=1))[:, None] - half
-            top = np.argpartition(-near, min(probes, near.shape[1]) - 1, axis=1)[:, :probes]
+            top = np.argsort(-near, axis=1)[:, :probes]
             return [uids, vs, top.tolist()]
 
         return step
 
-    probed = stored(map_rows(asked, to_lists, "uid long, v array<double>, lists array<long>", ["uid", "v"]).select("uid", "v", F.explode("lists").alias("list")), "probed")
+    probed = stored(map_rows(asked, to_lists, "uid long, v array<double>, lists array<long>", ["uid", "v"]).select("uid", "v", F.posexplode("lists").alias("nth", "list")), "probed")
     parts = lambda d: {r.list: -(-r["count"] // block_rows) for r in d.groupBy("list").count().filter(F.col("count") > block_rows).collect()}  # noqa: E731  at most one row a list
     as_map = lambda d: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), F.col("list")), F.lit(1)) if d else F.lit(1)
-    vec_parts, query_parts = as_map(parts(index)), as_map(parts(probed))
+    vec_parts = as_map(parts(index))
     own = lambda n: F.pmod(F.hash("uid"), n.cast("int"))
     every = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
-    left = index.select("list", own(vec_parts).alias("i"), every(query_parts).alias("j"), "v", "ids")
-    right = probed.select("list", own(query_parts).alias("j"), every(vec_parts).alias("i"), "uid", "v")
 
     def scan(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = [pd.DataFrame({"uid": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})]
@@ -168,8 +169,10 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lis
             for at in range(0, len(asked), 256):
                 part = asked.iloc[at : at + 256]
                 y = np.stack(part["v"].to_numpy())
-                uids = part["uid"].to_numpy()
-                q, c = adaptive_scan((lifted(y, 0.0) * (reach / np.linalg.norm(y, axis=1))[:, None]) @ turn, turned, k + 1)
+                uids, least = part["uid"].to_numpy(), part["least"].to_numpy(dtype=float)
+                scale = reach / np.linalg.norm(y, axis=1)
+                known = None if np.isnan(least).any() else 2 * reach * reach - 2 * scale * least
+                q, c = adaptive_scan((lifted(y, 0.0) * scale[:, None]) @ turn, turned, k + 1, known)
                 score = (y[q] * x[c]).sum(1)
                 take = np.lexsort((-score, q))
                 q, c, score = q[take], c[take], score[take]
@@ -183,9 +186,18 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, sample: int = 20_000, lis
                 out.append(one[one.groupby("uid").cumcount() <= k])
         return pd.concat(out) if len(out) > 2 else out[-1]
 
-    found = left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInPandas(scan, "uid long, vec_id long, score double")
+    def scanned(asked: DataFrame) -> DataFrame:
+        """The ``k + 1`` best of each query in each list, or those that reach ``least``, where that isn't null."""
+        query_parts = as_map(parts(asked))
+        left = index.select("list", own(vec_parts).alias("i"), every(query_parts).alias("j"), "v", "ids")
+        right = asked.select("list", own(query_parts).alias("j"), every(vec_parts).alias("i"), "uid", "v", "least")
+        return left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInPandas(scan, "uid long, vec_id long, score double")
+
     nth_of = lambda key: F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "vec_id"))
-    top = saved(found.withColumn("nth", nth_of("uid")).filter(F.col("nth") <= k + 1).drop("nth"))
+    first = saved(scanned(probed.filter("nth = 0").withColumn("least", F.lit(float("nan")))).withColumn("nth", nth_of("uid")).filter(F.col("nth") <= k + 1).drop("nth"))
+    reached = first.groupBy("uid").agg(F.when(F.count("*") > k, F.min("score")).otherwise(float("-inf")).alias("least"))
+    rest = scanned(probed.filter("nth > 0").join(reached, "uid", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf")))))
+    top = saved(first.unionByName(rest).withColumn("nth", nth_of("uid")).filter(F.col("nth") <= k + 1).drop("nth"))
     others = queries.select("query_id", "uid").join(top, "uid").filter("query_id <> vec_id")
     return others.withColumn("rank", nth_of("query_id")).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
