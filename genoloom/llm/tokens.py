@@ -15,10 +15,25 @@ from string import punctuation
 import numpy as np
 
 
+class _Words(dict):
+    """Words' ids; a missing word is looked up among those of the generation before, or encoded."""
+
+    def __init__(self, encode, old: dict[str, bytes]):
+        super().__init__()
+        self.encode, self.old = encode, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
 class Encoder:
-    """ids of texts as little-endian bytes; ``words`` bounds the cache (about 200 bytes an entry)."""
+    """ids of texts as little-endian bytes; ``words`` bounds each of the cache's two generations (about 200 bytes an entry)."""
 
-    def __init__(self, path: str, words: int = 400_000, special: bool = False):
+    def __init__(self, path: str, words: int = 250_000, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -33,9 +48,10 @@ class Encoder:
         probe = self.t.encode("a, b's\nc", add_special_tokens=False).ids
         apart = list(chain.from_iterable(self.t.encode(x, add_special_tokens=False).ids for x in ("a,", " b's", "\n", "c")))
         self.line = line[0] if len(line) == 1 and probe == apart and self.t.pre_tokenizer is not None and "ByteLevel" in str(self.t.pre_tokenizer) else None
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Words(self._learn, {})
         self.raw = [np.array([i], dtype=self.dtype).tobytes() for i in range(self.size)]
-        self.tails: dict[str, bytes] = {"": b""}
+        self.tails: dict[str, bytes] = {}
+        self.line_ids = self.raw[self.line] if self.line is not None else b""
         self.most = words
         #: How the vocabulary spells bytes: printable ones as themselves, the rest from U+0100 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -51,34 +67,18 @@ class Encoder:
         spelt = body if body.isascii() else body.encode().decode("latin-1").translate(self.spelt)
         return b"".join([self.raw[x.id] for x in self.t.model.tokenize(lead + spelt)])
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """ids of words that start a line (marked by a line break) or follow a space."""
-        out, rest, known, tails = {}, [], self.cache, self.tails
-        line = np.array([self.line], dtype=self.dtype).tobytes()
-        for w in words:
-            core = w.rstrip(punctuation)
-            starts = core[:1] == "\n"
-            body = core[1:] if starts else core
-            tail = w[len(core) :]
-            if not body.isalpha() or len(tail) > 8:
-                rest.append(w)
-                continue
-            if tail not in tails:
-                tails[tail] = self._plain([tail])[0]
-            head = out.get(core) or known.get(core)
-            if head is None:
-                head = line + self._word(body, "") if starts else self._word(body, self.space)
-                out[core] = head
-            if tail:
-                out[w] = head + tails[tail]
-        if rest:
-            ids = np.array(self.t.encode("\n".join([w[1:] if w[0] == "\n" else " " + w for w in rest]), add_special_tokens=False).ids, dtype=self.dtype)
-            wide, raw, at = self.dtype.itemsize, ids.tobytes(), 0
-            ends = (np.flatnonzero(ids == self.line) * wide).tolist() + [len(raw)]
-            for w, end in zip(rest, ends, strict=True):
-                out[w] = line + raw[at:end] if w[0] == "\n" else raw[at:end]
-                at = end + wide
-        return out
+    def _learn(self, word: str) -> bytes:
+        """ids of a word that starts a line (marked by a line break) or follows a space."""
+        core = word.rstrip(punctuation)
+        starts = core[:1] == "\n"
+        body, tail = (core[1:] if starts else core), word[len(core) :]
+        if not body.isalpha() or len(tail) > 8:
+            return self.line_ids + self._plain([word[1:]])[0] if word[0] == "\n" else self._plain([" " + word])[0]
+        if tail:
+            if tail not in self.tails:
+                self.tails[tail] = self._plain([tail])[0]
+            return self.cache[core] + self.tails[tail]
+        return self.line_ids + self._word(body, "") if starts else self._word(body, self.space)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.line is None:
@@ -95,8 +95,7 @@ class Encoder:
         words = [("\n" + texts[i]).replace("\n", " \n").split(" ")[1:] for i in cut]
         known, wide = self.cache, self.dtype.itemsize
         if len(known) > self.most:
-            known.clear()  # frequent words come back with the next batch
-        known.update(self._learn(set(chain.from_iterable(words)).difference(known)))
+            known = self.cache = _Words(self._learn, dict(known))
         get = known.__getitem__
         for i, w in zip(cut, words):
             out[i] = b"".join(map(get, w))[wide:]
