@@ -71,6 +71,21 @@ def rows_in_batches(batches: Iterable[pa.RecordBatch], names: list[str], most: i
             yield [part.column(part.schema.get_field_index(n)).to_pylist() for n in names]
 
 
+def kept_rows(docs: DataFrame, make: Callable[[], Callable[[str | None], bool]], most: int = 1024) -> DataFrame:
+    """The rows of ``docs`` whose text the function that ``make()`` gives in each task says yes to, ``most`` at a time."""
+
+    def run(batches):
+        keep = make()
+        for batch in batches:
+            at_text = batch.schema.get_field_index("text")
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
+                yield part.filter(pa.array([keep(x) for x in part.column(at_text).to_pylist()], pa.bool_()))
+
+    ship(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(),
              "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()), "array<binary>": pa.list_(pa.binary())}

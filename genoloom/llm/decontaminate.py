@@ -16,11 +16,10 @@ import hashlib
 import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, map_rows, rows_in_batches, ship, stored, table
+from .common import arrow_schema, batch_of, kept_rows, map_rows, rows_in_batches, ship, stored, table
 
 WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
 
@@ -165,13 +164,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, bl
     for k in range(passes):
         sent = send(k)
 
-        def run(batches, sent=sent):
+        def make(sent=sent):
             search = WuManber(list(sent.value))
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                yield batch.filter(pa.array([not search.find(b" " + b" ".join(words_of((x or "").encode())) + b" ") for x in texts], pa.bool_()))
+            return lambda text: not search.find(b" " + b" ".join(words_of((text or "").encode())) + b" ")
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = kept_rows(docs, make)
         docs = stored(docs, "clean") if passes > 1 else docs
     return docs
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_split, hashed_share, map_rows, stored, table
+from .common import crc_split, hashed_share, kept_rows, map_rows, stored, table
 
 ORDERS = (4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -116,15 +116,16 @@ def keep_known(docs: DataFrame, model: dict, least: float = 0.35) -> DataFrame:
     letters scores 1 / languages; short clean texts may score under a half, and stay). All other columns stay as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        import pyarrow as pa
-
+    def make():
         score = LanguageScorer(sent.value)
-        for batch in batches:
-            found = [score(x) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            yield batch.filter(pa.array([lang != "und" and s >= least for lang, s in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+        def keep(text):
+            lang, s = score(text)
+            return lang != "und" and s >= least
+
+        return keep
+
+    return kept_rows(docs, make)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
