@@ -72,7 +72,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], l
 _PLACED = "uid long, length long, part long, bin long, offset long, space long, gap long"
 
 
-def dealt(items: DataFrame, parts: int, capacity: int, group: int = 200_000) -> DataFrame:
+def dealt(items: DataFrame, parts: int, capacity: int, group: int = 1000) -> DataFrame:
     """``items`` with part: dealt like cards in order of length, so that every part gets the same mix of lengths, and
     none is left with large items that lack small ones. Places come from the count of each length (at most ``capacity``
     rows on the driver) and a running number within the length; lengths of over ``group`` items are numbered in salted
