@@ -147,3 +147,21 @@ def test_partners_and_aliases(spark):
     alias = spark.createDataFrame([("P1", "gb", "Ensembl_HGNC_symbol"), ("P1", "ga", "Ensembl_HGNC_symbol"), ("P2", "x", "other"), ("P2", "gc", "Ensembl_HGNC_symbol")], "protein string, alias string, source string")
     links = spark.createDataFrame([("P1", "P2", 950, 0), ("P2", "P1", 1, 899)], "protein1 string, protein2 string, conf_exp int, conf_db int")
     assert [tuple(r) for r in genes.interactions(links, genes.first_aliases(alias)).collect()] == [("GA", "GC", 950, 0)]
+
+
+def test_names_shuffles_and_picks(spark):
+    terms, names = spark.createDataFrame([("a",), ("z",)], "term string"), spark.createDataFrame([("a", "x")], "term string, name string")
+    assert [tuple(r) for r in ontology.term_names(terms, names).collect()] == [("a", "x")]
+    df = spark.createDataFrame([(s, f"G{i}") for s in (1, 2) for i in range(9)], "sample_id long, gene string")
+    order = lambda d: sorted(tuple(r) for r in ranking.shuffled(d, 7, "sample_id", "gene").collect())
+    assert order(df) == order(df.repartition(5)) and sorted(r[2] for r in order(df)) == sorted([*range(1, 10)] * 2)
+    answers = spark.createDataFrame([(1, '{"1st ranked Gene": "a", "2nd ranked Gene": "", "3rd ranked Gene": "c"}'), (2, "none")], "sample_id long, answer string")
+    assert sorted(tuple(r) for r in meta.picks_of(answers).collect()) == [(1, "A", 1), (1, "C", 3)]
+
+
+def test_single_sample_inheritance(spark):
+    v = spark.createDataFrame([(1, 1, "chr1", "A"), (2, 1, "chr1", "A"), (3, 1, "chr1", "B"), (4, 1, "chr1", None)], "variant_id long, sample_id long, chrom string, symbol string")
+    g = spark.createDataFrame([(1, 0, 1, "0/1"), (2, 0, 1, "0|1"), (3, 0, 1, "1/1"), (4, 0, 1, "0/1")], "variant_id long, member long, affected int, gt string")
+    got = {r.variant_id: r.inheritance for r in inheritance.inheritance(v, g, "SINGLE").collect()}
+    assert got == {1: "COMPOUND", 2: "COMPOUND", 3: "RECESSIVE", 4: ""}
+    assert [r.x for r in g.select(inheritance.dominant_single().alias("x")).collect()] == [1, 1, 0, 1]
