@@ -60,8 +60,9 @@ def without_excluded(edges: DataFrame, exclusions: DataFrame, gene: str = "partn
 
 
 def cascade(df: DataFrame, settings: Settings = Settings(), with_query: bool = True, score: str = "final_score", consequence: str = "consequence",
-            af: str = "MAX_AF", context: str = "context") -> Column:
-    """struct(passed, comment): the first rule that holds decides. Columns that ``df`` hasn't got switch their rules off."""
+            af: str = "MAX_AF", context: str = "context", term: Column | None = None) -> Column:
+    """struct(passed, comment): the first rule that holds decides. ``term`` is the most severe consequence, if it is at
+    hand. Columns that ``df`` hasn't got switch their rules off."""
     has = lambda c: c in df.columns
     c = lambda name: F.col(name) if has(name) else F.lit(None).cast("string")
     yes = lambda x: F.coalesce(x, F.lit(False))
@@ -70,7 +71,7 @@ def cascade(df: DataFrame, settings: Settings = Settings(), with_query: bool = T
     homo = yes(X.is_homopolymer(context) == 1) if has(context) else F.lit(False)
     low = yes(X.is_low_complexity(context) == 1) if has(context) else F.lit(False)
     long = yes((F.length(c("ref")) > 1) | (F.length(c("alt")) > 1))
-    term = X.most_severe(consequence)
+    term = X.most_severe(consequence) if term is None else term
     supported = yes(term.isin(*CODING, *SPLICE))
     rules = [
         (yes(c("filter").contains("low_conf_region")), "low confidence region"),
@@ -101,4 +102,6 @@ def cascade(df: DataFrame, settings: Settings = Settings(), with_query: bool = T
 
 def filtered(df: DataFrame, **options) -> DataFrame:
     """``df`` with filter_passed and filter_comment."""
-    return df.withColumn("_f", cascade(df, **options)).select("*", F.col("_f.passed").alias("filter_passed"), F.col("_f.comment").alias("filter_comment")).drop("_f")
+    named = df.withColumn("_term", X.most_severe(options.get("consequence", "consequence")))
+    judged = named.withColumn("_f", cascade(df, term=F.col("_term"), **options))
+    return judged.select(*df.columns, F.col("_f.passed").alias("filter_passed"), F.col("_f.comment").alias("filter_comment"))

@@ -47,13 +47,13 @@ def prioritize(df: DataFrame, gene_similarity: DataFrame | None = None, partners
 
 def rank_passed(df: DataFrame, top: int | None = None) -> DataFrame:
     """The rows that passed, ranked within their sample, those of rank up to ``top`` if given."""
-    out = filters.passed(filters.without_empty_rows(df))
+    out = filters.passed(df)
     return ranking.top_ranked(out, top) if top else ranking.ranked(out)
 
 
 def rf_ranking(df: DataFrame, trees: list, features: list[str], rare: bool = False, top: int | None = None, settings: Settings = Settings(), **resources) -> DataFrame:
     """From annotated variants to a ranking: optional frequency cut, scores, priorities, ranks."""
-    df = scoring.max_frequency(df)
+    df = scoring.max_frequency(filters.without_empty_rows(df))
     df = filters.rare(df, settings.rare_af) if rare else df
     scored = score_variants(df, features, trees)
     return rank_passed(prioritize(scored, settings=settings, features=tuple(features), **resources), top)
