@@ -1,12 +1,13 @@
 """A log-bilinear language model, trained by noise-contrastive estimation, over corpus-wide word counts.
 
-The model's score of a word after two others is ``R[w] . (R[w1] C1 + R[w2] C2) + b[w]``, over the most frequent words,
-one end of text and one class of all other words. Being bilinear, it is held as one table per context position; batched
-matrix products over all contexts give its normalisers, so token probabilities are normalised. A word of the open class
-costs the class's probability times its smoothed share of the counts that the class stands for, an unseen word one slot.
+The model's score of a word, or of a class of words, after two others is ``R[w] . (R[w1] C1 + R[w2] C2) + b[w]``. It
+covers all words of the ``head`` up to ``vocabulary``, one end of text and one class of all other words. A word costs its
+class among all classes, then itself among all words of its class; both normalisers are whole sums, so token
+probabilities are normalised. A word of the open class costs the class's probability times its smoothed share of the
+counts that the class stands for, an unseen word one slot.
 
 Training passes over every training text: each task runs stochastic gradient steps on its own texts from the same
-start, and the tasks' parameters are averaged by their tokens, as sums grouped by parameter.
+start; a word's parameters are averaged over the tasks that met it, by how often they did.
 
 Word counts come from all training texts. The most frequent words (``head``, a fixed number) travel to the tasks;
 all other words meet their counts in a join, whose keys are rare by construction.
@@ -57,56 +58,159 @@ def word_counts(docs: DataFrame, most: int = 300_000) -> DataFrame:
     return stored(_raw(docs).select("raw").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
 
 
+def class_starts(unigram: np.ndarray) -> np.ndarray:
+    """First word of each class and, at last, the number of words. The open class and the end stand alone; the others,
+    most frequent first, are cut at equal sums of the roots of their shares into as many classes as the root of their
+    number, so frequent words share a class with few others."""
+    roots = np.cumsum(np.sqrt(unigram[2:]))
+    part = np.floor(roots / roots[-1] * np.ceil(np.sqrt(len(roots))) - 1e-9) if len(roots) else roots
+    return np.concatenate([[0, 1], np.flatnonzero(np.diff(part, prepend=-2)) + 2, [len(unigram)]]).astype(np.int64)
+
+
+def _against(own: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """1 - P(data) of data and P(data) of noise, from logits."""
+    return 1 / (1 + np.exp(np.clip(own, -30, 30))), 1 / (1 + np.exp(-np.clip(others, -30, 30)))
+
+
 class LogBilinear:
-    """Parameters R (words x size), C1, C2 (size x size) and b."""
+    """Parameters R (words x size), b of words, S (classes x size), a of classes, C1, C2 (size x size): all are views of
+    one matrix ``rows``, a word or class with its bias in each of the first rows. ``starts`` are the classes' first
+    words and the number of words; without it all words are one class."""
 
-    def __init__(self, words: int, size: int, unigram: np.ndarray, seed: int = 1):
+    def __init__(self, words: int, size: int, unigram: np.ndarray, starts: np.ndarray | None = None, seed: int = 1):
         r = np.random.default_rng(seed)
-        self.R = r.normal(0, 0.1, (words, size)).astype(np.float32)
-        self.C = [np.eye(size, dtype=np.float32) * 0.5 for _ in range(2)]
-        self.b = np.log(unigram).astype(np.float32)
-        self.squares = [np.full_like(x, 1e-8) for x in (self.R, *self.C, self.b)]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.R.ravel(), *(c.ravel() for c in self.C), self.b])
-
-    def load(self, flat: np.ndarray) -> LogBilinear:
-        n, d = self.R.shape
-        at = n * d
-        self.R = flat[:at].reshape(n, d).astype(np.float32)
-        self.C = [flat[at + i * d * d : at + (i + 1) * d * d].reshape(d, d).astype(np.float32) for i in range(2)]
-        self.b = flat[at + 2 * d * d :].astype(np.float32)
+        self.starts = np.array([0, words]) if starts is None else starts
+        self.sizes = np.diff(self.starts)
+        self.of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.mass = np.add.reduceat(unigram, self.starts[:-1])
+        n = words + len(self.sizes)
+        self.load(np.zeros((n + 2 * size, size + 1), np.float32), words)
+        self.rows[:n, :size] = r.normal(0, 0.1, (n, size))
+        for c in self.C:
+            c[:] = np.eye(size) * 0.5
+        self.b[:], self.a[:] = np.log(unigram / self.mass[self.of]), np.log(self.mass)
+        self.squares = np.full_like(self.rows, 1e-4)
+
+    def load(self, rows: np.ndarray, words: int | None = None) -> LogBilinear:
+        n, d = len(self.of) if words is None else words, rows.shape[1] - 1
+        m = n + len(self.sizes)
+        self.rows, self.R, self.b, self.S, self.a = rows, rows[:n, :d], rows[:n, d], rows[n:m, :d], rows[n:m, d]
+        self.C = [rows[m : m + d, :d], rows[m + d :, :d]]
         return self
 
-    def nce_step(self, w: np.ndarray, w1: np.ndarray, w2: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
-        """One step on targets w after w1 (nearest) and w2, against noise words shared by the batch. A pair's logit is the
-        model's score less the log of the expected noise count; data should win, noise lose. Steps are scaled by the
-        root of each parameter's summed squared gradients (Adagrad)."""
-        n, k = len(w), len(noise)
-        r1, r2, rw = self.R[w1], self.R[w2], self.R[w]
-        q = r1 @ self.C[0] + r2 @ self.C[1]
-        up = 1 / (1 + np.exp(np.clip((q * rw).sum(1) + self.b[w] - (log_noise[w] + np.float32(np.log(k))), -30, 30)))  # 1 - P(data)
-        rn = self.R[noise]
-        down = 1 / (1 + np.exp(-np.clip(q @ rn.T + self.b[noise] - (log_noise[noise] + np.float32(np.log(k))), -30, 30)))  # P(data) of noise
-        gq = up[:, None] * rw - down @ rn
-        g = [np.zeros_like(self.R), r1.T @ gq, r2.T @ gq, (np.bincount(w, up, len(self.b)) - np.bincount(noise, down.sum(0), len(self.b)))]
-        for ids, part in ((w, up[:, None] * q), (w1, gq @ self.C[0].T), (w2, gq @ self.C[1].T)):
-            order = np.argsort(ids, kind="stable")
-            at = np.flatnonzero(np.diff(ids[order], prepend=-1))
-            g[0][ids[order[at]]] += np.add.reduceat(part[order], at, axis=0)
-        np.add.at(g[0], noise, -(down.T @ q))
-        for x, grad, seen in zip((self.R, *self.C, self.b), g, self.squares):
-            grad = (grad / n).astype(np.float32)
-            seen += grad * grad
-            x += rate * grad / np.sqrt(seen)
+    def _climb(self, at: np.ndarray, grad: np.ndarray, rate: float) -> None:
+        """Steps are scaled by the root of each parameter's summed squared gradients (Adagrad)."""
+        seen = np.take(self.squares, at, axis=0) + grad * grad
+        self.squares[at] = seen
+        self.rows[at] += rate * grad / np.sqrt(seen)
+
+    def nce_step(self, w: np.ndarray, w1: np.ndarray, w2: np.ndarray, random: np.random.Generator, class_noise: int, word_noise: int, rate: float) -> None:
+        """One step on targets w after w1 (nearest) and w2: their classes against noise classes drawn by their shares,
+        and the targets against noise words drawn evenly from each class; a batch shares both. A pair's logit is the
+        model's score less the log of the expected noise count; data should win, noise lose."""
+        words, d = self.R.shape
+        n = words + len(self.sizes)
+        order = np.argsort(w, kind="stable")  # so by class, too
+        w, w1, w2 = w[order], w1[order], w2[order]
+        rows, c, wide = self.rows, self.of[w], word_noise * (d + 1)
+        r1, r2 = np.take(rows, w1, axis=0)[:, :d], np.take(rows, w2, axis=0)[:, :d]
+        q = np.ones((len(w), d + 1), np.float32)  # the last column meets the biases
+        q[:, :d] = r1 @ self.C[0] + r2 @ self.C[1]
+        classes = rows[words:n]
+        noise = np.minimum(np.searchsorted(np.cumsum(self.mass), random.random(class_noise)), len(self.mass) - 1)
+        less = np.log(self.mass * class_noise).astype(np.float32)
+        own, others = np.take(classes, c, axis=0), classes[noise]
+        up, down = _against(np.einsum("nd,nd->n", q, own) - less[c], q @ others.T - less[noise])
+        gq = up[:, None] * own - down @ others
+        ids, parts = [w1, w2, words + c, words + noise], [None, None, up[:, None] * q, -(down.T @ q)]
+        if len(i := np.flatnonzero(self.sizes[c] > 1)):
+            t, k = q[i], c[i]
+            at = np.flatnonzero(np.diff(k, prepend=-1))
+            of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(k))))
+            drawn = self.starts[k[at], None] + (random.random((len(at), word_noise)) * self.sizes[k[at], None]).astype(np.int64)
+            own, others = np.take(rows, w[i], axis=0), np.take(rows[drawn.ravel()].reshape(-1, wide), of, axis=0).reshape(-1, word_noise, d + 1)
+            less = np.log(word_noise / self.sizes[k]).astype(np.float32)
+            up, down = _against(np.einsum("nd,nd->n", t, own) - less, np.einsum("nd,nkd->nk", t, others) - less[:, None])
+            gq[i] += up[:, None] * own - np.einsum("nk,nkd->nd", down, others)
+            ids += [w[i], drawn.ravel()]
+            parts += [up[:, None] * t, np.add.reduceat((down[:, :, None] * -t[:, None, :]).reshape(-1, wide), at, axis=0).reshape(-1, d + 1)]
+        for k, c in enumerate(self.C):
+            parts[k] = np.zeros_like(gq)
+            parts[k][:, :d] = gq[:, :d] @ c.T
+        flat = np.concatenate(ids)
+        order = np.argsort(flat.astype(np.uint16 if n <= 1 << 16 else np.int32), kind="stable")
+        flat = flat[order]
+        at = np.flatnonzero(np.diff(flat, prepend=-1))
+        grad = np.zeros((2 * d, d + 1), np.float32)
+        grad[:d, :d], grad[d:, :d] = r1.T @ gq[:, :d], r2.T @ gq[:, :d]
+        self._climb(flat[at], np.add.reduceat(np.take(np.concatenate(parts), order, axis=0), at, axis=0), rate)
+        self._climb(np.arange(n, n + 2 * d), grad, rate)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Score by nearest word, by the one before (with b), and the log normaliser of each pair of them."""
+        """Of a model of one class: score by nearest word, by the one before (with b), and the log normaliser of each
+        pair of them."""
         near, far = (self.R @ self.C[0] @ self.R.T).astype(np.float32), (self.R @ self.C[1] @ self.R.T + self.b).astype(np.float32)
         top = near.max(1)[:, None] + far.max(1)[None, :]
         e1, e2 = np.exp(near - near.max(1)[:, None], dtype=np.float64), np.exp(far - far.max(1)[:, None], dtype=np.float64)
         return near, far, (top + np.log(e1 @ e2.T)).astype(np.float32)  # sum over words of exp(near + far), as one product
 
+    def scorer(self):
+        """A function from targets and the two words before them to natural log probabilities: of the target's class
+        among all classes, and of the target among all words of its class. Both normalisers are whole sums, over blocks
+        of contexts; that of the classes is a sum of products of two factors, each found once for all equal words."""
+        words, d = self.R.shape
+        a1, a2 = np.zeros((words, d + 1), np.float32), np.ones((words, d + 1), np.float32)  # the last column meets the biases
+        a1[:, :d], a2[:, :d] = self.R @ self.C[0], self.R @ self.C[1]
+        rows, classes = self.rows, np.ascontiguousarray(self.rows[words : words + len(self.sizes)])
+
+        def log_sum(q, rows):
+            z = q @ rows.T
+            with np.errstate(over="ignore"):
+                total = np.exp(z, out=z) @ np.ones(len(rows), np.float32)
+            fine = (total > 1e-30) & (total < 1e30)
+            if fine.all():
+                return np.log(total)
+            z = (q @ rows.T).astype(np.float64)
+            top = z.max(1)
+            return top + np.log(np.exp(z - top[:, None]).sum(1))
+
+        def factors(of, table):
+            """Of distinct words: exp(score by class less the largest), the largest; and each word's place."""
+            seen, at = np.unique(of, return_inverse=True)
+            z = table[seen] @ classes.T
+            top = z.max(1)
+            z -= top[:, None]
+            return np.exp(z, out=z), top, at
+
+        def score(w, w1, w2, contexts=1 << 17, cells=1 << 17):
+            out = np.zeros(len(w))
+            for lo in range(0, len(w), contexts):
+                order = lo + np.argsort(w[lo : lo + contexts], kind="stable")  # so by class, too
+                own, b1, b2 = w[order], w1[order], w2[order]
+                q, c = np.take(a1, b1, axis=0) + np.take(a2, b2, axis=0), self.of[own]
+                part = np.einsum("nd,nd->n", q, np.take(classes, c, axis=0)).astype(np.float64)
+                (f1, top1, at1), (f2, top2, at2) = factors(b1, a1), factors(b2, a2)
+                step = max(1, cells // len(classes))
+                for at in range(0, len(own), step):
+                    i, j = at1[at : at + step], at2[at : at + step]
+                    total = np.einsum("nk,nk->n", np.take(f1, i, axis=0), np.take(f2, j, axis=0))
+                    norm = np.log(np.maximum(total, 1e-30)) + top1[i] + top2[j]
+                    if len(far := np.flatnonzero(total < 1e-30)):
+                        norm[far] = log_sum(q[at + far], classes)
+                    part[at : at + step] -= norm
+                ends = np.append(np.flatnonzero(np.diff(c, prepend=-1)), len(c)).tolist()
+                for x, y in zip(ends, ends[1:]):
+                    first, last = self.starts[c[x]], self.starts[c[x] + 1]
+                    if last - first > 1:
+                        part[x:y] += np.einsum("nd,nd->n", q[x:y], np.take(rows, own[x:y], axis=0))
+                        step = max(1, cells // int(last - first))
+                        for at in range(x, y, step):
+                            part[at : min(at + step, y)] -= log_sum(q[at : min(at + step, y)], rows[first:last])
+                out[order] = part
+            return out
+
+        return score
+
 
 def _ids(texts: list[bytes | None], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
     """Model ids of the texts' tokens one after the other, each text's first position, the texts' words."""
@@ -129,40 +233,52 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return w1, w2
 
 
-def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, size: int = 16, noise: int = 64, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
-    """One pass over all of ``docs``. Every task ends with its parameters times its tokens; the sums are grouped by
-    parameter, so the driver sees one model, whatever the number of tasks."""
-    start = LogBilinear(len(unigram), size, unigram)
-    sent = docs.sparkSession.sparkContext.broadcast((index, unigram, start.flat()))
-    schema = arrow_schema("k int, v double")
+def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, size: int = 16, class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
+    """One pass over all of ``docs``. Every task ends with the rows of the words and classes that it met, weighed by how
+    often; each row's mean is taken over the tasks that met it, and the driver sees one model, whatever the number of
+    tasks."""
+    starts = class_starts(unigram)
+    model = LogBilinear(len(unigram), size, unigram, starts)
+    n, width = len(model.rows), size + 2  # a row and its weight
+    sent = docs.sparkSession.sparkContext.broadcast((index, unigram, starts))
+    schema = arrow_schema("k int, v binary")
 
     def run(batches):
-        index, unigram, flat = sent.value
-        model, random, tokens = LogBilinear(len(unigram), size, unigram).load(flat), np.random.default_rng(7), 0
-        log_noise = np.log(unigram).astype(np.float32)
+        index, unigram, starts = sent.value
+        model, random, met = LogBilinear(len(unigram), size, unigram, starts), np.random.default_rng(7), np.zeros(len(unigram), np.int64)
         for (texts,) in rows_in_batches(batches, ["raw"], 512):
-            ids, starts, _ = _ids(texts, index)
-            w1, w2 = _contexts(ids, starts)
+            ids, first, _ = _ids(texts, index)
+            w1, w2 = _contexts(ids, first)
+            met += np.bincount(ids, minlength=len(met))
             order = random.permutation(len(ids))
             for at in range(0, len(ids), batch):
                 i = order[at : at + batch]
-                model.nce_step(ids[i], w1[i], w2[i], random.choice(len(unigram), noise, p=unigram), log_noise, rate)
-                tokens += len(i)
-        values = np.append(model.flat().astype(np.float64), 1.0) * tokens
-        yield batch_of(schema, [np.arange(len(values), dtype=np.int32), values] if tokens else [[], []])
+                model.nce_step(ids[i], w1[i], w2[i], random, class_noise, word_noise, rate)
+        weight = np.concatenate([met, np.add.reduceat(met, starts[:-1]), np.full(2 * size, met.sum())])
+        at = np.flatnonzero(weight)
+        out = np.hstack([model.rows[at] * weight[at, None], weight[at, None]]).astype("<f4")
+        for k in range(0, len(at), 1 << 14):
+            yield batch_of(schema, [at[k : k + (1 << 14)].astype(np.int32), [x.tobytes() for x in out[k : k + (1 << 14)]]])
+
+    def merge(batches):
+        sums = np.zeros((n, width))
+        for batch in batches:
+            np.add.at(sums, batch.column(0).to_numpy(), np.frombuffer(b"".join(batch.column(1).to_pylist()), "<f4").reshape(-1, width))
+        at = np.flatnonzero(sums[:, -1])
+        yield batch_of(schema, [at.astype(np.int32), [x.tobytes() for x in (sums[at, :-1] / sums[at, -1:]).astype("<f4")]])
 
     ship(docs.sparkSession)
-    sums = {r.k: r.v for r in _raw(docs).select("raw").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()}
-    if not sums:
-        return start
-    values = np.array([sums[k] for k in range(len(sums))])
-    return start.load(values[:-1] / values[-1])
+    rows = model.rows.copy()
+    for r in _raw(docs).select("raw").mapInArrow(run, "k int, v binary").repartition("k").mapInArrow(merge, "k int, v binary").collect():
+        rows[r.k] = np.frombuffer(r.v, "<f4")
+    return model.load(rows)
 
 
-def score(docs: DataFrame, training: DataFrame, vocabulary: int = 512, head: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, vocabulary: int = 65_536 - 512, head: int = 100_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every text of ``docs`` after learning from
-    ``training``. ``vocabulary`` bounds the model, ``head`` the counts that travel to the tasks (words from a count
-    on, chosen from a histogram of counts, so no more than ``head`` rows ever reach the driver)."""
+    ``training``. ``vocabulary`` bounds the model's words (so its memory: words and classes number in 16 bits), ``head`` the
+    counts that travel to the tasks (words from a count on, chosen from a histogram of counts, so no more than ``head``
+    rows ever reach the driver)."""
     spark = docs.sparkSession
     counts = word_counts(training)
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -181,17 +297,18 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = 512, head: int
     unigram /= unigram.sum()
     model = train(training, index, unigram) if total else LogBilinear(len(unigram), 4, unigram)
     log_head = {w: (i, float(np.log10(c + 1))) for i, (w, c) in enumerate(top)}
-    sent = spark.sparkContext.broadcast((index, log_head, float(np.log10(ends + 1)), int(ends > 0), float(np.log10(max(rest, 1.0))), *model.tables()))
+    sent = spark.sparkContext.broadcast((index, log_head, float(np.log10(ends + 1)), int(ends > 0), float(np.log10(max(rest, 1.0))), model))
 
     def make():
-        index, log_head, log_end, end_known, log_rest, near, far, norm = sent.value
+        index, log_head, log_end, end_known, log_rest, model = sent.value
+        probabilities = model.scorer()
         closed, place = len(index), {w: i for w, (i, _) in log_head.items()}
         logs = np.array([v for _, v in log_head.values()] + [0.0])
 
         def step(doc_ids, rows, texts):
             ids, starts, words = _ids(texts, index)
             w1, w2 = _contexts(ids, starts)
-            cost = (near[w1, ids] + far[w2, ids] - norm[w1, w2]).astype(np.float64) / np.log(10)
+            cost = probabilities(ids, w1, w2) / np.log(10)
             lm = np.add.reduceat(cost, starts)
             out: list[list] = [[] for _ in range(8)]
             get, miss = place.get, len(logs) - 1

@@ -98,6 +98,29 @@ def test_lm_probabilities_are_normalised():
     assert np.allclose(p.sum(2), 1, atol=1e-4)
 
 
+def test_lm_classes_are_normalised():
+    u = np.random.default_rng(0).pareto(1, 300) + 0.01
+    u[2:] = -np.sort(-u[2:])
+    u /= u.sum()
+    starts = lm.class_starts(u)
+    assert starts[:3].tolist() == [0, 1, 2] and starts[-1] == 300 and (np.diff(starts) > 0).all() and len(starts) > 10 and np.diff(starts).max() < 100
+    assert lm.class_starts(u[:2]).tolist() == [0, 1, 2]
+    for spread in (1, 6):  # the second by the shifted sums, too
+        m = lm.LogBilinear(300, 4, u, starts)
+        m.rows[:] *= spread
+        w, at = np.tile(np.arange(300), 20), np.repeat(np.random.default_rng(1).integers(0, 300, (20, 2)), 300, axis=0)
+        p = np.exp(m.scorer()(w, at[:, 0], at[:, 1], contexts=1000, cells=500))
+        assert np.allclose(p.reshape(20, 300).sum(1), 1, atol=1e-3)
+
+
+def test_lm_learns_words_beyond_the_most_frequent(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"{'xy'[i % 2]}{j}" for j in r.integers(0, 1000, 100))) for i in range(1500)]  # two languages of 1000 even words
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gain = lambda **kw: lm.score(docs, docs, **kw).agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+    assert gain() > gain(vocabulary=512) + 0.05
+
+
 def test_lm_odd_documents(spark):
     docs = odd_documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
