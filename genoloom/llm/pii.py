@@ -40,7 +40,7 @@ WIDER = {
     "id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 GUARD = {"email": "instr(text, '@') > 0", "ip": "digits", "card": "digits", "phone": "instr(text, '+') > 0"}
-WIDER_GUARD = {"email": "instr(text, '(at)') > 0 OR instr(text, '[at]') > 0", "card": "exists(m_card, x -> length(x) > 19)", "phone": "digits", "id": "digits"}
+WIDER_GUARD = {"email": "instr(text, '(at)') > 0 OR instr(text, '[at]') > 0", "card": "exists(m_card, x -> length(x) > 13 AND NOT ({valid}))", "phone": "digits", "id": "digits"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 VALID = {
     "email": "true",
@@ -50,6 +50,7 @@ VALID = {
 }
 LUHN = """aggregate(sequence(1, length(translate(x.v, ' -', ''))), 0, (a, i) -> a + CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(translate(x.v, ' -', '')), i, 1) AS INT)
  WHEN substr(reverse(translate(x.v, ' -', '')), i, 1) >= '5' THEN CAST(substr(reverse(translate(x.v, ' -', '')), i, 1) AS INT) * 2 - 9 ELSE CAST(substr(reverse(translate(x.v, ' -', '')), i, 1) AS INT) * 2 END) % 10 = 0"""
+WIDER_GUARD["card"] = WIDER_GUARD["card"].format(valid=VALID["card"].format(luhn=LUHN).replace("x.v", "x"))  # a base match may hold a card without being one
 #: Fixed gazetteers: endings of addresses, country codes, first digits of card issuers, area and id prefixes, cue words.
 GAZETTEER = {
     "email": r"rlike(lower(x.v), '(\\.|\\(dot\\)|\\[dot\\]) ?(com|org|net|edu|gov|io|info|eu|uk|de|fr|es|it|nl|ch|at|us|ca|au|jp|cn|in|br|ru)$')",

@@ -140,6 +140,17 @@ def test_redaction(spark):
     assert pii.redact(no_documents(spark)).count() == 0
 
 
+def test_cards_behind_short_numbers(spark):
+    card = "4465758382889437"
+    docs = spark.createDataFrame([(1, f"room 7 {card} now"), (2, f"item 12-{card}"), (3, f"pay {card}"), (4, "call 1234567890123"), *[(10 + i, prose(i, 20)) for i in range(20)]], "doc_id long, text string")
+    wide = {r.doc_id: [x.v for x in r.wide_card] for r in pii.candidates(docs).collect()}
+    assert wide[1] == wide[2] == [card] and not any(wide[i] for i in wide if i > 2)
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert "card:7:23" in spans[1] and "card:8:24" in spans[2]
+    text = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert text[1] == "room 7 [CARD] now" and text[2] == "item 12-[CARD]" and text[3] == "pay [CARD]"
+
+
 def fingerprint(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(w[i : i + 4]) for i in range(max(len(w) - 3, 1))] if w else []
