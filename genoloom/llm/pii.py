@@ -182,14 +182,15 @@ def find(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with each span's text replaced by [EMAIL], [IP], [CARD], [PHONE] or [ID] and n_chars made to fit.
-    Where spans overlap, the one that starts first (at one start, the longest) is replaced, others follow after its end.
+    Where spans overlap, the one that starts first (at one start, the longest) is replaced whole, of others what is left
+    after its end.
     A null text stays null."""
     model = fit(candidates(docs.select("text")))
     packed = docs.select("text", F.struct("*").alias("doc"))  # so that no column of docs can clash with ours
     kept = classify(candidates(packed), model)
     spans = "array_sort(concat(" + ", ".join(f"transform(kept_{k}, x -> named_struct('s', x.s, 'e', -x.e, 'kind', '[{k.upper()}]'))" for k in KINDS) + "))"
-    text = """aggregate(spans, named_struct('at', 0L, 'out', ''), (a, x) -> CASE WHEN x.s < a.at THEN a ELSE named_struct('at', -x.e,
-        'out', concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1, CAST(x.s - a.at AS INT)), x.kind)) END, a -> concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1)))"""
+    text = """aggregate(spans, named_struct('at', 0L, 'out', ''), (a, x) -> CASE WHEN -x.e <= a.at THEN a ELSE named_struct('at', -x.e,
+        'out', concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1, CAST(greatest(x.s - a.at, 0L) AS INT)), x.kind)) END, a -> concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1)))"""
     out = kept.select("doc", F.expr(spans).alias("spans")).withColumn("new", F.expr(f"CASE WHEN doc.text IS NULL OR size(spans) = 0 THEN doc.text ELSE {text} END"))
     changed = {"text": F.col("new")}
     if "n_chars" in docs.columns:
