@@ -65,6 +65,7 @@ class LanguageScorer:
         self.size = len(model["index"])
         self.logs = np.vstack([model["logs"], np.zeros((spare, len(self.langs)), np.float32)]) if self.langs else None
         self.seen: dict[str, int] = {}
+        self.evidence = np.ones(self.size + spare, bool)  # does a row come from a known word, or a known gram with a letter?
 
     def _unseen(self, word: str) -> int:
         if (row := self.seen.get(word)) is not None:
@@ -73,26 +74,32 @@ class LanguageScorer:
             self.seen.clear()
         row = self.seen[word] = self.size + len(self.seen)
         padded = f"_{word[:40]}_"
-        self.logs[row] = 0
+        self.logs[row], self.evidence[row] = 0, False
         for k in ORDERS:
             known = [i for j in range(len(padded) - k + 1) if (i := self.grams.get((k, padded[j : j + k]))) is not None]
             if known and not (k == 1 and len(set(padded)) == 1):
                 self.logs[row] = self.logs[known].mean(0)
+                self.evidence[row] = k > 1 or any((1, c) in self.grams for c in padded if c != "_")
                 break
         return row
 
     def __call__(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, and whether any word or gram of the text is known."""
         words = LETTERS.findall(text.lower()) if text else []
         if not self.langs or not any(c.isalpha() for w in words for c in w):
-            return "und", 0.0
-        get, total = self.words.get, np.zeros(len(self.langs))
+            return "und", 0.0, False
+        get, total, known = self.words.get, np.zeros(len(self.langs)), False
         for at in range(0, len(words), 50_000):  # no more than spare unseen words at a time
             rows = [i if (i := get(w)) is not None else self._unseen(w) for w in words[at : at + 50_000]]
             total += self.logs[rows].sum(0, dtype=np.float64)
+            known = known or bool(self.evidence[rows].any())
         total *= min(1.0, self.certain / len(words))  # words of a text aren't independent
         p = np.exp(total - total.max())
         best = int(p.argmax())
-        return self.langs[best], float(p[best] / p.sum())
+        return self.langs[best], float(p[best] / p.sum()), known
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
@@ -112,16 +119,16 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: dict, least: float = 0.35) -> DataFrame:
-    """``docs`` without those that are ``und`` or whose language scores under ``least`` (a text of unknown words and
-    letters scores 1 / languages; short clean texts may score under a half, and stay). All other columns stay as they are."""
+    """``docs`` without those that are ``und``, hold no known word or gram (whatever the number of languages), or whose
+    language scores under ``least`` (short clean texts may score under a half, and stay). All other columns stay as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         score = LanguageScorer(sent.value)
 
         def keep(text):
-            lang, s = score(text)
-            return lang != "und" and s >= least
+            lang, s, known = score.judge(text)
+            return lang != "und" and known and s >= least
 
         return keep
 

@@ -152,6 +152,15 @@ def test_language_odd_documents(spark):
     assert scorer("Whenthereing") == scorer("whenthereing") and scorer("日本語")[1] == 1 / len(model["langs"])
 
 
+def test_unknown_texts_go_with_few_languages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("lang IS NOT NULL").select("doc_id", "text", "lang")
+    langs = sorted(r.lang for r in docs.select("lang").distinct().collect())
+    some = spark.createDataFrame([(1, "\u65e5\u672c\u8a9e"), (2, docs.filter(F.col("lang") == langs[0]).first().text), (3, None)], "doc_id long, text string")
+    for n in (1, 2):
+        model = language.fit_language_model(docs.filter(F.col("lang").isin(langs[:n])))
+        assert len(model["langs"]) == n and [r.doc_id for r in language.keep_known(some, model).collect()] == [2]
+
+
 def test_toxicity(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = toxicity.op9_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").collect()
