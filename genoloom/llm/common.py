@@ -28,11 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, only where that is unset
-    (tests on one machine), a fresh local folder that is also made the checkpoint folder."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, only where that is unset and everything
+    runs on one machine (tests), a fresh local folder that is also made the checkpoint folder."""
     ship(spark)
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -57,10 +59,10 @@ def crc_split(doc_id: Column, modulus: int, part: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == part
 
 
-def hashed_share(df: DataFrame, n: int, most: int, key: str) -> DataFrame:
-    """About ``most`` of the ``n`` rows of ``df``, or all if there are fewer, by a hash of ``key``: the same rows in every
-    run, with no sort and nothing sent to the driver."""
-    return df if n <= most else df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < (most << 30) // n)
+def hashed_share(df: DataFrame, n: int, most: int, *keys: str) -> DataFrame:
+    """About ``most`` of the ``n`` rows of ``df``, or all if there are fewer, by a hash of ``keys``: the same rows in every
+    run, with no sort and nothing sent to the driver. Rows equal in all keys go together."""
+    return df if n <= most else df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < (most << 30) // n)
 
 
 def rows_in_batches(batches: Iterable[pa.RecordBatch], names: list[str], most: int = 1024) -> Iterator[list[list]]:

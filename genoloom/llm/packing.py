@@ -4,6 +4,12 @@ Documents' lengths are dealt over partitions so that each has the same mix; each
 the largest of several dual-feasible-function lower bounds. A partition that meets its bound is certified and closed.
 The others give the documents of their bins with gaps to a common pool, which is dealt anew over fewer partitions and
 packed again; a round that saves no bin is dropped and ends the work. Lengths alone travel, never ids.
+
+Edge cases: null and empty texts are one piece, the end id; a text of any length is cut into whole pieces of the
+capacity after a first one that may be shorter; repeated doc_ids and repeated rows each get their own pieces; of equal
+lengths the smaller row number is placed first, of bins with equal space the one left last; an empty table gives an
+empty result; other columns are ignored. A sequence's number is its round, partition and bin (full pieces: below zero,
+from their row's number), so no two sequences can share one.
 """
 
 from __future__ import annotations
@@ -101,11 +107,11 @@ def _round(items: DataFrame, parts: int, capacity: int) -> DataFrame:
 
 
 def pack_lengths(items: DataFrame, capacity: int, part_items: int = 32_768, rounds: int = 6) -> DataFrame:
-    """Place items (uid unique, length from 1 to ``capacity``) into bins of ``capacity``: uid, bin_key (string), offset.
-    ``part_items`` bounds a task's items, whatever the input. A bin's key names its round, partition and bin.
-    An empty table gives an empty result."""
-    empty = items.sparkSession.createDataFrame([], "uid long, bin_key string, offset long")
-    key = lambda r: F.concat_ws("-", F.lit(r), "part", "bin").alias("bin_key")
+    """Place items (uid unique, length from 1 to ``capacity``) into bins of ``capacity``: uid, bin_id (long, not below
+    zero), offset. ``part_items`` bounds a task's items, whatever the input. A bin's number holds its round (7 bits),
+    partition (32) and bin in it (24). An empty table gives an empty result."""
+    empty = items.sparkSession.createDataFrame([], "uid long, bin_id long, offset long")
+    key = lambda r: (F.shiftleft(F.lit(r).cast("long"), 56) + F.shiftleft("part", 24) + F.col("bin")).alias("bin_id")
     bins = lambda df: df.agg(F.count_distinct("part", "bin"), F.count("*")).first()
     done, pool, held, size = empty, items, None, items.count()
     if not size:
@@ -158,10 +164,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: i
     length are sequences by themselves; the others go through ``pack_lengths``. Extra columns of ``docs`` are ignored."""
     pieces = stored(token_pieces(docs, tokenizer, end_id, capacity).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    full = pieces.filter(F.col("length") == capacity).select(*columns, F.xxhash64(F.lit("full"), "uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = pieces.filter(F.col("length") == capacity).select(*columns, (F.lit(-1) - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = pieces.filter(F.col("length") < capacity)
     placed = pack_lengths(part.select("uid", "length"), capacity)
-    rest = part.join(placed, "uid").select(*columns, F.xxhash64(F.lit("bin"), "bin_key").alias("sequence_id"), "offset")
+    rest = part.join(placed, "uid").select(*columns, F.col("bin_id").alias("sequence_id"), "offset")
     return full.unionByName(rest)
 
 

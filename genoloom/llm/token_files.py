@@ -4,10 +4,13 @@ A file (little-endian): ``magic, id width, docs, null ids, tokens, smallest doc_
 an Elias-Fano list of the doc_ids (less the smallest), one of the documents' first ids, then all ids at 2 bytes each
 (4 where the vocabulary needs them). An Elias-Fano list of n values below u keeps ``l = floor(log2(u / n))`` low bits
 of each in a packed array and the rest as a bit vector with n ones, about ``2 + l`` bits a value; ``select`` finds a
-value through the position of every 256th one, kept in 32 bits. No table of 64-bit offsets exists, on disk or in memory.
+value through the position of every 256th one, kept in 32 bits, and ``block`` the 256 values from there. Readers hold
+the values of one block at a time: no table of 64-bit offsets of a file exists, on disk or in memory.
 
-Edge cases: a null text is an empty one (its only id is the end id); repeated doc_ids are kept, in the order of their
-texts; null doc_ids come first and are counted in the header; an empty table writes no file.
+Edge cases: a null text is an empty one (its only id is the end id); repeated doc_ids are kept, in the order of a hash
+of their ids, so a doc_id that many rows share is spread over many files; null doc_ids come first and are counted in the
+header; texts of any length are encoded whole and never cut, one may exceed a file's usual size; an empty table writes
+no file; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,13 +18,14 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, map_rows, rows_in_batches, shared_dir, stored, table
+from .common import arrow_schema, batch_of, map_rows, rows_in_batches, shared_dir, ship, stored, table
 from .tokens import byte_bpe, encoder
 
 MAGIC = b"TOKIDEF1"
@@ -30,7 +34,7 @@ SAMPLE = 256
 
 
 class EliasFano:
-    """A nondecreasing list of integers from 0; ``select(i)`` is value i, ``values()`` all of them."""
+    """A nondecreasing list of integers from 0; ``select(i)`` is value i, ``block(b)`` the values from b * SAMPLE on."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, samples: np.ndarray):
         self.n, self.l, self.low, self.high, self.samples = n, low_bits, low, high, samples
@@ -65,12 +69,20 @@ class EliasFano:
             low |= (int(self.low[bit // 8]) >> (bit % 8) & 1) << k
         return ((one - i) << self.l) | low
 
-    def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n].astype(np.uint64) - np.arange(self.n, dtype=np.uint64)
+    def block(self, b: int) -> np.ndarray:
+        """At most SAMPLE values: the bits from one sampled position to the next, and their low bits."""
+        first, last = b * SAMPLE, min(self.n, (b + 1) * SAMPLE)
+        at = int(self.samples[b])
+        to = int(self.samples[b + 1]) if b + 1 < len(self.samples) else len(self.high) * 8
+        flags = np.unpackbits(self.high[at // 8 : -(-to // 8)], bitorder="little")[at % 8 :]
+        ones = np.flatnonzero(flags)[: last - first] + (at - first) - np.arange(last - first)
         if not self.l:
-            return ones.astype(np.int64)
-        low = np.unpackbits(self.low, bitorder="little")[: self.n * self.l].reshape(self.n, self.l).astype(np.uint64)
-        return ((ones << np.uint64(self.l)) | (low << np.arange(self.l, dtype=np.uint64)).sum(1, dtype=np.uint64)).astype(np.int64)
+            return ones
+        low = np.unpackbits(self.low[first * self.l // 8 : -(-last * self.l // 8)], bitorder="little")[: (last - first) * self.l]
+        return (ones << self.l) | (low.reshape(-1, self.l).astype(np.int64) << np.arange(self.l)).sum(1)
+
+    def values(self) -> np.ndarray:
+        return np.concatenate([self.block(b) for b in range(len(self.samples))] or [np.zeros(0, np.int64)])
 
     def to_bytes(self) -> bytes:
         return struct.pack("<IIIII", self.n, self.l, len(self.low), len(self.high), len(self.samples)) + self.low.tobytes() + self.high.tobytes() + self.samples.tobytes()
@@ -104,43 +116,66 @@ class TokenFile:
         self.keys, self.starts = EliasFano.from_bytes(raw[at : at + keys]), EliasFano.from_bytes(raw[at + keys : at + keys + starts])
         self.ids = np.frombuffer(raw, "<u2" if self.width == 2 else "<u4", self.tokens, at + keys + starts)
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [int(x) + self.least for x in self.keys.values()]
+    def documents(self) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+        """doc_ids, first ids and lengths, SAMPLE documents at a time, each block found by its select sample."""
+        keys, held = 0, np.zeros(0, np.int64)
+        for b in range(len(self.starts.samples)):
+            starts = self.starts.block(b)
+            after = (b + 1) * SAMPLE
+            lengths = np.diff(starts, append=self.starts.select(after) if after < self.n else self.tokens)
+            nulls = min(max(self.nulls - b * SAMPLE, 0), len(starts))
+            while len(held) < len(starts) - nulls:
+                held, keys = np.concatenate([held, self.keys.block(keys)]), keys + 1
+            yield [None] * nulls + (held[: len(starts) - nulls] + self.least).tolist(), starts, lengths
+            held = held[len(starts) - nulls :]
 
     def document(self, i: int) -> np.ndarray:
         """The ids of document i alone."""
         return self.ids[self.starts.select(i) : self.starts.select(i + 1) if i + 1 < self.n else self.tokens]
 
 
+def coded_texts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """doc_id and ids (little-endian bytes, the end id last) of whole texts."""
+
+    def make():
+        enc = encoder(tokenizer)
+        end = enc.raw[end_id]
+        return lambda keys, texts: [keys, [x + end for x in enc.encode([t or "" for t in texts])]]
+
+    return map_rows(docs, make, "doc_id long, ids binary", ["doc_id", "text"], most=512)
+
+
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int = 0, file_tokens: int = 4_000_000) -> DataFrame:
     """Write ``docs`` (doc_id, text) in ascending doc_id order into files of about ``file_tokens`` ids under ``out_dir``,
-    a folder all executors share. Range partitions keep the order; each task writes its own files under names of its
-    attempt, and the returned manifest (part, seq, path, n_docs, n_tokens) names only those of attempts that counted.
-    Memory in a task: one file and the rows of one batch."""
-    ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+    a folder all executors share. Texts are encoded where they are read; their ids, a third of the size, are stored and
+    dealt over ranges of (doc_id, hash, row), which keep the order and split a doc_id that many rows share. Each task
+    writes its own files under names of its attempt, and the returned manifest (part, seq, path, n_docs, n_tokens) names
+    only those of attempts that counted. Memory in a task: one file and the rows of one batch."""
+    order = ["doc_id", "h", "row"]
+    coded = stored(coded_texts(docs, tokenizer, end_id), "coded-texts").withColumns({"h": F.xxhash64("ids"), "row": F.monotonically_increasing_id()})
+    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
 
     def run(batches):
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(out_dir)
         store.create_dir(root, recursive=True)
-        enc, part, seq, mark = encoder(tokenizer), TaskContext.get().partitionId(), 0, uuid.uuid4().hex
-        end = enc.raw[end_id]
+        width, part, seq, mark = encoder(tokenizer).dtype.itemsize, TaskContext.get().partitionId(), 0, uuid.uuid4().hex
         schema = arrow_schema("part long, seq long, path string, n_docs long, n_tokens long")
         keys, held, size = [], [], 0
 
         def flush():
             path = f"{root}/{part:06d}-{seq:06d}-{mark}.tid"
             with store.open_output_stream(path) as out:
-                out.write(to_file(keys, held, enc.dtype.itemsize))
-            return batch_of(schema, [[part], [seq], [path], [len(keys)], [size // enc.dtype.itemsize]])
+                out.write(to_file(keys, held, width))
+            return batch_of(schema, [[part], [seq], [path], [len(keys)], [size // width]])
 
-        for ids, texts in rows_in_batches(batches, ["doc_id", "text"], 512):
-            for d, raw in zip(ids, enc.encode(texts)):
+        for ids, coded in rows_in_batches(batches, ["doc_id", "ids"], 512):
+            for d, raw in zip(ids, coded):
                 keys.append(d)
-                held.append(raw + end)
-                size += len(held[-1])
-                if size >= file_tokens * enc.dtype.itemsize:
+                held.append(raw)
+                size += len(raw)
+                if size >= file_tokens * width:
                     yield flush()
                     keys, held, size, seq = [], [], 0, seq + 1
         if keys:
@@ -151,33 +186,35 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
 
 def read_token_files(manifest: DataFrame, out_dir: str) -> DataFrame:
     """doc_id, start (ids of all documents before it, over all files), n_tokens, ids_crc32 from the files of a manifest.
-    First ids come from the Elias-Fano lists; a file's base is the sum of the counts before it, taken in two steps
-    (parts, then files of a part), so no step sees more than one row a part or the files of one part."""
+    First ids come from the select structures of the Elias-Fano lists; a file's base is the sum of the counts before it,
+    taken in two steps (parts, then files of a part), so no step sees more than one row a part or the files of one part.
+    There are as many reading tasks as files: the manifest's rows are few and small, so none are merged by size."""
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_base"))
-    files = manifest.join(bases, "part").select("path", (F.col("part_base") + F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")).alias("base"))
+    files = manifest.join(bases, "part").select("part", "seq", "path", (F.col("part_base") + F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")).alias("base"))
+    ddl = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    schema = arrow_schema(ddl)
 
-    def make():
+    def run(batches):
         from pyarrow import fs
 
         store, _ = fs.FileSystem.from_uri(out_dir)
-
-        def step(paths, bases):
-            out = [], [], [], []
+        for paths, bases in rows_in_batches(batches, ["path", "base"]):
             for path, base in zip(paths, bases):
                 with store.open_input_stream(path) as f:
                     file = TokenFile(f.read())
-                starts = file.starts.values()
-                out[0].extend(file.doc_ids())
-                out[1].extend((starts + base).tolist())
-                lengths = np.diff(starts, append=file.tokens)
-                out[2].extend(lengths.tolist())
-                out[3].extend(zlib.crc32(file.ids[a : a + n].astype("<u4").tobytes()) for a, n in zip(starts.tolist(), lengths.tolist()))
-            return list(out)
-
-        return step
-
-    return map_rows(files.repartition("path"), make, "doc_id long, start long, n_tokens long, ids_crc32 long", ["path", "base"], most=1)
+                out: list[list] = [[], [], [], []]
+                for keys, starts, lengths in file.documents():
+                    crcs = [zlib.crc32(file.ids[a : a + n].astype("<u4").tobytes()) for a, n in zip(starts.tolist(), lengths.tolist())]
+                    for column, values in zip(out, (keys, (starts + base).tolist(), lengths.tolist(), crcs)):
+                        column.extend(values)
+                    if len(out[0]) >= 8192:
+                        yield batch_of(schema, out)
+                        out = [[], [], [], []]
+                yield batch_of(schema, out)
+
+    ship(manifest.sparkSession)
+    return files.repartitionByRange(max(1, manifest.count()), "part", "seq").select("path", "base").mapInArrow(run, ddl)
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,16 +60,42 @@ def expected_files(rows):
     return out
 
 
+def by_place(got):
+    """Rows in file order, those of one doc_id in the order of ``expected_files``: its texts may lie in any order, so
+    starts are checked to be gapless here and then set anew."""
+    got = sorted(got, key=lambda r: r[1])
+    assert all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:])) and [r[0] or -1 for r in got] == sorted(r[0] or -1 for r in got)
+    return sorted((str(r[0]), r[2], r[3]) for r in got)
+
+
 @pytest.mark.parametrize("most", [4_000_000, 3000])
 def test_token_files(spark, most):
     docs = odd_documents(spark)
     at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     manifest = token_files.write_token_files(docs, at, byte_bpe(), file_tokens=most)
-    got = [tuple(r) for r in token_files.read_token_files(manifest, at).orderBy("start").collect()]
-    assert got == expected_files([(r.doc_id, r.text) for r in docs.collect()])
+    read = token_files.read_token_files(manifest, at)
+    assert read.rdd.getNumPartitions() == manifest.count()  # a task a file
+    assert by_place([tuple(r) for r in read.collect()]) == sorted((str(r[0]), r[2], r[3]) for r in expected_files([(r.doc_id, r.text) for r in docs.collect()]))
     path = manifest.first().path
     file = token_files.TokenFile(open(path, "rb").read())
     assert all(file.document(i)[-1] == 0 for i in range(file.n))
+    every = [(k, s, n) for keys, starts, lengths in file.documents() for k, s, n in zip(keys, starts.tolist(), lengths.tolist())]
+    assert [(s, n) for _, s, n in every] == [(file.starts.select(i), len(file.document(i))) for i in range(file.n)]
+
+
+def test_a_hot_doc_id_is_spread_over_files(spark):
+    rows = [(7 if i % 2 else i, f"text {i % 5} " * 20) for i in range(3000)] + [(None, "x")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        manifest = token_files.write_token_files(docs, at, byte_bpe(), file_tokens=10_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = [tuple(r) for r in token_files.read_token_files(manifest, at).collect()]
+    assert by_place(got) == sorted((str(r[0]), r[2], r[3]) for r in expected_files(rows))
+    sizes = [r.n for r in manifest.groupBy("part").agg({"n_docs": "sum"}).toDF("part", "n").collect()]
+    assert max(sizes) < 0.6 * sum(sizes)  # half the rows share an id
 
 
 def test_token_files_of_nothing(spark):
@@ -118,10 +144,10 @@ def test_exchange_never_needs_more_bins(spark):
     r = np.random.default_rng(1)
     lengths = r.integers(1, 1024, 3000)
     items = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "uid long, length long")
-    alone = packing.pack_lengths(items, 1024, part_items=300, rounds=1).select("bin_key").distinct().count()
+    alone = packing.pack_lengths(items, 1024, part_items=300, rounds=1).select("bin_id").distinct().count()
     got = packing.pack_lengths(items, 1024, part_items=300)
     assert got.count() == 3000 and got.select("uid").distinct().count() == 3000
-    exchanged = got.select("bin_key").distinct().count()
+    exchanged = got.select("bin_id").distinct().count()
     assert packing.lower_bound(lengths, 1024) <= exchanged <= alone
     assert exchanged <= packing.lower_bound(lengths, 1024) * 1.02
 
@@ -144,6 +170,16 @@ def check_packing(docs_rows, got):
     return len(by), sum(n for s in by.values() for _, n in s)
 
 
+def test_sequence_ids_are_numbered(spark):
+    r = np.random.default_rng(2)
+    items = spark.createDataFrame([(i, int(n)) for i, n in enumerate(r.integers(1, 1024, 2000))], "uid long, length long")
+    got = packing.pack_lengths(items, 1024, part_items=200)
+    bins = got.join(items, "uid").groupBy("bin_id").agg({"length": "sum"}).toDF("bin_id", "n").collect()
+    assert all(0 <= b.bin_id < 6 << 56 and b.n <= 1024 for b in bins)
+    placed = packing.pack_documents(spark.createDataFrame([(i, "word " * 3000) for i in range(20)], "doc_id long, text string"), byte_bpe())
+    assert {r.sequence_id < 0 for r in placed.collect() if r.length == 1024} == {True} and {r.sequence_id < 0 for r in placed.collect() if r.length < 1024} == {False}
+
+
 def test_pack_odd_documents(spark):
     docs = odd_documents(spark)
     check_packing([(r.doc_id, r.text) for r in docs.collect()], packing.pack_documents(docs, byte_bpe()).collect())
