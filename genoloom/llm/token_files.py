@@ -8,7 +8,7 @@ value through the position of every 256th one, kept in 32 bits, and ``block`` th
 the values of one block at a time: no table of 64-bit offsets of a file exists, on disk or in memory.
 
 Edge cases: a null text is an empty one (its only id is the end id); repeated doc_ids are kept, in the order of a hash
-of their ids, so a doc_id that many rows share is spread over many files; null doc_ids come first and are counted in the
+of their texts, so a doc_id that many rows share is spread over many files; null doc_ids come first and are counted in the
 header; texts of any length are encoded whole and never cut, one may exceed a file's usual size; an empty table writes
 no file; other columns are ignored.
 """
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, map_rows, rows_in_batches, shared_dir, ship, stored, table
+from .common import arrow_schema, batch_of, rows_in_batches, shared_dir, ship, stored, table
 from .tokens import byte_bpe, encoder
 
 MAGIC = b"TOKIDEF1"
@@ -134,33 +134,22 @@ class TokenFile:
         return self.ids[self.starts.select(i) : self.starts.select(i + 1) if i + 1 < self.n else self.tokens]
 
 
-def coded_texts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id and ids (little-endian bytes, the end id last) of whole texts."""
-
-    def make():
-        enc = encoder(tokenizer)
-        end = enc.raw[end_id]
-        return lambda keys, texts: [keys, [x + end for x in enc.encode([t or "" for t in texts])]]
-
-    return map_rows(docs, make, "doc_id long, ids binary", ["doc_id", "text"], most=512)
-
-
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int = 0, file_tokens: int = 4_000_000) -> DataFrame:
     """Write ``docs`` (doc_id, text) in ascending doc_id order into files of about ``file_tokens`` ids under ``out_dir``,
-    a folder all executors share. Texts are encoded where they are read; their ids, a third of the size, are stored and
-    dealt over ranges of (doc_id, hash, row), which keep the order and split a doc_id that many rows share. Each task
-    writes its own files under names of its attempt, and the returned manifest (part, seq, path, n_docs, n_tokens) names
-    only those of attempts that counted. Memory in a task: one file and the rows of one batch."""
+    a folder all executors share. Ranges of (doc_id, hash of the text, row) keep the order and split a doc_id that many
+    rows share. Each task writes its own files under names of its attempt, and the returned manifest (part, seq, path,
+    n_docs, n_tokens) names only those of attempts that counted. Memory in a task: one file and the rows of one batch."""
     order = ["doc_id", "h", "row"]
-    coded = stored(coded_texts(docs, tokenizer, end_id), "coded-texts").withColumns({"h": F.xxhash64("ids"), "row": F.monotonically_increasing_id()})
-    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"h": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches):
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(out_dir)
         store.create_dir(root, recursive=True)
-        width, part, seq, mark = encoder(tokenizer).dtype.itemsize, TaskContext.get().partitionId(), 0, uuid.uuid4().hex
+        enc, part, seq, mark = encoder(tokenizer), TaskContext.get().partitionId(), 0, uuid.uuid4().hex
+        end, width = enc.raw[end_id], enc.dtype.itemsize
         schema = arrow_schema("part long, seq long, path string, n_docs long, n_tokens long")
         keys, held, size = [], [], 0
 
@@ -170,11 +159,11 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
                 out.write(to_file(keys, held, width))
             return batch_of(schema, [[part], [seq], [path], [len(keys)], [size // width]])
 
-        for ids, coded in rows_in_batches(batches, ["doc_id", "ids"], 512):
-            for d, raw in zip(ids, coded):
+        for ids, texts in rows_in_batches(batches, ["doc_id", "text"], 512):
+            for d, raw in zip(ids, enc.encode(texts)):
                 keys.append(d)
-                held.append(raw)
-                size += len(raw)
+                held.append(raw + end)
+                size += len(held[-1])
                 if size >= file_tokens * width:
                     yield flush()
                     keys, held, size, seq = [], [], 0, seq + 1
