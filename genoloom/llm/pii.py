@@ -10,15 +10,19 @@ whatever it says; others are added where it says yes and no span kept before the
 What reaches the driver is a table of vote patterns with their counts, of a size fixed by the labelers.
 
 Positions count code points, ends exclusive. They follow from the texts between matches, so a pattern runs at most twice
-over a text, and once where nothing matches. Patterns neither backtrack nor recurse over long runs.
+over a text, and once where nothing matches. Patterns neither backtrack nor recurse over long runs. Running sums and
+maxima over a text's spans are taken in blocks and overlaps are looked for among sorted spans, so texts of many thousand
+spans cost little more than in proportion.
 
-Edge cases: a null text is an empty one; repeated doc_ids each get a row; texts of any length are searched whole; an
-empty table gives an empty result.
+Edge cases: a null text is an empty one; repeated doc_ids each get a row, null ones too; texts of any length are searched
+whole; spans of one kind never overlap, of kinds that do (an address in a phone number) all base spans stay; an empty
+table gives an empty result; other columns are ignored by ``find`` and kept by ``redact``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,15 +78,61 @@ VOTES = {  # for, against or no vote; own: the span passes its base pattern
     "shape": "CASE WHEN x.kind = 'email' THEN CASE WHEN length(x.v) BETWEEN 6 AND 254 THEN 1 ELSE -1 END WHEN size(array_distinct(split(regexp_replace(x.v, '[^0-9]', ''), ''))) > 2 THEN 1 ELSE -1 END",
 }
 CONTEXT = 30
+CHUNK = 4096
 _SPAN = "array<struct<v:string,s:bigint,e:bigint,l:string,r:string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once and not for each element that a function in ``body`` visits."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, start: Column, merge: Callable[[Column, Column], Column], block: int = 64) -> Column:
+    """For each element of an array of longs, what ``merge`` makes of ``start`` and all elements before it (their sum, their
+    maximum): by blocks, so the work stays near to linear in the array's length."""
+    of = lambda i: F.floor(i / block).cast("int")
+
+    def running(v):
+        whole = F.transform(F.sequence(F.lit(0), of(F.size(v) - 1)), lambda b: F.aggregate(F.slice(v, b * block + 1, F.lit(block)), start, merge))
+        heads = F.aggregate(whole, F.array(start), lambda a, x: F.concat(a, F.array(merge(F.element_at(a, -1), x))))
+        return _let(heads, lambda h: F.transform(v, lambda x, i: F.aggregate(F.slice(v, of(i) * block + 1, i % block), F.get(h, of(i)), merge)))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, running(v)).otherwise(F.array().cast("array<bigint>")))
+
+
+_zero = lambda: F.lit(0).cast("long")
+_add = lambda a, x: a + x
+
+
 def _spans(matches: str, pieces: str) -> Column:
     """Spans of matches with their neighbourhood, from the matches and the texts between them."""
-    return F.expr(f"""aggregate(sequence(1, size({matches})), named_struct('at', 0L, 'out', CAST(array() AS {_SPAN})),
-        (a, i) -> named_struct('at', a.at + length({pieces}[i - 1]) + length({matches}[i - 1]), 'out', concat(a.out, array(named_struct('v', {matches}[i - 1],
-          's', a.at + length({pieces}[i - 1]), 'e', a.at + length({pieces}[i - 1]) + length({matches}[i - 1]), 'l', right({pieces}[i - 1], {CONTEXT}), 'r', left({pieces}[i], {CONTEXT}))))),
-        a -> a.out)""")
+    size = lambda c: F.length(c).cast("long")
+
+    def spans(m, p):
+        def span(x, i, before):
+            start = F.get(before, i) + size(F.get(p, i))
+            return F.struct(x.alias("v"), start.alias("s"), (start + size(x)).alias("e"), F.right(F.get(p, i), F.lit(CONTEXT)).alias("l"), F.left(F.get(p, i + 1), F.lit(CONTEXT)).alias("r"))
+
+        return _let(_before(F.transform(m, lambda x, i: size(x) + size(F.get(p, i))), _zero(), _add), lambda before: F.transform(m, lambda x, i: span(x, i, before)))
+
+    return _let(F.col(matches), lambda m: _let(F.col(pieces), lambda p: spans(m, p))).cast(_SPAN)
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """``spans`` (with s and e) that overlap none of ``others``: all are sorted, a span by its end, another by its start,
+    and a span is free if the farthest end of the others before it isn't past its start."""
+
+    def free(x, y):
+        ends = F.transform(x, lambda v, i: F.struct(v.e.alias("at"), F.lit(0).alias("other"), v.s.alias("reach"), i.alias("i")))
+        starts = F.transform(y, lambda v: F.struct(v.s.alias("at"), F.lit(1).alias("other"), v.e.alias("reach"), F.lit(-1).alias("i")))
+
+        def chosen(event):
+            far = _before(F.transform(event, lambda v: F.when(v.other == 1, v.reach).otherwise(_zero())), _zero(), lambda a, v: F.greatest(a, v))
+            return _let(far, lambda f: F.transform(F.filter(event, lambda v, i: (v.other == 0) & (F.get(f, i) <= v.reach)), lambda v: F.get(x, v.i)))
+
+        return _let(F.array_sort(F.concat(ends, starts)), chosen)
+
+    return _let(spans, lambda x: _let(others, lambda y: F.when((F.size(x) == 0) | (F.size(y) == 0), x).otherwise(free(x, y))))
 
 
 def _by_kind(texts: dict[str, str]) -> str:
@@ -159,13 +209,12 @@ def classify(found: DataFrame, model: dict) -> DataFrame:
     table_of = lambda prefix: "map(" + (", ".join(f"'{x[len(prefix):]}', {v!r}D" for x, v in model.items() if x.startswith(prefix)) or "'', 0D") + ")"
     parts = [of(f"try_element_at({table_of('kind ')}, x.kind)")]
     parts += [of(f"try_element_at({table_of(f'vote {j} ')}, CAST(x.votes[{j}] AS STRING))") for j in range(len(VOTES))]
-    base = "concat(" + ", ".join(f"base_{k}" for k in BASE) + ")"
-    df, before = found, base
+    df, before = found, [f"transform(base_{k}, x -> struct(x.s, x.e))" for k in BASE]
     for k in WIDER:
-        df = df.withColumn(f"added_{k}", F.expr(f"filter(wide_{k}, x -> {' + '.join(parts)} > 0 AND NOT exists({before}, y -> y.s < x.e AND x.s < y.e))"))
-        before = f"concat({before}, added_{k})"
-    sides = {k: [c for c in (f"base_{k}" * (k in BASE), f"added_{k}" * (k in WIDER)) if c] for k in KINDS}
-    return df.withColumns({f"kept_{k}": F.expr(f"array_sort(transform(concat({', '.join(sides[k])}), x -> named_struct('s', x.s, 'e', x.e)))") for k in KINDS})
+        df = df.withColumn(f"added_{k}", _apart(F.expr(f"transform(filter(wide_{k}, x -> {' + '.join(parts)} > 0), x -> struct(x.s, x.e))"), F.expr(f"concat({', '.join(before)})")))
+        before = [*before, f"added_{k}"]
+    sides = {k: [f"transform(base_{k}, x -> struct(x.s, x.e))"] * (k in BASE) + [f"added_{k}"] * (k in WIDER) for k in KINDS}
+    return df.withColumns({f"kept_{k}": F.expr(f"array_sort(concat({', '.join(sides[k])}))") for k in KINDS})
 
 
 def _listed(columns: dict[str, str]) -> Column:
@@ -180,18 +229,35 @@ def find(docs: DataFrame) -> DataFrame:
                        F.sha2(_listed({k: f"base_{k}" for k in BASE}), 256).alias("base_sha256"), _listed({k: f"kept_{k}" for k in KINDS}).alias("spans"))
 
 
+def _part(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end`` of a text cut into chunks of CHUNK characters."""
+    of, in_ = (lambda c: F.floor(c / CHUNK).cast("int")), (lambda c: (c % CHUNK).cast("int"))
+    first, last = F.get(chunks, of(start)), F.coalesce(F.get(chunks, of(end)), F.lit(""))
+    inner = F.array_join(F.slice(chunks, of(start) + 2, F.greatest(of(end) - of(start) - 1, F.lit(0))), "")
+    far = F.concat(F.substr(first, in_(start) + 1), inner, F.substr(last, F.lit(1), in_(end)))
+    return F.when(start >= end, F.lit("")).when(of(start) == of(end), F.substr(first, in_(start) + 1, (end - start).cast("int"))).otherwise(far)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with each span's text replaced by [EMAIL], [IP], [CARD], [PHONE] or [ID] and n_chars made to fit.
     Where spans overlap, the one that starts first (at one start, the longest) is replaced whole, of others what is left
-    after its end.
+    after its end. Candidates are found once and stored with their rows; the work is linear in a text's length and spans.
     A null text stays null."""
-    model = fit(candidates(docs.select("text")))
     packed = docs.select("text", F.struct("*").alias("doc"))  # so that no column of docs can clash with ours
-    kept = classify(candidates(packed), model)
-    spans = "array_sort(concat(" + ", ".join(f"transform(kept_{k}, x -> named_struct('s', x.s, 'e', -x.e, 'kind', '[{k.upper()}]'))" for k in KINDS) + "))"
-    text = """aggregate(spans, named_struct('at', 0L, 'out', ''), (a, x) -> CASE WHEN -x.e <= a.at THEN a ELSE named_struct('at', -x.e,
-        'out', concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1, CAST(greatest(x.s - a.at, 0L) AS INT)), x.kind)) END, a -> concat(a.out, substr(doc.text, CAST(a.at AS INT) + 1)))"""
-    out = kept.select("doc", F.expr(spans).alias("spans")).withColumn("new", F.expr(f"CASE WHEN doc.text IS NULL OR size(spans) = 0 THEN doc.text ELSE {text} END"))
+    found = stored(candidates(packed).drop("text"), "pii-candidates")
+    kept = classify(found, fit(found))
+    marked = lambda k: lambda x: F.struct(x.s.alias("s"), (-x.e).alias("less"), F.lit(f"[{k.upper()}]").alias("mark"))
+    spans = F.array_sort(F.concat(*[F.transform(f"kept_{k}", marked(k)) for k in KINDS]))
+
+    def rebuilt(x, chunks):
+        ends = F.transform(x, lambda v: -v.less)
+        done = _before(ends, _zero(), lambda a, v: F.greatest(a, v))
+        parts = _let(done, lambda d: F.transform(x, lambda v, i: F.when(-v.less <= F.get(d, i), F.lit("")).otherwise(F.concat(_part(chunks, F.get(d, i), F.greatest(v.s, F.get(d, i))), v.mark))))
+        return F.concat(F.array_join(parts, ""), _part(chunks, F.array_max(ends), F.length("doc.text").cast("long")))
+
+    chunks = F.regexp_extract_all("doc.text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    new = F.when(F.col("doc.text").isNull() | (F.size("spans") == 0), F.col("doc.text")).otherwise(_let(F.col("spans"), lambda x: _let(chunks, lambda c: rebuilt(x, c))))
+    out = kept.select("doc", spans.alias("spans")).withColumn("new", new)
     changed = {"text": F.col("new")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.size("spans") > 0, F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc.n_chars"))
