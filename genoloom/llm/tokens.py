@@ -8,6 +8,7 @@ Texts for which that cut isn't certain (runs of white space, tabs, strings of sp
 from __future__ import annotations
 
 import os
+from codecs import charmap_decode
 from itertools import chain
 from functools import lru_cache
 from string import punctuation
@@ -16,16 +17,21 @@ import numpy as np
 
 
 class _Words(dict):
-    """Words' ids; a missing word is looked up among those of the generation before, or encoded."""
+    """Words' ids; a missing word is looked up among those of the generation before, or encoded: letters alone, which
+    are one unit of the tokenizer after a space, by its model, all else by ``learn``."""
 
-    def __init__(self, encode, old: dict[str, bytes]):
+    def __init__(self, model, raw: list[bytes], space: str, spell, learn, old: dict[str, bytes]):
         super().__init__()
-        self.encode, self.old = encode, old
+        self.tokenize, self.raw, self.space, self.spell, self.learn, self.old = model.tokenize, raw, space, spell, learn, old
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = self.encode(word)
+            if word.isalpha():
+                raw = self.raw
+                ids = b"".join([raw[x.id] for x in self.tokenize(self.space + (word if word.isascii() else self.spell(word)))])
+            else:
+                ids = self.learn(word)
         self[word] = ids
         return ids
 
@@ -33,7 +39,7 @@ class _Words(dict):
 class Encoder:
     """ids of texts as little-endian bytes; ``words`` bounds each of the cache's two generations (about 200 bytes an entry)."""
 
-    def __init__(self, path: str, words: int = 250_000, special: bool = False):
+    def __init__(self, path: str, words: int = 300_000, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -48,7 +54,6 @@ class Encoder:
         probe = self.t.encode("a, b's\nc", add_special_tokens=False).ids
         apart = list(chain.from_iterable(self.t.encode(x, add_special_tokens=False).ids for x in ("a,", " b's", "\n", "c")))
         self.line = line[0] if len(line) == 1 and probe == apart and self.t.pre_tokenizer is not None and "ByteLevel" in str(self.t.pre_tokenizer) else None
-        self.cache = _Words(self._learn, {})
         self.raw = [np.array([i], dtype=self.dtype).tobytes() for i in range(self.size)]
         self.tails: dict[str, bytes] = {}
         self.line_ids = self.raw[self.line] if self.line is not None else b""
@@ -57,28 +62,31 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.spelt = dict(zip([b for b in range(256) if b not in plain], range(256, 512)))
         self.space = chr(self.spelt[32])
+        self.spelling = "".join(chr(self.spelt.get(b, b)) for b in range(256))
+        self.cache = self._words({})
         self.pieces: list[bytes] = []
 
+    def _words(self, old: dict[str, bytes]) -> _Words:
+        return _Words(self.t.model, self.raw, self.space, self._spell, self._learn, old)
+
+    def _spell(self, word: str) -> str:
+        return charmap_decode(word.encode(), "strict", self.spelling)[0]
+
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, body: str, lead: str) -> bytes:
-        """ids of letters only, which are one unit of the tokenizer, after a space or not."""
-        spelt = body if body.isascii() else body.encode().decode("latin-1").translate(self.spelt)
-        return b"".join([self.raw[x.id] for x in self.t.model.tokenize(lead + spelt)])
-
     def _learn(self, word: str) -> bytes:
-        """ids of a word that starts a line (marked by a line break) or follows a space."""
+        """ids of a word that starts a line (marked by a line break) or holds more than letters."""
         core = word.rstrip(punctuation)
-        starts = core[:1] == "\n"
-        body, tail = (core[1:] if starts else core), word[len(core) :]
+        tail = word[len(core) :]
+        body = core[1:] if core[:1] == "\n" else core
         if not body.isalpha() or len(tail) > 8:
             return self.line_ids + self._plain([word[1:]])[0] if word[0] == "\n" else self._plain([" " + word])[0]
-        if tail:
-            if tail not in self.tails:
-                self.tails[tail] = self._plain([tail])[0]
-            return self.cache[core] + self.tails[tail]
-        return self.line_ids + self._word(body, "") if starts else self._word(body, self.space)
+        if not tail:
+            return self.line_ids + b"".join([self.raw[x.id] for x in self.t.model.tokenize(self._spell(body))])
+        if tail not in self.tails:
+            self.tails[tail] = self._plain([tail])[0]
+        return self.cache[core] + self.tails[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.line is None:
@@ -95,7 +103,7 @@ class Encoder:
         words = [("\n" + texts[i]).replace("\n", " \n").split(" ")[1:] for i in cut]
         known, wide = self.cache, self.dtype.itemsize
         if len(known) > self.most:
-            known = self.cache = _Words(self._learn, dict(known))
+            known = self.cache = self._words(dict(known))
         get = known.__getitem__
         for i, w in zip(cut, words):
             out[i] = b"".join(map(get, w))[wide:]
