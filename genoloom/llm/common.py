@@ -65,6 +65,18 @@ def hashed_share(df: DataFrame, n: int, most: int, *keys: str) -> DataFrame:
     return df if n <= most else df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < (most << 30) // n)
 
 
+def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], total: int, most: int = 100_000, parts: int = 500) -> DataFrame:
+    """Inner join of ``left`` (of ``total`` rows) with ``right``, one row a key, whose column n counts the key's rows in
+    ``left``. Keys with over ``most`` rows and over one ``parts``-th of all, so fewer than ``parts`` keys, are joined by
+    broadcast where their rows lie; all others meet in a shuffle, in which none of them is large."""
+    hot = F.col("n") > max(most, total // parts)
+    if total <= most:
+        return left.join(right.drop("n"), keys)
+    few = F.broadcast(right.filter(hot).drop("n"))
+    rest = left.join(F.broadcast(right.filter(hot).select(*keys)), keys, "left_anti")
+    return left.join(few, keys).unionByName(rest.join(right.filter(~hot).drop("n"), keys))
+
+
 def rows_in_batches(batches: Iterable[pa.RecordBatch], names: list[str], most: int = 1024) -> Iterator[list[list]]:
     """Lists of Python values of the named columns, ``most`` rows at a time."""
     for batch in batches:
@@ -73,8 +85,8 @@ def rows_in_batches(batches: Iterable[pa.RecordBatch], names: list[str], most: i
             yield [part.column(part.schema.get_field_index(n)).to_pylist() for n in names]
 
 
-def kept_rows(docs: DataFrame, make: Callable[[], Callable[[str | None], bool]], most: int = 1024) -> DataFrame:
-    """The rows of ``docs`` whose text the function that ``make()`` gives in each task says yes to, ``most`` at a time."""
+def kept_rows(docs: DataFrame, make: Callable[[], Callable[[list[str | None]], list[bool]]], most: int = 1024) -> DataFrame:
+    """The rows of ``docs`` whose texts the function that ``make()`` gives in each task says yes to, ``most`` at a time."""
 
     def run(batches):
         keep = make()
@@ -82,7 +94,7 @@ def kept_rows(docs: DataFrame, make: Callable[[], Callable[[str | None], bool]],
             at_text = batch.schema.get_field_index("text")
             for at in range(0, batch.num_rows, most):
                 part = batch.slice(at, most)
-                yield part.filter(pa.array([keep(x) for x in part.column(at_text).to_pylist()], pa.bool_()))
+                yield part.filter(pa.array(keep(part.column(at_text).to_pylist()), pa.bool_()))
 
     ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

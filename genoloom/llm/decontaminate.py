@@ -166,7 +166,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, bl
 
         def make(sent=sent):
             search = WuManber(list(sent.value))
-            return lambda text: not search.find(b" " + b" ".join(words_of((text or "").encode())) + b" ")
+            return lambda texts: [not search.find(b" " + b" ".join(words_of((x or "").encode())) + b" ") for x in texts]
 
         docs = kept_rows(docs, make)
         docs = stored(docs, "clean") if passes > 1 else docs

@@ -3,13 +3,16 @@
 A fingerprint's 32 segments of two bits are mapped to their bit counts. The Manhattan distance of two such vectors never
 exceeds the fingerprints' Hamming distance, so it is a lower bound for pruning. The vectors are cut into ``limit + 2``
 blocks; vectors within ``limit`` agree in at least two blocks, so the grid cells of a fingerprint are its vectors'
-values in every two blocks (15 cells for a limit of 4). Rows of a cell are compared in Arrow batches: lower bound
-first, then the exact distance. A cell gives only a spanning forest of its links, never all pairs; a crowded cell is
-dealt over pairs of bounded sub-blocks. Components come from contracting the links round by round.
-
-Edge cases: a null text is an empty one; a text without words has fingerprint zero and links like any other; repeated
-doc_ids each get a row; a null doc_id gets a row and is never a component's name unless all its members are null;
-an empty table gives an empty result. Copies share a fingerprint and meet as one row before any comparison.
+values in every two blocks (15 cells for a limit of 4). From 2^25 distinct fingerprints on, ``limit + 4`` blocks of which
+four must agree (70 cells) keep the cells small; the links are the same. Rows of a cell are compared in Arrow batches:
+lower bound first, then the exact distance. A cell gives only a spanning forest of its links, never all pairs; a crowded
+cell is dealt over pairs of bounded sub-blocks. Components come from contracting the links round by round; a
+fingerprint has at most 679,120 others within 4 bits, so no node is a larger hub.
+
+Edge cases: a null text is an empty one; a text without words has fingerprint zero and links like any other; texts of
+any length are read whole; repeated doc_ids each get a row; a null doc_id gets a row and is never a component's name
+unless all its members are null; an empty table gives an empty result; other columns are ignored, or kept by
+``keep_one``. Copies share a fingerprint and meet as one row before any comparison.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from .common import arrow_schema, batch_of, map_rows, saved, ship, stored, table
+from .common import arrow_schema, batch_of, join_skewed, map_rows, saved, ship, stored, table
 
 LANES = 0x5555555555555555
 
@@ -42,17 +45,18 @@ def fingerprint(raw: bytes, words: int = 4, seed: int = 42) -> bytes:
     return np.packbits(total * 2 > n).tobytes()
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of whole texts."""
+def fingerprints(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) of whole texts, and ``carried`` columns of longs."""
 
     def make():
-        def step(ids, texts):
+        def step(ids, texts, *more):
             raw = b"".join([fingerprint(x or b"") for x in texts])
-            return [ids, np.frombuffer(raw, ">i8").astype(np.int64)]
+            return [ids, np.frombuffer(raw, ">i8").astype(np.int64), *more]
 
         return step
 
-    return map_rows(docs.select("doc_id", F.col("text").cast("binary").alias("raw")), make, "doc_id long, fp long", ["doc_id", "raw"])
+    ddl = ", ".join(["doc_id long", "fp long", *(f"{c} long" for c in carried)])
+    return map_rows(docs.select("doc_id", F.col("text").cast("binary").alias("raw"), *carried), make, ddl, ["doc_id", "raw", *carried])
 
 
 def popcounts(fp: Column) -> Column:
@@ -62,11 +66,11 @@ def popcounts(fp: Column) -> Column:
     return even.bitwiseXOR(odd).bitwiseOR(F.shiftleft(even.bitwiseAND(odd), 1))  # their sum, without overflow of the sign
 
 
-def _masks(limit: int) -> list[int]:
-    """For every two of ``limit + 2`` blocks of segments, the mask of their lanes, as a signed long."""
-    cut = [32 * i // (limit + 2) * 2 for i in range(limit + 3)]
+def _masks(limit: int, blocks: int) -> list[int]:
+    """For every ``blocks - limit`` of the blocks of segments, the mask of their lanes, as a signed long."""
+    cut = [32 * i // blocks * 2 for i in range(blocks + 1)]
     block = [(1 << b) - (1 << a) for a, b in zip(cut, cut[1:])]
-    return [int(np.array([x | y], np.uint64).view(np.int64)[0]) for x, y in combinations(block, 2)]
+    return [int(np.array([sum(x)], np.uint64).view(np.int64)[0]) for x in combinations(block, blocks - limit)]
 
 
 def _forest(cell: np.ndarray, fp: np.ndarray, limit: int) -> np.ndarray:
@@ -108,16 +112,18 @@ def _forest(cell: np.ndarray, fp: np.ndarray, limit: int) -> np.ndarray:
         step += 1
 
 
-def links(fps: DataFrame, limit: int = 4, block_rows: int = 4096) -> DataFrame:
+def links(fps: DataFrame, limit: int = 4, block_rows: int = 4096, blocks: int | None = None) -> DataFrame:
     """a, b: links between distinct fingerprints (column fp) that join all that are within ``limit`` of each other,
-    directly or by links of links. ``block_rows`` bounds the rows compared with each other in one go: fuller cells are
+    directly or by links of links. ``blocks`` (by default chosen from their number) only sets how fine the cells are.
+    ``block_rows`` bounds the rows compared with each other in one go: fuller cells are
     dealt by hash into sub-blocks, and every two of those meet once."""
-    cells = fps.select("fp", F.posexplode(F.array(*[popcounts(F.col("fp")).bitwiseAND(F.lit(m)) for m in _masks(limit)])).alias("pair", "key"))
-    sizes = cells.groupBy("pair", "key").count()
-    blocks = F.ceil(F.col("count") / block_rows).cast("int")
+    n = fps.count()
+    masks = _masks(limit, blocks or (limit + 2 if n < 1 << 25 else limit + 4))
+    cells = fps.select("fp", F.posexplode(F.array(*[popcounts(F.col("fp")).bitwiseAND(F.lit(m)) for m in masks])).alias("pair", "key"))
+    sizes = cells.groupBy("pair", "key").agg(F.count("*").alias("n")).filter("n > 1")
     own = F.pmod(F.hash("fp"), F.col("k"))
     dealt = (
-        cells.join(sizes.filter("count > 1").select("pair", "key", blocks.alias("k")), ["pair", "key"])
+        join_skewed(cells, sizes.withColumn("k", F.ceil(F.col("n") / block_rows).cast("int")), ["pair", "key"], n * len(masks))
         .withColumn("other", F.explode(F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("k") - 1))))
         .select("fp", F.struct("pair", "key", F.least(own, "other").alias("i"), F.greatest(own, "other").alias("j")).alias("cell"))
         .select("fp", F.xxhash64("cell").alias("cell"))  # a clash of hashes only compares more rows
@@ -166,25 +172,47 @@ def components(edges: DataFrame) -> DataFrame:
     return out
 
 
+def _named(prints: DataFrame, limit: int, *more: Column) -> tuple[DataFrame, int]:
+    """fp, root (a fingerprint of its component), n (rows with this fp) and ``more`` aggregates, of each distinct
+    fingerprint; and the number of rows."""
+    distinct = stored(prints.groupBy("fp").agg(F.count("*").alias("n"), *more), "distinct-fingerprints")
+    roots = components(links(distinct.select("fp"), limit)).withColumnRenamed("node", "fp")
+    named = stored(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named-fingerprints")
+    return named, named.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def near_duplicates(docs: DataFrame, limit: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id (the smallest doc_id of its group)."""
     prints = stored(fingerprints(docs), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), limit))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = named.join(least, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, limit: int = 4) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the document of smallest doc_id stays, once if its id repeats.
-    Documents without an id can't be told apart and stay."""
-    kept = near_duplicates(docs, limit).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("id")).distinct()
-    packed = docs.select(F.col("doc_id").alias("id"), F.struct("*").alias("doc"))  # so that no column of docs can clash with ours
-    same = Window.partitionBy("id").orderBy("doc.text")
-    first = packed.join(kept, "id", "left_semi").withColumn("nth", F.row_number().over(same)).filter("nth = 1")
-    return first.select("doc.*").unionByName(docs.filter("doc_id IS NULL"))
+    named, total = _named(prints, limit, F.min("doc_id").alias("least"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    groups = join_skewed(named.select("fp", "root", F.col("n").alias("rows")), least, ["root"], total).select("fp", "component_id", F.col("rows").alias("n"))
+    return join_skewed(prints, groups, ["fp"], total).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, limit: int = 4, most: int = 250_000) -> DataFrame:
+    """``docs`` without near-duplicates: of each group one row stays, that of smallest doc_id, then of smallest hash of its
+    text; rows without an id come last. Rows that share an id but not a group all stay. A row is known by its id and 128
+    bits of its text. The rows to drop are told apart where they lie, without a shuffle of texts, if there are at most
+    ``most`` of them to broadcast, else in a join. Of rows equal in id and text one stays, with its other columns."""
+    keys = ["id", "h1", "h2"]
+    hashes = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")]
+    prints = stored(fingerprints(docs.select("doc_id", "text", *hashes), "h1", "h2").withColumnRenamed("doc_id", "id"), "fingerprints")
+    row = F.struct(F.col("id").isNull().alias("last"), *keys)
+    named, total = _named(prints, limit, F.min(row).alias("first"))
+    groups = named.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("rows"), F.count("*").alias("n")).filter("rows > 1")
+    members = join_skewed(named.select("fp", "root", F.col("n").alias("own")), groups, ["root"], total).select("fp", F.col("first").alias("stays"), F.col("own").alias("n"))
+    found = join_skewed(prints, members, ["fp"], total).withColumn("stays", F.col("stays") == row).groupBy(*keys, "stays").agg(F.count("*").alias("n"))
+    found = stored(found.filter("NOT stays OR n > 1"), "near-duplicates")  # rows to drop, and rows of which one stays
+    many, repeated = found.agg(F.count("*"), F.count_if("stays")).first()
+    packed = docs.select(F.col("doc_id").alias("id"), *hashes, F.struct("*").alias("doc"))  # so that no column of docs can clash with ours
+    away = found.select(*[F.col(k).alias(f"{k}_") for k in keys], "stays")
+    away = F.broadcast(away) if many <= most else away
+    same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_"))
+    kept = packed.join(away, same, "left_anti").select("doc.*")
+    if repeated:
+        kept = kept.unionByName(packed.join(away.filter("stays"), same, "left_semi").dropDuplicates(keys).select("doc.*"))
+    return kept
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

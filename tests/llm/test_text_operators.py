@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -128,6 +130,26 @@ def test_personal_data(spark):
     assert pii.find(no_documents(spark)).count() == 0
 
 
+def test_many_spans_in_one_text(spark):
+    r = np.random.default_rng(4)
+    kinds = ["a{0}@b.org", "10.0.{1}.7", "4111 1111 1111 1111", "+44 20 7946 0{2}", "78-05-1120", "555-123-4567", "plain \u00e9\U0001f600 word", "219-09-9999", "x {0} (at) mail (dot) com"]
+    text = " ".join(kinds[i % 9].format(i, i % 250, 100 + i % 900) for i in r.permutation(16_000).tolist())
+    docs = spark.createDataFrame([(1, text, len(text)), (2, "few 10.0.0.1", 12)], "doc_id long, text string, n_chars int")
+    began = time.time()
+    got = {x.doc_id: x for x in pii.find(docs).collect()}
+    new = {x.doc_id: x for x in pii.redact(docs).collect()}
+    assert time.time() - began < 60
+    want = base_spans(text)
+    spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in got[1].spans.split(","))]
+    assert len(want) > 4000 and set(want) <= set(spans) and got[1].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+    out, at = [], 0
+    for a, b, mark in sorted((a, -b, f"[{k.upper()}]") for k, a, b in spans):
+        if -b > at:
+            out += [text[at : max(a, at)], mark]
+            at = -b
+    assert new[1].text == "".join([*out, text[at:]]) and new[1].n_chars == len(new[1].text) and new[2].text == "few [IP]"
+
+
 def test_redaction(spark):
     docs = odd_documents(spark, TRICKY)
     out = pii.redact(docs)
@@ -165,7 +187,7 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
 
 
-def brute_groups(rows, limit=4):
+def brute_roots(rows, limit=4):
     prints = [fingerprint(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -178,11 +200,48 @@ def brute_groups(rows, limit=4):
         for j in range(i):
             if (prints[i] ^ prints[j]).bit_count() <= limit:
                 root[find(i)] = find(j)
-    least = {}
-    for i, (d, _) in enumerate(rows):
+    return [find(i) for i in range(len(rows))]
+
+
+def brute_groups(rows, limit=4):
+    roots, least = brute_roots(rows, limit), {}
+    for at, (d, _) in zip(roots, rows):
         if d is not None:
-            least[find(i)] = min(least.get(find(i), d), d)
-    return sorted(((d, f"{p:016x}", least.get(find(i))) for i, ((d, _), p) in enumerate(zip(rows, prints))), key=str)
+            least[at] = min(least.get(at, d), d)
+    return sorted(((d, f"{fingerprint(t):016x}", least.get(at)) for at, (d, t) in zip(roots, rows)), key=str)
+
+
+def check_kept(docs, kept):
+    """Of each group of near-duplicate rows, one of smallest doc_id stays."""
+    assert kept.columns == docs.columns
+    rows, left = [(r.doc_id, r.text) for r in docs.collect()], Counter((r.doc_id, r.text) for r in kept.collect())
+    groups = {}
+    for row, at in zip(rows, brute_roots(rows)):
+        groups.setdefault(at, []).append(row)
+    assert sum(left.values()) == len(groups)
+    for group in groups.values():
+        stays = [r for r in set(group) if left[r]]
+        known = [d for d, _ in group if d is not None]
+        assert len(stays) == 1 and left[stays[0]] == 1 and stays[0][0] == (min(known) if known else None)
+
+
+def test_keep_one_of_repeated_ids(spark):
+    texts = ["alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight", "alpha beta gamma delta epsilon zeta eta theta"]
+    rows = [(1, texts[0], 1), (1, texts[1], 2), (2, texts[2], 3), (None, texts[0], 4), (None, "only here and nowhere else at all", 5), (3, texts[1], 6), (1, texts[0], 7), (1, texts[0], 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h1 int")
+    for most in (250_000, 0):
+        kept = simhash.keep_one(docs, most=most)
+        check_kept(docs, kept)
+        assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", texts[0]), ("1", texts[1]), ("None", rows[4][1])]
+
+
+def test_joins_of_hot_keys(spark):
+    from genoloom.llm.common import join_skewed
+
+    left = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(600)], "k long, x long")
+    right = left.groupBy("k").agg(F.count("*").alias("n")).withColumn("name", F.col("k") * 10)
+    got = join_skewed(left, right, ["k"], 600, most=50, parts=4)
+    assert sorted((r.k, r.x, r.name) for r in got.collect()) == sorted((r.k, r.x, r.k * 10) for r in left.collect())
 
 
 def test_near_duplicates(spark):
@@ -192,15 +251,13 @@ def test_near_duplicates(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = sorted((tuple(r) for r in simhash.near_duplicates(docs).collect()), key=str)
     assert got == brute_groups(rows)
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    names = [r.doc_id for r in kept.collect()]
-    assert sorted(x for x in names if x is not None) == sorted({g for d, _, g in got if g is not None and d == g}) and names.count(None) == 2
+    check_kept(docs, simhash.keep_one(docs))
+    check_kept(docs, simhash.keep_one(docs, most=0))  # by a join instead of a broadcast
     assert simhash.near_duplicates(no_documents(spark)).count() == 0 and simhash.keep_one(no_documents(spark)).count() == 0
 
 
-@pytest.mark.parametrize("block_rows", [4096, 40])
-def test_links_lose_none(spark, block_rows):
+@pytest.mark.parametrize("block_rows, blocks", [(4096, None), (40, 6), (4096, 8)])
+def test_links_lose_none(spark, block_rows, blocks):
     r = np.random.default_rng(5)
     seeds = r.integers(-(2**63), 2**63 - 1, 30)
     fps = set(seeds.tolist())
@@ -209,7 +266,7 @@ def test_links_lose_none(spark, block_rows):
             s ^= int(np.array([1 << int(b) for b in r.choice(63, r.integers(1, 6), replace=False)]).sum())
             fps.add(s)
     fps = sorted(fps)
-    edges = [tuple(x) for x in simhash.links(spark.createDataFrame([(x,) for x in fps], "fp long"), 4, block_rows).collect()]
+    edges = [tuple(x) for x in simhash.links(spark.createDataFrame([(x,) for x in fps], "fp long"), 4, block_rows, blocks).collect()]
     bits = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
 
     def groups(pairs):
