@@ -6,25 +6,30 @@ class among all classes, then itself among all words of its class; both normalis
 probabilities are normalised. A word of the open class costs the class's probability times its smoothed share of the
 counts that the class stands for, an unseen word one slot.
 
-Training passes over every training text: each task runs stochastic gradient steps on its own texts from the same
-start; a word's parameters are averaged over the tasks that met it, by how often they did.
+Training passes over every training text, in a fixed number of rounds. A text's round and shard follow from a hash of
+its id and text, the number of shards from the number of tokens, so neither depends on how the table is laid out. In a
+round each shard runs stochastic gradient steps on its texts from the last round's model; then a word's parameters are
+averaged over the shards that met it, by how often they did.
 
 Word counts come from all training texts. The most frequent words (``head``, a fixed number) travel to the tasks;
 all other words meet their counts in a join, whose keys are rare by construction.
 
-Edge cases: null and empty texts are one end token; repeated doc_ids each get a row; with nothing to learn from every
-token costs log10(1 / (V + 1 + N)) = 0 by the base.
+Edge cases: null and empty texts are one end token; repeated doc_ids each get a row, null ones too; texts of any length
+are read whole; of words equally frequent those of smaller hash, then bytes, come first; other columns are ignored; with
+nothing to learn from every token costs log10(1 / (V + 1 + N)) = 0 by the base.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, crc_split, map_rows, rows_in_batches, ship, stored, table
+from .common import arrow_schema, batch_of, crc_split, map_rows, rows_in_batches, shared_dir, ship, stored, table
 
 END = b" "  # no word holds a space
 OPEN, STOP = 0, 1  # ids of the open class and the end; the end also stands before a text's first word
@@ -233,69 +238,128 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return w1, w2
 
 
-def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, size: int = 16, class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
-    """One pass over all of ``docs``. Every task ends with the rows of the words and classes that it met, weighed by how
-    often; each row's mean is taken over the tasks that met it, and the driver sees one model, whatever the number of
-    tasks."""
+def _coded(docs: DataFrame, index: dict[bytes, int], rounds: int, shards: int) -> DataFrame:
+    """round, shard, u (a hash that orders a shard's texts) and ids (two bytes each) of whole texts, stored by round.
+    Copies of a text differ in their ids, rows without one in their number, so no group of copies meets in one shard."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(index)
+
+    def make():
+        index = sent.value
+        return lambda us, texts: [us, [_ids([x], index)[0].astype("<u2").tobytes() for x in texts]]
+
+    u = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id())), "text")
+    coded = map_rows(docs.select(u.alias("u"), F.col("text").cast("binary").alias("raw")), make, "u long, ids binary", ["u", "raw"])
+    coded = coded.select(F.pmod(F.shiftright("u", 24), F.lit(shards)).cast("int").alias("shard"), "u", "ids", F.pmod("u", F.lit(rounds)).cast("int").alias("round"))
+    path = f"{shared_dir(spark)}/coded-{uuid.uuid4().hex}"
+    coded.write.partitionBy("round").parquet(path)
+    return spark.read.schema(coded.schema).parquet(path)
+
+
+def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, tokens: int, size: int = 16, rounds: int = 8, shard_tokens: int = 2_000_000, most_shards: int = 4096,
+          class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
+    """One pass over all of ``docs`` (``tokens`` in all) in ``rounds`` rounds of shards of about ``shard_tokens`` tokens
+    (more, where that would make over ``most_shards`` of them). Every shard ends with the rows of the words and classes
+    that it met, weighed by how often, in blocks; a task of each block takes the means, and the driver sees one model,
+    whatever the number of shards. Of the gradients' squared sums a mean for each row travels."""
+    spark = docs.sparkSession
     starts = class_starts(unigram)
     model = LogBilinear(len(unigram), size, unigram, starts)
-    n, width = len(model.rows), size + 2  # a row and its weight
-    sent = docs.sparkSession.sparkContext.broadcast((index, unigram, starts))
-    schema = arrow_schema("k int, v binary")
-
-    def run(batches):
-        index, unigram, starts = sent.value
-        model, random, met = LogBilinear(len(unigram), size, unigram, starts), np.random.default_rng(7), np.zeros(len(unigram), np.int64)
-        for (texts,) in rows_in_batches(batches, ["raw"], 512):
-            ids, first, _ = _ids(texts, index)
-            w1, w2 = _contexts(ids, first)
-            met += np.bincount(ids, minlength=len(met))
-            order = random.permutation(len(ids))
-            for at in range(0, len(ids), batch):
-                i = order[at : at + batch]
-                model.nce_step(ids[i], w1[i], w2[i], random, class_noise, word_noise, rate)
-        weight = np.concatenate([met, np.add.reduceat(met, starts[:-1]), np.full(2 * size, met.sum())])
-        at = np.flatnonzero(weight)
-        out = np.hstack([model.rows[at] * weight[at, None], weight[at, None]]).astype("<f4")
-        for k in range(0, len(at), 1 << 14):
-            yield batch_of(schema, [at[k : k + (1 << 14)].astype(np.int32), [x.tobytes() for x in out[k : k + (1 << 14)]]])
+    n, width, wide = len(model.rows), size + 3, 1024  # a row, its mean squared gradients, its weight; rows of a block
+    shards = max(1, min(most_shards, round(tokens / (rounds * shard_tokens))))
+    coded = _coded(docs, index, rounds, shards)
+    schema = arrow_schema("block int, k binary, v binary")
+
+    def shard_of(sent, seed):
+        def run(batches):
+            rows, squares, unigram, starts = sent.value
+            model, random, met = LogBilinear(len(unigram), size, unigram, starts), np.random.default_rng(seed + TaskContext.get().partitionId()), np.zeros(len(unigram), np.int64)
+            model.load(rows.copy())
+            model.squares[:] = squares[:, None]
+            held, many = [], 0
+
+            def learn():
+                ids = np.concatenate(held).astype(np.int32)
+                first = np.cumsum([0, *map(len, held[:-1])])
+                w1, w2 = _contexts(ids, first)
+                met[:] += np.bincount(ids, minlength=len(met))
+                order = random.permutation(len(ids))
+                for at in range(0, len(ids), batch):
+                    i = order[at : at + batch]
+                    model.nce_step(ids[i], w1[i], w2[i], random, class_noise, word_noise, rate)
+
+            for part in batches:
+                for x in part.column(0).to_pylist():
+                    held.append(np.frombuffer(x, "<u2"))
+                    many += len(held[-1])
+                    if many > 1 << 17:
+                        learn()
+                        held, many = [], 0
+            if held:
+                learn()
+            weight = np.concatenate([met, np.add.reduceat(met, starts[:-1]), np.full(2 * size, met.sum())])
+            at = np.flatnonzero(weight)
+            out = np.hstack([np.hstack([model.rows[at], model.squares[at].mean(1, keepdims=True)]) * weight[at, None], weight[at, None]]).astype("<f4")
+            ends = np.append(np.flatnonzero(np.diff(at // wide, prepend=-1)), len(at)).tolist()
+            for x, y in zip(ends, ends[1:]):
+                yield batch_of(schema, [[int(at[x]) // wide], [at[x:y].astype("<i4").tobytes()], [out[x:y].tobytes()]])
+
+        return run
 
     def merge(batches):
-        sums = np.zeros((n, width))
-        for batch in batches:
-            np.add.at(sums, batch.column(0).to_numpy(), np.frombuffer(b"".join(batch.column(1).to_pylist()), "<f4").reshape(-1, width))
-        at = np.flatnonzero(sums[:, -1])
-        yield batch_of(schema, [at.astype(np.int32), [x.tobytes() for x in (sums[at, :-1] / sums[at, -1:]).astype("<f4")]])
-
-    ship(docs.sparkSession)
-    rows = model.rows.copy()
-    for r in _raw(docs).select("raw").mapInArrow(run, "k int, v binary").repartition("k").mapInArrow(merge, "k int, v binary").collect():
-        rows[r.k] = np.frombuffer(r.v, "<f4")
-    return model.load(rows)
+        sums: dict[int, np.ndarray] = {}
+        for part in batches:
+            for block, k, v in zip(*(part.column(i).to_pylist() for i in range(3))):
+                own = sums.setdefault(block, np.zeros((wide, width)))
+                own[np.frombuffer(k, "<i4") - block * wide] += np.frombuffer(v, "<f4").reshape(-1, width)
+        for block, own in sums.items():
+            at = np.flatnonzero(own[:, -1])
+            yield batch_of(schema, [[block], [(at + block * wide).astype("<i4").tobytes()], [(own[at, :-1] / own[at, -1:]).astype("<f4").tobytes()]])
+
+    ship(spark)
+    squares = model.squares[:, 0].copy()
+    for r in range(rounds):
+        sent = spark.sparkContext.broadcast((model.rows, squares, unigram, starts))
+        texts = coded.filter(F.col("round") == r).repartitionById(shards, F.col("shard")).sortWithinPartitions("u").select("ids")
+        rows, squares = model.rows.copy(), squares.copy()
+        for x in texts.mapInArrow(shard_of(sent, 7 + r * most_shards), "block int, k binary, v binary").repartition("block").mapInArrow(merge, "block int, k binary, v binary").collect():
+            at, found = np.frombuffer(x.k, "<i4"), np.frombuffer(x.v, "<f4").reshape(-1, width - 1)
+            rows[at], squares[at] = found[:, :-1], found[:, -1]
+        model.load(rows)
+        sent.unpersist()
+    return model
+
+
+def frequent_words(words: DataFrame, head: int) -> list[tuple[bytes, int]]:
+    """About the ``head`` most frequent words of ``words`` (word, c), most frequent first: all words from a count on, by a
+    histogram of counts, and of the counts at which ``head`` is passed a share by the words' hash. So about ``head`` rows
+    reach the driver, nothing is sorted, and there are words to learn however even the counts are."""
+    step = F.floor(F.log2("c") * 8)  # counts in steps of an eighth of a doubling: a few hundred at most
+    left, chosen = head, F.lit(False)
+    for s, n in sorted(((r.s, r.n) for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        if n > left:
+            chosen = chosen | ((step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < (left << 30) // n))
+            break
+        left, chosen = left - n, chosen | (step == s)
+    return sorted(((bytes(r.word), r.c) for r in words.filter(chosen).collect()), key=lambda x: (-x[1], x[0]))
 
 
 def score(docs: DataFrame, training: DataFrame, vocabulary: int = 65_536 - 512, head: int = 100_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every text of ``docs`` after learning from
     ``training``. ``vocabulary`` bounds the model's words (so its memory: words and classes number in 16 bits), ``head`` the
-    counts that travel to the tasks (words from a count on, chosen from a histogram of counts, so no more than ``head``
-    rows ever reach the driver)."""
+    counts that travel to the tasks."""
     spark = docs.sparkSession
     counts = word_counts(training)
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     words = counts.filter(F.col("word") != F.lit(END))
-    step = F.floor(F.log2("c") * 8)  # counts in steps of an eighth of a doubling: a few hundred at most
-    sizes, least = sorted(((r.s, r.n) for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True), None
-    for s, n in zip([s for s, _ in sizes], np.cumsum([n for _, n in sizes])):
-        least = s if n <= head else least
-    top = [(bytes(r.word), r.c) for r in words.filter(step >= least).collect()] if least is not None else []
-    top.sort(key=lambda x: (-x[1], x[0]))
+    top = frequent_words(words, head)
     ends = counts.filter(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     index = {w: i + 2 for i, (w, _) in enumerate(top[: vocabulary - 2])}
     closed = np.array([ends] + [c for _, c in top[: vocabulary - 2]], dtype=np.float64)
     rest = total + distinct + 1 - (closed + 1).sum() if total else 1.0  # what the open class stands for: counts, a slot each, one unseen
     unigram = np.concatenate([[max(rest, 1.0)], closed + 1])
     unigram /= unigram.sum()
-    model = train(training, index, unigram) if total else LogBilinear(len(unigram), 4, unigram)
+    model = train(training, index, unigram, total) if total else LogBilinear(len(unigram), 4, unigram)
     log_head = {w: (i, float(np.log10(c + 1))) for i, (w, c) in enumerate(top)}
     sent = spark.sparkContext.broadcast((index, log_head, float(np.log10(ends + 1)), int(ends > 0), float(np.log10(max(rest, 1.0))), model))
 

@@ -121,6 +121,23 @@ def test_lm_learns_words_beyond_the_most_frequent(spark):
     assert gain() > gain(vocabulary=512) + 0.05
 
 
+def test_lm_gain_does_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    gain = {}
+    for n in (2, 200):
+        laid = docs.repartition(n)
+        got = lm.score(laid.filter(held_out), laid.filter(~held_out))
+        gain[n] = got.agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+    assert gain[2] > 0.05 and abs(gain[2] - gain[200]) < 0.1 * gain[2]
+
+
+def test_lm_even_counts(spark):
+    words = spark.createDataFrame([(f"w{i}".encode(), 5) for i in range(4000)] + [(b"often", 90)], "word binary, c long")
+    top = lm.frequent_words(words, 500)
+    assert top[0] == (b"often", 90) and 400 < len(top) < 600 and len(lm.frequent_words(words, 10_000)) == 4001 and lm.frequent_words(words.limit(0), 5) == []
+
+
 def test_lm_odd_documents(spark):
     docs = odd_documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -139,6 +156,58 @@ def test_language(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in out) >= 0.95 * len(out)
 
 
+def plain_language(model, text, certain=30):
+    """The backoff in plain Python."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not any(c.isalpha() for w in words for c in w):
+        return "und", 0.0
+    total = np.zeros(len(model["langs"]))
+    for w in words:
+        if w in model["words"]:
+            total += model["logs"][model["words"][w]]
+            continue
+        for k in (4, 3, 2, 1):
+            padded = f"_{w}_"
+            known = [model["grams"][g] for j in range(len(padded) - k + 1) if (g := padded[j : j + k]) in model["grams"]]
+            if known:
+                total += model["logs"][known].mean(0, dtype=float)
+                break
+    z = total * min(1, certain / len(words))
+    p = np.exp(z - z.max())
+    return model["langs"][int(p.argmax())], float(p.max() / p.sum())
+
+
+def test_language_equals_a_plain_restatement(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.fit_language_model(docs.select("doc_id", "text", "lang"))
+    texts = [r.text for r in docs.limit(60).collect()]
+    texts += ["".join(t.split())[:5000] for t in texts[:20]]  # long runs
+    texts += [None, "", "x", "a-b_c1d don't \u00b2 \u00b23", "\u65e5\u672c\u8a9e the", "q" * 300_000, "word " * 5 + "zzzqj"]
+    want = [plain_language(model, t) for t in texts]
+    for spare in (200_000, 60):  # the second empties its table again and again
+        got = language.LanguageScorer(model, spare=spare).judge(texts)
+        assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-4)
+    scorer = language.LanguageScorer(model)
+    a, b = (scorer.unseen(["mot" * 1000 + "inconnu"], step=s)[0] for s in (50, 1 << 18))
+    assert np.allclose(a, b)
+
+
+def test_all_of_a_long_run_counts(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("lang IN ('en', 'fr')")
+    model = language.fit_language_model(docs.select("doc_id", "text", "lang"))
+    run = {x: "".join(c for t in docs.filter(F.col("lang") == x).limit(20).collect() for c in t.text.lower() if c.isalpha()) for x in ("en", "fr")}
+    scorer = language.LanguageScorer(model)
+    assert scorer(run["fr"][:40])[0] == "fr" and scorer(run["en"][:4000])[0] == "en" and scorer(run["fr"][:40] + run["en"][:4000])[0] == "en"
+
+
+def test_language_sample_of_equal_ids(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, f"unique{i} some words here", "en") for i in range(1000)], "doc_id long, text string, lang string")
+    from genoloom.llm.common import hashed_share
+
+    assert 50 < hashed_share(docs, 1000, 100, "doc_id", "text").count() < 160
+    assert language.fit_language_model(docs, max_docs=100)["langs"] == ["en"] and 0 < len(language.fit_language_model(docs, max_chars=100)["words"]) < 10
+
+
 def test_language_odd_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = language.fit_language_model(docs.select("doc_id", "text", "lang"))
