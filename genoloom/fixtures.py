@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -72,17 +74,20 @@ FROM lineitem GROUP BY 1, 2, 3""",
 SELECT v.*, concat('T', CAST(variant_id % 50 AS STRING)) AS feature, CAST(variant_id % 10 AS DOUBLE) / 10 AS pathogenicity,
        CASE variant_id % 12 WHEN 0 THEN NULL WHEN 1 THEN '?-20' WHEN 2 THEN 'NA' ELSE concat(CAST(variant_id % 108 + 1 AS STRING), '-', CAST(variant_id % 108 + 3 AS STRING)) END AS cds_position
 FROM fx_variants v""",
+    "fx_hits": """
+SELECT chrom, pos, ref, CASE WHEN l_linenumber % 5 = 0 THEN 'N' ELSE alt END AS alt, concat('T', CAST(l_linenumber AS STRING)) AS feature, CAST(l_suppkey AS STRING) AS hit
+FROM lineitem JOIN fx_variants ON l_orderkey = variant_id WHERE l_linenumber <> 2""",
     "fx_exclusions": "SELECT DISTINCT concat('g', CAST(n_nationkey AS STRING)) AS gene FROM nation",
 }
-NEEDS = {"fx_coding": ("fx_variants",)}
+NEEDS = {"fx_coding": ("fx_variants",), "fx_hits": ("fx_variants",)}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    for n in NEEDS.get(name, ()):
-        fixture(spark, sf_dir, n).createOrReplaceTempView(n)
-    return spark.sql(FIXTURES[name])
+    """The DataFrame of a fixture. Its tables are views under names of their own, so a session's views stay as they are."""
+    views = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES} | {n: fixture(spark, sf_dir, n) for n in NEEDS.get(name, ())}
+    for n, df in views.items():
+        df.createOrReplaceTempView(f"genoloom_{n}")
+    return spark.sql(re.sub(rf"\b(FROM|JOIN) ({'|'.join(views)})\b", r"\1 genoloom_\2", FIXTURES[name]))
 
 
 def with_fixtures(body: str, *names: str) -> str:

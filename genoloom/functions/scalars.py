@@ -192,7 +192,7 @@ def trimmed(pos: C, ref: C, alt: C) -> Column:
     longer = (F.length(r) > 1) | (F.length(a) > 1)
     first = F.when(longer & (F.substring(r, 1, 1) == F.substring(a, 1, 1)), 1).otherwise(0)
     r1, a1 = F.substr(r, first + 1), F.substr(a, first + 1)
-    shared = lambda x, y: F.size(F.filter(F.sequence(F.lit(0), F.least(F.length(x), F.length(y))), lambda n: (n > 0) & (F.substr(x, F.lit(1), n) == F.substr(y, F.lit(1), n))))
+    shared = lambda x, y: F.length(F.regexp_extract(F.concat(x, F.lit("\x01"), y), r"^([^\x01]*)[^\x01]*+\x01\1", 1))  # noqa: E731  longest common beginning
     end = shared(F.reverse(r1), F.reverse(a1))
     r2, a2 = F.substr(r1, F.lit(1), F.length(r1) - end), F.substr(a1, F.lit(1), F.length(a1) - end)
     begin = shared(r2, a2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CODING, SEED, SPLICE, SYNONYMOUS
@@ -83,9 +83,10 @@ def routed(variants: DataFrame) -> DataFrame:
 
 
 def with_indel_id(variants: DataFrame) -> DataFrame:
-    """``variants`` with indel_id, a running number within each chromosome, named by it; a join key and nothing more."""
-    nth = F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "ref", "alt"))
-    return variants.withColumn("indel_id", F.concat_ws("_", F.lit("indel"), "chrom", nth.cast("string")))
+    """``variants`` with indel_id, the same for rows of one allele and for no other: its place and a hash of its bases.
+    A join key and nothing more, so no running number, which one task a chromosome would have to give, is needed."""
+    bases = F.hex(F.xxhash64("ref", "alt"))
+    return variants.withColumn("indel_id", F.concat_ws("_", F.lit("indel"), "chrom", F.col("pos").cast("string"), bases))
 
 
 def expand_indels(indels: DataFrame, tiles: DataFrame, width: int, seed: int = SEED) -> DataFrame:

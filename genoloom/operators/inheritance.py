@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MODES = ("dominant", "dominant_denovo", "recessive", "compound", "xlinked")
+FAMILIES = ("SINGLE", "TRIO", "MULTI")
 
 
 def _gt(c: str = "gt") -> Column:
@@ -17,13 +18,19 @@ def _any(c: Column) -> Column:
     return F.max(F.when(c, 1).otherwise(0))
 
 
+def _type(family: str) -> Column:
+    """A family type as a value, or the column that holds it."""
+    return F.lit(family) if family in FAMILIES else F.col(family)
+
+
 def family_verdicts(genotypes: DataFrame, family: str = "TRIO", keys: tuple[str, ...] = ("variant_id",)) -> DataFrame:
     """Flags of de novo, dominant, recessive and x-linked inheritance per variant, of (keys, member, affected, gt).
-    A verdict is 1 iff no member contradicts and at least one supports it. ``family``: TRIO or MULTI. The x-linked one
-    is for variants on X alone and asks for both a carrier and a non-carrier among the unaffected."""
+    A verdict is 1 iff no member contradicts and at least one supports it. ``family``: TRIO or MULTI, or a column that
+    says which, one type for each group of ``keys``. The x-linked one is for variants on X alone and asks for both a
+    carrier and a non-carrier among the unaffected."""
     g, aff, un = _gt(), F.col("affected") == 1, F.col("affected") == 0
     is_ = lambda *x: g.isin(*x)
-    multi = F.lit(family == "MULTI")
+    multi = _type(family) == "MULTI"
     rules = {
         "denovo": ((aff & is_("0/1")) | (un & is_("0/0")), (un & is_("0/1")) | (aff & is_("0/0")) | is_("1/1")),
         "dominant": ((aff & is_("0/1", "1/1")) | (un & is_("0/0")), (aff & is_("0/0")) | (un & is_("0/1", "1/1"))),
@@ -47,10 +54,16 @@ def dominant_single(gt: str = "gt") -> Column:
     return F.when(_gt(gt) == "0/1", 1).otherwise(0)
 
 
+def _by_gene(df: DataFrame, gene: str, keys: tuple[str, ...]) -> Window:
+    """A window of a gene's variants. Those without a gene, most of a genome, need no window: they are dealt by a hash."""
+    spread = F.when(F.col(gene).isNull(), F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]))
+    return Window.partitionBy(*keys, gene, spread)
+
+
 def compound_single(df: DataFrame, gene: str = "symbol", gt: str = "gt", keys: tuple[str, ...] = ("sample_id",)) -> DataFrame:
     """compound = 1 for the heterozygous variants of a gene that has at least two; 0 without a gene."""
     het = F.when(_gt(gt) == "0/1", 1).otherwise(0)
-    many = F.sum(het).over(Window.partitionBy(*keys, gene)) >= 2
+    many = F.sum(het).over(_by_gene(df, gene, keys)) >= 2
     return df.withColumn("compound", F.when(F.col(gene).isNotNull() & (het == 1) & many, 1).otherwise(0))
 
 
@@ -60,7 +73,7 @@ def compound_trio(df: DataFrame, gene: str = "symbol", child: str = "gt_child",
     c, p, m = _gt(child), _gt(first), _gt(second)
     from_first = (c == "0/1") & (p == "0/1") & (m == "0/0")
     from_second = (c == "0/1") & (p == "0/0") & (m == "0/1")
-    w = Window.partitionBy(*keys, gene)
+    w = _by_gene(df, gene, keys)
     both = (_any(from_first).over(w) == 1) & (_any(from_second).over(w) == 1)
     return df.withColumn("compound", F.when(F.col(gene).isNotNull() & both & (from_first | from_second), 1).otherwise(0))
 
@@ -71,17 +84,26 @@ def inheritance_text(denovo: str = "denovo", dominant: str = "dominant", recessi
     return F.array_join(F.array_compact(F.array(*[F.when(F.col(c) == 1, n) for c, n in named])), "&")
 
 
-def inheritance(variants: DataFrame, genotypes: DataFrame, family: str = "TRIO", id_col: str = "variant_id") -> DataFrame:
+def inheritance(variants: DataFrame, genotypes: DataFrame, family: str = "TRIO", id_col: str = "variant_id", keys: tuple[str, ...] = ()) -> DataFrame:
     """``variants`` with the flags that the family type asks for and their text; flags that don't apply are 0.
-    The trio's child is the affected member, its parents the first two unaffected ones by name."""
-    side = Window.partitionBy(id_col).orderBy(F.desc("affected"), "member")
-    placed = genotypes.withColumn("_n", F.row_number().over(side))
-    wide = placed.groupBy(id_col).agg(*[F.max(F.when(F.col("_n") == i, F.col("gt"))).alias(c) for i, c in ((1, "gt_child"), (2, "gt_first"), (3, "gt_second"))])
-    df = variants.join(wide, id_col, "left").join(family_verdicts(genotypes, "TRIO" if family == "SINGLE" else family, (id_col,)), id_col, "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    if family == "SINGLE":
-        df = compound_single(df, gt="gt_child").withColumns({"recessive": recessive_single("gt_child"), "dominant": F.lit(0), "denovo": F.lit(0), "xlinked": F.lit(0)})
-    else:
-        df = compound_trio(df) if family == "TRIO" else df.withColumn("compound", F.lit(0))
-        df = df.withColumns({"xlinked": F.when(on_x(), zero(F.col("xlinked"))).otherwise(0), "denovo": zero(F.col("denovo")) if family == "TRIO" else F.lit(0), "dominant": zero(F.col("dominant")), "recessive": zero(F.col("recessive"))})
-    return df.withColumn("inheritance", inheritance_text()).drop("gt_child", "gt_first", "gt_second")
+
+    ``family`` is SINGLE, TRIO or MULTI, or a column of ``genotypes`` that says so for each family. ``keys`` (such as a
+    family's or its patient's id, in both tables) tell families apart that carry the same variant, so one job serves a
+    cohort of all three types. The child is the affected member, a trio's parents the first two unaffected ones by name;
+    a variant without genotypes gets no flag."""
+    by = [*keys, id_col]
+    typed = genotypes.withColumn("_family", _type(family))
+    side = Window.partitionBy(*by).orderBy(F.desc("affected"), "member")
+    wide = typed.withColumn("_n", F.row_number().over(side)).groupBy(*by).agg(F.max("_family").alias("_family"), *[F.max(F.when(F.col("_n") == i, F.col("gt"))).alias(c) for i, c in ((1, "gt_child"), (2, "gt_first"), (3, "gt_second"))])
+    df = variants.join(wide.join(family_verdicts(typed, "_family", tuple(by)), by), by, "left")
+    own = tuple(k for k in dict.fromkeys(("sample_id", *keys)) if k in df.columns)
+    df = compound_single(df, gt="gt_child", keys=own).withColumnRenamed("compound", "_single")
+    df = compound_trio(df, keys=own)
+    is_ = lambda name: F.coalesce(F.col("_family") == name, F.lit(False))
+    flag = lambda c, *types: F.when(F.coalesce(F.col("_family").isin(*types), F.lit(False)), F.coalesce(c, F.lit(0))).otherwise(0)
+    df = df.withColumns({
+        "compound": F.when(is_("SINGLE"), F.col("_single")).otherwise(flag(F.col("compound"), "TRIO")),
+        "recessive": F.when(is_("SINGLE"), recessive_single("gt_child")).otherwise(flag(F.col("recessive"), "TRIO", "MULTI")),
+        "dominant": flag(F.col("dominant"), "TRIO", "MULTI"), "denovo": flag(F.col("denovo"), "TRIO"), "xlinked": F.when(on_x(), flag(F.col("xlinked"), "TRIO", "MULTI")).otherwise(0),
+    })
+    return df.withColumn("inheritance", inheritance_text()).drop("gt_child", "gt_first", "gt_second", "_family", "_single")

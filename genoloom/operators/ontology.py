@@ -5,29 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage between rounds, in the checkpoint folder (one of our own only where the session has none)."""
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
-def closure(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """term, ancestor for all strict ancestors of (term, parent). Paths double in length each round, so the rounds are
-    the logarithm of the depth; pairs are distinct after each, so many paths don't multiply."""
-    pairs = _cut(edges.select("term", F.col("parent").alias("ancestor")).filter("term <> ancestor").distinct())
-    size = pairs.count()
-    for _ in range(rounds):
-        further = pairs.join(pairs.select(F.col("term").alias("ancestor"), F.col("ancestor").alias("next")), "ancestor").select("term", F.col("next").alias("ancestor"))
-        pairs = _cut(pairs.union(further).distinct())
-        if (now := pairs.count()) == size:
-            break
-        size = now
-    return pairs
+from ..shared import written
+
+
+def closure(edges: DataFrame, most_rounds: int = 1000) -> DataFrame:
+    """term, ancestor for all strict ancestors of (term, parent). Each round joins only the pairs that the last one found
+    with the edges and keeps the distinct ones, so the work is in proportion to the pairs, not to the pairs of pairs; the
+    rounds are the length of the longest path. Every round is written to the shared folder, its size read from there.
+    Loops of a term to itself are ignored; longer cycles end in an error after ``most_rounds``."""
+    edges = written(edges.select("term", "parent").filter("term <> parent").distinct(), "edges")
+    found = [edges.select("term", F.col("parent").alias("ancestor"))]
+    up = edges.select(F.col("term").alias("ancestor"), "parent")
+    while not found[-1].isEmpty():
+        if len(found) > most_rounds:
+            raise ValueError("the ontology has a cycle")
+        found.append(written(found[-1].join(up, "ancestor").select("term", F.col("parent").alias("ancestor")).distinct(), "paths"))
+    every = found[0]
+    for more in found[1:-1]:
+        every = every.unionByName(more)
+    return written(every.distinct(), "closure")
 
 
 def inclusive_counts(terms: DataFrame, ancestors: DataFrame, counts: DataFrame) -> DataFrame:

@@ -101,6 +101,11 @@ def overridden(score: Column, consequence: str = "consequence", ref: str = "ref"
     return F.when(X.length_difference(ref, alt) % 3 != 0, F.lit(0.9)).when(X.only_terms(consequence, SPLICE), F.lit(None).cast("double")).when(X.only_terms(consequence, SYNONYMOUS), F.lit(0.0)).otherwise(score)
 
 
+def source_score(df: DataFrame, score: str = "pathogenicity", splice: str = "spliceai") -> Column:
+    """Where a variant's pathogenicity comes from: the predicted score, else the largest splice score if ``df`` has one."""
+    return F.coalesce(score, X.score_max(splice)) if splice in df.columns else F.col(score)
+
+
 def final_score(path: Column, phenotype: Column | None, partners: Column | None, excluded: Column | None = None, settings: Settings = Settings()) -> Column:
     """Weighted sum; without a phenotype query the pathogenicity alone; null for an excluded gene."""
     a, b, c = settings.weights

@@ -18,12 +18,12 @@ def score_variants(df: DataFrame, features: list[str], trees: list | None = None
 
 
 def prioritize(df: DataFrame, gene_similarity: DataFrame | None = None, partners: DataFrame | None = None, hgnc: DataFrame | None = None, known_genes: DataFrame | None = None, exclusions: DataFrame | None = None,
-               transcripts: DataFrame | None = None, genotypes: DataFrame | None = None, family: str = "TRIO", settings: Settings = Settings(), features: tuple[str, ...] = FEATURES) -> DataFrame:
+               transcripts: DataFrame | None = None, genotypes: DataFrame | None = None, family: str = "TRIO", family_keys: tuple[str, ...] = (), settings: Settings = Settings(), features: tuple[str, ...] = FEATURES) -> DataFrame:
     """``df`` with inheritance, missing share, adjusted scores, phenotype similarity, final score, filter and rank.
     Parts whose resource isn't given, or whose columns ``df`` hasn't got, are left out."""
     has = lambda *cs: all(c in df.columns for c in cs)
     if genotypes is not None:
-        df = inheritance.inheritance(df, genotypes, family)
+        df = inheritance.inheritance(df, genotypes, family, keys=family_keys)
     there = tuple(f for f in features if f in df.columns)
     if there:
         df = df.withColumn("missing_share", scoring.missing_share(there))
@@ -35,7 +35,7 @@ def prioritize(df: DataFrame, gene_similarity: DataFrame | None = None, partners
         df = df.withColumn("database_score", X.database_score("clinvar", "hgmd")).withColumn("pathogenicity", X.blended("pathogenicity", F.col("database_score"), settings.database_share))
     if exclusions is not None:
         df = filters.excluded_gene(df, exclusions)
-    path = F.coalesce("pathogenicity", X.score_max("spliceai")) if has("spliceai") else F.col("pathogenicity")
+    path = scoring.source_score(df)
     query = gene_similarity is not None
     if query:
         known = known_genes if known_genes is not None else gene_similarity.select("gene").distinct()
@@ -46,8 +46,9 @@ def prioritize(df: DataFrame, gene_similarity: DataFrame | None = None, partners
 
 
 def rank_passed(df: DataFrame, top: int | None = None) -> DataFrame:
-    """The rows that passed, ranked within their sample, those of rank up to ``top`` if given."""
-    out = filters.passed(df)
+    """The rows that passed, ranked within their sample, those of rank up to ``top`` if given. Scores that agree to nine
+    decimals tie."""
+    out = filters.passed(df).withColumn("final_score", F.round("final_score", 9))
     return ranking.top_ranked(out, top) if top else ranking.ranked(out)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import CODING, SEVERITY, SPLICE, SYNONYMOUS
@@ -29,6 +29,11 @@ def query(*fixtures: str, sql: str | None = None):
     return register
 
 
+def register_plain(f, sql: str) -> None:
+    """Register a function of (spark, sf_dir) that reads the tables themselves."""
+    QUERIES[f.__name__], SQL[f.__name__] = f, sql
+
+
 r6 = lambda c: F.round(c, 6)
 listed = lambda names: ", ".join(f"'{n}'" for n in names)
 SEV = "sev(t, s) AS (VALUES " + ", ".join(f"('{t}', {s})" for t, s in SEVERITY.items()) + ")"
@@ -115,11 +120,13 @@ def x13_known_variants(v):
 
 
 @query("fx_variants", sql="""_, d AS (SELECT variant_id, CAST(variant_id % 10 AS DOUBLE) / 10 AS pp, CAST(variant_id % 7 AS DOUBLE) / 6 AS sf, cadd / 100 AS p, max_af AS sp, symbol FROM fx_variants)
-SELECT variant_id, CASE WHEN pp < 0.5 AND sf < 0.5 OR pp > 0.5 AND sf > 0.5 THEN 1 ELSE 0 END AS opposed, coalesce(p, sp) AS source,
- CASE WHEN symbol IS DISTINCT FROM 'G1' THEN round(0.34 * coalesce(p, sp) + 0.65 * pp + 0.01 * sf, 6) END AS final_score FROM d""")
+SELECT variant_id, CASE WHEN pp < 0.5 AND sf < 0.5 OR pp > 0.5 AND sf > 0.5 THEN 1 ELSE 0 END AS opposed, coalesce(p, greatest(sp, 0.001)) AS source,
+ CASE WHEN symbol IS DISTINCT FROM 'G1' THEN round(0.34 * coalesce(p, greatest(sp, 0.001)) + 0.65 * pp + 0.01 * sf, 6) END AS final_score FROM d""")
 def x16_final_score(v):
     """X14 and X15 included."""
-    pp, sf, path = (F.col("variant_id") % 10).cast("double") / 10, (F.col("variant_id") % 7).cast("double") / 6, F.coalesce(F.col("cadd") / 100, "max_af")
+    pp, sf = (F.col("variant_id") % 10).cast("double") / 10, (F.col("variant_id") % 7).cast("double") / 6
+    v = v.withColumns({"pathogenicity": F.col("cadd") / 100, "spliceai": F.concat_ws("&", F.lit("0.001"), F.col("max_af").cast("string"))})
+    path = scoring.source_score(v)
     return v.select("variant_id", X.opposed(pp, sf).alias("opposed"), path.alias("source"), r6(scoring.final_score(path, pp, sf, F.col("symbol") == "G1")).alias("final_score"))
 
 
@@ -170,11 +177,10 @@ def f06_filter_cascade(v):
     return pipelines.prioritize(df, features=tuple(USED)).select("variant_id", r6("final_score").alias("final_score"), "filter_passed", "filter_comment")
 
 
-@query("fx_variants", sql=RANKED_SQL + ", top AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY round(final_score, 9) DESC) AS rank FROM judged WHERE filter_comment = 'no HPO terms given') SELECT sample_id, variant_id, round(final_score, 6) AS final_score, rank FROM top WHERE rank <= 25")
+@query("fx_variants", sql=RANKED_SQL + ", top AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY round(final_score, 9) DESC) AS rank FROM judged WHERE filter_comment = 'no HPO terms given' AND max_af <= 0.02) SELECT sample_id, variant_id, round(final_score, 6) AS final_score, rank FROM top WHERE rank <= 25")
 def e01_ranking(v):
-    """From variants to the reported rows of each sample: F1, C1, C2, F8, W1, F7, T3."""
-    df = pipelines.prioritize(pipelines.score_variants(as_features(v), USED, FOREST), features=tuple(USED))
-    out = pipelines.rank_passed(df.withColumn("final_score", F.round("final_score", 9)), 25)
+    """From variants to the reported rows of each sample, by the whole pipeline: F9, F1, C1, C2, F8, W1, F7, T3."""
+    out = pipelines.rf_ranking(as_features(v), FOREST, USED, rare=True, top=25)
     return out.select("sample_id", "variant_id", r6("final_score").alias("final_score"), "rank")
 
 
@@ -198,10 +204,10 @@ def j02_region_overlap(v, r):
     return annotate.with_regions(v, r, "regions", width=1024).select("variant_id", "regions")
 
 
-@query("fx_variants", sql="SELECT variant_id, CASE WHEN chrom = 'chrX' THEN floor((pos - 1) / 64) % 100 END AS track FROM fx_variants")
+@query("fx_variants", sql="SELECT variant_id, CASE WHEN floor((pos - 1) / 64) % 3 > 0 THEN floor((pos - 1) / 64) % 100 END AS track FROM fx_variants")
 def j02b_track_value(v):
-    places = v.filter("chrom = 'chrX'").select(F.floor((F.col("pos") - 1) / 64).alias("k")).distinct()
-    track = places.select(F.lit("chrX").alias("chrom"), (F.col("k") * 64).alias("start0"), (F.col("k") * 64 + 64).alias("end0"), (F.col("k") % 100).cast("double").alias("value"))
+    places = v.select("chrom", F.floor((F.col("pos") - 1) / 64).alias("k")).distinct().filter("k % 3 > 0")  # a third of the genome has no value
+    track = places.select("chrom", (F.col("k") * 64).alias("start0"), (F.col("k") * 64 + 64).alias("end0"), (F.col("k") % 100).cast("double").alias("value"))
     return annotate.with_track(v, track, "track", width=1024).select("variant_id", "track")
 
 
@@ -224,26 +230,26 @@ def j04_gene_fallback(v, t):
 
 
 @query("fx_tiles", sql="""_, p AS (SELECT tile AS variant_id, tile * 32 + tile % 32 + 1 AS pos FROM fx_tiles), w AS (SELECT string_agg(seq, '' ORDER BY tile) AS genome FROM fx_tiles)
-SELECT variant_id, substring(genome, CAST(greatest(pos - 6, 0) - (SELECT min(tile) * 32 FROM fx_tiles) + 1 AS INT), CAST(pos + 5 - greatest(pos - 6, 0) AS INT)) AS context FROM p, w WHERE pos - 6 >= (SELECT min(tile) * 32 FROM fx_tiles)""")
+SELECT variant_id, 'chr1' AS chrom, substring(genome, CAST(greatest(pos - 6, 0) + 1 AS INT), CAST(pos + 5 - greatest(pos - 6, 0) AS INT)) AS context FROM p, w UNION ALL SELECT variant_id, 'chr9', '.' FROM p WHERE variant_id % 3 = 0""")
 def j07_reference_context(t):
+    """From the contig's first bases on; a contig without tiles gives a dot."""
     v = t.select(F.col("tile").alias("variant_id"), F.lit("chr1").alias("chrom"), (F.col("tile") * 32 + F.col("tile") % 32 + 1).alias("pos"))
-    first = t.agg(F.min("tile").alias("_first"))
-    inside = v.join(F.broadcast(first), F.col("pos") - 6 >= F.col("_first") * 32).drop("_first")  # one row is broadcast
-    return annotate.with_context(inside, t, 32).select("variant_id", "context")
+    near = annotate.with_context(v, t, 32)
+    return near.unionByName(annotate.with_context(v.filter("variant_id % 3 = 0").withColumn("chrom", F.lit("chr9")), t, 32)).select("variant_id", "chrom", "context")
 
 
-@query("fx_tiles", sql="SELECT tile, len(list_filter(string_split(seq, ''), lambda x: x = 'A')) AS a, greatest(length(seq) - length(replace(seq, 'A', '')), length(seq) - length(replace(seq, 'C', '')), length(seq) - length(replace(seq, 'G', '')), length(seq) - length(replace(seq, 'T', ''))) AS most, (SELECT max(length(m)) FROM (SELECT unnest(regexp_extract_all(seq, 'A+|C+|G+|T+')) AS m)) AS run FROM fx_tiles")
+@query("fx_tiles", sql="SELECT tile, len(list_filter(string_split(seq, ''), lambda x: x = 'A')) AS a, round(greatest(length(seq) - length(replace(seq, 'A', '')), length(seq) - length(replace(seq, 'C', '')), length(seq) - length(replace(seq, 'G', '')), length(seq) - length(replace(seq, 'T', ''))) * 1.0 / length(seq), 2) AS share, (SELECT max(length(m)) FROM (SELECT unnest(regexp_extract_all(seq, 'A+|C+|G+|T+')) AS m)) AS run FROM fx_tiles")
 def x17_runs_and_shares(t):
-    """X18 and X19 from the same counts."""
-    return t.select("tile", (F.length("seq") - F.length(F.translate("seq", "A", ""))).cast("long").alias("a"), F.round(X.base_share("seq") * 0 + F.greatest(*[F.length("seq") - F.length(F.translate("seq", b, "")) for b in "ACGT"])).cast("long").alias("most"), X.longest_run("seq").cast("long").alias("run"))
+    """X18 included."""
+    return t.select("tile", (F.length("seq") - F.length(F.translate("seq", "A", ""))).cast("long").alias("a"), X.base_share("seq").alias("share"), X.longest_run("seq").cast("long").alias("run"))
 
 
-@query("fx_tiles", sql="""_, d AS (SELECT tile, substring(seq, 1, 11) AS s FROM fx_tiles), e AS (SELECT tile, s, (SELECT max(length(m)) FROM (SELECT unnest(regexp_extract_all(s, 'A+|C+|G+|T+')) AS m)) AS run FROM d),
+@query("fx_tiles", sql="""_, d AS (SELECT tile, CASE tile % 3 WHEN 0 THEN seq WHEN 1 THEN replace(seq, 'A', 'AA') ELSE replace(seq, 'G', '') END AS s FROM fx_tiles), e AS (SELECT tile, s, (SELECT max(length(m)) FROM (SELECT unnest(regexp_extract_all(s, 'A+|C+|G+|T+')) AS m)) AS run FROM d),
 f AS (SELECT *, round(greatest(length(s) - length(replace(s, 'A', '')), length(s) - length(replace(s, 'C', '')), length(s) - length(replace(s, 'G', '')), length(s) - length(replace(s, 'T', ''))) * 1.0 / length(s), 2) AS share,
  (CASE WHEN contains(s, 'A') THEN 0 ELSE 1 END) + (CASE WHEN contains(s, 'C') THEN 0 ELSE 1 END) + (CASE WHEN contains(s, 'G') THEN 0 ELSE 1 END) + (CASE WHEN contains(s, 'T') THEN 0 ELSE 1 END) AS absent FROM e)
 SELECT tile, CASE WHEN run >= 5 OR share >= 0.8 THEN 1 ELSE 0 END AS homopolymer, CASE WHEN absent >= 2 OR run >= 4 THEN 1 ELSE 0 END AS low_complexity FROM f""")
 def x19_complexity_flags(t):
-    s = F.substring("seq", 1, 11)
+    s = F.when(F.col("tile") % 3 == 0, F.col("seq")).when(F.col("tile") % 3 == 1, F.replace("seq", F.lit("A"), F.lit("AA"))).otherwise(F.replace("seq", F.lit("G"), F.lit("")))
     return t.select("tile", X.is_homopolymer(s).alias("homopolymer"), X.is_low_complexity(s).alias("low_complexity"))
 
 
@@ -296,14 +302,14 @@ def g03_information_content(e, c):
 
 
 @query("fx_edges", "fx_term_counts", sql=f"""_, {IC}, p AS (SELECT term AS a, parent + 1 AS b FROM fx_edges), m AS (SELECT a, b, max(ic) AS m FROM (SELECT DISTINCT a, b FROM p) q JOIN up x ON x.term = a JOIN up y ON y.term = b AND x.ancestor = y.ancestor JOIN ic ON ic.term = x.ancestor GROUP BY a, b)
-SELECT DISTINCT p.a, p.b, round(CASE WHEN ia.ic + ib.ic > 0 THEN 2 * coalesce(m, 0) / (ia.ic + ib.ic) ELSE 0 END, 6) AS lin, round(coalesce(m, 0), 6) AS resnik, round(1 - (ia.ic + ib.ic - 2 * coalesce(m, 0)), 6) AS jc FROM p LEFT JOIN m USING (a, b) JOIN ic ia ON ia.term = p.a JOIN ic ib ON ib.term = p.b""")
+SELECT DISTINCT p.a, p.b, round(CASE WHEN ia.ic + ib.ic > 0 THEN 2 * coalesce(m, 0) / (ia.ic + ib.ic) ELSE 0 END, 6) AS lin, round(coalesce(m, 0), 6) AS resnik, round(1 - (ia.ic + ib.ic - 2 * coalesce(m, 0)), 6) AS jc, round(CASE WHEN ia.ic + ib.ic > 0 THEN 2 * coalesce(m, 0) / (ia.ic + ib.ic) * (1 - 1 / (1 + coalesce(m, 0))) ELSE 0 END, 6) AS coefficient FROM p LEFT JOIN m USING (a, b) JOIN ic ia ON ia.term = p.a JOIN ic ib ON ib.term = p.b""")
 def g05_node_similarity(e, c):
     """G4 and U3 included."""
     _, up, _, ic = graph(e, c)
     pairs = e.select(F.col("term").alias("a"), (F.col("parent") + 1).alias("b"))
     of = lambda m: ontology.node_similarity(pairs, up, ic, m).withColumnRenamed("similarity", m)
-    df = of("lin").join(of("resnik"), ["a", "b"]).join(of("jiang_conrath"), ["a", "b"])
-    return df.select("a", "b", r6("lin").alias("lin"), r6("resnik").alias("resnik"), r6("jiang_conrath").alias("jc"))
+    df = of("lin").join(of("resnik"), ["a", "b"]).join(of("jiang_conrath"), ["a", "b"]).join(of("information_coefficient"), ["a", "b"])
+    return df.select("a", "b", r6("lin").alias("lin"), r6("resnik").alias("resnik"), r6("jiang_conrath").alias("jc"), r6("information_coefficient").alias("coefficient"))
 
 
 SIM = f"""{IC}, gt AS (SELECT gene, ancestor, min(ic) AS least FROM fx_gene_terms JOIN ic USING (term) JOIN up USING (term) GROUP BY gene, ancestor),
@@ -351,7 +357,8 @@ def w03_compound_single(v, g):
     return inheritance.compound_single(v.join(g.filter("member = 0"), "variant_id")).select("variant_id", "compound")
 
 
-COMPOUND = f"""{WIDE}, cls AS (SELECT *, c = '0/1' AND p = '0/1' AND m = '0/0' AS a, c = '0/1' AND p = '0/0' AND m = '0/1' AS b FROM wide), pairs AS (SELECT DISTINCT unnest([x.variant_id, y.variant_id]) AS variant_id FROM cls x JOIN cls y ON x.sample_id = y.sample_id AND x.symbol = y.symbol WHERE x.a AND y.b)"""
+PAIRS = """cls AS (SELECT *, c = '0/1' AND p = '0/1' AND m = '0/0' AS a, c = '0/1' AND p = '0/0' AND m = '0/1' AS b FROM wide), pairs AS (SELECT DISTINCT unnest([x.variant_id, y.variant_id]) AS variant_id FROM cls x JOIN cls y ON x.sample_id = y.sample_id AND x.symbol = y.symbol WHERE x.a AND y.b)"""
+COMPOUND = f"{WIDE}, {PAIRS}"
 
 
 @query("fx_variants", "fx_genotypes", sql=f"_, {COMPOUND} SELECT variant_id, CASE WHEN variant_id IN (SELECT variant_id FROM pairs) THEN 1 ELSE 0 END AS compound FROM wide")
@@ -371,10 +378,14 @@ def c03_inheritance(v, g):
 TRIM = "CASE WHEN length(ref) > 1 OR length(alt) > 1 THEN CASE WHEN ref[1] = alt[1] THEN 1 ELSE 0 END ELSE 0 END"
 
 
-@query("fx_variants", sql=f"""_, a AS (SELECT variant_id, chrom, pos, ref, alt, {TRIM} AS f FROM fx_variants), b AS (SELECT *, substring(ref, f + 1) AS r, substring(alt, f + 1) AS q FROM a),
+X06 = f"""a AS (SELECT variant_id, chrom, pos, ref, alt, {TRIM} AS f FROM fx_variants), b AS (SELECT *, substring(ref, f + 1) AS r, substring(alt, f + 1) AS q FROM a),
  c AS (SELECT *, coalesce((SELECT max(n) FROM (SELECT unnest(range(1, 5)) AS n) WHERE n <= length(r) AND n <= length(q) AND right(r, n) = right(q, n)), 0) AS e FROM b), d AS (SELECT *, left(r, length(r) - e) AS r2, left(q, length(q) - e) AS q2 FROM c),
- g AS (SELECT *, coalesce((SELECT max(n) FROM (SELECT unnest(range(1, 5)) AS n) WHERE n <= length(r2) AND n <= length(q2) AND left(r2, n) = left(q2, n)), 0) AS s FROM d), h AS (SELECT *, substring(r2, s + 1) AS r3, substring(q2, s + 1) AS q3, pos + f + s AS p3 FROM g)
- SELECT variant_id, concat(chrom, ':', CASE WHEN r3 = '' THEN p3 - 1 ELSE p3 END, '-', CASE WHEN r3 = '' THEN p3 - 1 ELSE p3 + length(r3) - 1 END, '_', CASE WHEN r3 = '' THEN '-' ELSE r3 END, '>', CASE WHEN q3 = '' THEN '-' ELSE q3 END) AS key FROM h""")
+ g AS (SELECT *, coalesce((SELECT max(n) FROM (SELECT unnest(range(1, 5)) AS n) WHERE n <= length(r2) AND n <= length(q2) AND left(r2, n) = left(q2, n)), 0) AS s FROM d), h AS (SELECT *, substring(r2, s + 1) AS r3, substring(q2, s + 1) AS q3, pos + f + s AS p3 FROM g),
+ keys AS (SELECT variant_id, chrom, CASE WHEN r3 = '' THEN p3 - 1 ELSE p3 END AS k_start, CASE WHEN r3 = '' THEN p3 - 1 ELSE p3 + length(r3) - 1 END AS k_end, CASE WHEN r3 = '' THEN '-' ELSE r3 END AS k_ref, CASE WHEN q3 = '' THEN '-' ELSE q3 END AS k_alt FROM h)"""
+KEY = "concat(keys.chrom, ':', k_start, '-', k_end, '_', k_ref, '>', k_alt)"
+
+
+@query("fx_variants", sql=f"_, {X06} SELECT variant_id, {KEY} AS key FROM keys")
 def x06_variant_key(v):
     return v.select("variant_id", X.variant_key("chrom", "pos", "ref", "alt").alias("key"))
 
@@ -404,19 +415,18 @@ def x23_evidence_gene(v):
     """The supported entry of most severe consequence, of two in a cell."""
     df = v.filter("symbol IS NOT NULL")
     cell = F.concat("symbol", F.lit(":t:"), "consequence", F.lit(":x,OTHER:t:downstream_gene_variant:x"))
-    g = meta.gsvar_choice(cell, "ref", "alt")
     unsupported = ~X.most_severe("consequence").isin("stop_gained", "frameshift_variant", "inframe_deletion", "missense_variant", "splice_region_variant")
     swapped = F.when(unsupported, F.concat("symbol", F.lit(":t:"), "consequence")).otherwise(cell)
     g = meta.gsvar_choice(swapped, "ref", "alt")
     return df.select("variant_id", g["gene"].alias("gene"), g["consequence"].alias("consequence"), g["type"].alias("type"))
 
 
-@query("fx_variants", sql="SELECT sample_id, count(*) AS entries, CAST(sum(variant_id) AS BIGINT) AS ranks, round(max(cadd), 4) AS best FROM fx_variants WHERE symbol IS NOT NULL AND cadd IS NOT NULL GROUP BY sample_id")
+@query("fx_variants", sql=f"_, {MOST}, {X06} SELECT v.sample_id, v.symbol AS gene, term AS consequence, {TYPES} AS type, CAST(v.variant_id AS INT) AS rank, round(cadd, 6) AS score, CASE WHEN v.variant_id % 2 = 0 THEN 'het' ELSE 'hom' END AS genotype, {KEY} AS variant FROM fx_variants v JOIN most USING (variant_id) JOIN keys USING (variant_id) WHERE v.symbol IS NOT NULL AND cadd IS NOT NULL")
 def x26_entry_round_trip(v):
-    """Entries to one text a sample and back."""
-    df = v.filter("symbol IS NOT NULL AND cadd IS NOT NULL").withColumns({"gt": F.lit("0/1"), "rank": F.col("variant_id").cast("int"), "final_score": F.col("cadd")})
-    back = meta.entry_list(meta.entries(df)).select("sample_id", F.explode(meta.parsed_entries("entries")).alias("e"))
-    return back.groupBy("sample_id").agg(F.count("*").alias("entries"), F.sum(F.col("e.rank").cast("long")).alias("ranks"), F.round(F.max("e.score"), 4).alias("best"))
+    """Entries to one text a sample and back, all their fields."""
+    df = v.filter("symbol IS NOT NULL AND cadd IS NOT NULL").withColumns({"gt": F.when(F.col("variant_id") % 2 == 0, "0|1").otherwise("1/1"), "rank": F.col("variant_id").cast("int"), "final_score": F.col("cadd")})
+    back = meta.entry_list(meta.entries(df)).select("sample_id", F.explode(meta.parsed_entries("entries")).alias("e")).select("sample_id", "e.*")
+    return back.withColumn("score", F.round("score", 6))
 
 
 RANKINGS = "ranked AS (SELECT *, rank() OVER (PARTITION BY ranking, sample_id ORDER BY score DESC) AS rk FROM fx_rankings), best AS (SELECT * FROM ranked WHERE rk <= 10)"
@@ -437,11 +447,12 @@ def picks(r: DataFrame, *names: str) -> DataFrame:
 
 
 @query("fx_rankings", sql=f"""_, {MERGED} SELECT sample_id, gene, rf_rank, round(rf_score, 4) AS rf_score, eb_model, eb_rank, round(eb_score, 4) AS eb_score, coalesce((SELECT min(place) FROM rfp p WHERE p.sample_id = merged.sample_id AND p.gene = merged.gene), 4) AS rf_rank_llm,
- coalesce((SELECT min(place) FROM picks p WHERE p.sample_id = merged.sample_id AND p.gene = merged.gene), 4) AS eb_rank_llm, CASE WHEN eb_model = 'dom' THEN 1 ELSE 0 END AS eb_dom, CASE WHEN eb_model = 'rec' THEN 1 ELSE 0 END AS eb_rec FROM merged""")
+ coalesce((SELECT min(place) FROM picks p WHERE p.sample_id = merged.sample_id AND p.gene = merged.gene), 4) AS eb_rank_llm, CASE WHEN eb_model = 'dom' THEN 1 ELSE 0 END AS eb_dom, CASE WHEN eb_model = 'rec' THEN 1 ELSE 0 END AS eb_rec,
+ array_to_string(list_distinct_kept, ';') AS variant FROM (SELECT *, list_filter([CASE WHEN rf_score > 0 THEN concat(gene, '-rf') END, CASE WHEN ds > 0 THEN concat(gene, '-dom') END, CASE WHEN rs > 0 THEN concat(gene, '-rec') END], lambda x: x IS NOT NULL) AS list_distinct_kept FROM merged) merged""")
 def j09_meta_table(r):
     """A10, U2, J10, X27 and X28 included."""
     t = pipelines.meta_table(*[rankings(r, n) for n in ("rf", "dom", "rec")], picks(r, "rf"), picks(r, "dom", "rec"))
-    return t.select("sample_id", "gene", "rf_rank", F.round("rf_score", 4).alias("rf_score"), "eb_model", "eb_rank", F.round("eb_score", 4).alias("eb_score"), "rf_rank_llm", "eb_rank_llm", "eb_dom", "eb_rec")
+    return t.select("sample_id", "gene", "rf_rank", F.round("rf_score", 4).alias("rf_score"), "eb_model", "eb_rank", F.round("eb_score", 4).alias("eb_score"), "rf_rank_llm", "eb_rank_llm", "eb_dom", "eb_rec", "variant")
 
 
 META = [{0: ("rf_rank", 3.0, 1, 2), 1: (0.9,), 2: ("eb_rank", 5.0, 3, 4), 3: (0.6,), 4: (0.1,)}]
@@ -462,26 +473,57 @@ def m05_hit_rates(r):
     return ranking.hit_rates(known.withColumn("causal_rank", ranking.pick_rank("causal", ["p1", "p2", "p3"])))
 
 
-@query("fx_variants", sql="""_, c AS (SELECT sample_id, symbol, count(*) AS n FROM fx_variants WHERE symbol IS NOT NULL GROUP BY 1, 2) SELECT sample_id, count(*) AS genes,
- concat('A ', CASE WHEN sample_id % 2 = 0 THEN 'female ' ELSE '' END, 'rare disease patient', CASE WHEN sample_id % 3 = 0 THEN concat(' of age ', CAST(sample_id AS VARCHAR)) ELSE '' END, ' has the following symptoms: x, y. ') AS opening FROM c GROUP BY sample_id""")
+PROMPT_SQL = """_, c AS (SELECT DISTINCT sample_id, symbol AS gene, CASE WHEN sample_id % 4 = 0 THEN 'het' ELSE 'hom' END AS gt FROM fx_variants WHERE symbol IS NOT NULL), o AS (SELECT *, unnest(['both', 'type', 'none']) AS kind FROM c),
+l AS (SELECT sample_id, kind, string_agg(CASE WHEN kind = 'none' THEN gene WHEN kind = 'both' AND gt = 'hom' THEN concat(gene, ' (homozygous missense variant)') ELSE concat(gene, ' (missense variant)') END, ', ' ORDER BY gene) AS genes FROM o GROUP BY ALL)
+SELECT sample_id, kind, concat('A ', CASE WHEN sample_id % 2 = 0 THEN 'female ' ELSE '' END, 'rare disease patient', CASE WHEN sample_id % 3 = 0 THEN concat(' of age ', CAST(sample_id AS VARCHAR)) ELSE '' END, ' has the following symptoms: x, y. A causal variant in which of the following candidate genes would best explain these symptoms? ',
+ CASE WHEN kind <> 'none' THEN 'For each candidate gene the type of the variant is given in brackets. ' ELSE '' END, CASE WHEN kind = 'both' THEN 'Furthermore the genotype of the variant is included in the brackets if it is a homozygous variant. ' ELSE '' END) AS opening, genes FROM l"""
+
+
+@query("fx_variants", sql=PROMPT_SQL)
 def x29_prompts(v):
-    """J12's names stand for the symptoms; T5 orders the genes. The prompt is read back for its parts."""
-    c = v.filter("symbol IS NOT NULL").select("sample_id", F.col("symbol").alias("gene")).distinct().withColumns({"type": F.lit("missense variant"), "genotype": F.lit("hom")})
+    """All wordings, whole prompts; the genes, which stand in a seeded order (T5), are sorted for the comparison."""
+    c = v.filter("symbol IS NOT NULL").select("sample_id", F.col("symbol").alias("gene")).distinct().withColumns({"type": F.lit("missense variant"), "genotype": F.when(F.col("sample_id") % 4 == 0, "het").otherwise("hom")})
     p = v.select("sample_id").distinct().withColumns({"sex": F.when(F.col("sample_id") % 2 == 0, "female").otherwise(""), "age": F.when(F.col("sample_id") % 3 == 0, F.col("sample_id")), "phenotypes": F.lit("x, y")})
-    out = meta.prompts(p, c)
-    return out.select("sample_id", F.size(F.split("prompt", r"\(homozygous missense variant\)")).cast("long").alias("n"), F.regexp_extract("prompt", "^(.*?[.] )A causal", 1).alias("opening")).select("sample_id", (F.col("n") - 1).alias("genes"), "opening")
+    parts = F.split("prompt", "Candidate genes: ")
+    of = lambda kind, *has: meta.prompts(p, c, *has).select("sample_id", F.lit(kind).alias("kind"), parts[0].alias("opening"), F.array_join(F.array_sort(F.split(parts[1], ", ")), ", ").alias("genes"))
+    return of("both", True, True).unionByName(of("type", True, False)).unionByName(of("none", False, False))
+
+
+def places(df: DataFrame, *ties: str):
+    """The place of each row in the order that ``df`` has, equal rows sharing the first: a check of order, one task by nature."""
+    nth = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return F.min("_nth").over(Window.partitionBy(*ties)).cast("long"), df.withColumn("_nth", nth)
 
 
-@query("fx_variants", sql="SELECT sample_id, variant_id, cadd FROM fx_variants")
+@query("fx_variants", sql="SELECT variant_id, rank() OVER (ORDER BY cadd DESC NULLS LAST) AS by_score, rank() OVER (ORDER BY chrom, pos) AS by_place FROM fx_variants")
 def t01_sorts(v):
-    """T1 and T2."""
-    return ranking.by_place(ranking.by_score(v, "cadd")).select("sample_id", "variant_id", "cadd")
+    """Places in each order."""
+    score, df = places(ranking.by_score(v, "cadd"), "cadd")
+    place, other = places(ranking.by_place(v), "chrom", "pos")
+    return df.select("variant_id", score.alias("by_score")).join(other.select("variant_id", place.alias("by_place")), "variant_id")
+
+
+@query("fx_rankings", sql=f"_, {MERGED}, s AS (SELECT sample_id, gene, CASE WHEN rf_rank <= 3 THEN 0.9 WHEN eb_rank <= 5 THEN 0.6 ELSE 0.1 END AS meta_score FROM merged), r AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY meta_score DESC) AS k FROM s) SELECT sample_id, gene, rank() OVER (ORDER BY sample_id, k) AS place FROM r")
+def t04_meta_order(r):
+    """The rows of the meta ranking in its order."""
+    t = pipelines.meta_table(*[rankings(r, n) for n in ("rf", "dom", "rec")], picks(r, "rf"), picks(r, "dom", "rec"))
+    place, df = places(pipelines.meta_ranking(t, META), "sample_id", "meta_rank")
+    return df.select("sample_id", "gene", place.alias("place"))
+
+
+@query("fx_rankings", sql="_, g AS (SELECT DISTINCT sample_id, gene FROM fx_rankings), n AS (SELECT sample_id, count(*) AS n FROM g GROUP BY sample_id) SELECT sample_id, unnest(range(1, n + 1)) AS shuffle_rank, true AS same FROM n")
+def t05_shuffled(r):
+    """A sample's genes get the places from 1 on, the same ones however the rows lie."""
+    g = r.select("sample_id", "gene").distinct()
+    again = ranking.shuffled(g.repartition(5, "gene"), 7, "sample_id", "gene").select("sample_id", "gene", F.col("shuffle_rank").alias("again"))
+    return ranking.shuffled(g, 7, "sample_id", "gene").join(again, ["sample_id", "gene"]).select("sample_id", F.col("shuffle_rank").cast("long").alias("shuffle_rank"), (F.col("shuffle_rank") == F.col("again")).alias("same"))
 
 
-@query("fx_variants", sql="SELECT chrom, count(*) AS n, count(DISTINCT variant_id) AS ids FROM fx_variants GROUP BY chrom")
+@query("fx_variants", sql="SELECT chrom, count(*) AS n, count(DISTINCT (pos, ref, alt)) AS ids, count(DISTINCT (pos, ref, alt)) AS alleles FROM (SELECT chrom, pos // 2 AS pos, ref, alt FROM fx_variants) GROUP BY chrom")
 def w05_indel_ids(v):
-    """Running numbers are unique within a chromosome."""
-    return annotate.with_indel_id(v).groupBy("chrom").agg(F.count("*").alias("n"), F.count_distinct("indel_id").alias("ids"))
+    """One id for each allele, and one allele for each id."""
+    ids = annotate.with_indel_id(v.withColumn("pos", F.floor(F.col("pos") / 2)))
+    return ids.groupBy("chrom").agg(F.count("*").alias("n"), F.count_distinct("indel_id").alias("ids"), F.count_distinct(F.struct("pos", "ref", "alt", "indel_id")).alias("alleles"))
 
 
 @query("fx_variants", sql="SELECT variant_id, concat(symbol, ' (inh=n/a oe_syn=n/a oe_mis=n/a oe_lof=n/a)') AS gene_info, nullif(filter_col, '.') AS filter, concat('QUAL=', CAST(variant_id AS VARCHAR)) AS quality FROM fx_variants WHERE symbol IS NOT NULL")
@@ -503,20 +545,174 @@ def k02_inheritance_modes(g, v):
 
 
 def x30_answer_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers built from the events' JSON, fenced and cut, parsed back."""
+    """Answers built from the events' JSON: fenced and cut, one object, a list, one without its last bracket, no JSON."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     k = F.get_json_object("props", "$.k")
-    answer = F.concat(F.lit('```json\n[{"1st ranked Gene": "g'), k, F.lit('", "2nd ranked Gene": "b", "3rd ranked Gene": "c"]\n```'))
-    return e.select(F.element_at(meta.parsed_answer(answer), 1).alias("gene")).groupBy("gene").agg(F.count("*").alias("n"))
+    body = F.concat(F.lit('{"1st ranked Gene": "g'), k, F.lit('", "2nd ranked Gene": " b ", "3rd ranked Gene": "c"'))
+    n = F.col("event_id") % 6
+    answer = (
+        F.when(n == 0, F.concat(F.lit("```json\n["), body, F.lit("]\n```"))).when(n == 1, F.concat(body, F.lit("}"))).when(n == 2, F.concat(F.lit("["), body, F.lit("}]")))
+        .when(n == 3, F.concat(F.lit("```\n"), body)).when(n == 4, F.concat(F.lit("I think g"), k)).otherwise(F.lit("[1, 2]"))
+    )
+    return meta.picks_of(e.select(F.col("event_id").alias("sample_id"), answer.alias("answer"))).select("sample_id", "gene", F.col("place").cast("long").alias("place"))
 
 
-QUERIES["x30_answer_parsing"] = x30_answer_parsing
-SQL["x30_answer_parsing"] = "SELECT concat('G', json_extract_string(props, '$.k')) AS gene, count(*) AS n FROM events GROUP BY 1"
+register_plain(x30_answer_parsing, "SELECT event_id AS sample_id, CASE i WHEN 1 THEN concat('G', json_extract_string(props, '$.k')) WHEN 2 THEN 'B' ELSE 'C' END AS gene, i AS place FROM events, (SELECT unnest([1, 2, 3]) AS i) WHERE event_id % 6 < 4")
 
 
-@query("fx_variants")
+@query("fx_variants", sql="SELECT variant_id, 0.0::DOUBLE AS difference, true AS probability FROM fx_variants")
 def m01_trained_forest(v):
-    """M3 and M1: a forest trained by Spark and applied; rows only."""
+    """M3 and M1: a forest trained by Spark and applied, against the same forest as a code-generated expression (M4)."""
     df = scoring.with_imputed(as_features(v), tuple(USED)).withColumn("label", (F.col("impact") == "HIGH").cast("double"))
-    model = scoring.train_forest(df, [f"x_{f}" for f in USED], trees=10, depth=4)
-    return scoring.predict(df, model).select("variant_id", "pathogenicity")
+    names = [f"x_{f}" for f in USED]
+    model = scoring.train_forest(df, names, trees=10, depth=4)
+    p = scoring.predict(df, model).withColumn("again", scoring.forest(scoring.trees_of(model.stages[-1], names)))
+    return p.select("variant_id", F.abs(F.round(F.col("pathogenicity") - F.col("again"), 6)).alias("difference"), F.col("pathogenicity").between(0, 1).alias("probability"))
+
+
+@query("fx_variants", sql="SELECT variant_id, symbol, max_af FROM fx_variants WHERE NOT (variant_id % 5 = 0 AND symbol IS NULL) AND variant_id % 7 <> 0")
+def f09_empty_rows(v):
+    """Rows without any value go, those with one stay."""
+    bare = F.col("variant_id") % 7 == 0
+    df = v.select(*[F.when(~bare, F.col(c)).alias(c) for c in ("variant_id", "symbol", "max_af")])
+    return filters.without_empty_rows(df).filter("NOT (variant_id % 5 = 0 AND symbol IS NULL)")
+
+
+@query("fx_variants", sql="SELECT variant_id, sift AS source, symbol AS gene FROM fx_variants")
+def f10_filled_and_renamed(v):
+    """A14 included: the first of the candidates that has any value at all, and renames of what is there."""
+    df = v.select("variant_id", "symbol", F.lit(None).cast("string").alias("a"), F.col("sift").alias("b"), F.col("hgmd").alias("c"))
+    return filters.renamed(filters.first_filled(df, ["absent", "a", "b", "c"], "source"), {"symbol": "gene", "nothing": "x"}).select("variant_id", "source", "gene")
+
+
+HITS = "string_agg(DISTINCT hit, '&' ORDER BY hit)"
+
+
+@query("fx_variants", "fx_hits", sql=f"_, h AS (SELECT chrom, pos, ref, alt, {HITS} AS hits FROM fx_hits GROUP BY ALL) SELECT variant_id, hits FROM fx_variants LEFT JOIN h USING (chrom, pos, ref, alt)")
+def j01_allele_lists(v, h):
+    """Several hits of an allele in one cell; other alleles of the place don't count."""
+    return annotate.by_allele(v, h.withColumnRenamed("hit", "hits"), ["hits"]).select("variant_id", "hits")
+
+
+@query("fx_variants", "fx_hits", sql=f"_, h AS (SELECT chrom, pos, ref, alt, feature, {HITS} AS hits FROM fx_hits GROUP BY ALL) SELECT variant_id, hits FROM (SELECT *, concat('T', CAST(variant_id % 8 AS VARCHAR)) AS feature FROM fx_variants) LEFT JOIN h USING (chrom, pos, ref, alt, feature)")
+def j01b_transcript_lists(v, h):
+    """The transcript is part of the key."""
+    own = v.withColumn("feature", F.concat(F.lit("T"), (F.col("variant_id") % 8).cast("string")))
+    return annotate.by_allele(own, h.withColumnRenamed("hit", "hits"), ["hits"], keys=(*annotate.ALLELE, "feature")).select("variant_id", "hits")
+
+
+@query("fx_query_terms", "fx_edges", sql="_, t AS (SELECT DISTINCT term FROM fx_edges), q AS (SELECT sample_id, CASE WHEN term % 5 = 0 THEN term + 7 ELSE term END AS term FROM fx_query_terms WHERE term % 4 > 0) SELECT DISTINCT sample_id, term FROM q JOIN t USING (term)")
+def j11_resolved_terms(q, e):
+    """Terms by their replacements; those that the ontology lacks are dropped."""
+    asked = q.withColumn("term", F.when(F.col("term") % 4 == 0, -F.col("term") - 1).when(F.col("term") % 5 == 0, F.col("term") + 1_000_000).otherwise(F.col("term")))
+    old = q.select("term").distinct().filter("term % 5 = 0").select((F.col("term") + 1_000_000).alias("term"), (F.col("term") + 7).alias("replaced_by"))
+    return ontology.resolved(asked, e.select("term").distinct(), old).select("sample_id", "term")
+
+
+@query("fx_variants", sql="SELECT variant_id, CASE WHEN variant_id % 6 <> 0 OR max_af IS NOT NULL THEN greatest(CASE WHEN variant_id % 6 <> 0 THEN 0.015 END, max_af) END AS frequency FROM fx_variants")
+def a11_max_frequency(v):
+    """The largest of the populations' lists; missing ones don't count."""
+    df = v.withColumns({"gnomADg_AFR_AF": F.when(F.col("variant_id") % 6 != 0, "0.001&0.015&."), "gnomADg_EAS_AF": F.col("max_af").cast("string"), "gnomADg_SAS_AF": F.lit(".")})
+    return scoring.max_frequency(df).select("variant_id", F.col("MAX_AF").alias("frequency"))
+
+
+@query("fx_variants", sql="SELECT variant_id, CAST(CASE WHEN variant_id % 3 = 0 THEN 0.75 ELSE 0.5 END AS DOUBLE) AS highest, CAST(CASE WHEN variant_id % 2 = 0 THEN 0.25 ELSE 0.5 END AS DOUBLE) AS lowest, CAST(CASE WHEN variant_id % 3 = 0 THEN 0.75 ELSE 0.5 END AS DOUBLE) AS loose_highest, -2.0::DOUBLE AS loose_lowest FROM fx_variants")
+def x01_strict_lists(v):
+    """Tokens with a colon or a minus sign don't count in the strict forms."""
+    n = F.col("variant_id")
+    cell = F.concat(F.lit("-2&9:9&0.5"), F.when(n % 3 == 0, "&0.75").otherwise(""), F.when(n % 2 == 0, "&0.25&.").otherwise("&nan"), F.lit("&3-4"))
+    return v.select("variant_id", X.score_max(cell, strict=True).alias("highest"), X.score_min(cell, strict=True).alias("lowest"), X.score_max(cell).alias("loose_highest"), X.score_min(cell).alias("loose_lowest"))
+
+
+@query("fx_variants", sql="SELECT variant_id, symbol AS gene, max_af AS af, CAST(CASE WHEN variant_id % 2 = 0 THEN 0.75 ELSE 0.5 END AS DOUBLE) AS splice, 0.25::DOUBLE AS oe FROM fx_variants")
+def x04_info_columns(v):
+    """Keys of an INFO cell as text, largest or least of a list, and the splice record's scores."""
+    n = F.col("variant_id")
+    info = F.concat(F.lit("A=1;GENE="), F.coalesce("symbol", F.lit(".")), F.lit(";AF="), F.coalesce(F.concat(F.lit("0&"), F.col("max_af").cast("string")), F.lit("nan")), F.lit(";SPLICE=G|X|0.1|"), F.when(n % 2 == 0, "0.75").otherwise("0.5"), F.lit("|.|0.2|9|9,C|Y|0|0|0|0.3|8|8;OE=0.25&-1&0.5;XGENE=no"))
+    return v.select("variant_id", *X.info_columns(info, {"gene": ("GENE", "text"), "af": ("AF", "max"), "splice": ("SPLICE", "splice"), "oe": ("OE", "min")}))
+
+
+@query("fx_genotypes", sql=f"_, w AS (SELECT DISTINCT variant_id FROM fx_genotypes) SELECT variant_id, concat('s', CAST(member AS VARCHAR)) AS sample, CASE WHEN {GT} = './.' THEN '.' ELSE {GT} END AS gt, CAST(variant_id % 50 AS INT) AS dp, CAST(member AS INT) AS alt FROM fx_genotypes")
+def x05_packed_genotypes(g):
+    """Several samples in one cell."""
+    word = F.coalesce(X.lookup({"0/0": "wt", "0/1": "het", "1/1": "hom"}, F.replace("gt", F.lit("|"), F.lit("/"))), F.lit("."))
+    cell = F.concat(F.lit("s"), "member", F.lit("="), word, F.lit("|"), F.col("variant_id") % 50, F.lit("|"), "member")
+    packed = g.groupBy("variant_id").agg(F.array_join(F.collect_list(cell), ",").alias("cells"))
+    return packed.select("variant_id", F.explode(X.packed_genotypes("cells")).alias("x")).select("variant_id", "x.*")
+
+
+JUDGED = f"""_, {MOST}, d AS (SELECT v.*, term, variant_id AS n, CASE WHEN variant_id % 31 <> 0 THEN variant_id % 100 / 100.0 END AS score, length(ref) > 1 OR length(alt) > 1 AS long FROM fx_variants v JOIN most USING (variant_id)),
+j AS (SELECT variant_id, CASE WHEN filter_col = 'low_conf_region' THEN 'low confidence region' WHEN filter_col = 'off-target' THEN 'off target' WHEN n % 19 = 0 THEN 'low confidence region' WHEN n % 23 = 0 THEN 'gene exclusion'
+ WHEN score < 0.7 AND n % 5 = 0 THEN 'tandem repeat' WHEN score < 0.7 AND n % 6 = 0 THEN 'segmental duplication' WHEN score < 0.7 AND long AND n % 4 = 0 THEN 'homopolymer and low complexity region' WHEN score < 0.7 AND long AND n % 4 = 1 THEN 'homopolymer'
+ WHEN score < 0.7 AND long AND n % 4 = 2 THEN 'low complexity region' WHEN score < 0.7 AND n % 7 = 0 THEN 'masked repeat region' WHEN max_af > 0.01 THEN 'high MAF' WHEN term IN ({listed(SYNONYMOUS)}) THEN 'synonymous variant'
+ WHEN term NOT IN ({listed((*CODING, *SPLICE))}) THEN 'variant type not supported' WHEN score IS NULL THEN 'missing prediction' WHEN n % 3 > 0 THEN 'passed all' WHEN n % 2 > 0 THEN 'HPO related to interacting genes' ELSE 'no HPO relation' END AS filter_comment FROM d)"""
+
+
+@query("fx_variants", sql=JUDGED + " SELECT variant_id, filter_comment, CASE WHEN filter_comment IN ('passed all', 'HPO related to interacting genes') THEN 1 ELSE 0 END AS filter_passed FROM j")
+def f06_all_outcomes(v):
+    """Every rule of the cascade, on a frame that has all its columns."""
+    n = F.col("variant_id")
+    df = v.withColumnsRenamed({"filter_col": "filter", "max_af": "MAX_AF"}).withColumns({
+        "final_score": F.when(n % 31 != 0, n % 100 / 100), "low_conf_region": F.when(n % 19 == 0, "x").otherwise(" "), "gene_excluded": n % 23 == 0, "simple_repeat": F.when(n % 5 == 0, "r"), "segmental_duplication": F.when(n % 6 == 0, "0.9").otherwise("0"),
+        "context": F.element_at(F.array(*map(F.lit, ("AAAAAAAAAAA", "AAACAAAGAAA", "ACACACACACA", "ACGTACGTACG"))), (n % 4 + 1).cast("int")), "repeat_mask": F.when(n % 7 == 0, "m").otherwise("."),
+        "similarity": F.when(n % 3 > 0, 0.2).otherwise(0.0), "partner_similarity": F.when(n % 2 > 0, 0.1).otherwise(0.0),
+    })
+    return filters.filtered(df).select("variant_id", "filter_comment", "filter_passed")
+
+
+FAMILIES = f"""_, fam AS (SELECT variant_id, sample_id, symbol, chrom, 0 AS moved FROM fx_variants UNION ALL SELECT variant_id, sample_id + 100, symbol, chrom, 1 FROM fx_variants), typed AS (SELECT *, CASE sample_id % 3 WHEN 0 THEN 'SINGLE' WHEN 1 THEN 'TRIO' ELSE 'MULTI' END AS kind FROM fam),
+gts AS (SELECT f.*, member, affected, CASE WHEN moved = 1 AND {GT} = '0/0' THEN '0/1' ELSE {GT} END AS gt FROM typed f JOIN fx_genotypes USING (variant_id) WHERE kind <> 'SINGLE' OR member = 0),
+w AS (SELECT sample_id, variant_id, symbol, chrom, kind, max(CASE WHEN member = 0 THEN gt END) AS c, max(CASE WHEN member = 1 THEN gt END) AS p, max(CASE WHEN member = 2 THEN gt END) AS m,
+ max(CASE WHEN affected = 0 AND gt = '0/1' OR affected = 1 AND gt = '0/0' OR gt = '1/1' THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt = '0/1' OR affected = 0 AND gt = '0/0' THEN 1 ELSE 0 END) = 1 AND kind = 'TRIO' AS denovo,
+ max(CASE WHEN affected = 1 AND gt = '0/0' OR affected = 0 AND gt IN ('0/1', '1/1') THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt IN ('0/1', '1/1') OR affected = 0 AND gt = '0/0' THEN 1 ELSE 0 END) = 1 AND kind <> 'SINGLE' AS dominant,
+ CASE kind WHEN 'SINGLE' THEN max(CASE WHEN gt = '1/1' THEN 1 ELSE 0 END) = 1 WHEN 'TRIO' THEN max(CASE WHEN affected = 1 AND gt IN ('0/0', '0/1') OR affected = 0 AND gt IN ('1/1', '0/0') THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt = '1/1' OR affected = 0 AND gt = '0/1' THEN 1 ELSE 0 END) = 1
+ ELSE max(CASE WHEN affected = 1 AND gt IN ('0/0', '0/1') OR affected = 0 AND gt = '1/1' THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt = '1/1' OR affected = 0 AND gt IN ('0/1', '0/0') THEN 1 ELSE 0 END) = 1 END AS recessive,
+ max(CASE WHEN affected = 1 AND gt IN ('0/0', '0/1') OR affected = 0 AND gt = '1/1' THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 0 AND gt = '0/1' THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN affected = 0 AND gt = '0/0' THEN 1 ELSE 0 END) = 1 AND kind <> 'SINGLE' AND chrom = 'chrX' AS xlinked
+ FROM gts GROUP BY sample_id, variant_id, symbol, chrom, kind),
+k AS (SELECT *, c = '0/1' AND p = '0/1' AND m = '0/0' AS a, c = '0/1' AND p = '0/0' AND m = '0/1' AS b FROM w), s AS (SELECT *, max(a) OVER g AND max(b) OVER g AS both_, sum(CASE WHEN c = '0/1' THEN 1 ELSE 0 END) OVER g AS hets FROM k WINDOW g AS (PARTITION BY sample_id, symbol))"""
+
+
+@query("fx_variants", "fx_genotypes", sql=FAMILIES + """ SELECT sample_id, variant_id, concat_ws('&', CASE WHEN dominant THEN 'DOMINANT' END, CASE WHEN denovo THEN 'DOMINANT_DENOVO' END, CASE WHEN recessive THEN 'RECESSIVE' END,
+ CASE WHEN symbol IS NOT NULL AND (kind = 'SINGLE' AND c = '0/1' AND hets >= 2 OR kind = 'TRIO' AND both_ AND (a OR b)) THEN 'COMPOUND' END, CASE WHEN xlinked THEN 'XLINKED' END) AS inheritance FROM s""")
+def c03_families(v, g):
+    """C3 for a cohort: single patients, trios and larger families in one job, two families for each variant."""
+    moved = v.withColumns({"sample_id": F.col("sample_id") + 100})
+    kind = F.element_at(F.array(*map(F.lit, inheritance.FAMILIES)), (F.col("sample_id") % 3 + 1).cast("int"))
+    of = lambda d, gt: d.select("variant_id", "sample_id").join(g.withColumn("gt", gt), "variant_id")
+    plain = F.replace("gt", F.lit("|"), F.lit("/"))
+    gts = of(v, F.col("gt")).unionByName(of(moved, F.when(plain == "0/0", "0/1").otherwise(F.col("gt")))).withColumn("kind", kind).filter("kind <> 'SINGLE' OR member = 0")
+    return inheritance.inheritance(v.unionByName(moved), gts, "kind", keys=("sample_id",)).select("sample_id", "variant_id", "inheritance")
+
+
+FULL = f"""_, {MOST}, known AS (SELECT sample_id, gene, CAST(substring(gene, 2) AS INT) AS k FROM (SELECT DISTINCT sample_id, gene FROM fx_rankings)), sim AS (SELECT sample_id, gene, k % 10 / 10.0 AS s FROM known WHERE k < 30), part AS (SELECT sample_id, gene, k % 7 / 10.0 AS p FROM known WHERE k >= 20),
+g0 AS (SELECT v.*, term, {SCORED_SQL} AS raw, coalesce(CASE WHEN v.symbol IN (SELECT gene FROM sim) THEN v.symbol END, CASE WHEN variant_id % 9 < 8 THEN concat('G', CAST(variant_id % 9 AS VARCHAR)) END, v.symbol) AS gene, coalesce(symbol IN (SELECT upper(gene) FROM fx_exclusions), false) AS gone,
+ CASE split_part(clinvar, '%', 1) WHEN 'Pathogenic' THEN 1.0 WHEN 'Benign/Likely_benign' THEN 0.25 WHEN 'Uncertain_significance' THEN 0.5 END AS c, CASE hgmd WHEN 'DM' THEN 1.0 WHEN 'DM?' THEN 0.75 END AS h, TRY_CAST(string_split(CASE WHEN cds_position <> 'NA' THEN cds_position END, '-')[1] AS DOUBLE) AS st, cds_length
+ FROM fx_coding v JOIN most USING (variant_id) LEFT JOIN fx_transcripts ON feature = transcript_id WHERE max_af <= 0.02),
+g1 AS (SELECT *, CASE WHEN (contains(consequence, 'frameshift') OR abs(length(ref) - length(alt)) % 3 <> 0) AND st <= cds_length THEN st / cds_length END AS share FROM g0),
+g2 AS (SELECT *, raw - CASE WHEN share >= 0.99 THEN 0.05 WHEN share >= 0.98 THEN 0.04 WHEN share >= 0.97 THEN 0.03 WHEN share >= 0.96 THEN 0.02 WHEN share >= 0.95 THEN 0.01 ELSE 0 END AS cut FROM g1),
+g3 AS (SELECT *, coalesce(0.8 * cut + 0.2 * coalesce((c + h) / 2, c, h), cut) AS path FROM g2), g4 AS (SELECT g3.*, coalesce(s, 0) AS s, coalesce(p, 0) AS p FROM g3 LEFT JOIN sim USING (sample_id, gene) LEFT JOIN part USING (sample_id, gene)),
+g5 AS (SELECT *, CASE WHEN NOT gone THEN 0.34 * path + 0.65 * s + 0.01 * p END AS final_score FROM g4),
+g6 AS (SELECT *, CASE WHEN filter_col = 'low_conf_region' OR filter_col = 'off-target' OR gone OR max_af > 0.01 OR term NOT IN ({listed((*CODING, *SPLICE))}) OR final_score IS NULL THEN '' WHEN s > 0 THEN 'passed all' WHEN p > 0 THEN 'HPO related to interacting genes' ELSE '' END AS comment FROM g5),
+{VERDICTS}, {WIDE}, {PAIRS.replace("FROM wide)", "FROM wide WHERE variant_id IN (SELECT variant_id FROM g0))")}
+SELECT sample_id, variant_id, gene, round(final_score, 6) AS final_score, comment AS filter_comment, rank() OVER (PARTITION BY sample_id ORDER BY round(final_score, 9) DESC) AS rank,
+ concat_ws('&', CASE WHEN dominant = 1 THEN 'DOMINANT' END, CASE WHEN denovo = 1 THEN 'DOMINANT_DENOVO' END, CASE WHEN recessive = 1 THEN 'RECESSIVE' END, CASE WHEN variant_id IN (SELECT variant_id FROM pairs) THEN 'COMPOUND' END, CASE WHEN xlinked = 1 AND g6.chrom = 'chrX' THEN 'XLINKED' END) AS inheritance
+FROM g6 JOIN verdicts USING (variant_id) WHERE comment <> ''"""
+
+
+@query("fx_coding", "fx_variants", "fx_genotypes", "fx_transcripts", "fx_exclusions", "fx_rankings", sql=FULL)
+def e03_full_ranking(v, _, g, t, e, r):
+    """The whole pipeline with every resource: F9, F1, C1, C3, J6, X13, F5, J4 with current symbols, J5, X16, F6, W1."""
+    known = r.select("sample_id", "gene").distinct().withColumn("k", F.substring("gene", 2, 9).cast("int"))
+    sim = known.filter("k < 30").select("sample_id", "gene", (F.col("k") % 10 / 10).alias("similarity"))
+    partners = known.filter("k >= 20").select("sample_id", "gene", (F.col("k") % 7 / 10).alias("partner_similarity"))
+    df = as_features(v.drop("pathogenicity")).withColumn("hgnc_id", F.concat(F.lit("HGNC:"), (F.col("variant_id") % 9).cast("string")))
+    hgnc = v.select((F.col("variant_id") % 9).alias("k")).distinct().filter("k < 8").select(F.col("k").cast("string").alias("hgnc_id"), F.concat(F.lit("G"), "k").alias("symbol"))
+    out = pipelines.rf_ranking(df, FOREST, USED, rare=True, gene_similarity=sim, partners=partners, hgnc=hgnc, exclusions=e, transcripts=t, genotypes=g)
+    return out.select("sample_id", "variant_id", "gene", r6("final_score").alias("final_score"), "filter_comment", "rank", "inheritance")
+
+
+@query("fx_rankings", sql=f"_, {MERGED}, rf AS (SELECT * FROM ranked WHERE ranking = 'rf') SELECT sample_id, gene, concat(gene, '-rf') AS variant, rk AS rf_rank, round(score, 4) AS rf_score, coalesce((SELECT min(place) FROM rfp p WHERE p.sample_id = rf.sample_id AND p.gene = rf.gene), 4) AS rf_rank_llm FROM rf")
+def c06_meta_table_rf(r):
+    """The meta table of one ranking alone."""
+    t = pipelines.meta_table_rf(rankings(r, "rf"), picks(r, "rf"))
+    return t.select("sample_id", "gene", "variant", "rf_rank", F.round("rf_score", 4).alias("rf_score"), "rf_rank_llm")

@@ -137,10 +137,26 @@ def listed(spark: SparkSession, path: str, column: str = "gene", upper: bool = T
 
 
 def fasta_tiles(spark: SparkSession, path: str, width: int = 4096) -> DataFrame:
-    """chrom, tile, seq: a genome in pieces of ``width`` bases. One row a contig is read, then cut; write it once."""
-    contig = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("v"))
-    parts = contig.select(F.regexp_extract("v", r"^(\S+)", 1).alias("chrom"), F.regexp_replace(F.regexp_replace("v", r"^[^\n]*\n", ""), r"\s", "").alias("s")).filter("length(s) > 0")
-    return parts.select("chrom", "s", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.length("s") - 1) / width))).alias("tile")).select("chrom", "tile", F.substr("s", (F.col("tile") * width + 1).cast("int"), F.lit(width)).alias("seq"))
+    """chrom, tile, seq: a genome in pieces of ``width`` bases; write it once. Files are read line by line in Spark's splits.
+    A line's place is its offset within its split, by a window over the split, and what the splits before it leave over
+    of its contig, by a window over one row a split; so no task holds a contig. A contig ends with its file."""
+    head = F.nullif(F.regexp_extract("value", r"^>(\S+)", 1), F.lit(""))
+    at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("nth")
+    lines = spark.read.text(path).select(*at, head.alias("head"), F.when(F.col("value").startswith(">"), "").otherwise(F.regexp_replace("value", r"\s", "")).alias("bases"))
+    so_far = Window.partitionBy("file", "split").orderBy("nth")
+    n = F.length("bases").cast("long")
+    lines = lines.withColumns({"own": F.last("head", True).over(so_far), "to": F.sum(n).over(so_far)})
+    lines = lines.withColumn("base", F.last(F.when(F.col("head").isNotNull(), F.col("to")), True).over(so_far))
+    by_split = Window.partitionBy("file").orderBy("split")
+    left = lines.groupBy("file", "split").agg(F.max_by("own", "nth").alias("last"), (F.max("to") - F.coalesce(F.max("base"), F.lit(0))).alias("tail"))
+    left = left.withColumns({"contig": F.last("last", True).over(by_split), "run": F.count("last").over(by_split)})
+    left = left.withColumn("tail", F.sum("tail").over(Window.partitionBy("file", "run").orderBy("split")))
+    left = left.select("file", "split", F.lag("contig").over(by_split).alias("contig"), F.lag("tail", 1, 0).over(by_split).alias("before"))
+    placed = lines.join(left, ["file", "split"]).filter("bases <> ''").select(F.coalesce("own", "contig").alias("chrom"), "bases", (F.col("to") - n - F.coalesce("base", -F.col("before"))).alias("from"))
+    cut = placed.select("*", F.explode(F.sequence(F.floor(F.col("from") / width), F.floor((F.col("from") + n - 1) / width))).alias("tile"))
+    begin = F.greatest(F.col("tile") * width - F.col("from"), F.lit(0))
+    part = F.struct(F.greatest(F.col("from"), F.col("tile") * width).alias("at"), F.substr("bases", (begin + 1).cast("int"), F.least((F.col("tile") + 1) * width - F.col("from") - begin, F.lit(width)).cast("int")).alias("s"))
+    return cut.filter("chrom IS NOT NULL").groupBy("chrom", "tile").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["s"]), "").alias("seq"))
 
 
 def _scores(df: DataFrame, chrom: Column, pos: Column, ref: Column, alt: Column, score: Column) -> DataFrame:
@@ -217,9 +233,3 @@ def track(spark: SparkSession, path: str) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
     return bed(spark, path).select("chrom", "start0", "end0", F.col("name").try_cast("double").alias("value"))
-
-
-def last_duplicate(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row a key, the last by ``order``."""
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(o) for o in order]))
-    return df.withColumn("_n", nth).filter("_n = 1").drop("_n")

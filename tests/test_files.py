@@ -1,6 +1,7 @@
 """Sources and sinks on literal files."""
 
 import glob
+import random
 
 from pyspark.sql import functions as F
 
@@ -62,6 +63,25 @@ def test_small_tables(spark, tmp_path):
     assert rows(readers.repeatmasker(spark, put(tmp_path, "r.out", "  SW x\n score\n\n  463 1.3 0.6 1.7 chr1 10001 10468 (5) + (CCCTAA)n Simple_repeat 1\n"))) == [("chr1", 10000, 10468, "(CCCTAA)n (Simple_repeat)")]
 
 
+def test_fasta_in_many_splits(spark, tmp_path):
+    r = random.Random(5)
+    want, text = {}, ""
+    for name, n in (("c1", 1000), ("c2", 3), ("c3", 2500), ("c4", 0), ("c5", 77)):
+        seq = "".join(r.choices("ACGTn", k=n))
+        want |= {(name, i // 64): seq[i : i + 64] for i in range(0, n, 64)}
+        text += f">{name} some words\n" + "".join(seq[i : i + 50] + "\n" for i in range(0, n, 50))
+    at = put(tmp_path, "g.fa", text)
+    put(tmp_path, "h.fa", text.replace(">c", ">d"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300)
+    try:
+        tiles = readers.fasta_tiles(spark, at, 64)
+        assert {(x.chrom, x.tile): x.seq for x in tiles.collect()} == want
+        both = readers.fasta_tiles(spark, str(tmp_path), 64)
+        assert {(x.chrom, x.tile): x.seq for x in both.collect()} == want | {(f"d{c[1:]}", t): s for (c, t), s in want.items()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_score_resources(spark, tmp_path):
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(readers.score_table(spark, put(tmp_path, "c.tsv", "## x\n#Chrom\tPos\n1\t5\tA\tG\t0.1\t7.5\n1\t6\tA\tG\t0.1\t\n"), "cadd")) == [("chr1", 5, "A", "G", "7.5")]
