@@ -162,7 +162,8 @@ class LogBilinear:
     def scorer(self):
         """A function from targets and the two words before them to natural log probabilities: of the target's class
         among all classes, and of the target among all words of its class. Both normalisers are whole sums, over blocks
-        of contexts; that of the classes is a sum of products of two factors, each found once for all equal words."""
+        of contexts; that of the classes is a sum of products of two factors, one of each word before, all found here once
+        (8 bytes for each word and class)."""
         words, d = self.R.shape
         a1, a2 = np.zeros((words, d + 1), np.float32), np.ones((words, d + 1), np.float32)  # the last column meets the biases
         a1[:, :d], a2[:, :d] = self.R @ self.C[0], self.R @ self.C[1]
@@ -179,13 +180,14 @@ class LogBilinear:
             top = z.max(1)
             return top + np.log(np.exp(z - top[:, None]).sum(1))
 
-        def factors(of, table):
-            """Of distinct words: exp(score by class less the largest), the largest; and each word's place."""
-            seen, at = np.unique(of, return_inverse=True)
-            z = table[seen] @ classes.T
+        def factors(table):
+            """Of each word as a context: exp(score by class less the largest), and the largest."""
+            z = table @ classes.T
             top = z.max(1)
             z -= top[:, None]
-            return np.exp(z, out=z), top, at
+            return np.exp(z, out=z), top
+
+        (f1, top1), (f2, top2) = factors(a1), factors(a2)
 
         def score(w, w1, w2, contexts=1 << 17, cells=1 << 17):
             out = np.zeros(len(w))
@@ -194,10 +196,9 @@ class LogBilinear:
                 own, b1, b2 = w[order], w1[order], w2[order]
                 q, c = np.take(a1, b1, axis=0) + np.take(a2, b2, axis=0), self.of[own]
                 part = np.einsum("nd,nd->n", q, np.take(classes, c, axis=0)).astype(np.float64)
-                (f1, top1, at1), (f2, top2, at2) = factors(b1, a1), factors(b2, a2)
                 step = max(1, cells // len(classes))
                 for at in range(0, len(own), step):
-                    i, j = at1[at : at + step], at2[at : at + step]
+                    i, j = b1[at : at + step], b2[at : at + step]
                     total = np.einsum("nk,nk->n", np.take(f1, i, axis=0), np.take(f2, j, axis=0))
                     norm = np.log(np.maximum(total, 1e-30)) + top1[i] + top2[j]
                     if len(far := np.flatnonzero(total < 1e-30)):
@@ -335,16 +336,16 @@ def frequent_words(words: DataFrame, head: int) -> list[tuple[bytes, int]]:
     histogram of counts, and of the counts at which ``head`` is passed a share by the words' hash. So about ``head`` rows
     reach the driver, nothing is sorted, and there are words to learn however even the counts are."""
     step = F.floor(F.log2("c") * 8)  # counts in steps of an eighth of a doubling: a few hundred at most
-    left, chosen = head, F.lit(False)
+    left, chosen = head, F.lit(True)
     for s, n in sorted(((r.s, r.n) for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True):
         if n > left:
-            chosen = chosen | ((step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < (left << 30) // n))
+            chosen = (step > s) | ((step == s) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < (left << 30) // n))
             break
-        left, chosen = left - n, chosen | (step == s)
+        left -= n
     return sorted(((bytes(r.word), r.c) for r in words.filter(chosen).collect()), key=lambda x: (-x[1], x[0]))
 
 
-def score(docs: DataFrame, training: DataFrame, vocabulary: int = 65_536 - 512, head: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, vocabulary: int = 32_768, head: int = 100_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every text of ``docs`` after learning from
     ``training``. ``vocabulary`` bounds the model's words (so its memory: words and classes number in 16 bits), ``head`` the
     counts that travel to the tasks."""
@@ -365,7 +366,9 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = 65_536 - 512,
 
     def make():
         index, log_head, log_end, end_known, log_rest, model = sent.value
-        probabilities = model.scorer()
+        if "score" not in vars(model):
+            model.score = model.scorer()  # once for all tasks of a Python worker
+        probabilities = model.score
         closed, place = len(index), {w: i for w, (i, _) in log_head.items()}
         logs = np.array([v for _, v in log_head.values()] + [0.0])
 
