@@ -4,7 +4,8 @@ A turn is ``<s>role[INST]text[/INST]</s>``. Role and text are encoded apart from
 the vocabulary's end, so no text can produce one. Control strings inside a role or text are escaped by a backslash
 after their first character (one more if some are there already), which is undone on reading; that makes the template
 reversible as a string too. The loss mask of a token array is a prefix sum: one up after an assistant's ``[INST]``, one
-down at its ``[/INST]``.
+down at its ``[/INST]``, over all tokens of a batch of turns at once. Everything that is reported about a conversation,
+its length as a string included, is read from the token arrays.
 
 Edge cases: rows of a conversation go by turn, ties by role, then text; null roles and texts are empty; a null conv_id
 is a conversation of its own; repeated rows are turns of their own; an empty table gives an empty result. Formatted
@@ -17,10 +18,10 @@ import hashlib
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, map_rows, rows_in_batches, ship, stored, table
+from .common import arrow_schema, batch_of, rows_in_batches, ship, stored, table
 from .tokens import byte_bpe, encoder
 
 MARKS = ("<s>", "[INST]", "[/INST]", "</s>")  # ids from the vocabulary's size on, in this order
@@ -37,28 +38,32 @@ def unescape(text: str) -> str:
 
 
 def format_turns(turns: DataFrame, tokenizer: str) -> DataFrame:
-    """conv_id, nth (place in its conversation, from 1), ids, chars (of the turn as a string) and start (ids of the
-    conversation before it, a prefix sum) of ``turns`` (conv_id, turn, role, text)."""
+    """conv_id, nth (place in its conversation, from 1), ids, and start (ids of the conversation before it, a prefix sum)
+    of ``turns`` (conv_id, turn, role, text): one shuffle brings a conversation's rows together in order, and one pass
+    over them encodes and counts."""
+    ddl = "conv_id long, nth long, ids array<int>, start long"
+    schema = arrow_schema(ddl)
 
-    def make():
+    def run(batches):
         enc = encoder(tokenizer, special=True)
         mark = [enc.size + i for i in range(len(MARKS))]
-        fixed = sum(map(len, MARKS))
-
-        def step(convs, nths, roles, texts):
-            roles, texts = [escape(x or "") for x in roles], [escape(x or "") for x in texts]
-            coded = [np.frombuffer(x, enc.dtype).astype(np.int32).tolist() for x in enc.encode(roles + texts)]
-            n = len(roles)
-            ids = [[mark[0], *r, mark[1], *t, mark[2], mark[3]] for r, t in zip(coded[:n], coded[n:])]
-            return [convs, nths, ids, [fixed + len(r) + len(t) for r, t in zip(roles, texts)]]
-
-        return step
-
-    own = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    placed = turns.select("conv_id", "role", "text", F.row_number().over(own).cast("long").alias("nth"))
-    coded = map_rows(placed, make, "conv_id long, nth long, ids array<int>, chars long", ["conv_id", "nth", "role", "text"], most=512)
-    before = Window.partitionBy("conv_id").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
-    return coded.withColumn("start", F.coalesce(F.sum(F.size("ids").cast("long")).over(before), F.lit(0).cast("long")))
+        conv, nth, start = None, 0, 0
+        for convs, roles, texts in rows_in_batches(batches, ["conv_id", "role", "text"], 512):
+            coded = [np.frombuffer(x, enc.dtype).astype(np.int32).tolist() for x in enc.encode([escape(x or "") for x in roles + texts])]
+            n, out = len(convs), [[], [], [], []]
+            for c, role, text in zip(convs, coded[:n], coded[n:]):
+                if c != conv:
+                    conv, nth, start = c, 0, 0
+                ids = [mark[0], *role, mark[1], *text, mark[2], mark[3]]
+                nth += 1
+                for column, value in zip(out, (c, nth, ids, start)):
+                    column.append(value)
+                start += len(ids)
+            yield batch_of(schema, out)
+
+    ship(turns.sparkSession)
+    placed = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return placed.select("conv_id", "role", "text").mapInArrow(run, ddl)
 
 
 def loss_mask(ids: np.ndarray, marks: list[int], assistant: np.ndarray) -> np.ndarray:
@@ -78,27 +83,32 @@ def read_turns(formatted: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         enc = encoder(tokenizer, special=True)
         marks = [enc.size + i for i in range(len(MARKS))]
-        said = lambda ids: unescape(enc.decode(ids))
+        fixed = sum(map(len, MARKS))
         conv, state, done = None, None, []
 
         def closed():
             turns, loss, n, chars, formatted, tokens, masked = state
             return conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted, tokens, masked
 
-        for columns in rows_in_batches(batches, ["conv_id", "ids", "chars"], 256):
-            for c, ids, formatted in zip(*columns):
+        for convs, rows in rows_in_batches(batches, ["conv_id", "ids"], 256):
+            rows = [np.array(x, dtype=np.int64) for x in rows]
+            cuts = [(int(np.flatnonzero(x == marks[1])[0]), int(np.flatnonzero(x == marks[2])[0])) for x in rows]
+            roles = [enc.decode(x[1:opened]) for x, (opened, _) in zip(rows, cuts)]
+            every = np.concatenate(rows)
+            mask = loss_mask(every, marks, np.repeat([unescape(r) == "assistant" for r in roles], [len(x) for x in rows]))
+            at = 0
+            for c, ids, role, (opened, ended) in zip(convs, rows, roles, cuts):
                 if state is None or c != conv:
                     if state is not None:
                         done.append(closed())
                     conv, state = c, [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, 0, 0]
-                ids = np.array(ids, dtype=np.int64)
-                opened, ended = np.flatnonzero(ids == marks[1])[0], np.flatnonzero(ids == marks[2])[0]
-                role, text = said(ids[1:opened]), said(ids[opened + 1 : ended])
-                mask = loss_mask(ids, marks, np.full(len(ids), role == "assistant"))
-                state[0].update(f"{role}\n{text}\n".encode())
-                learnt = said(ids[mask])
+                own = mask[at : at + len(ids)]
+                at += len(ids)
+                text = enc.decode(ids[opened + 1 : ended])
+                state[0].update(f"{unescape(role)}\n{unescape(text)}\n".encode())
+                learnt = unescape(enc.decode(ids[own]))
                 state[1].update(learnt.encode())
-                state[2:] = [state[2] + 1, state[3] + len(learnt), state[4] + formatted, state[5] + len(ids), state[6] + int(mask.sum())]
+                state[2:] = [state[2] + 1, state[3] + len(learnt), state[4] + fixed + len(role) + len(text), state[5] + len(ids), state[6] + int(own.sum())]
             if len(done) > 1000:
                 yield batch_of(schema, [list(x) for x in zip(*done)])
                 done = []
@@ -108,7 +118,7 @@ def read_turns(formatted: DataFrame, tokenizer: str) -> DataFrame:
             yield batch_of(schema, [list(x) for x in zip(*done)])
 
     ship(formatted.sparkSession)
-    return formatted.select("conv_id", "nth", "ids", "chars").repartition("conv_id").sortWithinPartitions("conv_id", "nth").select("conv_id", "ids", "chars").mapInArrow(run, ddl)
+    return formatted.select("conv_id", "nth", "ids").repartition("conv_id").sortWithinPartitions("conv_id", "nth").select("conv_id", "ids").mapInArrow(run, ddl)
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Toxicity by a counterfactual-regularised logistic model.
 
 Features are the words of a text and their beginnings of four to six letters, present or not. In labelled texts that
-name a group, identity terms are swapped for others; the squared change of the score's logit is penalised in training,
-so that a term's mere mention doesn't move the score.
+name a group, identity terms are swapped for others; a labelled text that names none is paired with itself naming one,
+chosen by a hash of its words. The squared change of the score's logit within a pair is penalised in training, so that
+a term's mere mention doesn't move the score.
 
 Edge cases: null and empty texts score by the bias alone; null labels are not learned, a document labelled twice is
-toxic if either says so; without labels every score is 0; repeated doc_ids each get a row.
+toxic if either says so; without labels every score is 0; repeated doc_ids each get a row, null ones too; texts of any
+length are read whole; features equally telling are ordered by name; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ IDENTITY = (
     ("disabled", "deaf", "blind", "autistic"), ("old", "young", "elderly"), ("femmes", "hommes"), ("frauen", "männer"), ("mujeres", "hombres"),
 )
 SWAP = {t: kind[(i + 1) % len(kind)] for kind in IDENTITY for i, t in enumerate(kind)}
+TERMS = sorted(SWAP)
 
 
 def features(words: set[str]) -> set[str]:
@@ -61,18 +64,25 @@ def fit(x: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.nda
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs: int = 5, max_features: int = 4000, fair: float = 1.0) -> dict:
+def counterfactual(words: set[str]) -> set[str]:
+    """A text's words with its identity terms swapped, or with one added."""
+    if words.isdisjoint(SWAP):
+        return words | {TERMS[zlib.crc32(" ".join(sorted(words)).encode()) % len(TERMS)]}
+    return {SWAP.get(w, w) for w in words}
+
+
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs: int = 5, least_z: float = 3.0, fair: float = 1.0) -> dict:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). It reads about ``max_docs`` labelled
-    documents, chosen by a hash of their id, and keeps at most ``max_features`` features, those whose rate of toxic
-    documents departs most from the average (by its z-score); so ids, features and rows sent to the driver are bounded."""
+    documents, chosen by a hash of their id, and keeps every feature of at least ``least_docs`` of them whose rate of
+    toxic documents departs from the average by a z-score of ``least_z``; so what is sent to the driver is bounded by
+    the sample."""
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = hashed_share(marked, marked.count(), max_docs, "doc_id")
 
     def make():
         def step(texts, ys):
             found = [words_of(x) for x in texts]
-            swapped = [{SWAP.get(w, w) for w in f} if not f.isdisjoint(SWAP) else set() for f in found]
-            return [[sorted(features(f)) for f in found], [sorted(features(s)) if s else [] for s in swapped], ys]
+            return [[sorted(features(f)) for f in found], [sorted(features(counterfactual(f))) for f in found], ys]
 
         return step
 
@@ -84,22 +94,22 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs
     rate = positive / n
     seen = rows.select(F.explode("own").alias("f"), "y").groupBy("f").agg(F.count("*").alias("d"), F.sum("y").alias("p")).filter(F.col("d") >= least_docs)
     z = F.abs(F.col("p") - F.col("d") * rate) / F.sqrt(F.col("d") * max(rate * (1 - rate), 1e-9))
-    index = {r.f: i for i, r in enumerate(seen.filter(z >= 3).orderBy(z.desc(), "f").limit(max_features).collect())}
-    for i, t in enumerate(t for t in sorted(SWAP) if t not in index):  # identity terms always take part in the penalty
-        index[t] = len(index)
+    index = {r.f: i for i, r in enumerate(seen.filter(z >= least_z).orderBy(z.desc(), "f").collect())}
+    for t in TERMS:  # identity terms always take part in the penalty
+        index.setdefault(t, len(index))
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def pick():
         known = sent.value
 
         def step(own, swapped, ys):
-            return [[[known[f] for f in x if f in known] for x in own], [[known[f] for f in x if f in known] for x in swapped], [bool(x) for x in swapped], ys]
+            return [[[known[f] for f in x if f in known] for x in own], [[known[f] for f in x if f in known] for x in swapped], ys]
 
         return step
 
-    got = map_rows(rows, pick, "own array<int>, swapped array<int>, pair boolean, y long", ["own", "swapped", "y"]).collect()
+    got = map_rows(rows, pick, "own array<int>, swapped array<int>, y long", ["own", "swapped", "y"]).collect()
     x = [np.array(r.own, dtype=np.int64) for r in got]
-    pairs = [(a, np.array(r.swapped, dtype=np.int64)) for a, r in zip(x, got) if r.pair]
+    pairs = [(a, np.array(r.swapped, dtype=np.int64)) for a, r in zip(x, got)]
     w, b = fit(x, np.array([r.y for r in got], dtype=float), pairs, len(index), fair=fair)
     return {"index": index, "w": w, "b": b}
 

@@ -241,6 +241,40 @@ def test_toxicity(spark):
     assert docs.count() == toxicity.op9_toxicity(spark, "/root/testdata/sf0.01").count()
 
 
+def test_toxicity_equals_a_plain_restatement(spark):
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    for r in toxicity.score(docs, model).collect():
+        words = set(re.findall(r"[^\W\d_]+", (rows[r.doc_id] or "").lower()))
+        own = words | {w[:k] + "~" for w in words for k in (4, 5, 6) if len(w) > k}
+        z = model["b"] + sum(model["w"][model["index"][f]] for f in own if f in model["index"])
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_penalty_on_the_given_texts(spark):
+    """Identity terms put into labelled texts, more often into toxic ones: the penalty takes away what swapping them does
+    to held-out texts, and leaves the ranking of toxic ones."""
+    at = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{at}/labels.parquet").filter("toxic IS NOT NULL").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text").join(labels, "doc_id")
+    rows = [(r.doc_id, f"{r.text} {'muslim' if (r.doc_id % 10 < 8) == bool(r.toxic) else 'christian'} neighbours", r.toxic) for r in docs.collect()]
+    marked = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    held_out = [r for r in rows if held(r[0], 4)]
+    swapped = {d: t.replace("muslim", "\0").replace("christian", "muslim").replace("\0", "christian") for d, t, _ in held_out}
+    change, auc = {}, {}
+    for fair in (0.0, 1.0):
+        train_on = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+        model = toxicity.train(marked.filter(train_on).select("doc_id", "text"), marked.filter(train_on).select("doc_id", "toxic"), fair=fair)
+        of = lambda pairs: {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(pairs, "doc_id long, text string"), model).collect()}  # noqa: B023, E731
+        a, b = of([r[:2] for r in held_out]), of(list(swapped.items()))
+        change[fair] = np.mean([abs(a[d] - b[d]) for d in a])
+        yes, no = [a[d] for d, _, y in held_out if y], [a[d] for d, _, y in held_out if not y]
+        auc[fair] = np.mean([(x > y) + 0.5 * (x == y) for x in yes for y in no])
+    print("mean score change by swapping:", change, "AUC:", auc)
+    assert change[1.0] < 0.5 * change[0.0] and auc[1.0] > auc[0.0] - 0.05
+
+
 def test_identity_terms_lose_their_weight(spark):
     rows = [(i, f"{prose(i, 20)} {'muslim idiot' if i % 4 == 0 else 'christian person' if i % 4 == 1 else 'idiot' if i % 4 == 2 else 'person'}", int(i % 2 == 0)) for i in range(200)]
     docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
