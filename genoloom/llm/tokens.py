@@ -16,6 +16,17 @@ from string import punctuation
 import numpy as np
 
 
+WHITE = [chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n"]
+WHITE_ASCII = [c for c in WHITE if c.isascii()]
+
+
+def _cuttable(text: str) -> bool:
+    """A cut before each space or line break is exact if no two white spaces stand together, none at an end, and none is of another kind."""
+    if text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+        return False
+    return not any(c in text for c in (WHITE_ASCII if text.isascii() else WHITE))
+
+
 class _Words(dict):
     """Words' ids; a missing word is looked up among those of the generation before, or encoded: letters alone, which
     are one unit of the tokenizer after a space, by its model, all else by ``learn``."""
@@ -83,7 +94,7 @@ class Encoder:
         if not body.isalpha() or len(tail) > 8:
             return self.line_ids + self._plain([word[1:]])[0] if word[0] == "\n" else self._plain([" " + word])[0]
         if not tail:
-            return self.line_ids + b"".join([self.raw[x.id] for x in self.t.model.tokenize(self._spell(body))])
+            return self.line_ids + b"".join([self.raw[x.id] for x in self.cache.tokenize(self._spell(body))])
         if tail not in self.tails:
             self.tails[tail] = self._plain([tail])[0]
         return self.cache[core] + self.tails[tail]
@@ -95,8 +106,7 @@ class Encoder:
         cut, whole = [], []
         for i, x in enumerate(texts):
             if x:
-                # a cut before each space or line break is exact only if no other white space stands beside it
-                (cut if " ".join(x.split()) == x.replace("\n", " ") and not any(s in x for s in self.specials) else whole).append(i)
+                (cut if _cuttable(x) and not any(s in x for s in self.specials) else whole).append(i)
         if whole:
             for i, b in zip(whole, self._plain([texts[i] for i in whole])):
                 out[i] = b
