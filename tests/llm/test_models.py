@@ -45,6 +45,23 @@ def test_neighbours_recall(spark):
         assert [(-s, i) for _, i, s in found] == sorted((-s, i) for _, i, s in found)
 
 
+def test_neighbours_recall_at_size(spark):
+    """At least 0.9 of the true neighbours of 10,000 vectors."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter("embedding IS NOT NULL").collect()]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    got = {}
+    for r in ann.op5_nearest_neighbours(spark, "/root/testdata/sf0.1").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0).tolist():
+        s = x @ x[q]
+        s[q] = -np.inf
+        want = set(ids[np.lexsort((ids, -s))[:20]].tolist())
+        hits, total = hits + len(want & got[int(ids[q])]), total + len(want)
+    print("recall", hits / total)
+    assert hits >= 0.9 * total
+
+
 def test_neighbours_of_odd_vectors(spark):
     r = np.random.default_rng(1)
     rows = [(i, r.normal(size=8).tolist()) for i in range(60)] + [(100 + i, [1.0] * 8) for i in range(40)]  # forty equal vectors
@@ -59,6 +76,14 @@ def test_neighbours_of_odd_vectors(spark):
         found = sum(len(set(got[q]) & {i for _, i in want[q]}) for q in want)
         assert found >= 0.97 * sum(map(len, want.values()))
         assert got[100] == [i for _, i in want[100]]  # ties go to the smaller ids
+    for two in (1024, 4):  # the second by two levels of lists
+        got = {}
+        for x in ann.nearest(df, "vec_id % 20 = 0", lists=12, block_rows=16, two_levels=two).collect():
+            got.setdefault(x.query_id, []).append(x.vec_id)
+        assert sum(len(set(got[q]) & {i for _, i in want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
+    shared = spark.createDataFrame([(20 * i, [1.0, 2.0]) for i in range(300)] + [(7, [2.0, 1.0]), (9, [3.0, 3.0])], "vec_id long, embedding array<double>")
+    got = ann.nearest(shared, "vec_id % 20 = 0").collect()  # a vector that all queries share
+    assert len(got) == 6000 and all(sorted((x.rank, x.vec_id) for x in got if x.query_id == q)[:2] == [(1, 9), (2, 0 if q else 20)] for q in (0, 20, 5980))
     few = ann.nearest(df.filter("vec_id in (0, 1, 2)"), "vec_id % 20 = 0").collect()
     assert len(few) == 2
     assert ann.nearest(df.filter("vec_id = 7"), "vec_id % 20 = 0").count() == 0 and ann.nearest(df.filter("vec_id = -1"), "vec_id % 20 = 0").count() == 0
