@@ -3,6 +3,13 @@
 Every stage but the last returns the columns of ``documents``. Documents without a recognised language go, of each
 group of near-duplicates one stays, documents that hold benchmark windows go, personal data is replaced in the texts
 that stay, and their tokens are packed into sequences.
+
+Edge cases, stage by stage. Language: null and empty texts, and texts without a letter or a known word or letter group,
+go. Near-duplicates: of a group's rows the one of smallest doc_id stays, on a tie that of smallest text hash; rows
+without an id come last in a group, and rows that share an id but not a group all stay. Decontamination and personal
+data look at each row by itself; other columns, of any name, travel with their row (n_chars follows a changed text).
+Packing: one row a piece. An empty table stays empty through every stage; texts of any length are read whole. Stages'
+tables stay in the shared folder until it is cleared, so a run that loses executors can read them again.
 """
 
 from __future__ import annotations
