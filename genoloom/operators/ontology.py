@@ -8,22 +8,28 @@ from pyspark.sql import functions as F
 from ..shared import written
 
 
-def closure(edges: DataFrame, most_rounds: int = 1000) -> DataFrame:
-    """term, ancestor for all strict ancestors of (term, parent). Each round joins only the pairs that the last one found
-    with the edges and keeps the distinct ones, so the work is in proportion to the pairs, not to the pairs of pairs; the
-    rounds are the length of the longest path. Every round is written to the shared folder, its size read from there.
-    Loops of a term to itself are ignored; longer cycles end in an error after ``most_rounds``."""
-    edges = written(edges.select("term", "parent").filter("term <> parent").distinct(), "edges")
-    found = [edges.select("term", F.col("parent").alias("ancestor"))]
-    up = edges.select(F.col("term").alias("ancestor"), "parent")
-    while not found[-1].isEmpty():
+def closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000) -> DataFrame:
+    """term, ancestor for all strict ancestors of (term, parent). Ancestors within ``hops`` steps are found first; each
+    round then joins only the pairs that the last one found at its full reach with those, so the work is in proportion
+    to the pairs, not to the pairs of pairs, and the rounds are the longest path's length over ``hops``. What a round
+    finds is written to the shared folder and read from there. Loops of a term to itself are ignored; longer cycles end
+    in an error after ``most_rounds``."""
+    up = written(edges.select(F.col("term").alias("ancestor"), "parent").filter("ancestor <> parent").distinct(), "edges")
+    at = up.select(F.col("ancestor").alias("term"), F.col("parent").alias("ancestor"))
+    near = at.withColumn("step", F.lit(1))
+    for step in range(2, hops + 1):
+        at = at.join(up, "ancestor").select("term", F.col("parent").alias("ancestor")).distinct()
+        near = near.unionByName(at.withColumn("step", F.lit(step)))
+    found = [written(near, "paths")]
+    near = found[0].select(F.col("term").alias("ancestor"), F.col("ancestor").alias("parent"), "step")
+    while not (last := found[-1].filter(F.col("step") == hops).select("term", "ancestor")).isEmpty():
         if len(found) > most_rounds:
             raise ValueError("the ontology has a cycle")
-        found.append(written(found[-1].join(up, "ancestor").select("term", F.col("parent").alias("ancestor")).distinct(), "paths"))
+        found.append(written(last.join(near, "ancestor").select("term", F.col("parent").alias("ancestor"), "step").distinct(), "paths"))
     every = found[0]
-    for more in found[1:-1]:
+    for more in found[1:]:
         every = every.unionByName(more)
-    return written(every.distinct(), "closure")
+    return written(every.select("term", "ancestor").distinct(), "closure")
 
 
 def inclusive_counts(terms: DataFrame, ancestors: DataFrame, counts: DataFrame) -> DataFrame:

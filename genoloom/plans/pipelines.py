@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import FEATURES, Settings
 from ..functions import scalars as X
 from ..operators import annotate, filters, genes, inheritance, meta, ontology, ranking, scoring
+from ..shared import written
 
 
 def score_variants(df: DataFrame, features: list[str], trees: list | None = None, model=None) -> DataFrame:
@@ -53,11 +54,13 @@ def rank_passed(df: DataFrame, top: int | None = None) -> DataFrame:
 
 
 def rf_ranking(df: DataFrame, trees: list, features: list[str], rare: bool = False, top: int | None = None, settings: Settings = Settings(), **resources) -> DataFrame:
-    """From annotated variants to a ranking: optional frequency cut, scores, priorities, ranks."""
+    """From annotated variants to a ranking: optional frequency cut, scores, priorities, ranks. The judged variants are
+    written to the shared folder and the passed ones read from there: else the optimizer would copy the whole score, with
+    the forest in it, into every rule of the filter on its way down to the scan."""
     df = scoring.max_frequency(filters.without_empty_rows(df))
     df = filters.rare(df, settings.rare_af) if rare else df
     scored = score_variants(df, features, trees)
-    return rank_passed(prioritize(scored, settings=settings, features=tuple(features), **resources), top)
+    return rank_passed(written(prioritize(scored, settings=settings, features=tuple(features), **resources), "judged"), top)
 
 
 def phenotype_tables(query: DataFrame, gene_terms: DataFrame, edges: DataFrame, counts: DataFrame, graph_edges: DataFrame, include_self: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -27,7 +28,8 @@ def fresh(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again."""
+    """``df`` written to the shared folder and read again; columns that are null without a type become text."""
+    df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c, t in df.dtypes if t == "void"})
     at = fresh(df.sparkSession, name)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
