@@ -361,33 +361,37 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = 32_768, head:
     unigram = np.concatenate([[max(rest, 1.0)], closed + 1])
     unigram /= unigram.sum()
     model = train(training, index, unigram, total) if total else LogBilinear(len(unigram), 4, unigram)
-    log_head = {w: (i, float(np.log10(c + 1))) for i, (w, c) in enumerate(top)}
-    sent = spark.sparkContext.broadcast((index, log_head, float(np.log10(ends + 1)), int(ends > 0), float(np.log10(max(rest, 1.0))), model))
+    place = {w: i for i, (w, _) in enumerate(top)}
+    logs = np.log10(np.array([c + 1 for _, c in top] + [1, ends + 1], dtype=np.float64))  # of the head, of other words until their count is known, of the end
+    sent = spark.sparkContext.broadcast((len(index), place, logs, int(ends > 0), float(np.log10(max(rest, 1.0))), model))
 
     def make():
-        index, log_head, log_end, end_known, log_rest, model = sent.value
+        closed, place, logs, end_known, log_rest, model = sent.value
         if "score" not in vars(model):
             model.score = model.scorer()  # once for all tasks of a Python worker
-        probabilities = model.score
-        closed, place = len(index), {w: i for w, (i, _) in log_head.items()}
-        logs = np.array([v for _, v in log_head.values()] + [0.0])
+        miss = len(place)  # of words that aren't in the head; the end comes after it
 
         def step(doc_ids, rows, texts):
-            ids, starts, words = _ids(texts, index)
+            get, at, starts, words = place.get, [], [], []
+            for x in texts:
+                found = words_of(x)
+                starts.append(len(at))
+                at += [get(w, miss) for w in found]
+                at.append(miss + 1)
+                words += found
+                words.append(END)
+            at, starts = np.array(at, dtype=np.int32), np.array(starts)
+            end, opened = at > miss, (at >= closed) & (at <= miss)
+            ids = np.where(end, STOP, np.where(opened, OPEN, at + 2)).astype(np.int32)
             w1, w2 = _contexts(ids, starts)
-            cost = probabilities(ids, w1, w2) / np.log(10)
-            lm = np.add.reduceat(cost, starts)
-            out: list[list] = [[] for _ in range(8)]
-            get, miss = place.get, len(logs) - 1
-            for d, row, found, total in zip(doc_ids, rows, words, lm.tolist()):
-                at = np.array([get(w, miss) for w in found], dtype=np.int64)
-                rare = Counter(w for w, i in zip(found, at.tolist()) if i == miss)
-                known = logs[at]
-                inside = known[at >= closed].sum()  # of the open class, those whose counts are here
-                opened = int((at >= closed).sum())
-                for column, value in zip(out, (d, row, len(found) + 1, int((at != miss).sum()) + end_known, float(known.sum() + log_end), float(total + inside - opened * log_rest), list(rare), list(rare.values()))):
-                    column.append(value)
-            return out
+            value = logs[at]
+            cost = model.score(ids, w1, w2) / np.log(10) + np.where(opened, value - log_rest, 0)  # of the open class, those whose counts are here
+            total = lambda x: np.add.reduceat(x, starts, dtype=np.float64)
+            known = total((at < miss) + end * end_known).astype(np.int64)
+            rare: list[Counter] = [Counter() for _ in texts]
+            for i, d in zip((far := np.flatnonzero(at == miss)).tolist(), (np.searchsorted(starts, far, side="right") - 1).tolist()):
+                rare[d][words[i]] += 1
+            return [doc_ids, rows, np.diff(starts, append=len(at)), known, total(value), total(cost), [list(r) for r in rare], [list(r.values()) for r in rare]]
 
         return step
 
