@@ -50,7 +50,7 @@ class _Words(dict):
 class Encoder:
     """ids of texts as little-endian bytes; ``words`` bounds each of the cache's two generations (about 200 bytes an entry)."""
 
-    def __init__(self, path: str, words: int = 300_000, special: bool = False):
+    def __init__(self, path: str, words: int = 200_000, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
