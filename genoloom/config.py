@@ -46,6 +46,13 @@ VARIANT_TYPE = {
 }
 CLINVAR = {"benign": 0.0, "likely_benign": 0.25, "uncertain_significance": 0.5, "likely_pathogenic": 0.75, "pathogenic": 1.0}
 HGMD = {"DM": 1.0, "DM?": 0.75}
+# The sentences of the question to a language model, in their order; models were asked in these words.
+PROMPT = {
+    "patient": "rare disease patient", "symptoms": " has the following symptoms: ",
+    "question": ". A causal variant in which of the following candidate genes would best explain these symptoms? ",
+    "type": "For each candidate gene the type of the variant is given in brackets. ",
+    "genotype": "Furthermore the genotype of the variant is included in the brackets if it is a homozygous variant. ", "genes": "Candidate genes: ",
+}
 MISSING = ("", ".", "nan", "NA")
 SEED = 14038
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import VARIANT_TYPE
+from ..config import PROMPT, VARIANT_TYPE
 from ..functions import scalars as X
 
 ENTRY = "gene string, consequence string, type string, rank int, score double, genotype string, variant string"
@@ -31,7 +31,7 @@ def parsed_entries(text: Column | str) -> Column:
 
 
 def entry_list(df: DataFrame) -> DataFrame:
-    """One ;-joined text a sample, entries by rank."""
+    """One ;-joined text a sample, entries by rank; a cell grows with a sample's entries, so give it the top-ranked ones."""
     texts = F.array_sort(F.collect_list(F.struct("rank", "gene", "variant", entry_text().alias("t"))))
     return df.groupBy("sample_id").agg(F.array_join(F.transform(texts, lambda x: x["t"]), ";").alias("entries"))
 
@@ -97,10 +97,8 @@ def prompts(patients: DataFrame, candidates: DataFrame, with_type: bool = True,
     genes = candidates.groupBy("sample_id").agg(F.array_join(F.transform(listed, lambda x: x["t"]), ", ").alias("_genes"))
     sex = F.when(F.coalesce("sex", F.lit("")) != "", F.concat("sex", F.lit(" "))).otherwise("")
     age = F.when(F.col("age").isNotNull(), F.concat(F.lit(" of age "), F.col("age").cast("int").cast("string"))).otherwise("")
-    hint = "For each candidate gene the type of the variant is given in brackets. " if with_type else ""
-    hint += "Furthermore the genotype of the variant is included in the brackets if it is a homozygous variant. " if with_type and with_genotype else ""
-    text = F.concat(F.lit("A "), sex, F.lit("rare disease patient"), age, F.lit(" has the following symptoms: "), "phenotypes",
-                    F.lit(". A causal variant in which of the following candidate genes would best explain these symptoms? " + hint + "Candidate genes: "), "_genes")
+    hint = PROMPT["type"] * with_type + PROMPT["genotype"] * (with_type and with_genotype)
+    text = F.concat(F.lit("A "), sex, F.lit(PROMPT["patient"]), age, F.lit(PROMPT["symptoms"]), "phenotypes", F.lit(PROMPT["question"] + hint + PROMPT["genes"]), "_genes")
     return patients.join(genes, "sample_id").select("sample_id", text.alias("prompt"))
 
 

@@ -421,10 +421,10 @@ def x23_evidence_gene(v):
     return df.select("variant_id", g["gene"].alias("gene"), g["consequence"].alias("consequence"), g["type"].alias("type"))
 
 
-@query("fx_variants", sql=f"_, {MOST}, {X06} SELECT v.sample_id, v.symbol AS gene, term AS consequence, {TYPES} AS type, CAST(v.variant_id AS INT) AS rank, round(cadd, 6) AS score, CASE WHEN v.variant_id % 2 = 0 THEN 'het' ELSE 'hom' END AS genotype, {KEY} AS variant FROM fx_variants v JOIN most USING (variant_id) JOIN keys USING (variant_id) WHERE v.symbol IS NOT NULL AND cadd IS NOT NULL")
+@query("fx_variants", sql=f"_, {MOST}, {X06}, r AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY cadd DESC) AS rk FROM fx_variants WHERE symbol IS NOT NULL AND cadd IS NOT NULL) SELECT v.sample_id, v.symbol AS gene, term AS consequence, {TYPES} AS type, CAST(rk AS INT) AS rank, round(cadd, 6) AS score, CASE WHEN v.variant_id % 2 = 0 THEN 'het' ELSE 'hom' END AS genotype, {KEY} AS variant FROM r v JOIN most USING (variant_id) JOIN keys USING (variant_id) WHERE rk <= 25")
 def x26_entry_round_trip(v):
-    """Entries to one text a sample and back, all their fields."""
-    df = v.filter("symbol IS NOT NULL AND cadd IS NOT NULL").withColumns({"gt": F.when(F.col("variant_id") % 2 == 0, "0|1").otherwise("1/1"), "rank": F.col("variant_id").cast("int"), "final_score": F.col("cadd")})
+    """A sample's top entries to one text and back, all their fields."""
+    df = ranking.top_ranked(v.filter("symbol IS NOT NULL AND cadd IS NOT NULL"), 25, "cadd").withColumns({"gt": F.when(F.col("variant_id") % 2 == 0, "0|1").otherwise("1/1"), "final_score": F.col("cadd")})
     back = meta.entry_list(meta.entries(df)).select("sample_id", F.explode(meta.parsed_entries("entries")).alias("e")).select("sample_id", "e.*")
     return back.withColumn("score", F.round("score", 6))
 

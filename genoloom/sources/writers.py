@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from ..operators.inheritance import MODES
 
-#: Header lines that a reduced VCF keeps.
+#: Header lines that a reduced VCF keeps, columns of the exchange format.
 KEPT_HEADER = ("##fileformat=", "##filedate=", "##source=", "##reference=", "##contig=", "##FORMAT=", "##FILTER=", "#CHROM")
 GSVAR_COLUMNS = ("chr", "start", "end", "ref", "obs", "filter", "coding_and_splicing", "OMIM", "ClinVar", "HGMD", "gnomAD", "gnomAD_sub", "phyloP",
                  "SpliceAI", "gene_info", "NGSD_hom", "NGSD_het", "classification", "MaxEntScan", "quality")
