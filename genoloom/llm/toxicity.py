@@ -81,13 +81,18 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs
 
     def make():
         def step(texts, ys):
-            found = [words_of(x) for x in texts]
-            return [[sorted(features(f)) for f in found], [sorted(features(counterfactual(f))) for f in found], ys]
+            out: list[list] = [[], [], [], ys]
+            for x in texts:
+                words = words_of(x)
+                own, other = features(words), features(counterfactual(words))
+                for column, found in zip(out, (own, own - other, other - own)):
+                    column.append(sorted(found))
+            return out
 
         return step
 
     sample = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long").alias("y"))  # about max_docs rows
-    rows = stored(map_rows(sample, make, "own array<string>, swapped array<string>, y long", ["text", "y"]), "labelled-features")
+    rows = stored(map_rows(sample, make, "own array<string>, lost array<string>, gained array<string>, y long", ["text", "y"], most=128), "labelled-features")  # what a swap takes and adds
     n, positive = rows.agg(F.count("*"), F.sum("y")).first()
     if not n:
         return {"index": {}, "w": np.zeros(0), "b": -np.inf}
@@ -102,14 +107,14 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs
     def pick():
         known = sent.value
 
-        def step(own, swapped, ys):
-            return [[[known[f] for f in x if f in known] for x in own], [[known[f] for f in x if f in known] for x in swapped], ys]
+        def step(*columns):
+            return [*[[[known[f] for f in x if f in known] for x in column] for column in columns[:3]], columns[3]]
 
         return step
 
-    got = map_rows(rows, pick, "own array<int>, swapped array<int>, y long", ["own", "swapped", "y"]).collect()
+    got = map_rows(rows, pick, "own array<int>, lost array<int>, gained array<int>, y long", ["own", "lost", "gained", "y"], most=128).collect()
     x = [np.array(r.own, dtype=np.int64) for r in got]
-    pairs = [(a, np.array(r.swapped, dtype=np.int64)) for a, r in zip(x, got)]
+    pairs = [(np.array(r.lost, dtype=np.int64), np.array(r.gained, dtype=np.int64)) for r in got]
     w, b = fit(x, np.array([r.y for r in got], dtype=float), pairs, len(index), fair=fair)
     return {"index": index, "w": w, "b": b}
 
