@@ -258,12 +258,13 @@ def _coded(docs: DataFrame, index: dict[bytes, int], rounds: int, shards: int) -
 
 
 def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, tokens: int, size: int = 16, rounds: int = 8, shard_tokens: int = 2_000_000, most_shards: int = 4096,
-          class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
+          class_noise: int = 32, word_noise: int = 5, batch: int | None = None, rate: float = 0.1) -> LogBilinear:
     """One pass over all of ``docs`` (``tokens`` in all) in ``rounds`` rounds of shards of about ``shard_tokens`` tokens
     (more, where that would make over ``most_shards`` of them). Every shard ends with the rows of the words and classes
     that it met, weighed by how often, in blocks; a task of each block takes the means, and the driver sees one model,
-    whatever the number of shards. Of the gradients' squared sums a mean for each row travels."""
-    spark = docs.sparkSession
+    whatever the number of shards. Of the gradients' squared sums a mean for each row travels. A step takes ``batch``
+    tokens, by default a 2048th of all, but 1024 to 8192."""
+    spark, batch = docs.sparkSession, batch or max(1024, min(8192, tokens // 2048))
     starts = class_starts(unigram)
     model = LogBilinear(len(unigram), size, unigram, starts)
     n, width, wide = len(model.rows), size + 3, 1024  # a row, its mean squared gradients, its weight; rows of a block
