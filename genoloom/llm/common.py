@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import folder
+
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once a session, for those that don't have it installed."""
@@ -28,16 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, only where that is unset and everything
-    runs on one machine (tests), a fresh local folder that is also made the checkpoint folder."""
+    """The folder that driver and executors share, where tasks also find this package."""
     ship(spark)
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        at = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
+    return folder(spark)
 
 
 def saved(df: DataFrame) -> DataFrame:
