@@ -317,7 +317,7 @@ t AS (SELECT variant_id, i, string_split(c, '&') AS ts FROM r), u AS (SELECT var
 best AS (SELECT variant_id, arg_min(i, CASE WHEN f IN ({listed(CANONICAL)}) THEN i ELSE 1000 + sv * 10 + i END) AS i FROM r JOIN m USING (variant_id, i) GROUP BY variant_id)
 SELECT chrom, pos, ref, alt, CAST(variant_id AS VARCHAR) AS qual, c AS consequence, imp AS impact, nullif(coalesce(symbol, ''), '') AS symbol, f AS feature, term AS most_severe, CASE WHEN imp = 'HIGH' THEN 1 ELSE 0 END AS "HIGH_IMPACT", 0 AS "IS_INDEL",
  {FILLED.format('gt')} AS gt, CASE WHEN variant_id % 4 = 0 THEN NULL ELSE CAST(variant_id % 30 AS INT) END AS dp, CAST(sample_id AS INT) AS ad_ref, CAST(variant_id % 5 AS INT) AS ad_alt, CASE WHEN sample_id + variant_id % 5 = 0 THEN 0.0 ELSE round((variant_id % 5) / (sample_id + variant_id % 5), 6) END AS af,
- CASE WHEN variant_id % 6 = 0 THEN 0.5 ELSE 0.25 END AS "MAX_AF", CASE WHEN variant_id % 2 = 0 THEN 0.75 ELSE 0.125 END AS spliceai, CASE WHEN variant_id % 7 > 0 THEN round((variant_id % 7) / 100.0, 6) END AS "homAF" FROM r JOIN best USING (variant_id, i) JOIN m USING (variant_id, i)"""
+ CAST(CASE WHEN variant_id % 6 = 0 THEN 0.5 ELSE 0.25 END AS DOUBLE) AS "MAX_AF", CAST(CASE WHEN variant_id % 2 = 0 THEN 0.75 ELSE 0.125 END AS DOUBLE) AS spliceai, CASE WHEN variant_id % 7 > 0 THEN round((variant_id % 7) / 100.0, 6) END AS "homAF" FROM r JOIN best USING (variant_id, i) JOIN m USING (variant_id, i)"""
 
 
 @register("fx_variants", "fx_genotypes", sql=FLAT_SQL)
