@@ -104,7 +104,9 @@ def whitened(df: DataFrame, most: int = 32, scale: int = 64, offset: int = 1_000
 
         return step
 
-    rows = map_rows(kept.withColumn("row", place).join(F.broadcast(spark.createDataFrame(offsets, "part long, start long")), part == F.col("part")).select("vec_id", "raw", (F.col("start") + F.col("row")).alias("i")), centred, "vec_id long, i long, v array<double>, deviation long", ["vec_id", "i", "raw"])
+    starts = F.broadcast(spark.createDataFrame(offsets, "part long, start long"))  # a row a part
+    placed = kept.select("vec_id", "raw", part.alias("part"), place.alias("place")).join(starts, "part").select("vec_id", "raw", (F.col("start") + F.col("place")).alias("i"))
+    rows = map_rows(placed, centred, "vec_id long, i long, v array<double>, deviation long", ["vec_id", "i", "raw"])
     rows = stored(rows, "centred-vectors")
     vectors = MLUtils.convertVectorColumnsFromML(rows.select("i", array_to_vector("v").alias("v")), "v")
     blocks = -(-n // block_rows)
