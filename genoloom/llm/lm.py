@@ -6,10 +6,11 @@ class among all classes, then itself among all words of its class; both normalis
 probabilities are normalised. A word of the open class costs the class's probability times its smoothed share of the
 counts that the class stands for, an unseen word one slot.
 
-Training passes over every training text, in a fixed number of rounds. A text's round and shard follow from a hash of
+Training passes over every training text, in rounds. A text's round and shard follow from a hash of
 its id and text, the number of shards from the number of tokens, so neither depends on how the table is laid out. In a
 round each shard runs stochastic gradient steps on its texts from the last round's model; then a word's parameters are
-averaged over the shards that met it, by how often they did.
+averaged over the shards that met it, by how often they did. More input means more shards, and beyond a number of them
+more rounds; a shard and a step are of one size.
 
 Word counts come from all training texts. The most frequent words (``head``, a fixed number) travel to the tasks;
 all other words meet their counts in a join, whose keys are rare by construction.
@@ -258,17 +259,17 @@ def _coded(docs: DataFrame, index: dict[bytes, int], rounds: int, shards: int) -
 
 
 def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, tokens: int, size: int = 16, rounds: int = 8, shard_tokens: int = 2_000_000, most_shards: int = 4096,
-          class_noise: int = 32, word_noise: int = 5, batch: int | None = None, rate: float = 0.1) -> LogBilinear:
-    """One pass over all of ``docs`` (``tokens`` in all) in ``rounds`` rounds of shards of about ``shard_tokens`` tokens
-    (more, where that would make over ``most_shards`` of them). Every shard ends with the rows of the words and classes
+          class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
+    """One pass over all of ``docs`` (``tokens`` in all) in ``rounds`` rounds of shards of about ``shard_tokens`` tokens.
+    Where that would make over ``most_shards`` shards a round there are more rounds instead, so a shard is never more than
+    one task's work, and its steps are of ``batch`` tokens, whatever the size of the input. Every shard ends with the rows of the words and classes
     that it met, weighed by how often, in blocks; a task of each block takes the means, and the driver sees one model,
-    whatever the number of shards. Of the gradients' squared sums a mean for each row travels. A step takes ``batch``
-    tokens, by default a 2048th of all, but 1024 to 8192."""
-    spark, batch = docs.sparkSession, batch or max(1024, min(8192, tokens // 2048))
+    whatever the number of shards. Of the gradients' squared sums a mean for each row travels."""
+    spark, rounds = docs.sparkSession, max(rounds, -(-tokens // (shard_tokens * most_shards)))
     starts = class_starts(unigram)
     model = LogBilinear(len(unigram), size, unigram, starts)
     n, width, wide = len(model.rows), size + 3, 1024  # a row, its mean squared gradients, its weight; rows of a block
-    shards = max(1, min(most_shards, round(tokens / (rounds * shard_tokens))))
+    shards = max(1, round(tokens / (rounds * shard_tokens)))
     coded = _coded(docs, index, rounds, shards)
     schema = arrow_schema("block int, k binary, v binary")
 
@@ -346,7 +347,7 @@ def frequent_words(words: DataFrame, head: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r.word), r.c) for r in words.filter(chosen).collect()), key=lambda x: (-x[1], x[0]))
 
 
-def score(docs: DataFrame, training: DataFrame, vocabulary: int = 32_768, head: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, vocabulary: int = 65_536 - 512, head: int = 100_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every text of ``docs`` after learning from
     ``training``. ``vocabulary`` bounds the model's words (so its memory: words and classes number in 16 bits), ``head`` the
     counts that travel to the tasks."""

@@ -71,13 +71,19 @@ def counterfactual(words: set[str]) -> set[str]:
     return {SWAP.get(w, w) for w in words}
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs: int = 5, least_z: float = 3.0, fair: float = 1.0) -> dict:
-    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). It reads about ``max_docs`` labelled
-    documents, chosen by a hash of their id, and keeps every feature of at least ``least_docs`` of them whose rate of
-    toxic documents departs from the average by a z-score of ``least_z``; so what is sent to the driver is bounded by
-    the sample."""
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, max_chars: int = 60_000_000, least_docs: int = 5, least_z: float = 3.0, fair: float = 1.0) -> dict:
+    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). It reads about ``max_docs`` labelled rows of
+    about ``max_chars`` characters at most, chosen by a hash of id and text (whole texts: a longer text takes the place of
+    several), and keeps every feature of at least ``least_docs`` of them whose rate of toxic documents departs from the
+    average by a z-score of ``least_z``; so what is sent to the driver is bounded by the sample. Equal rows, of one id and
+    text, say nothing more together than one of them and are learned once; rows that share an id alone are learned one by
+    one, each by its own text."""
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = hashed_share(marked, marked.count(), max_docs, "doc_id")
+    few = hashed_share(marked, marked.count(), max_docs, "doc_id")  # about max_docs ids; their rows may be more
+    labelled = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").withColumns({"h1": F.xxhash64("doc_id", "text"), "h2": F.xxhash64("text", "doc_id"), "chars": F.coalesce(F.length("text"), F.lit(0))})
+    known = stored(labelled.groupBy("h1", "h2").agg(F.first("chars").alias("chars")), "labelled-rows")
+    n, chars = known.agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    chosen = hashed_share(known, n, min(max_docs, max(1, n * max_chars // chars)) if chars > max_chars else max_docs, "h1", "h2")
 
     def make():
         def step(texts, ys):
@@ -91,7 +97,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 20_000, least_docs
 
         return step
 
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long").alias("y"))  # about max_docs rows
+    sample = labelled.join(F.broadcast(chosen.select("h1", "h2")), ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("text", F.col("toxic").cast("long").alias("y"))  # about max_docs rows
     rows = stored(map_rows(sample, make, "own array<string>, lost array<string>, gained array<string>, y long", ["text", "y"], most=128), "labelled-features")  # what a swap takes and adds
     n, positive = rows.agg(F.count("*"), F.sum("y")).first()
     if not n:

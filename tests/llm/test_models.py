@@ -158,6 +158,39 @@ def test_lm_gain_does_not_depend_on_the_layout(spark):
     assert gain[2] > 0.05 and abs(gain[2] - gain[200]) < 0.1 * gain[2]
 
 
+def test_lm_score_equals_a_plain_restatement(spark, monkeypatch):
+    """A given small model, its scores computed word by word in plain Python."""
+    texts = [(i, " ".join(f"w{(i * i + 3 * j) % (5 + i % 17)}" for j in range(i % 23))) for i in range(120)] + [(500, None), (501, "unseen w1 WORDS w2"), (502, "w3")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    training = docs.filter("doc_id < 100")
+    made = {}
+
+    def given(docs, index, unigram, tokens):
+        made["index"], made["model"] = index, lm.LogBilinear(len(unigram), 4, unigram, lm.class_starts(unigram), seed=3)
+        made["model"].rows[: len(unigram)] += np.random.default_rng(9).normal(0, 0.3, (len(unigram), 5)).astype(np.float32)
+        return made["model"]
+
+    monkeypatch.setattr(lm, "train", given)
+    got = {r.doc_id: r.score for r in lm.score(docs, training, vocabulary=12, head=20).collect()}
+    counts = Counter(w for i, t in texts if i < 100 for w in (t or "").lower().split())
+    total, distinct = sum(counts.values()) + 100, len(counts) + 1
+    m, index = made["model"], {k.decode(): v for k, v in made["index"].items()}
+    assert len(index) == 10 and set(index) < set(counts)
+    rest = total + distinct + 1 - sum(counts[w] + 1 for w in index) - (100 + 1)
+    for i, t in texts:
+        tokens = [*(t or "").lower().split(), None]
+        ids, want, before = [lm.STOP if w is None else index.get(w, lm.OPEN) for w in tokens], 0.0, [lm.STOP, lm.STOP]
+        for w, k in zip(tokens, ids):
+            q = m.R[before[-1]].astype(float) @ m.C[0] + m.R[before[-2]].astype(float) @ m.C[1]
+            c = m.of[k]
+            classes = [q @ m.S[j] + m.a[j] for j in range(len(m.sizes))]
+            own = [q @ m.R[j] + m.b[j] for j in range(m.starts[c], m.starts[c + 1])]
+            p = math.exp(classes[c]) / sum(map(math.exp, classes)) * (math.exp(own[k - m.starts[c]]) / sum(map(math.exp, own)) if len(own) > 1 else 1)
+            want += math.log10(p * ((counts[w] + 1) / rest if k == lm.OPEN else 1))
+            before.append(k)
+        assert abs(got[i] - want) < 1e-3 * max(1, abs(want)), (i, got[i], want)
+
+
 def test_lm_even_counts(spark):
     words = spark.createDataFrame([(f"w{i}".encode(), 5) for i in range(4000)] + [(b"often", 90)], "word binary, c long")
     top = lm.frequent_words(words, 500)
@@ -313,6 +346,21 @@ def test_identity_terms_lose_their_weight(spark):
     assert gap[5.0] < 0.5 * gap[0.0]
 
 
+def test_toxicity_sample_is_bounded_in_rows_and_characters(spark, monkeypatch):
+    """Few ids with thousands of rows: rows count, not ids; and few long texts in place of many."""
+    fitted, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda x, y, *more, **named: (fitted.append(len(x)), fit(x, y, *more, **named))[1])
+    docs = spark.createDataFrame([(i % 6, f"{prose(i, 12)} {'idiot' if i % 6 % 2 else 'person'}") for i in range(6000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_docs=400)
+    assert 250 <= fitted[-1] <= 550 and model["w"][model["index"]["idiot"]] > 0
+    chars = docs.selectExpr("sum(length(text))").first()[0]
+    toxicity.train(docs, labels, max_chars=chars // 20)
+    assert 200 <= fitted[-1] <= 420
+    toxicity.train(docs.unionByName(docs), labels)
+    assert fitted[-1] == docs.distinct().count()  # equal rows are learned once
+
+
 def test_toxicity_odd_documents(spark):
     labels = spark.createDataFrame([(5, 1, 0), (5, 0, 0), (6, None, 1), (10, 0, 1), (None, 1, 1)], "doc_id long, toxic int, row int")
     docs = odd_documents(spark)
