@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -9,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURES, MEAN, MEDIAN, POPULATIONS, SPLICE, SYNONYMOUS, Settings
 from ..functions import scalars as X
+from ..functions.forests import FlatForest
+from ..shared import fresh, ship
 
 
 def max_frequency(df: DataFrame, populations: tuple[str, ...] = POPULATIONS) -> DataFrame:
@@ -60,23 +66,35 @@ def forest(trees: list[dict[int, tuple]]) -> Column:
     return sum(leaves[1:], leaves[0]) / len(leaves)
 
 
+def scored_by(df: DataFrame, trees: list[dict[int, tuple]], out: str = "pathogenicity", most_nodes: int = 200) -> DataFrame:
+    """``df`` with the forest's probability of class 1. Up to ``most_nodes`` nodes become one code-generated expression;
+    a larger forest is sent to the executors once, as flat arrays, and looked up by whole Arrow batches: nested conditions
+    of that size take minutes to plan and don't compile."""
+    if sum(map(len, trees)) <= most_nodes:
+        return df.withColumn(out, forest(trees))
+    flat = FlatForest(trees)
+    ship(df.sparkSession)
+    sent = df.sparkSession.sparkContext.broadcast(flat)  # of the model's size
+
+    def looked_up(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            yield pd.Series(sent.value(np.column_stack([c.to_numpy("float64", na_value=np.nan) for c in columns])))
+
+    return df.withColumn(out, F.pandas_udf(looked_up, "double")(*[F.col(f).cast("double") for f in flat.features]))
+
+
 def trees_of(model, features: list[str]) -> list[dict[int, tuple]]:
-    """The node tables of a fitted Spark forest, for ``forest``; leaves hold the share of class 1."""
-    out = []
-    for t in model.trees:
-        nodes: dict[int, tuple] = {}
-
-        def walk(node, at):
-            if node.subtreeDepth() == 0:
-                stats = list(node.impurityStats().stats())
-                nodes[at] = (stats[1] / sum(stats),)
-                return
-            nodes[at] = (features[node.split().featureIndex()], node.split().threshold(), 2 * at + 1, 2 * at + 2)
-            walk(node.leftChild(), 2 * at + 1)
-            walk(node.rightChild(), 2 * at + 2)
-
-        walk(t._call_java("rootNode"), 0)
-        out.append(nodes)
+    """The node tables of a fitted Spark forest, for ``scored_by``; leaves hold the share of class 1. They are read from the
+    model's files in the shared folder, all nodes at once."""
+    from pyspark.sql import SparkSession
+
+    spark, path = SparkSession.active(), fresh(SparkSession.active(), "forest")
+    model.write().save(path)
+    out: list[dict[int, tuple]] = [{} for _ in range(model.getNumTrees)]
+    for r in spark.read.parquet(f"{path}/data").collect():  # of the model's size
+        node, split = r.nodeData, r.nodeData.split
+        leaf = node.leftChild < 0
+        out[r.treeID][node.id] = (node.impurityStats[1] / sum(node.impurityStats),) if leaf else (features[split.featureIndex], split.leftCategoriesOrThreshold[0], node.leftChild, node.rightChild)
     return out
 
 

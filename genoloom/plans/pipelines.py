@@ -14,7 +14,7 @@ from ..shared import written
 def score_variants(df: DataFrame, features: list[str], trees: list | None = None, model=None) -> DataFrame:
     """``df`` with pathogenicity: features imputed for the model alone, a forest (node tables or a fitted model), overrides."""
     x = scoring.with_imputed(scoring.max_frequency(df), tuple(features))
-    x = scoring.predict(x, model) if model is not None else x.withColumn("pathogenicity", scoring.forest(trees))
+    x = scoring.predict(x, model) if model is not None else scoring.scored_by(x, trees)
     return x.withColumn("pathogenicity", scoring.overridden(F.col("pathogenicity"))).drop(*[f"x_{f}" for f in features])
 
 
@@ -53,13 +53,14 @@ def rank_passed(df: DataFrame, top: int | None = None) -> DataFrame:
     return ranking.top_ranked(out, top) if top else ranking.ranked(out)
 
 
-def rf_ranking(df: DataFrame, trees: list, features: list[str], rare: bool = False, top: int | None = None, settings: Settings = Settings(), **resources) -> DataFrame:
-    """From annotated variants to a ranking: optional frequency cut, scores, priorities, ranks. The judged variants are
+def rf_ranking(df: DataFrame, trees: list | None, features: list[str], rare: bool = False, top: int | None = None, settings: Settings = Settings(), model=None, **resources) -> DataFrame:
+    """From annotated variants to a ranking: optional frequency cut, scores (of node tables or of a fitted ``model`` on the
+    columns x_<feature>), priorities, ranks. The judged variants are
     written to the shared folder and the passed ones read from there: else the optimizer would copy the whole score, with
     the forest in it, into every rule of the filter on its way down to the scan."""
     df = scoring.max_frequency(filters.without_empty_rows(df))
     df = filters.rare(df, settings.rare_af) if rare else df
-    scored = score_variants(df, features, trees)
+    scored = score_variants(df, features, trees, model)
     return rank_passed(written(prioritize(scored, settings=settings, features=tuple(features), **resources), "judged"), top)
 
 
@@ -88,7 +89,7 @@ def meta_table_rf(rf: DataFrame, rf_picks: DataFrame) -> DataFrame:
 
 
 def meta_ranking(table: DataFrame, trees: list | None = None, model=None) -> DataFrame:
-    scored = scoring.predict(table, model, "meta_score") if model is not None else table.withColumn("meta_score", scoring.forest(trees))
+    scored = scoring.predict(table, model, "meta_score") if model is not None else scoring.scored_by(table, trees, "meta_score")
     return meta.meta_ranked(scored)
 
 

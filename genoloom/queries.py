@@ -570,12 +570,54 @@ def m01_trained_forest(v):
     return p.select("variant_id", F.abs(F.round(F.col("pathogenicity") - F.col("again"), 6)).alias("difference"), F.col("pathogenicity").between(0, 1).alias("probability"))
 
 
-@query("fx_variants", sql="SELECT variant_id, symbol, max_af FROM fx_variants WHERE NOT (variant_id % 5 = 0 AND symbol IS NULL) AND variant_id % 7 <> 0")
+def steps(feature: str, thresholds: list[float]) -> dict[int, tuple]:
+    """A balanced tree whose leaf is the share of ``thresholds`` (ascending) below the feature."""
+    nodes: dict[int, tuple] = {}
+
+    def grow(lo: int, hi: int) -> int:
+        at, nodes[at] = len(nodes), ()
+        mid = (lo + hi) // 2
+        nodes[at] = (feature, thresholds[mid], grow(lo, mid), grow(mid + 1, hi)) if lo < hi else (lo / len(thresholds),)
+        return at
+
+    grow(0, len(thresholds))
+    return nodes
+
+
+def two_sided(t: int) -> dict[int, tuple]:
+    """Tree ``t`` of the large forest, ten conditions deep: steps of the frequency, or of SIFT where CADD is large."""
+    low, high = steps("x_MAX_AF", [(k + 0.5 + t / 2000) / 12800 for k in range(511)]), steps("x_SIFT", [(k + 0.51 + t / 2500) / 511 for k in range(511)])
+    moved = lambda nodes, by: {i + by: n if len(n) == 1 else (n[0], n[1], n[2] + by, n[3] + by) for i, n in nodes.items()}
+    return {0: ("x_CADD_PHRED", 5 + t / 10, 1, 1 + len(low))} | moved(low, 1) | moved(high, 1 + len(low))
+
+
+step_sql = lambda x, width, shift, by: f"least(511, greatest(0, ceil({x} * {width} - CAST({shift} AS DOUBLE) - CAST(t AS DOUBLE) / {by}))) / 511"
+
+
+@query("fx_variants", sql=f"""_, x AS (SELECT variant_id, CAST({x_sift} AS DOUBLE) AS s, CAST({x_cadd} AS DOUBLE) AS c, CAST({x_af} AS DOUBLE) AS a FROM fx_variants)
+SELECT variant_id, round(list_sum(list_transform(range(200), lambda t: CASE WHEN c <= 5 + CAST(t AS DOUBLE) / 10 THEN {step_sql("a", 12800, 0.5, 2000)} ELSE {step_sql("s", 511, 0.51, 2500)} END)) / 200, 6) AS p FROM x""")
+def m04_large_forest(v):
+    """200 trees of depth 10, as flat arrays."""
+    x = scoring.with_imputed(as_features(v), tuple(USED))
+    return scoring.scored_by(x, [two_sided(t) for t in range(200)], "p").select("variant_id", r6("p").alias("p"))
+
+
+@query("fx_variants", sql="SELECT variant_id, 0.0 AS difference, true AS probability FROM fx_variants")
+def m03_full_forest(v):
+    """A forest of the trainer's own size, 50 trees of depth 8, by Spark and as flat arrays."""
+    df = scoring.with_imputed(as_features(v), tuple(USED)).withColumn("label", (F.col("impact") == "HIGH").cast("double"))
+    names = [f"x_{f}" for f in USED]
+    model = scoring.train_forest(df, names)
+    p = scoring.scored_by(scoring.predict(df, model), scoring.trees_of(model.stages[-1], names), "again")
+    return p.select("variant_id", F.abs(F.round(F.col("pathogenicity") - F.col("again"), 6)).alias("difference"), F.col("pathogenicity").between(0, 1).alias("probability"))
+
+
+@query("fx_variants", sql="SELECT variant_id, symbol, max_af FROM fx_variants WHERE variant_id % 7 <> 0")
 def f09_empty_rows(v):
     """Rows without any value go, those with one stay."""
     bare = F.col("variant_id") % 7 == 0
     df = v.select(*[F.when(~bare, F.col(c)).alias(c) for c in ("variant_id", "symbol", "max_af")])
-    return filters.without_empty_rows(df).filter("NOT (variant_id % 5 = 0 AND symbol IS NULL)")
+    return filters.without_empty_rows(df)
 
 
 @query("fx_variants", sql="SELECT variant_id, sift AS source, symbol AS gene FROM fx_variants")

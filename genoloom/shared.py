@@ -1,7 +1,10 @@
-"""The folder that driver and executors share, and tables written there to cut lineage."""
+"""What driver and executors share: a folder, tables written there to cut lineage, and this package."""
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +18,20 @@ def folder(spark: SparkSession) -> str:
     if not at:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        import tempfile
-
         at = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a session, for those that don't have it installed."""
+    package, context = os.path.dirname(os.path.abspath(__file__)), spark.sparkContext
+    if not getattr(context, "_genoloom_shipped", False):
+        at = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="spark-"), "genoloom"), "zip", os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(at)
+        context._genoloom_shipped = True
+
+
 def fresh(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to."""
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"

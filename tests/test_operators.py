@@ -2,12 +2,19 @@
 
 import math
 import random
+import time
 from statistics import median
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from genoloom import fixtures, queries
+from genoloom.functions.forests import FlatForest
 from genoloom.operators import annotate, filters, genes, inheritance, meta, ontology, ranking, scoring
+from genoloom.plans import pipelines
+
+from .conftest import SMALL
 
 
 def test_overlap_equals_nested_loop_and_is_an_equi_join(spark):
@@ -130,6 +137,64 @@ def test_trees_as_expressions_equal_the_model(spark):
     assert both.filter("abs(pathogenicity - expression) > 1e-9").count() == 0
 
 
+def random_tree(r, features, depth):
+    """A lopsided tree with repeated thresholds."""
+    nodes = {}
+
+    def grow(depth):
+        at, nodes[at] = len(nodes), ()
+        nodes[at] = (r.random(),) if depth == 0 or (depth < 8 and r.random() < 0.15) else (r.choice(features), round(r.random(), 2), grow(depth - 1), grow(depth - 1))
+        return at
+
+    grow(depth)
+    return nodes
+
+
+def leaf_of(tree, row):
+    at = 0
+    while len(tree[at]) > 1:
+        f, threshold, left, right = tree[at]
+        at = left if row[f] is not None and row[f] <= threshold else right
+    return tree[at][0]
+
+
+def test_flat_forests_equal_walks_down_the_trees():
+    r = random.Random(8)
+    trees = [random_tree(r, ["a", "b", "c"], d) for d in (0, 1, 3, 6, 7, 9, 10, 10)]
+    assert max(sum(len(n) == 1 for n in t.values()) for t in trees) > 500
+    rows = [{f: r.choice([None, float("nan"), round(r.random(), 2), r.random(), -1.0, 2.0]) for f in "abc"} for _ in range(400)]
+    want = [sum(leaf_of(t, row) for t in trees) / len(trees) for row in rows]
+    x = np.array([[np.nan if row[f] is None else row[f] for f in "abc"] for row in rows])
+    for table_bytes in (1 << 25, 1 << 12):
+        flat = FlatForest(trees, ["a", "b", "c"], table_bytes)
+        assert (len(flat.groups) > 1) == (table_bytes < 1 << 20)
+        assert np.allclose(flat(x), want, atol=1e-12)
+
+
+def test_a_large_forest_is_planned_in_no_time(spark):
+    """200 trees of depth 10, equal to the walk; null features go right."""
+    r = random.Random(3)
+    trees = [random_tree(r, ["a", "b"], 10) for _ in range(200)]
+    rows = [(i, None if i % 7 == 0 else r.random(), r.random()) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    began = time.time()
+    scored = scoring.scored_by(df, trees, "p")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - began < 10 and "CASE WHEN" not in plan and plan.count("ArrowEvalPython") == 1
+    got = {x.id: x.p for x in scored.collect()}
+    assert all(abs(got[i] - sum(leaf_of(t, {"a": a, "b": b}) for t in trees) / 200) < 1e-12 for i, a, b in rows)
+
+
+def test_ranking_by_a_fitted_model(spark):
+    """The same ranks from the model as from its node tables."""
+    v = queries.as_features(fixtures.fixture(spark, SMALL, "fx_variants"))
+    names = [f"x_{f}" for f in queries.USED]
+    model = scoring.train_forest(scoring.with_imputed(v, tuple(queries.USED)).withColumn("label", (F.col("impact") == "HIGH").cast("double")), names, trees=20, depth=7)
+    trees = scoring.trees_of(model.stages[-1], names)
+    ranks = [sorted(map(tuple, pipelines.rf_ranking(v, t, queries.USED, top=10, model=m).select("sample_id", "variant_id", "rank").collect())) for t, m in ((trees, None), (None, model))]
+    assert ranks[0] == ranks[1] and len(ranks[0]) > 20
+
+
 def test_ranks_prune_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("sample_id"), F.rand(1).alias("final_score"))
     assert "WindowGroupLimit" in ranking.top_ranked(df, 5)._jdf.queryExecution().toString()
