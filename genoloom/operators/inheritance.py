@@ -23,11 +23,8 @@ def _type(family: str) -> Column:
     return F.lit(family) if family in FAMILIES else F.col(family)
 
 
-def family_verdicts(genotypes: DataFrame, family: str = "TRIO", keys: tuple[str, ...] = ("variant_id",)) -> DataFrame:
-    """Flags of de novo, dominant, recessive and x-linked inheritance per variant, of (keys, member, affected, gt).
-    A verdict is 1 iff no member contradicts and at least one supports it. ``family``: TRIO or MULTI, or a column that
-    says which, one type for each group of ``keys``. The x-linked one is for variants on X alone and asks for both a
-    carrier and a non-carrier among the unaffected."""
+def _verdicts(family: str) -> dict[str, Column]:
+    """The aggregates behind ``family_verdicts``."""
     g, aff, un = _gt(), F.col("affected") == 1, F.col("affected") == 0
     is_ = lambda *x: g.isin(*x)
     multi = _type(family) == "MULTI"
@@ -39,7 +36,15 @@ def family_verdicts(genotypes: DataFrame, family: str = "TRIO", keys: tuple[str,
     verdict = {m: F.when((_any(bad) == 0) & (_any(good) == 1), 1).otherwise(0) for m, (good, bad) in rules.items()}
     x_bad = (aff & is_("0/0", "0/1")) | (un & is_("1/1"))
     verdict["xlinked"] = F.when((_any(x_bad) == 0) & (_any(un & is_("0/1")) == 1) & (_any(un & is_("0/0")) == 1), 1).otherwise(0)
-    return genotypes.groupBy(*keys).agg(*[v.alias(m) for m, v in verdict.items()])
+    return verdict
+
+
+def family_verdicts(genotypes: DataFrame, family: str = "TRIO", keys: tuple[str, ...] = ("variant_id",)) -> DataFrame:
+    """Flags of de novo, dominant, recessive and x-linked inheritance per variant, of (keys, member, affected, gt).
+    A verdict is 1 iff no member contradicts and at least one supports it. ``family``: TRIO or MULTI, or a column that
+    says which, one type for each group of ``keys``. The x-linked one is for variants on X alone and asks for both a
+    carrier and a non-carrier among the unaffected."""
+    return genotypes.groupBy(*keys).agg(*[v.alias(m) for m, v in _verdicts(family).items()])
 
 
 def on_x(chrom: str = "chrom") -> Column:
@@ -54,28 +59,33 @@ def dominant_single(gt: str = "gt") -> Column:
     return F.when(_gt(gt) == "0/1", 1).otherwise(0)
 
 
-def _by_gene(df: DataFrame, gene: str, keys: tuple[str, ...]) -> Window:
-    """A window of a gene's variants. Those without a gene, most of a genome, need no window: they are dealt by a hash."""
-    spread = F.when(F.col(gene).isNull(), F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]))
-    return Window.partitionBy(*keys, gene, spread)
+def _by_gene(df: DataFrame, gene: str, keys: tuple[str, ...], id_col: str) -> Window:
+    """A window of a gene's variants. Those without a gene, most of a genome, need no window: they are dealt by their id."""
+    return Window.partitionBy(*keys, gene, F.when(F.col(gene).isNull(), F.xxhash64(id_col)))
 
 
-def compound_single(df: DataFrame, gene: str = "symbol", gt: str = "gt", keys: tuple[str, ...] = ("sample_id",)) -> DataFrame:
-    """compound = 1 for the heterozygous variants of a gene that has at least two; 0 without a gene."""
+def _single(gene: str, gt: str, w: Window) -> Column:
     het = F.when(_gt(gt) == "0/1", 1).otherwise(0)
-    many = F.sum(het).over(_by_gene(df, gene, keys)) >= 2
-    return df.withColumn("compound", F.when(F.col(gene).isNotNull() & (het == 1) & many, 1).otherwise(0))
+    return F.when(F.col(gene).isNotNull() & (het == 1) & (F.sum(het).over(w) >= 2), 1).otherwise(0)
 
 
-def compound_trio(df: DataFrame, gene: str = "symbol", child: str = "gt_child", first: str = "gt_first", second: str = "gt_second", keys: tuple[str, ...] = ("sample_id",)) -> DataFrame:
-    """compound = 1 for the child's heterozygous variants that come from one parent alone, where the gene has some from
-    either parent: the same rows as all pairs in trans would flag, by two window maxima."""
+def _trio(gene: str, child: str, first: str, second: str, w: Window) -> Column:
     c, p, m = _gt(child), _gt(first), _gt(second)
     from_first = (c == "0/1") & (p == "0/1") & (m == "0/0")
     from_second = (c == "0/1") & (p == "0/0") & (m == "0/1")
-    w = _by_gene(df, gene, keys)
     both = (_any(from_first).over(w) == 1) & (_any(from_second).over(w) == 1)
-    return df.withColumn("compound", F.when(F.col(gene).isNotNull() & both & (from_first | from_second), 1).otherwise(0))
+    return F.when(F.col(gene).isNotNull() & both & (from_first | from_second), 1).otherwise(0)
+
+
+def compound_single(df: DataFrame, gene: str = "symbol", gt: str = "gt", keys: tuple[str, ...] = ("sample_id",), id_col: str = "variant_id") -> DataFrame:
+    """compound = 1 for the heterozygous variants of a gene that has at least two; 0 without a gene."""
+    return df.withColumn("compound", _single(gene, gt, _by_gene(df, gene, keys, id_col)))
+
+
+def compound_trio(df: DataFrame, gene: str = "symbol", child: str = "gt_child", first: str = "gt_first", second: str = "gt_second", keys: tuple[str, ...] = ("sample_id",), id_col: str = "variant_id") -> DataFrame:
+    """compound = 1 for the child's heterozygous variants that come from one parent alone, where the gene has some from
+    either parent: the same rows as all pairs in trans would flag, by two window maxima."""
+    return df.withColumn("compound", _trio(gene, child, first, second, _by_gene(df, gene, keys, id_col)))
 
 
 def inheritance_text(denovo: str = "denovo", dominant: str = "dominant", recessive: str = "recessive", compound: str = "compound", xlinked: str = "xlinked") -> Column:
@@ -89,21 +99,28 @@ def inheritance(variants: DataFrame, genotypes: DataFrame, family: str = "TRIO",
 
     ``family`` is SINGLE, TRIO or MULTI, or a column of ``genotypes`` that says so for each family. ``keys`` (such as a
     family's or its patient's id, in both tables) tell families apart that carry the same variant, so one job serves a
-    cohort of all three types. The child is the affected member, a trio's parents the first two unaffected ones by name;
-    a variant without genotypes gets no flag."""
+    cohort of all three types. Roles follow from the members' status: the child is the affected one, the parents are the
+    two unaffected ones by name. A trio with other than one affected and two unaffected members has no such roles, so none
+    of its variants is compound (the other flags ask for no roles). A variant without genotypes gets no flag.
+
+    The genotypes are aggregated in one shuffle, and the flags of all family types come from one window."""
     by = [*keys, id_col]
     typed = genotypes.withColumn("_family", _type(family))
-    side = Window.partitionBy(*by).orderBy(F.desc("affected"), "member")
-    wide = typed.withColumn("_n", F.row_number().over(side)).groupBy(*by).agg(F.max("_family").alias("_family"), *[F.max(F.when(F.col("_n") == i, F.col("gt"))).alias(c) for i, c in ((1, "gt_child"), (2, "gt_first"), (3, "gt_second"))])
-    df = variants.join(wide.join(family_verdicts(typed, "_family", tuple(by)), by), by, "left")
-    own = tuple(k for k in dict.fromkeys(("sample_id", *keys)) if k in df.columns)
-    df = compound_single(df, gt="gt_child", keys=own).withColumnRenamed("compound", "_single")
-    df = compound_trio(df, keys=own)
+    aff, un = F.col("affected") == 1, F.col("affected") == 0
+    unaffected = F.when(un, F.col("member"))
+    roles = {
+        "_family": F.max("_family"), "_trio": F.coalesce((F.count_if(aff) == 1) & (F.count_if(un) == 2), F.lit(False)), "gt_child": F.min_by("gt", F.struct(F.when(aff, 0).otherwise(1), "member")),
+        "gt_first": F.min_by("gt", unaffected), "gt_second": F.max_by("gt", unaffected),
+    }
+    known = typed.groupBy(*by).agg(*[c.alias(n) for n, c in (roles | _verdicts("_family")).items()])
+    df = variants.join(known, by, "left")
+    w = _by_gene(df, "symbol", tuple(k for k in dict.fromkeys(("sample_id", *keys)) if k in df.columns), id_col)
+    df = df.select("*", _single("symbol", "gt_child", w).alias("_single"), _trio("symbol", "gt_child", "gt_first", "gt_second", w).alias("_pair"))
     is_ = lambda name: F.coalesce(F.col("_family") == name, F.lit(False))
     flag = lambda c, *types: F.when(F.coalesce(F.col("_family").isin(*types), F.lit(False)), F.coalesce(c, F.lit(0))).otherwise(0)
     df = df.withColumns({
-        "compound": F.when(is_("SINGLE"), F.col("_single")).otherwise(flag(F.col("compound"), "TRIO")),
+        "compound": F.when(is_("SINGLE"), F.col("_single")).otherwise(flag(F.when(F.col("_trio"), F.col("_pair")), "TRIO")),
         "recessive": F.when(is_("SINGLE"), recessive_single("gt_child")).otherwise(flag(F.col("recessive"), "TRIO", "MULTI")),
         "dominant": flag(F.col("dominant"), "TRIO", "MULTI"), "denovo": flag(F.col("denovo"), "TRIO"), "xlinked": F.when(on_x(), flag(F.col("xlinked"), "TRIO", "MULTI")).otherwise(0),
     })
-    return df.withColumn("inheritance", inheritance_text()).drop("gt_child", "gt_first", "gt_second", "_family", "_single")
+    return df.withColumn("inheritance", inheritance_text()).drop("gt_child", "gt_first", "gt_second", "_family", "_single", "_pair", "_trio")

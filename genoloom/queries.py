@@ -703,8 +703,8 @@ def f06_all_outcomes(v):
 
 
 FAMILIES = f"""_, fam AS (SELECT variant_id, sample_id, symbol, chrom, 0 AS moved FROM fx_variants UNION ALL SELECT variant_id, sample_id + 100, symbol, chrom, 1 FROM fx_variants), typed AS (SELECT *, CASE sample_id % 3 WHEN 0 THEN 'SINGLE' WHEN 1 THEN 'TRIO' ELSE 'MULTI' END AS kind FROM fam),
-gts AS (SELECT f.*, member, affected, CASE WHEN moved = 1 AND {GT} = '0/0' THEN '0/1' ELSE {GT} END AS gt FROM typed f JOIN fx_genotypes USING (variant_id) WHERE kind <> 'SINGLE' OR member = 0),
-w AS (SELECT sample_id, variant_id, symbol, chrom, kind, max(CASE WHEN member = 0 THEN gt END) AS c, max(CASE WHEN member = 1 THEN gt END) AS p, max(CASE WHEN member = 2 THEN gt END) AS m,
+gts AS (SELECT f.*, member, CASE WHEN kind = 'TRIO' AND sample_id % 4 = 1 AND member = 1 THEN 1 ELSE affected END AS affected, CASE WHEN moved = 1 AND {GT} = '0/0' THEN '0/1' ELSE {GT} END AS gt FROM typed f JOIN fx_genotypes USING (variant_id) WHERE kind <> 'SINGLE' OR member = 0),
+w AS (SELECT sample_id, variant_id, symbol, chrom, kind, sum(affected) AS ill, max(CASE WHEN member = 0 THEN gt END) AS c, max(CASE WHEN member = 1 THEN gt END) AS p, max(CASE WHEN member = 2 THEN gt END) AS m,
  max(CASE WHEN affected = 0 AND gt = '0/1' OR affected = 1 AND gt = '0/0' OR gt = '1/1' THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt = '0/1' OR affected = 0 AND gt = '0/0' THEN 1 ELSE 0 END) = 1 AND kind = 'TRIO' AS denovo,
  max(CASE WHEN affected = 1 AND gt = '0/0' OR affected = 0 AND gt IN ('0/1', '1/1') THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt IN ('0/1', '1/1') OR affected = 0 AND gt = '0/0' THEN 1 ELSE 0 END) = 1 AND kind <> 'SINGLE' AS dominant,
  CASE kind WHEN 'SINGLE' THEN max(CASE WHEN gt = '1/1' THEN 1 ELSE 0 END) = 1 WHEN 'TRIO' THEN max(CASE WHEN affected = 1 AND gt IN ('0/0', '0/1') OR affected = 0 AND gt IN ('1/1', '0/0') THEN 1 ELSE 0 END) = 0 AND max(CASE WHEN affected = 1 AND gt = '1/1' OR affected = 0 AND gt = '0/1' THEN 1 ELSE 0 END) = 1
@@ -715,14 +715,16 @@ k AS (SELECT *, c = '0/1' AND p = '0/1' AND m = '0/0' AS a, c = '0/1' AND p = '0
 
 
 @query("fx_variants", "fx_genotypes", sql=FAMILIES + """ SELECT sample_id, variant_id, concat_ws('&', CASE WHEN dominant THEN 'DOMINANT' END, CASE WHEN denovo THEN 'DOMINANT_DENOVO' END, CASE WHEN recessive THEN 'RECESSIVE' END,
- CASE WHEN symbol IS NOT NULL AND (kind = 'SINGLE' AND c = '0/1' AND hets >= 2 OR kind = 'TRIO' AND both_ AND (a OR b)) THEN 'COMPOUND' END, CASE WHEN xlinked THEN 'XLINKED' END) AS inheritance FROM s""")
+ CASE WHEN symbol IS NOT NULL AND (kind = 'SINGLE' AND c = '0/1' AND hets >= 2 OR kind = 'TRIO' AND ill = 1 AND both_ AND (a OR b)) THEN 'COMPOUND' END, CASE WHEN xlinked THEN 'XLINKED' END) AS inheritance FROM s""")
 def c03_families(v, g):
-    """C3 for a cohort: single patients, trios and larger families in one job, two families for each variant."""
+    """C3 for a cohort: single patients, trios (of some a parent is ill, too) and larger families in one job, two families
+    for each variant."""
     moved = v.withColumns({"sample_id": F.col("sample_id") + 100})
     kind = F.element_at(F.array(*map(F.lit, inheritance.FAMILIES)), (F.col("sample_id") % 3 + 1).cast("int"))
     of = lambda d, gt: d.select("variant_id", "sample_id").join(g.withColumn("gt", gt), "variant_id")
     plain = F.replace("gt", F.lit("|"), F.lit("/"))
     gts = of(v, F.col("gt")).unionByName(of(moved, F.when(plain == "0/0", "0/1").otherwise(F.col("gt")))).withColumn("kind", kind).filter("kind <> 'SINGLE' OR member = 0")
+    gts = gts.withColumn("affected", F.when((F.col("kind") == "TRIO") & (F.col("sample_id") % 4 == 1) & (F.col("member") == 1), 1).otherwise(F.col("affected")))
     return inheritance.inheritance(v.unionByName(moved), gts, "kind", keys=("sample_id",)).select("sample_id", "variant_id", "inheritance")
 
 

@@ -224,6 +224,24 @@ def test_names_shuffles_and_picks(spark):
     assert sorted(tuple(r) for r in meta.picks_of(answers).collect()) == [(1, "A", 1), (1, "C", 3)]
 
 
+def test_an_affected_parent_is_no_parent(spark):
+    """Two variants of a gene in trans: compound with healthy parents whatever the names, not with an ill mother, not
+    without a father, not with three healthy members."""
+    v = spark.createDataFrame([(i, s, "chr1", "A") for s in range(5) for i in (1, 2)], "variant_id long, sample_id long, chrom string, symbol string")
+    families = {0: {"kid": (1, "0/1", "0/1"), "mom": (0, "0/1", "0/0"), "dad": (0, "0/0", "0/1")}, 1: {"zoe": (1, "0/1", "0/1"), "amy": (0, "0/1", "0/0"), "bob": (0, "0/0", "0/1")},
+                2: {"kid": (1, "0/1", "0/1"), "ann": (1, "0/1", "0/0"), "dad": (0, "0/0", "0/1")}, 3: {"kid": (1, "0/1", "0/1"), "mom": (0, "0/1", "0/0")},
+                4: {"kid": (1, "0/1", "0/1"), "mom": (0, "0/1", "0/0"), "dad": (0, "0/0", "0/1"), "sis": (0, "0/0", "0/0")}}
+    g = spark.createDataFrame([(s, i, name, ill, gts[i - 1]) for s, f in families.items() for name, (ill, *gts) in f.items() for i in (1, 2)], "sample_id long, variant_id long, member string, affected int, gt string")
+    got = inheritance.inheritance(v, g, "TRIO", keys=("sample_id",))
+    assert {(r.sample_id, r.variant_id): r.compound for r in got.collect()} == {(s, i): int(s < 2) for s in range(5) for i in (1, 2)}
+
+
+def test_inheritance_shuffles_variants_for_one_join_and_one_window(spark):
+    v = fixtures.fixture(spark, SMALL, "fx_variants")
+    plan = inheritance.inheritance(v, fixtures.fixture(spark, SMALL, "fx_genotypes").hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("Exchange hashpartitioning") == 3, plan  # variants twice, genotypes once
+
+
 def test_single_sample_inheritance(spark):
     v = spark.createDataFrame([(1, 1, "chr1", "A"), (2, 1, "chr1", "A"), (3, 1, "chr1", "B"), (4, 1, "chr1", None)], "variant_id long, sample_id long, chrom string, symbol string")
     g = spark.createDataFrame([(1, 0, 1, "0/1"), (2, 0, 1, "0|1"), (3, 0, 1, "1/1"), (4, 0, 1, "0/1")], "variant_id long, member long, affected int, gt string")
