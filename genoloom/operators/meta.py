@@ -72,8 +72,8 @@ def with_picks(df: DataFrame, picks: DataFrame, out: str, none: int = 4) -> Data
 
 
 def meta_ranked(df: DataFrame, score: str = "meta_score") -> DataFrame:
-    """``df`` with meta_rank within each sample, in its order."""
-    return df.withColumn("meta_rank", F.rank().over(Window.partitionBy("sample_id").orderBy(F.desc_nulls_last(score)))).orderBy("sample_id", "meta_rank")
+    """``df`` with meta_rank within each sample; an order, if one is wanted, is the sink's."""
+    return df.withColumn("meta_rank", F.rank().over(Window.partitionBy("sample_id").orderBy(F.desc_nulls_last(score))))
 
 
 def gsvar_choice(cell: Column | str, ref: Column | str, alt: Column | str) -> Column:

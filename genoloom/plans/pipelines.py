@@ -50,7 +50,7 @@ def rank_passed(df: DataFrame, top: int | None = None) -> DataFrame:
     """The rows that passed, ranked within their sample, those of rank up to ``top`` if given. Scores that agree to nine
     decimals tie."""
     out = filters.passed(df).withColumn("final_score", F.round("final_score", 9))
-    return ranking.top_ranked(out, top) if top else ranking.ranked(out)
+    return ranking.top_ranked(out, top) if top else ranking.ranked_in_pieces(out)
 
 
 def rf_ranking(df: DataFrame, trees: list | None, features: list[str], rare: bool = False, top: int | None = None, settings: Settings = Settings(), model=None, **resources) -> DataFrame:

@@ -189,6 +189,13 @@ def w01_rank(v):
     return ranking.ranked(v, "cadd").select("variant_id", "sample_id", "rank")
 
 
+@query("fx_variants", sql="_, v AS (SELECT variant_id, CASE WHEN variant_id % 2 = 0 THEN 0 ELSE sample_id END AS sample_id, CASE WHEN variant_id % 3 = 0 THEN 7 ELSE cadd END AS cadd FROM fx_variants) SELECT variant_id, sample_id, rank() OVER (PARTITION BY sample_id ORDER BY cadd DESC NULLS LAST) AS rank FROM v")
+def w01_rank_in_pieces(v):
+    """One sample holds over half of all rows, and a third of all rows tie."""
+    v = v.withColumns({"sample_id": F.when(F.col("variant_id") % 2 == 0, 0).otherwise(F.col("sample_id")), "cadd": F.when(F.col("variant_id") % 3 == 0, 7.0).otherwise(F.col("cadd"))})
+    return ranking.ranked_in_pieces(v, "cadd", piece_rows=500).select("variant_id", "sample_id", "rank")
+
+
 @query("fx_variants", "fx_scores", sql="SELECT v.variant_id, score, CAST(score AS VARCHAR) IS NOT NULL AS found FROM fx_variants v LEFT JOIN fx_scores s USING (variant_id)")
 def j01_exact_allele(v, s):
     key = v.select("variant_id", *annotate.ALLELE)

@@ -200,6 +200,35 @@ def test_ranks_prune_before_the_shuffle(spark):
     assert "WindowGroupLimit" in ranking.top_ranked(df, 5)._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("piece_rows", [10, 400, 10**6])
+def test_ranks_in_pieces_equal_the_window(spark, piece_rows):
+    """Ties, nulls, NaN, a sample without an id, and samples on both sides of the limit."""
+    r = random.Random(11)
+    rows = [(i, r.choice([1, 1, 1, 1, 2, 3, None]), r.choice([None, 0.5, 0.5, float("nan"), r.random(), r.random(), round(r.random(), 1)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, sample_id long, final_score double")
+    want = {x.id: x["rank"] for x in ranking.ranked(df).collect()}
+    got = ranking.ranked_in_pieces(df, piece_rows=piece_rows, pieces=32)
+    assert got.columns == [*df.columns, "rank"] and {x.id: x["rank"] for x in got.collect()} == want
+    assert ranking.ranked_in_pieces(df.filter("id < 0")).count() == 0
+
+
+def test_ranks_in_pieces_fill_tasks_evenly(spark):
+    """One sample with half of all rows, of which a third tie and a tenth have no score."""
+    score = F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 10 == 1, None).otherwise(F.rand(3))
+    df = spark.range(120_000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 40).alias("sample_id"), score.alias("final_score"))
+    names = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        done = ranking.ranked_in_pieces(df, piece_rows=5000, pieces=128).select("rank", F.spark_partition_id().alias("p"))
+        sizes = [r.n for r in done.groupBy("p").agg(F.count("*").alias("n"), F.sum("rank")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 120_000 and len(sizes) == 12 and max(sizes) <= 2 * median(sizes), sizes
+
+
 def test_exclusion_and_fill(spark):
     df = spark.createDataFrame([(1, "a;b"), (2, "C"), (3, None)], "id long, symbol string")
     ex = spark.createDataFrame([("B",)], "gene string")
