@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CODING, SEED, SPLICE, SYNONYMOUS
@@ -25,21 +25,32 @@ def by_unique_allele(variants: DataFrame, resource: DataFrame, scores: list[str]
     return variants.join(resource.select(*keys, *scores), list(keys), "left")
 
 
-def _bins(first: Column, last: Column, width: int) -> Column:
+def _bins(first: Column, last: Column, width: Column | int) -> Column:
     return F.sequence(F.floor(first / width), F.floor(last / width))
 
 
-def overlaps(variants: DataFrame, regions: DataFrame, id_col: str = "variant_id", width: int = 4096, chrom: str = "chrom") -> DataFrame:
+def overlaps(variants: DataFrame, regions: DataFrame, id_col: str = "variant_id", width: int = 4096, chrom: str = "chrom", factor: int = 8, levels: int = 9) -> DataFrame:
     """id, name for each region (``chrom, start0, end0, name``; half-open, from 0) that a variant's reference bases touch.
 
-    Both sides are cut into bins of ``width`` bases and meet by an equi-join on chromosome and bin. A pair counts in the
-    bin of its overlap's first base alone, so none comes twice and no distinct is needed. Regions much longer than
-    ``width`` fill many bins: take a width near the regions' usual length."""
-    v = variants.select(F.col(id_col), F.col(chrom).alias("_c"), (F.col("pos") - 1).alias("_a"), (F.col("pos") - 1 + F.length("ref")).alias("_b"))
-    v = v.filter("_b > _a").withColumn("_bin", F.explode(_bins(F.col("_a"), F.col("_b") - 1, width)))
-    r = regions.filter("end0 > start0").select(F.col("chrom").alias("_c"), F.col("start0").alias("_s"), F.col("end0").alias("_e"), "name").withColumn("_bin", F.explode(_bins(F.col("_s"), F.col("_e") - 1, width)))
-    met = v.join(r, ["_c", "_bin"]).filter((F.col("_s") < F.col("_b")) & (F.col("_e") > F.col("_a")) & (F.floor(F.greatest("_s", "_a") / width) == F.col("_bin")))
-    return met.select(id_col, "name")
+    Bins come in ``levels`` sizes, each ``factor`` times the one before, the last one without an end. A region is in one
+    bin: the smallest that holds all of it, so a region as long as a chromosome is one row like any other. A variant asks
+    the bin it lies in (or two, at a border) of each size that its chromosome's regions use, and both meet by an equi-join
+    on chromosome, size and bin; a pair can meet but once, so no distinct is needed."""
+    sizes = [width * factor**i for i in range(levels - 1)]
+    last = len(sizes)  # of all that no smaller bin holds
+    v = variants.select(F.col(id_col), F.col(chrom).alias("_c"), (F.col("pos") - 1).alias("_a"), (F.col("pos") - 1 + F.length("ref")).alias("_b")).filter("_b > _a")
+    r = regions.filter("end0 > start0").select(F.col("chrom").alias("_c"), F.col("start0").alias("_s"), F.col("end0").alias("_e"), "name")
+    holds = lambda w: F.floor(F.col("_s") / w) == F.floor((F.col("_e") - 1) / w)
+    level, place = F.lit(last), F.lit(0).cast("long")
+    for i, w in reversed(list(enumerate(sizes))):
+        level, place = F.when(holds(w), i).otherwise(level), F.when(holds(w), F.floor(F.col("_s") / w)).otherwise(place)
+    r = r.select("*", level.alias("_level"), place.alias("_bin"))
+    used = F.broadcast(r.groupBy("_c").agg(F.collect_set("_level").alias("_used")))  # one row a chromosome, at most ``levels`` numbers in each
+    size_of = F.array(*map(F.lit, [*sizes, 0]))
+    bins = lambda i: F.when(i == last, F.array(F.lit(0).cast("long"))).otherwise(_bins(F.col("_a"), F.col("_b") - 1, F.get(size_of, i)))
+    asked = F.flatten(F.transform("_used", lambda i: F.transform(bins(i), lambda k: F.struct(i.alias("level"), k.alias("bin")))))
+    v = v.join(used, "_c").withColumn("_q", F.explode(asked)).select(id_col, "_c", "_a", "_b", F.col("_q.level").alias("_level"), F.col("_q.bin").alias("_bin"))
+    return v.join(r, ["_c", "_level", "_bin"]).filter((F.col("_s") < F.col("_b")) & (F.col("_e") > F.col("_a"))).select(id_col, "name")
 
 
 def with_regions(variants: DataFrame, regions: DataFrame, out: str, id_col: str = "variant_id", width: int = 4096) -> DataFrame:
@@ -48,11 +59,26 @@ def with_regions(variants: DataFrame, regions: DataFrame, out: str, id_col: str
     return variants.join(names, id_col, "left")
 
 
-def with_track(variants: DataFrame, track: DataFrame, out: str, id_col: str = "variant_id", width: int = 4096) -> DataFrame:
-    """``variants`` with the value of the interval (``chrom, start0, end0, value``; intervals don't overlap) at their position."""
-    points = variants.select(id_col, "chrom", "pos", F.lit("N").alias("ref"))
-    hit = overlaps(points, track.withColumnRenamed("value", "name"), id_col, width).groupBy(id_col).agg(F.max("name").alias(out))
-    return variants.join(hit, id_col, "left")
+def with_track(variants: DataFrame, track: DataFrame, out: str, width: int = 1 << 16) -> DataFrame:
+    """``variants`` with the value of the interval (``chrom, start0, end0, value``; intervals don't overlap) at their position.
+
+    Starts of intervals and positions of variants are one ordered list, in which a variant takes the last interval before
+    it. The list is cut into tiles of ``width`` bases, each sorted by a task; what is the last interval before a tile is
+    carried over its border. The track, an interval a base if need be, is shuffled once as it is, tiles without a variant
+    not at all, and the variants travel whole, so nothing is joined back. Two tables are broadcast, of a row a tile that
+    holds something: at most as many as there are tiles in a genome."""
+    tile = F.floor(F.col("_p") / width)
+    points = variants.select(F.col("chrom").alias("_c"), (F.col("pos") - 1).alias("_p"), F.struct(*[F.col(f"`{c}`") for c in variants.columns]).alias("_row")).withColumn("_tile", tile)
+    starts = track.select(F.col("chrom").alias("_c"), F.col("start0").alias("_p"), F.struct(F.col("end0").alias("end"), F.col("value").alias("value")).alias("_v")).withColumn("_tile", tile)
+    wanted = points.select("_c", "_tile").distinct()
+    ends = starts.groupBy("_c", "_tile").agg(F.max_by("_v", "_p").alias("_v")).unionByName(wanted, allowMissingColumns=True).groupBy("_c", "_tile").agg(F.first("_v", ignorenulls=True).alias("_v"))
+    order = Window.partitionBy("_c").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_c", "_tile", F.last("_v", ignorenulls=True).over(order).alias("_carried"))
+    needed = starts.join(F.broadcast(wanted), ["_c", "_tile"], "left_semi")
+    listed = points.unionByName(needed, allowMissingColumns=True).join(F.broadcast(carried), ["_c", "_tile"], "left")
+    sweep = Window.partitionBy("_c", "_tile").orderBy("_p", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    met = listed.withColumn("_hit", F.coalesce(F.last("_v", ignorenulls=True).over(sweep), "_carried")).filter("_row IS NOT NULL")
+    return met.select("_row.*", F.when(F.col("_hit.end") > F.col("_p"), F.col("_hit.value")).alias(out))
 
 
 def with_context(variants: DataFrame, tiles: DataFrame, width: int, reach: int = 5, id_col: str = "variant_id", out: str = "context") -> DataFrame:

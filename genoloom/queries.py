@@ -12,6 +12,8 @@ from .fixtures import fixture, with_fixtures
 from .functions import scalars as X
 from .operators import annotate, filters, genes, inheritance, meta, ontology, ranking, scoring
 from .plans import pipelines
+from .shared import fresh
+from .sources import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -206,16 +208,31 @@ def j01_exact_allele(v, s):
 OVERLAP = "r.chrom = v.chrom AND r.start0 < v.pos - 1 + length(v.ref) AND r.end0 > v.pos - 1"
 
 
-@query("fx_variants", "fx_regions", sql=f"SELECT v.variant_id, string_agg(DISTINCT r.name, '&' ORDER BY r.name) AS regions FROM fx_variants v LEFT JOIN fx_regions r ON {OVERLAP} GROUP BY v.variant_id")
+@query("fx_variants", "fx_regions", sql=f"""_, r AS (SELECT * FROM fx_regions UNION ALL SELECT DISTINCT chrom, 5000, 3000000000, concat('all of ', chrom) FROM fx_regions UNION ALL SELECT chrom, start0 * 3, start0 * 40, concat(name, ' wide') FROM fx_regions WHERE start0 % 7 = 0)
+SELECT v.variant_id, string_agg(DISTINCT r.name, '&' ORDER BY r.name) AS regions FROM fx_variants v LEFT JOIN r ON {OVERLAP} GROUP BY v.variant_id""")
 def j02_region_overlap(v, r):
-    return annotate.with_regions(v, r, "regions", width=1024).select("variant_id", "regions")
+    """Regions of all lengths, some as long as a chromosome."""
+    whole = r.select("chrom", F.lit(5000).alias("start0"), F.lit(3_000_000_000).alias("end0"), F.concat(F.lit("all of "), "chrom").alias("name")).distinct()
+    wide = r.filter("start0 % 7 = 0").select("chrom", (F.col("start0") * 3).alias("start0"), (F.col("start0") * 40).alias("end0"), F.concat("name", F.lit(" wide")).alias("name"))
+    return annotate.with_regions(v, r.unionByName(whole).unionByName(wide), "regions", width=1024).select("variant_id", "regions")
 
 
 @query("fx_variants", sql="SELECT variant_id, CASE WHEN floor((pos - 1) / 64) % 3 > 0 THEN floor((pos - 1) / 64) % 100 END AS track FROM fx_variants")
 def j02b_track_value(v):
     places = v.select("chrom", F.floor((F.col("pos") - 1) / 64).alias("k")).distinct().filter("k % 3 > 0")  # a third of the genome has no value
     track = places.select("chrom", (F.col("k") * 64).alias("start0"), (F.col("k") * 64 + 64).alias("end0"), (F.col("k") % 100).cast("double").alias("value"))
-    return annotate.with_track(v, track, "track", width=1024).select("variant_id", "track")
+    return annotate.with_track(v, track, "track", width=1000).select("variant_id", "track")
+
+
+@query("fx_variants", "fx_scores", "fx_hits", sql="""_, s AS (SELECT chrom, pos, ref, alt, max(score) AS score, max(score) / 2 AS half FROM fx_scores JOIN fx_variants USING (variant_id) GROUP BY ALL), h AS (SELECT chrom, pos, ref, alt, string_agg(DISTINCT hit, '&' ORDER BY hit) AS hits, string_agg(DISTINCT feature, '&' ORDER BY feature) AS features FROM fx_hits GROUP BY ALL)
+SELECT variant_id, score, half, hits, features FROM fx_variants LEFT JOIN s USING (chrom, pos, ref, alt) LEFT JOIN h USING (chrom, pos, ref, alt)""")
+def j01_allele_store(v, s, h):
+    """J1 from one bucketed store of two resources, written, opened anew and joined once."""
+    scores = s.join(v.select("variant_id", *annotate.ALLELE), "variant_id").withColumn("half", F.col("score") / 2)
+    lists = [(h.select(*annotate.ALLELE, F.col("hit").alias("hits"), F.col("feature").alias("features")), ["hits", "features"])]
+    at = fresh(v.sparkSession, "store")
+    store.write_store(store.merged(lists, [(scores, ["score", "half"])]), at, 8)
+    return store.with_store(v, store.open_store(v.sparkSession, at)).select("variant_id", "score", "half", "hits", "features")
 
 
 @query("fx_interactions", sql="SELECT DISTINCT a.gene, a.partner, a.conf_exp, a.conf_db FROM fx_interactions a WHERE conf_exp >= 900 OR conf_db >= 900")

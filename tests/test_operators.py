@@ -13,6 +13,7 @@ from genoloom import fixtures, queries
 from genoloom.functions.forests import FlatForest
 from genoloom.operators import annotate, filters, genes, inheritance, meta, ontology, ranking, scoring
 from genoloom.plans import pipelines
+from genoloom.sources import store
 
 from .conftest import SMALL
 
@@ -26,10 +27,82 @@ def test_overlap_equals_nested_loop_and_is_an_equi_join(spark):
     for width in (16, 256, 100_000):
         got = [tuple(x) for x in annotate.overlaps(variants, regions, width=width).collect()]
         assert set(got) == want
+        assert len(got) == sum(1 for i, c, p, ref in v for rc, s, e, n in g if c == rc and s < p - 1 + len(ref) and e > p - 1 and e > s)  # no pair comes twice
     plan = annotate.overlaps(variants, regions)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_a_region_is_one_row_however_long(spark):
+    """Regions at borders of bins and longer than all of them, variants at the ends of a region."""
+    g = [("chr1", 0, 10**11, "all"), ("chr1", 4095, 4097, "border"), ("chr1", 32_767, 32_769, "next border"), ("chr1", 100, 101, "base"), ("chr1", 50, 50, "empty"), ("chr2", 7, 9, "other")]
+    v = [(i, "chr1", p, "A" * n) for i, (p, n) in enumerate([(1, 1), (101, 1), (100, 1), (100, 2), (102, 1), (4096, 1), (4095, 1), (4097, 1), (4098, 1), (32_000, 1000), (10**10, 3), (5, 0)])]
+    variants, regions = spark.createDataFrame(v, "variant_id long, chrom string, pos long, ref string"), spark.createDataFrame(g, "chrom string, start0 long, end0 long, name string")
+    want = sorted((i, n) for i, c, p, ref in v for rc, s, e, n in g if c == rc and max(s, p - 1) < min(e, p - 1 + len(ref)))
+    assert sorted(map(tuple, annotate.overlaps(variants, regions).collect())) == want
+    plan = annotate.overlaps(variants, regions)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and annotate.overlaps(variants, regions.filter("chrom = 'chr9'")).count() == 0
+
+
+@pytest.mark.parametrize("width", [7, 64, 10_000])
+def test_track_by_sweep(spark, width):
+    """Intervals of a base up to many tiles, gaps, tiles without an interval or without a variant, missing contigs."""
+    r, at, track = random.Random(width), 0, []
+    while at < 3000:
+        n = r.choice([1, 1, 1, 2, 5, 40, 300])
+        if r.random() < 0.7:
+            track.append(("chr1", at, at + n, round(r.random(), 3)))
+        at += n
+    v = [(i, r.choice(["chr1", "chr1", "chr1", "chr3"]), r.randint(1, 3300), "x") for i in range(500)] + [(900, None, 5, None), (901, "chr1", None, "y"), (902, "chr1", 1, "z")]
+    variants, tracks = spark.createDataFrame(v, "variant_id long, chrom string, pos long, value string"), spark.createDataFrame(track, "chrom string, start0 long, end0 long, value double")
+    got = annotate.with_track(variants, tracks, "score", width=width)
+    assert got.columns == ["variant_id", "chrom", "pos", "value", "score"]
+    want = {i: next((x for tc, s, e, x in track if c == tc and p and s < p <= e), None) for i, c, p, _ in v}
+    assert {x.variant_id: x.score for x in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_store_is_joined_without_a_shuffle_of_it(spark, tmp_path):
+    """Any number of resources in one join, several hits joined, long alleles, a transcript in the key, opened anew."""
+    long = "ACGT" * 50
+    v = spark.createDataFrame([(1, "chr1", 5, "A", "G", "T1"), (2, "chr1", 6, "A", "G", "T1"), (3, "chr1", 5, "A", long, "T2"), (4, "chr1", 5, "A", long + "A", "T2"), (5, None, 5, "A", "G", "T1")], "variant_id long, chrom string, pos long, ref string, alt string, feature string")
+    a = spark.createDataFrame([("chr1", 5, "A", "G", 0.2, "T1"), ("chr1", 5, "A", "G", 0.1, "T2"), ("chr1", 5, "A", "T", 0.9, "T1"), ("chr1", 5, "A", long, 0.7, "T2"), ("chr1", 6, "A", "G", None, "T1")], "chrom string, pos long, ref string, alt string, s double, feature string")
+    b = spark.createDataFrame([("chr1", 6, "A", "G", 3), ("chr1", 5, "A", long, 4)], "chrom string, pos long, ref string, alt string, n long")
+    at = str(tmp_path / "store")
+    written = store.write_store(store.merged([(a, ["s"])], [(b, ["n"])]), at, 4)
+    for opened in (written, store.open_store(spark, at)):
+        got = store.with_store(v, opened)
+        assert sorted((x.variant_id, x.s, x.n) for x in got.collect()) == [(1, "0.1&0.2", None), (2, None, 3), (3, "0.7", 4), (4, None, None), (5, None, None)]
+    by_transcript = store.write_store(store.merged([(a, ["s"])], keys=("feature",)), str(tmp_path / "transcripts"), 4, keys=("feature",))
+    assert sorted((x.variant_id, x.s) for x in store.with_store(v, by_transcript, keys=("feature",)).collect()) == [(1, "0.2"), (2, None), (3, "0.7"), (4, None), (5, None)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = store.with_store(v, opened, ["n"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan and "ReadSchema: struct<chrom:string,pos:bigint,allele:string,n:bigint>" in plan, plan
+
+
+def test_a_bloom_filter_of_the_variants_meets_the_scan_of_the_store(spark, tmp_path):
+    """Spark puts it there for large stores; the limits of size are lowered here."""
+    resource = spark.range(20_000).select(F.lit("chr1").alias("chrom"), (F.col("id") + 1).alias("pos"), F.lit("A").alias("ref"), F.lit("G").alias("alt"), F.col("id").alias("n"))
+    opened = store.write_store(store.merged([], [(resource, ["n"])]), str(tmp_path / "s"), 4)
+    resource.select("chrom", "pos", "ref", "alt").withColumn("sample", F.col("pos") % 500).write.parquet(str(tmp_path / "v"))
+    names = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, x in names.items():
+            spark.conf.set(k, x)
+        got = store.with_store(spark.read.parquet(str(tmp_path / "v")).filter("sample = 7"), opened)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        rows = sorted((r.pos, r.n) for r in got.collect())
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+    assert "might_contain" in plan and rows == [(p, p - 1) for p in range(7, 20_001, 500)]
+
+
 def test_allele_join_collapses_hits(spark):
     v = spark.createDataFrame([(1, "chr1", 5, "A", "G"), (2, "chr1", 6, "A", "G")], "variant_id long, chrom string, pos long, ref string, alt string")
     res = spark.createDataFrame([("chr1", 5, "A", "G", 0.2), ("chr1", 5, "A", "G", 0.1), ("chr1", 5, "A", "T", 0.9)], "chrom string, pos long, ref string, alt string, s double")
