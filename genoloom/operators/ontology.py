@@ -2,18 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..shared import written
 
 
-def closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000) -> DataFrame:
-    """term, ancestor for all strict ancestors of (term, parent). Ancestors within ``hops`` steps are found first; each
-    round then joins only the pairs that the last one found at its full reach with those, so the work is in proportion
-    to the pairs, not to the pairs of pairs, and the rounds are the longest path's length over ``hops``. What a round
-    finds is written to the shared folder and read from there. Loops of a term to itself are ignored; longer cycles end
-    in an error after ``most_rounds``."""
+def closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000, most_edges: int = 1_000_000) -> DataFrame:
+    """term, ancestor for all strict ancestors of (term, parent). Loops of a term to itself are ignored; longer cycles end in
+    an error. Up to ``most_edges`` edges, as any ontology has, travel to the tasks, which walk up from their terms: no
+    shuffle of pairs at all. A larger graph is closed by joins (``joined_closure``)."""
+    plain = edges.select("term", F.col("parent").alias("ancestor")).filter("term <> ancestor").distinct()
+    up = written(plain, "edges")
+    if up.count() > most_edges:
+        return joined_closure(edges, hops, most_rounds)
+    schema = to_arrow_schema(up.schema)
+    known = up.toArrow()  # at most most_edges rows
+    both = pa.chunked_array([*known["term"].chunks, *known["ancestor"].chunks], schema.field(0).type).combine_chunks().dictionary_encode()
+    at, names = both.indices.to_numpy(), both.dictionary
+    child, parent = at[: len(known)], at[len(known) :]
+    order = np.argsort(child, kind="stable")
+    sent = edges.sparkSession.sparkContext.broadcast((np.searchsorted(child[order], np.arange(len(names) + 1)), parent[order], names))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, parents, names = sent.value
+        for batch in batches:
+            below, above = [], []
+            for start in batch.column(0).to_pylist():
+                seen, todo = set(), [start]
+                while todo:
+                    for p in parents[first[t := todo.pop()] : first[t + 1]].tolist():
+                        if p not in seen:
+                            seen.add(p)
+                            todo.append(p)
+                if start in seen:
+                    raise ValueError("the ontology has a cycle")
+                above += seen
+                below += [start] * len(seen)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(x, pa.int64())) for x in (below, above)], schema=schema)
+
+    starts = edges.sparkSession.range(len(names)).repartition(edges.sparkSession.sparkContext.defaultParallelism)
+    return written(starts.mapInArrow(walk, up.schema), "closure")
+
+
+def joined_closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000) -> DataFrame:
+    """The closure of a graph of any size. Ancestors within ``hops`` steps are found first; each round then joins only the
+    pairs that the last one found at its full reach with those, so the work is in proportion to the pairs, not to the
+    pairs of pairs, and the rounds are the longest path's length over ``hops``. What a round finds is written to the
+    shared folder and read from there. Cycles end in an error after ``most_rounds``."""
     up = written(edges.select(F.col("term").alias("ancestor"), "parent").filter("ancestor <> parent").distinct(), "edges")
     at = up.select(F.col("ancestor").alias("term"), F.col("parent").alias("ancestor"))
     near = at.withColumn("step", F.lit(1))
@@ -62,21 +103,80 @@ def _measure(name: str, a: Column, b: Column, m: Column) -> Column:
     return {"lin": lin, "resnik": m, "jiang_conrath": 1 - (a + b - 2 * m), "information_coefficient": lin * (1 - 1 / (1 + m))}[name]
 
 
-def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin") -> DataFrame:
+def _measured(name: str, a: float, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """``_measure`` on arrays."""
+    if name in ("lin", "information_coefficient"):
+        lin = np.divide(2 * m, a + b, out=np.zeros_like(m), where=a + b > 0)
+        return lin if name == "lin" else lin * (1 - 1 / (1 + m))
+    return m if name == "resnik" else 1 - (a + b - 2 * m)
+
+
+def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", most_pairs: int = 4_000_000) -> DataFrame:
     """term, gene, best: for each distinct query term and gene, the largest similarity to any of the gene's terms.
 
     Every measure grows with the shared ancestor's information and falls with the gene term's, so the maximum over the
     gene's terms b is the one over shared ancestors c of measure(ic(a), least ic of the gene's terms below c, ic(c)):
-    one aggregate to (gene, ancestor, least ic), one join, one max; no pairs of terms are formed. Where ancestors of no
-    information can't raise a maximum above the 0 that a missing pair means, they go before the join, with the root's hot
-    key among them. A term that shares no ancestor with a gene has no row."""
+    one aggregate to (gene, ancestor, least ic), then one maximum; no pairs of terms are formed.
+
+    Ancestors that many genes share, the root's kin, are heavy: joined as rows each would meet every query term with every
+    gene. The genes of the heaviest ones, up to ``most_pairs`` pairs (a genome's all, so usually of all ancestors), travel
+    to the tasks once as sorted vectors, and a task takes the maximum over a query term's ancestors by array operations.
+    The light rest, whose ancestors are of few genes each, meets in a join. Where ancestors of no information can't raise
+    a maximum above the 0 that a missing pair means, they are left out. A term that shares no ancestor with a gene has no
+    row; by jiang_conrath it counts as sharing one of no information, as in ``node_similarity``."""
+    spark, jc = query.sparkSession, measure == "jiang_conrath"
     ic_of = lambda key, name: ic.select(F.col("term").alias(key), F.col("ic").alias(name))
     informative = ancestors.join(ic_of("ancestor", "ic_c"), "ancestor")
-    informative = informative if measure == "jiang_conrath" else informative.filter("ic_c > 0")
-    gene = gene_terms.select("gene", "term").distinct().join(ic_of("term", "ic_b"), "term").join(informative, "term").groupBy("gene", "ancestor", "ic_c").agg(F.min("ic_b").alias("least_b"))
-    asked = query.select("term").distinct().join(ic_of("term", "ic_a"), "term").join(ancestors, "term")
-    met = asked.join(gene, "ancestor")
-    return met.groupBy("term", "gene").agg(F.max(_measure(measure, F.col("ic_a"), F.col("least_b"), F.col("ic_c"))).alias("best"))
+    informative = informative if jc else informative.filter("ic_c > 0")
+    own = gene_terms.select("gene", "term").distinct().join(ic_of("term", "ic_b"), "term")
+    gene = written(own.join(informative, "term").groupBy("gene", "ancestor", "ic_c").agg(F.min("ic_b").alias("least_b")), "gene-ancestors")
+    degree = gene.groupBy("ancestor").agg(F.count("*").alias("n"))
+    left, least_degree = most_pairs, 1
+    for r in degree.groupBy("n").agg(F.count("*").alias("times")).orderBy(F.desc("n")).collect():  # a row a distinct degree
+        left -= r.n * r.times
+        if left < 0:
+            least_degree = r.n + 1
+            break
+    heavy = degree.filter(F.col("n") >= least_degree)
+    held = (gene if left >= 0 else gene.join(heavy, "ancestor", "left_semi")).toArrow()  # at most most_pairs rows
+    none = own.groupBy("gene").agg(F.min("ic_b").alias("b")).toArrow() if jc else None  # a row a gene
+    genes = pa.chunked_array([*held["gene"].chunks, *(none["gene"].chunks if jc else [])], held.schema.field("gene").type).combine_chunks().dictionary_encode()
+    above = held["ancestor"].combine_chunks().dictionary_encode()
+    order = np.lexsort((genes.indices.to_numpy()[: len(held)], above.indices.to_numpy()))
+    first = np.searchsorted(above.indices.to_numpy()[order], np.arange(len(above.dictionary) + 1))
+    column = lambda name: held[name].to_numpy()[order]
+    sent = spark.sparkContext.broadcast((first, genes.indices.to_numpy()[: len(held)][order], column("least_b"), column("ic_c"), genes.dictionary, above.dictionary,
+                                         (genes.indices.to_numpy()[len(held) :], none["b"].to_numpy()) if jc else None))
+    asked = query.select("term").distinct().join(ic_of("term", "ic_a"), "term")
+    met = asked.join(ancestors, "term", "left" if jc else "inner").groupBy("term", "ic_a").agg(F.collect_list("ancestor").alias("above"))
+    out = query.select("term").schema.add("gene", gene_terms.schema["gene"].dataType).add("best", "double")
+    schema = to_arrow_schema(out)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, of, least, info, genes, names, none = sent.value
+        place = {x: i for i, x in enumerate(names.to_pylist())}
+        for batch in batches:
+            terms, found, values = [], [], []
+            for term, a, above in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                best = np.full(len(genes), -np.inf)
+                if none:
+                    best[none[0]] = _measured(measure, a, none[1], np.zeros(len(none[1])))
+                for c in above:
+                    if (i := place.get(c)) is not None:
+                        x = slice(first[i], first[i + 1])
+                        best[of[x]] = np.maximum(best[of[x]], _measured(measure, a, least[x], info[x]))
+                hit = np.flatnonzero(best > -np.inf)
+                terms += [term] * len(hit)
+                found.append(hit)
+                values.append(best[hit])
+            at = np.concatenate([np.zeros(0, np.int64), *found])
+            yield pa.RecordBatch.from_arrays([pa.array(terms, schema.field(0).type), genes.take(pa.array(at)), pa.array(np.concatenate([np.zeros(0), *values]))], schema=schema)
+
+    whole = met.mapInArrow(look_up, out)
+    if left >= 0:
+        return whole
+    rare = asked.join(ancestors, "term").join(gene.join(heavy, "ancestor", "left_anti"), "ancestor").select("term", "gene", _measure(measure, F.col("ic_a"), F.col("least_b"), F.col("ic_c")).alias("best"))
+    return whole.unionByName(rare).groupBy("term", "gene").agg(F.max("best").alias("best"))
 
 
 def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", key: str = "sample_id") -> DataFrame:

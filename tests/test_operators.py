@@ -137,7 +137,10 @@ def test_similarity_rewrite_equals_plain_pairs(spark, measure):
     ic = ontology.information_content(ontology.inclusive_counts(terms, up, spark.createDataFrame(list(n.items()), "term long, n long")), sum(n.values()))
     q = {(s, r.randrange(1, 40)) for s in range(3) for _ in range(5)}
     g = {(f"G{i}", r.randrange(1, 40)) for i in range(6) for _ in range(3)}
-    got = {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(spark.createDataFrame(list(q), "sample_id long, term long"), spark.createDataFrame(list(g), "gene string, term long"), up, ic, measure).collect()}
+    query, genes = spark.createDataFrame(list(q), "sample_id long, term long"), spark.createDataFrame(list(g), "gene string, term long")
+    got = {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(query, genes, up, ic, measure).collect()}
+    best = lambda most: {(x.term, x.gene): round(x.best, 9) for x in ontology.best_match(query, genes, up, ic, measure, most).collect()}
+    assert best(4_000_000) == best(30) == best(0)  # all ancestors heavy, some, none
 
     above = {t: set() for t in range(40)}
     for t in range(40):
@@ -155,6 +158,21 @@ def test_similarity_rewrite_equals_plain_pairs(spark, measure):
     assert all(abs(got.get(k, 0.0) - v) < 1e-8 for k, v in want.items()) and got
 
 
+def test_both_closures_agree(spark):
+    """By walks and by joins; names as terms, loops of a term to itself, cycles, no edges at all."""
+    raw = [(f"t{a}", f"t{b}") for a, b in dag(random.Random(6))] + [("t3", "t3")]
+    edges = spark.createDataFrame(raw, "term string, parent string")
+    pairs = lambda df: sorted(map(tuple, df.select("term", "ancestor").collect()))
+    walked = pairs(ontology.closure(edges))
+    assert walked == pairs(ontology.joined_closure(edges)) == pairs(ontology.closure(edges, most_edges=3)) and len(walked) > 100
+    assert pairs(ontology.closure(edges.filter("term = 'none'"))) == []
+    ring = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "term string, parent string")
+    with pytest.raises(Exception, match="cycle"):
+        ontology.closure(ring)
+    with pytest.raises(Exception, match="cycle"):
+        ontology.joined_closure(ring, most_rounds=3)
+
+
 def test_resolved_terms(spark):
     terms = spark.createDataFrame([("a",), ("b",)], "term string")
     repl = spark.createDataFrame([("old", "b")], "term string, replaced_by string")
