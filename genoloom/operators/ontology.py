@@ -111,12 +111,58 @@ def _measured(name: str, a: float, b: np.ndarray, m: np.ndarray) -> np.ndarray:
     return m if name == "resnik" else 1 - (a + b - 2 * m)
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """``df`` over as many tasks as a shuffle makes: few bytes, much work, so not to be merged by size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _least_below(own: DataFrame, informative: DataFrame) -> DataFrame:
+    """gene, ancestor, ic_c, least_b: the least information of a gene's terms (gene, term, ic_b) below each ancestor. The
+    genes of all terms travel to the tasks as sorted vectors; an ancestor takes the minimum over those of its descendants."""
+    table = own.toArrow()
+    genes, terms = (table[c].combine_chunks().dictionary_encode() for c in ("gene", "term"))
+    order = np.argsort(terms.indices.to_numpy(), kind="stable")
+    first = np.searchsorted(terms.indices.to_numpy()[order], np.arange(len(terms.dictionary) + 1))
+    sent = own.sparkSession.sparkContext.broadcast((first, genes.indices.to_numpy()[order], table["ic_b"].to_numpy()[order], genes.dictionary, terms.dictionary))
+    out = own.select("gene").schema.add(informative.schema["ancestor"]).add("ic_c", "double").add("least_b", "double")
+    schema = to_arrow_schema(out)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, of, ics, genes, names = sent.value
+        place, many = {x: i for i, x in enumerate(names.to_pylist())}, np.diff(first)
+        tops, infos, found, values, held = [], [], [], [], 0
+
+        def done():
+            at, best = np.concatenate([np.zeros(0, np.int64), *found]), np.concatenate([np.zeros(0), *values])
+            return pa.RecordBatch.from_arrays([genes.take(pa.array(at)), pa.array(tops, schema.field(1).type), pa.array(infos, pa.float64()), pa.array(best)], schema=schema)
+
+        for batch in batches:
+            for ancestor, ic_c, below in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                lines = np.array([place[t] for t in below if t in place], np.int64)
+                n = many[lines]
+                cells = np.arange(n.sum()) + np.repeat(first[lines] - (np.cumsum(n) - n), n)
+                best = np.full(len(genes), np.inf)
+                np.minimum.at(best, of[cells], ics[cells])
+                hit = np.flatnonzero(best < np.inf)
+                tops += [ancestor] * len(hit)
+                infos += [ic_c] * len(hit)
+                found.append(hit)
+                values.append(best[hit])
+                held += len(hit)
+                if held > 1 << 18:
+                    yield done()
+                    tops, infos, found, values, held = [], [], [], [], 0
+        yield done()
+
+    return _dealt(informative.groupBy("ancestor", "ic_c").agg(F.collect_list("term").alias("below"))).mapInArrow(least, out)
+
+
 def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", most_pairs: int = 4_000_000) -> DataFrame:
     """term, gene, best: for each distinct query term and gene, the largest similarity to any of the gene's terms.
 
     Every measure grows with the shared ancestor's information and falls with the gene term's, so the maximum over the
     gene's terms b is the one over shared ancestors c of measure(ic(a), least ic of the gene's terms below c, ic(c)):
-    one aggregate to (gene, ancestor, least ic), then one maximum; no pairs of terms are formed.
+    one minimum to (gene, ancestor, least ic), then one maximum; no pairs of terms are formed.
 
     Ancestors that many genes share, the root's kin, are heavy: joined as rows each would meet every query term with every
     gene. The genes of the heaviest ones, up to ``most_pairs`` pairs (a genome's all, so usually of all ancestors), travel
@@ -129,7 +175,12 @@ def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic
     informative = ancestors.join(ic_of("ancestor", "ic_c"), "ancestor")
     informative = informative if jc else informative.filter("ic_c > 0")
     own = gene_terms.select("gene", "term").distinct().join(ic_of("term", "ic_b"), "term")
-    gene = written(own.join(informative, "term").groupBy("gene", "ancestor", "ic_c").agg(F.min("ic_b").alias("least_b")), "gene-ancestors")
+    own = written(own, "gene-terms")
+    if own.count() > most_pairs:
+        gene = own.join(informative, "term").groupBy("gene", "ancestor", "ic_c").agg(F.min("ic_b").alias("least_b"))
+    else:
+        gene = _least_below(own, informative)
+    gene = written(gene, "gene-ancestors")
     degree = gene.groupBy("ancestor").agg(F.count("*").alias("n"))
     left, least_degree = most_pairs, 1
     for r in degree.groupBy("n").agg(F.count("*").alias("times")).orderBy(F.desc("n")).collect():  # a row a distinct degree
@@ -155,24 +206,33 @@ def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, of, least, info, genes, names, none = sent.value
         place = {x: i for i, x in enumerate(names.to_pylist())}
+        many = np.diff(first)
+        terms, found, values, held = [], [], [], 0
+
+        def done():
+            at = np.concatenate([np.zeros(0, np.int64), *found])
+            return pa.RecordBatch.from_arrays([pa.array(terms, schema.field(0).type), genes.take(pa.array(at)), pa.array(np.concatenate([np.zeros(0), *values]))], schema=schema)
+
         for batch in batches:
-            terms, found, values = [], [], []
             for term, a, above in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 best = np.full(len(genes), -np.inf)
                 if none:
                     best[none[0]] = _measured(measure, a, none[1], np.zeros(len(none[1])))
-                for c in above:
-                    if (i := place.get(c)) is not None:
-                        x = slice(first[i], first[i + 1])
-                        best[of[x]] = np.maximum(best[of[x]], _measured(measure, a, least[x], info[x]))
+                lines = np.array([place[c] for c in above if c in place], np.int64)
+                n = many[lines]
+                cells = np.arange(n.sum()) + np.repeat(first[lines] - (np.cumsum(n) - n), n)  # those of all its ancestors
+                np.maximum.at(best, of[cells], _measured(measure, a, least[cells], info[cells]))
                 hit = np.flatnonzero(best > -np.inf)
                 terms += [term] * len(hit)
                 found.append(hit)
                 values.append(best[hit])
-            at = np.concatenate([np.zeros(0, np.int64), *found])
-            yield pa.RecordBatch.from_arrays([pa.array(terms, schema.field(0).type), genes.take(pa.array(at)), pa.array(np.concatenate([np.zeros(0), *values]))], schema=schema)
+                held += len(hit)
+                if held > 1 << 18:
+                    yield done()
+                    terms, found, values, held = [], [], [], 0
+        yield done()
 
-    whole = met.mapInArrow(look_up, out)
+    whole = _dealt(met).mapInArrow(look_up, out)
     if left >= 0:
         return whole
     rare = asked.join(ancestors, "term").join(gene.join(heavy, "ancestor", "left_anti"), "ancestor").select("term", "gene", _measure(measure, F.col("ic_a"), F.col("least_b"), F.col("ic_c")).alias("best"))
