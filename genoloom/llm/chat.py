@@ -18,10 +18,10 @@ import hashlib
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, batch_of, rows_in_batches, ship, stored, table
+from .common import arrow_schema, batch_of, map_rows, rows_in_batches, ship, stored, table
 from .tokens import byte_bpe, encoder
 
 MARKS = ("<s>", "[INST]", "[/INST]", "</s>")  # ids from the vocabulary's size on, in this order
@@ -38,32 +38,24 @@ def unescape(text: str) -> str:
 
 
 def format_turns(turns: DataFrame, tokenizer: str) -> DataFrame:
-    """conv_id, nth (place in its conversation, from 1), ids, and start (ids of the conversation before it, a prefix sum)
-    of ``turns`` (conv_id, turn, role, text): one shuffle brings a conversation's rows together in order, and one pass
-    over them encodes and counts."""
-    ddl = "conv_id long, nth long, ids array<int>, start long"
-    schema = arrow_schema(ddl)
+    """conv_id, nth (place in its conversation, from 1) and ids of ``turns`` (conv_id, turn, role, text). Turns are encoded
+    where their rows lie, so a conversation that holds most of a table is many tasks' work; only its numbering, by one
+    shuffle, is one task's."""
 
-    def run(batches):
+    def make():
         enc = encoder(tokenizer, special=True)
         mark = [enc.size + i for i in range(len(MARKS))]
-        conv, nth, start = None, 0, 0
-        for convs, roles, texts in rows_in_batches(batches, ["conv_id", "role", "text"], 512):
+
+        def step(convs, order, roles, texts):
             coded = [np.frombuffer(x, enc.dtype).astype(np.int32).tolist() for x in enc.encode([escape(x or "") for x in roles + texts])]
-            n, out = len(convs), [[], [], [], []]
-            for c, role, text in zip(convs, coded[:n], coded[n:]):
-                if c != conv:
-                    conv, nth, start = c, 0, 0
-                ids = [mark[0], *role, mark[1], *text, mark[2], mark[3]]
-                nth += 1
-                for column, value in zip(out, (c, nth, ids, start)):
-                    column.append(value)
-                start += len(ids)
-            yield batch_of(schema, out)
+            n = len(convs)
+            return [convs, order, roles, texts, [[mark[0], *role, mark[1], *text, mark[2], mark[3]] for role, text in zip(coded[:n], coded[n:])]]
 
-    ship(turns.sparkSession)
-    placed = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return placed.select("conv_id", "role", "text").mapInArrow(run, ddl)
+        return step
+
+    encoded = map_rows(turns.withColumn("turn", F.col("turn").cast("long")), make, "conv_id long, turn long, role string, text string, ids array<int>", ["conv_id", "turn", "role", "text"], most=512)
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    return encoded.select("conv_id", nth.cast("long").alias("nth"), "ids")
 
 
 def loss_mask(ids: np.ndarray, marks: list[int], assistant: np.ndarray) -> np.ndarray:
@@ -75,40 +67,51 @@ def loss_mask(ids: np.ndarray, marks: list[int], assistant: np.ndarray) -> np.nd
 
 
 def read_turns(formatted: DataFrame, tokenizer: str) -> DataFrame:
-    """What formatted turns say, conversation by conversation, in one pass over sorted rows with rolling hashes:
-    conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_tokens, loss_tokens."""
-    ddl = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, loss_tokens long"
-    schema = arrow_schema(ddl)
+    """What formatted turns say: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_tokens,
+    loss_tokens. Turns are decoded and masked where their rows lie; then one pass over a conversation's sorted rows rolls
+    the hashes, which by their nature are one task's work."""
 
-    def run(batches):
+    def decoded():
         enc = encoder(tokenizer, special=True)
         marks = [enc.size + i for i in range(len(MARKS))]
         fixed = sum(map(len, MARKS))
+
+        def step(convs, places, rows):
+            rows = [np.array(x, dtype=np.int64) for x in rows]
+            cuts = [(int(np.flatnonzero(x == marks[1])[0]), int(np.flatnonzero(x == marks[2])[0])) for x in rows]
+            roles = [enc.decode(x[1:opened]) for x, (opened, _) in zip(rows, cuts)]
+            mask = loss_mask(np.concatenate(rows), marks, np.repeat([unescape(r) == "assistant" for r in roles], [len(x) for x in rows]))
+            out, at = [[], [], [], [], []], 0
+            for ids, role, (opened, ended) in zip(rows, roles, cuts):
+                own = mask[at : at + len(ids)]
+                at += len(ids)
+                text = enc.decode(ids[opened + 1 : ended])
+                for column, value in zip(out, (f"{unescape(role)}\n{unescape(text)}\n", unescape(enc.decode(ids[own])), fixed + len(role) + len(text), len(ids), int(own.sum()))):
+                    column.append(value)
+            return [convs, places, *out]
+
+        return step
+
+    said = map_rows(formatted, decoded, "conv_id long, nth long, said string, learnt string, formatted long, tokens long, masked long", ["conv_id", "nth", "ids"], most=256)
+    ddl = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, loss_tokens long"
+    schema = arrow_schema(ddl)
+
+    def run(batches):
         conv, state, done = None, None, []
 
         def closed():
             turns, loss, n, chars, formatted, tokens, masked = state
             return conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted, tokens, masked
 
-        for convs, rows in rows_in_batches(batches, ["conv_id", "ids"], 256):
-            rows = [np.array(x, dtype=np.int64) for x in rows]
-            cuts = [(int(np.flatnonzero(x == marks[1])[0]), int(np.flatnonzero(x == marks[2])[0])) for x in rows]
-            roles = [enc.decode(x[1:opened]) for x, (opened, _) in zip(rows, cuts)]
-            every = np.concatenate(rows)
-            mask = loss_mask(every, marks, np.repeat([unescape(r) == "assistant" for r in roles], [len(x) for x in rows]))
-            at = 0
-            for c, ids, role, (opened, ended) in zip(convs, rows, roles, cuts):
+        for columns in rows_in_batches(batches, ["conv_id", "said", "learnt", "formatted", "tokens", "masked"], 256):
+            for c, text, learnt, formatted, tokens, masked in zip(*columns):
                 if state is None or c != conv:
                     if state is not None:
                         done.append(closed())
                     conv, state = c, [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, 0, 0]
-                own = mask[at : at + len(ids)]
-                at += len(ids)
-                text = enc.decode(ids[opened + 1 : ended])
-                state[0].update(f"{unescape(role)}\n{unescape(text)}\n".encode())
-                learnt = unescape(enc.decode(ids[own]))
+                state[0].update(text.encode())
                 state[1].update(learnt.encode())
-                state[2:] = [state[2] + 1, state[3] + len(learnt), state[4] + fixed + len(role) + len(text), state[5] + len(ids), state[6] + int(own.sum())]
+                state[2:] = [state[2] + 1, state[3] + len(learnt), state[4] + formatted, state[5] + tokens, state[6] + masked]
             if len(done) > 1000:
                 yield batch_of(schema, [list(x) for x in zip(*done)])
                 done = []
@@ -118,7 +121,7 @@ def read_turns(formatted: DataFrame, tokenizer: str) -> DataFrame:
             yield batch_of(schema, [list(x) for x in zip(*done)])
 
     ship(formatted.sparkSession)
-    return formatted.select("conv_id", "nth", "ids").repartition("conv_id").sortWithinPartitions("conv_id", "nth").select("conv_id", "ids").mapInArrow(run, ddl)
+    return said.repartition("conv_id").sortWithinPartitions("conv_id", "nth").drop("nth").mapInArrow(run, ddl)
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,19 +156,22 @@ def components(edges: DataFrame) -> DataFrame:
     hash, anew in each round, and the links are carried over; links within one node vanish. Expected rounds: the
     logarithm of the largest component. Only nodes that have links take part; nothing is collected."""
     links_, maps = saved(edges.select("a", "b").filter("a != b").distinct()), []
-    while not links_.isEmpty():
+    while left := links_.count():
         r = F.lit(len(maps))
         both = links_.unionByName(links_.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", r).alias("h"), "b")).alias("m"))
-        moved = saved(least.select(F.col("a").alias("node"), F.when(F.struct(F.xxhash64("a", r).alias("h"), F.col("a").alias("b")) < F.col("m"), F.col("a")).otherwise(F.col("m.b")).alias("root")))
-        to = lambda c: moved.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"))  # noqa: E731, B023
-        links_ = saved(links_.join(to("a"), "a").join(to("b"), "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b")).filter("a != b").distinct())
-        maps.append(moved)
+        least = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", r).alias("h"), "b")).alias("m"), F.count("*").alias("n"))
+        moved = saved(least.select(F.col("a").alias("node"), F.when(F.struct(F.xxhash64("a", r).alias("h"), F.col("a").alias("b")) < F.col("m"), F.col("a")).otherwise(F.col("m.b")).alias("root"), "n"))
+        to = lambda c: moved.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"), "n")  # noqa: E731, B023
+        met = join_skewed(join_skewed(links_, to("a"), ["a"], left), to("b"), ["b"], left)  # a node may have any number of links
+        links_ = saved(met.select(F.col("a_to").alias("a"), F.col("b_to").alias("b")).filter("a != b").distinct())
+        maps.append(moved.drop("n"))
     if not maps:
         return links_.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = maps[0]
     for later in maps[1:]:
-        out = out.join(later.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        out = saved(out)
+        ends = out.groupBy("root").agg(F.count("*").alias("n")).join(later.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+        out = join_skewed(out, ends.select("root", F.coalesce("next", "root").alias("next"), "n"), ["root"], out.count()).select("node", F.col("next").alias("root"))
     return out
 
 

@@ -173,11 +173,12 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     return stored(ordered.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long"), "token-manifest")
 
 
-def read_token_files(manifest: DataFrame, out_dir: str) -> DataFrame:
+def read_token_files(manifest: DataFrame, out_dir: str, task_tokens: int = 64_000_000) -> DataFrame:
     """doc_id, start (ids of all documents before it, over all files), n_tokens, ids_crc32 from the files of a manifest.
     First ids come from the select structures of the Elias-Fano lists; a file's base is the sum of the counts before it,
     taken in two steps (parts, then files of a part), so no step sees more than one row a part or the files of one part.
-    There are as many reading tasks as files: the manifest's rows are few and small, so none are merged by size."""
+    A reading task takes the files of about ``task_tokens`` ids, in order; where there are few files, one each: the
+    manifest's rows are few and small, so Spark would merge them all into one."""
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_base"))
     files = manifest.join(bases, "part").select("part", "seq", "path", (F.col("part_base") + F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")).alias("base"))
@@ -203,7 +204,9 @@ def read_token_files(manifest: DataFrame, out_dir: str) -> DataFrame:
                 yield batch_of(schema, out)
 
     ship(manifest.sparkSession)
-    return files.repartitionByRange(max(1, manifest.count()), "part", "seq").select("path", "base").mapInArrow(run, ddl)
+    n, tokens = manifest.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    tasks = max(1, min(n, max(4 * manifest.sparkSession.sparkContext.defaultParallelism, -(-tokens // task_tokens))))
+    return files.repartitionByRange(tasks, "part", "seq").select("path", "base").mapInArrow(run, ddl)
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,8 +43,22 @@ def test_chats(spark):
     assert got[1].loss_sha256 == sha(bad + bad) and got[1].loss_chars == 2 * len(bad)
     assert got[None].loss_sha256 == sha("x") and got[2].loss_chars == 0 and got[2].loss_sha256 == sha("") and got[3].loss_tokens == 0
     assert chat.read_turns(chat.format_turns(turns.filter("conv_id = 9"), byte_bpe()), byte_bpe()).count() == 0
-    starts = sorted((r.nth, r.start, len(r.ids)) for r in chat.format_turns(turns.filter("conv_id = 1"), byte_bpe()).collect())
-    assert all(s + n == t for (_, s, n), (_, t, _) in zip(starts, starts[1:]))
+    assert sorted(r.nth for r in chat.format_turns(turns.filter("conv_id = 1"), byte_bpe()).collect()) == [1, 2, 3, 4]
+
+
+def test_a_hot_conversation_is_encoded_by_all_tasks(spark):
+    """Nine of ten rows are of one conversation or of none; both passes work where rows lie, before the shuffle."""
+    rows = [(None if i % 10 < 4 else 7 if i % 10 < 9 else i, i, "assistant" if i % 2 else "user", prose(i % 50, 20)) for i in range(2000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(8)
+    formatted = chat.format_turns(turns, byte_bpe())
+    done = chat.read_turns(formatted, byte_bpe())
+    got = {r.conv_id: (r.n_turns, r.turns_sha256) for r in done.collect()}
+    for conv in (None, 7, 9):
+        own = [(role, text) for c, _, role, text in rows if c == conv]
+        assert got[conv] == (len(own), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest())
+    plan = done._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    kinds = [k for line in plan for k in ("MapInArrow", "RepartitionByExpression [conv_id", "Window") if k in line]
+    assert kinds == ["MapInArrow", "RepartitionByExpression [conv_id", "MapInArrow", "Window", "MapInArrow"], kinds
 
 
 def words(text):
@@ -287,6 +301,17 @@ def test_links_lose_none(spark, block_rows, blocks):
     assert {frozenset(n for n in roots if roots[n] == x) for x in set(roots.values())} == {g for g in want if len(g) > 1}
 
 
+def test_components_of_most_rows(spark, monkeypatch):
+    """A chain and a star, each of thousands of nodes, with hot keys from a handful of rows on."""
+    plain = simhash.join_skewed
+    monkeypatch.setattr(simhash, "join_skewed", lambda left, right, keys, total: plain(left, right, keys, total, most=5, parts=50))
+    edges = [(i, i + 1) for i in range(1500)] + [(5000, i) for i in range(5001, 7000)] + [(9000, 9001)]
+    got = {}
+    for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect():
+        got.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, got.values())) == [list(range(1501)), list(range(5000, 7000)), [9000, 9001]]
+
+
 def test_op10_on_the_small_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     assert sorted((tuple(r) for r in simhash.op10_simhash_near_dedup(spark, SMALL).collect()), key=str) == brute_groups(rows)

@@ -74,7 +74,7 @@ def test_token_files(spark, most):
     at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     manifest = token_files.write_token_files(docs, at, byte_bpe(), file_tokens=most)
     read = token_files.read_token_files(manifest, at)
-    assert read.rdd.getNumPartitions() == manifest.count()  # a task a file
+    assert read.rdd.getNumPartitions() == min(manifest.count(), 4 * spark.sparkContext.defaultParallelism)  # a task a file where there are few
     assert by_place([tuple(r) for r in read.collect()]) == sorted((str(r[0]), r[2], r[3]) for r in expected_files([(r.doc_id, r.text) for r in docs.collect()]))
     path = manifest.first().path
     file = token_files.TokenFile(open(path, "rb").read())
@@ -98,6 +98,17 @@ def test_a_hot_doc_id_is_spread_over_files(spark):
     assert max(sizes) < 0.6 * sum(sizes)  # half the rows share an id
 
 
+def test_thousands_of_files_are_dealt_by_size(spark):
+    rows = [(i, f"text {i % 90}") for i in range(6000)]
+    at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    manifest = token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), at, byte_bpe(), file_tokens=8)
+    assert manifest.count() > 2000
+    read = token_files.read_token_files(manifest, at, task_tokens=400)
+    tokens = manifest.agg({"n_tokens": "sum"}).first()[0]
+    assert 16 < read.rdd.getNumPartitions() <= tokens // 400 + 1
+    assert [tuple(r) for r in read.orderBy("start").collect()] == expected_files(rows)
+
+
 def test_token_files_of_nothing(spark):
     at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     assert token_files.read_token_files(token_files.write_token_files(no_documents(spark), at, byte_bpe()), at).count() == 0
