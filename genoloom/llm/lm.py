@@ -27,7 +27,7 @@ from collections import Counter
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, batch_of, crc_split, map_rows, rows_in_batches, shared_dir, ship, stored, table
@@ -219,18 +219,6 @@ class LogBilinear:
         return score
 
 
-def _ids(texts: list[bytes | None], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Model ids of the texts' tokens one after the other, each text's first position, the texts' words."""
-    get, ids, starts, words = index.get, [], [], []
-    for x in texts:
-        found = words_of(x)
-        starts.append(len(ids))
-        ids += [get(w, OPEN) for w in found]
-        ids.append(STOP)
-        words.append(found)
-    return np.array(ids, dtype=np.int32), np.array(starts, dtype=np.int64), words
-
-
 def _contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     w1, w2 = np.roll(ids, 1), np.roll(ids, 2)
     w1[starts] = STOP
@@ -240,37 +228,69 @@ def _contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return w1, w2
 
 
-def _coded(docs: DataFrame, index: dict[bytes, int], rounds: int, shards: int) -> DataFrame:
-    """round, shard, u (a hash that orders a shard's texts) and ids (two bytes each) of whole texts, stored by round.
-    Copies of a text differ in their ids, rows without one in their number, so no group of copies meets in one shard."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(index)
+def _coded(rows: DataFrame, known: tuple, rounds: int, shards: int) -> DataFrame:
+    """All that is read from the texts of ``rows`` (doc_id, text, learn, wanted), in one pass, stored by round: row, doc_id,
+    learn, wanted, n_tokens, known (tokens with a count), base and opened (sums of logs of counts, of all tokens and of the
+    open class's share), rare and times (words whose counts aren't in ``known``), ids (two bytes a token), and round, shard
+    and u, a hash that orders a shard's texts. Copies of a text differ in their ids, rows without one in their number, so
+    no group of copies meets in one shard. ``known``: words of the model, places of words, logs of counts, whether the end
+    has a count, the log of the open class's counts."""
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(known)
 
     def make():
-        index = sent.value
-        return lambda us, texts: [us, [_ids([x], index)[0].astype("<u2").tobytes() for x in texts]]
+        closed, place, logs, end_known, log_rest = sent.value
+        miss = len(place)  # of words that have no place; the end comes after it
+
+        def step(numbers, doc_ids, learn, wanted, us, texts):
+            get, at, starts, words = place.get, [], [], []
+            for x in texts:
+                found = words_of(x)
+                starts.append(len(at))
+                at += [get(w, miss) for w in found]
+                at.append(miss + 1)
+                words += found
+                words.append(END)
+            at, starts = np.array(at, dtype=np.int32), np.array(starts)
+            end, opened = at > miss, (at >= closed) & (at <= miss)
+            ids = np.where(end, STOP, np.where(opened, OPEN, at + 2)).astype("<u2")
+            value = logs[at]
+            total = lambda x: np.add.reduceat(x, starts, dtype=np.float64)
+            rare: list[Counter] = [Counter() for _ in texts]
+            for i, d in zip((far := np.flatnonzero(at == miss)).tolist(), (np.searchsorted(starts, far, side="right") - 1).tolist()):
+                rare[d][words[i]] += 1
+            ends = np.append(starts[1:], len(at))
+            return [numbers, doc_ids, learn, wanted, us, ends - starts, total((at < miss) + end * end_known).astype(np.int64), total(value), total(np.where(opened, value - log_rest, 0)),
+                    [list(r) for r in rare], [list(r.values()) for r in rare], [ids[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist())]]
 
-    u = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id())), "text")
-    coded = map_rows(docs.select(u.alias("u"), F.col("text").cast("binary").alias("raw")), make, "u long, ids binary", ["u", "raw"])
-    coded = coded.select(F.pmod(F.shiftright("u", 24), F.lit(shards)).cast("int").alias("shard"), "u", "ids", F.pmod("u", F.lit(rounds)).cast("int").alias("round"))
+        return step
+
+    ddl = "row long, doc_id long, learn boolean, wanted boolean, u long, n_tokens long, known long, base double, opened double, rare array<binary>, times array<long>, ids binary"
+    row = F.monotonically_increasing_id()
+    u = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), row)), "text")
+    coded = map_rows(rows.select(row.alias("row"), "doc_id", "learn", "wanted", u.alias("u"), F.col("text").cast("binary").alias("raw")), make, ddl, ["row", "doc_id", "learn", "wanted", "u", "raw"], most=512)
+    coded = coded.withColumns({"shard": F.pmod(F.shiftright("u", 24), F.lit(shards)).cast("int"), "round": F.pmod("u", F.lit(rounds)).cast("int")})
     path = f"{shared_dir(spark)}/coded-{uuid.uuid4().hex}"
     coded.write.partitionBy("round").parquet(path)
     return spark.read.schema(coded.schema).parquet(path)
 
 
-def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, tokens: int, size: int = 16, rounds: int = 8, shard_tokens: int = 2_000_000, most_shards: int = 4096,
-          class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.1) -> LogBilinear:
-    """One pass over all of ``docs`` (``tokens`` in all) in ``rounds`` rounds of shards of about ``shard_tokens`` tokens.
-    Where that would make over ``most_shards`` shards a round there are more rounds instead, so a shard is never more than
-    one task's work, and its steps are of ``batch`` tokens, whatever the size of the input. Every shard ends with the rows of the words and classes
-    that it met, weighed by how often, in blocks; a task of each block takes the means, and the driver sees one model,
-    whatever the number of shards. Of the gradients' squared sums a mean for each row travels."""
-    spark, rounds = docs.sparkSession, max(rounds, -(-tokens // (shard_tokens * most_shards)))
+def rounds_and_shards(tokens: int, rounds: int = 8, shard_tokens: int = 2_000_000, most_shards: int = 4096) -> tuple[int, int]:
+    """``rounds`` rounds of shards of about ``shard_tokens`` tokens. Where that would make over ``most_shards`` shards a
+    round there are more rounds instead, so a shard is never more than one task's work, whatever the size of the input."""
+    rounds = max(rounds, -(-tokens // (shard_tokens * most_shards)))
+    return rounds, max(1, round(tokens / (rounds * shard_tokens)))
+
+
+def train(coded: DataFrame, unigram: np.ndarray, rounds: int, shards: int, size: int = 16, class_noise: int = 32, word_noise: int = 5, batch: int = 4096, rate: float = 0.07) -> LogBilinear:
+    """One pass over all texts of ``coded`` (round, shard, u, ids) in ``rounds`` rounds of ``shards`` shards. A step takes
+    ``batch`` tokens, whatever the size of the input. Every shard ends with the rows of the words and classes that it met,
+    weighed by how often, in blocks; a task of each block takes the means, and the driver sees one model, whatever the
+    number of shards. Of the gradients' squared sums a mean for each row travels."""
+    spark = coded.sparkSession
     starts = class_starts(unigram)
     model = LogBilinear(len(unigram), size, unigram, starts)
     n, width, wide = len(model.rows), size + 3, 1024  # a row, its mean squared gradients, its weight; rows of a block
-    shards = max(1, round(tokens / (rounds * shard_tokens)))
-    coded = _coded(docs, index, rounds, shards)
     schema = arrow_schema("block int, k binary, v binary")
 
     def shard_of(sent, seed):
@@ -325,7 +345,7 @@ def train(docs: DataFrame, index: dict[bytes, int], unigram: np.ndarray, tokens:
         sent = spark.sparkContext.broadcast((model.rows, squares, unigram, starts))
         texts = coded.filter(F.col("round") == r).repartitionById(shards, F.col("shard")).sortWithinPartitions("u").select("ids")
         rows, squares = model.rows.copy(), squares.copy()
-        for x in texts.mapInArrow(shard_of(sent, 7 + r * most_shards), "block int, k binary, v binary").repartition("block").mapInArrow(merge, "block int, k binary, v binary").collect():
+        for x in texts.mapInArrow(shard_of(sent, 7 + r * shards), "block int, k binary, v binary").repartition("block").mapInArrow(merge, "block int, k binary, v binary").collect():
             at, found = np.frombuffer(x.k, "<i4"), np.frombuffer(x.v, "<f4").reshape(-1, width - 1)
             rows[at], squares[at] = found[:, :-1], found[:, -1]
         model.load(rows)
@@ -347,71 +367,59 @@ def frequent_words(words: DataFrame, head: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r.word), r.c) for r in words.filter(chosen).collect()), key=lambda x: (-x[1], x[0]))
 
 
-def score(docs: DataFrame, training: DataFrame, vocabulary: int = 65_536 - 512, head: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame | Column, vocabulary: int = 65_536 - 512, head: int = 100_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every text of ``docs`` after learning from
-    ``training``. ``vocabulary`` bounds the model's words (so its memory: words and classes number in 16 bits), ``head`` the
-    counts that travel to the tasks."""
+    ``training``, other texts or a condition that tells which rows of ``docs`` to learn from. Texts are cut into words
+    twice: for the counts, and for all else. ``vocabulary`` bounds the model's words (so its memory: words and classes
+    number in 16 bits), ``head`` the counts that travel to the tasks."""
     spark = docs.sparkSession
-    counts = word_counts(training)
+    if isinstance(training, DataFrame):
+        rows = docs.select("doc_id", "text", F.lit(False).alias("learn"), F.lit(True).alias("wanted")).unionByName(training.select("doc_id", "text", F.lit(True).alias("learn"), F.lit(False).alias("wanted")))
+    else:
+        rows = docs.select("doc_id", "text", training.alias("learn"), F.lit(True).alias("wanted"))
+    counts = word_counts(rows.filter("learn"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     words = counts.filter(F.col("word") != F.lit(END))
     top = frequent_words(words, head)
     ends = counts.filter(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    index = {w: i + 2 for i, (w, _) in enumerate(top[: vocabulary - 2])}
     closed = np.array([ends] + [c for _, c in top[: vocabulary - 2]], dtype=np.float64)
     rest = total + distinct + 1 - (closed + 1).sum() if total else 1.0  # what the open class stands for: counts, a slot each, one unseen
     unigram = np.concatenate([[max(rest, 1.0)], closed + 1])
     unigram /= unigram.sum()
-    model = train(training, index, unigram, total) if total else LogBilinear(len(unigram), 4, unigram)
-    place = {w: i for i, (w, _) in enumerate(top)}
     logs = np.log10(np.array([c + 1 for _, c in top] + [1, ends + 1], dtype=np.float64))  # of the head, of other words until their count is known, of the end
-    sent = spark.sparkContext.broadcast((len(index), place, logs, int(ends > 0), float(np.log10(max(rest, 1.0))), model))
+    rounds, shards = rounds_and_shards(total)
+    coded = _coded(rows, (len(closed) - 1, {w: i for i, (w, _) in enumerate(top)}, logs, int(ends > 0), float(np.log10(max(rest, 1.0)))), rounds, shards)
+    model = train(coded.filter("learn"), unigram, rounds, shards) if total else LogBilinear(len(unigram), 4, unigram)
+    sent = spark.sparkContext.broadcast(model)
 
     def make():
-        closed, place, logs, end_known, log_rest, model = sent.value
+        model = sent.value
         if "score" not in vars(model):
             model.score = model.scorer()  # once for all tasks of a Python worker
-        miss = len(place)  # of words that aren't in the head; the end comes after it
 
-        def step(doc_ids, rows, texts):
-            get, at, starts, words = place.get, [], [], []
-            for x in texts:
-                found = words_of(x)
-                starts.append(len(at))
-                at += [get(w, miss) for w in found]
-                at.append(miss + 1)
-                words += found
-                words.append(END)
-            at, starts = np.array(at, dtype=np.int32), np.array(starts)
-            end, opened = at > miss, (at >= closed) & (at <= miss)
-            ids = np.where(end, STOP, np.where(opened, OPEN, at + 2)).astype(np.int32)
-            w1, w2 = _contexts(ids, starts)
-            value = logs[at]
-            cost = model.score(ids, w1, w2) / np.log(10) + np.where(opened, value - log_rest, 0)  # of the open class, those whose counts are here
-            total = lambda x: np.add.reduceat(x, starts, dtype=np.float64)
-            known = total((at < miss) + end * end_known).astype(np.int64)
-            rare: list[Counter] = [Counter() for _ in texts]
-            for i, d in zip((far := np.flatnonzero(at == miss)).tolist(), (np.searchsorted(starts, far, side="right") - 1).tolist()):
-                rare[d][words[i]] += 1
-            return [doc_ids, rows, np.diff(starts, append=len(at)), known, total(value), total(cost), [list(r) for r in rare], [list(r.values()) for r in rare]]
+        def step(numbers, texts):
+            held = [np.frombuffer(x, "<u2") for x in texts]
+            starts = np.cumsum([0, *map(len, held[:-1])])
+            ids = np.concatenate(held).astype(np.int32)
+            return [numbers, np.add.reduceat(model.score(ids, *_contexts(ids, starts)) / np.log(10), starts, dtype=np.float64)]
 
         return step
 
-    ddl = "doc_id long, row long, n_tokens long, known long, base double, lm double, rare array<binary>, times array<long>"
-    scored = stored(map_rows(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("raw")), make, ddl, ["doc_id", "row", "raw"], most=512), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("n"))
+    wanted = coded.filter("wanted")
+    scored = stored(map_rows(wanted, make, "row long, lm double", ["row", "ids"], most=512), "scored")
+    rare = wanted.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("n"))
     tail = rare.join(counts, "word").groupBy("row").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     base = float(np.log10(total + distinct + 1))
-    return scored.drop("rare", "times").join(tail, "row", "left").select(
+    return wanted.select("row", "doc_id", "n_tokens", "known", "base", "opened").join(scored, "row").join(tail, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + zero("tail_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("tail") - F.col("n_tokens") * base).alias("base_score"), (F.col("lm") + zero("tail")).alias("score"),
+        (F.col("base") + zero("tail") - F.col("n_tokens") * base).alias("base_score"), (F.col("lm") + F.col("opened") + zero("tail")).alias("score"),
     )
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_split(F.col("doc_id"), 7, 2)
-    return score(docs, docs.filter(~held_out)).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return score(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -165,16 +165,18 @@ def test_lm_score_equals_a_plain_restatement(spark, monkeypatch):
     training = docs.filter("doc_id < 100")
     made = {}
 
-    def given(docs, index, unigram, tokens):
-        made["index"], made["model"] = index, lm.LogBilinear(len(unigram), 4, unigram, lm.class_starts(unigram), seed=3)
+    def given(coded, unigram, rounds, shards):
+        made["model"] = lm.LogBilinear(len(unigram), 4, unigram, lm.class_starts(unigram), seed=3)
         made["model"].rows[: len(unigram)] += np.random.default_rng(9).normal(0, 0.3, (len(unigram), 5)).astype(np.float32)
         return made["model"]
 
+    frequent = lm.frequent_words
     monkeypatch.setattr(lm, "train", given)
+    monkeypatch.setattr(lm, "frequent_words", lambda *x: made.setdefault("top", frequent(*x)))
     got = {r.doc_id: r.score for r in lm.score(docs, training, vocabulary=12, head=20).collect()}
     counts = Counter(w for i, t in texts if i < 100 for w in (t or "").lower().split())
     total, distinct = sum(counts.values()) + 100, len(counts) + 1
-    m, index = made["model"], {k.decode(): v for k, v in made["index"].items()}
+    m, index = made["model"], {w.decode(): i + 2 for i, (w, _) in enumerate(made["top"][:10])}
     assert len(index) == 10 and set(index) < set(counts)
     rest = total + distinct + 1 - sum(counts[w] + 1 for w in index) - (100 + 1)
     for i, t in texts:
@@ -191,6 +193,14 @@ def test_lm_score_equals_a_plain_restatement(spark, monkeypatch):
         assert abs(got[i] - want) < 1e-3 * max(1, abs(want)), (i, got[i], want)
 
 
+def test_lm_shards_are_of_one_size():
+    """More input means more shards, then more rounds; a shard never grows."""
+    assert lm.rounds_and_shards(0) == (8, 1) and lm.rounds_and_shards(160_000_000) == (8, 10)
+    for tokens in (10**8, 10**10, 10**12, 2 * 10**13):
+        rounds, shards = lm.rounds_and_shards(tokens)
+        assert rounds >= 8 and shards <= 4096 and tokens / rounds / shards < 2_300_000
+
+
 def test_lm_even_counts(spark):
     words = spark.createDataFrame([(f"w{i}".encode(), 5) for i in range(4000)] + [(b"often", 90)], "word binary, c long")
     top = lm.frequent_words(words, 500)
