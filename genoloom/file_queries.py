@@ -56,6 +56,15 @@ def s02_vcf_records(v, g):
     return readers.vcf(v.sparkSession, text_file(with_lines(rows, *VCF_HEAD), "vcf"))[1]
 
 
+@register("fx_variants", sql="SELECT chrom, pos, ref, alt, concat('rs', CAST(variant_id AS VARCHAR)) AS id FROM fx_variants WHERE chrom IN ('chr1', 'chrX')")
+def s02_block_gzip(v):
+    """One block-gzipped file, written in parts by all tasks, read by many; chromosomes and columns are left out by the source."""
+    spark, at = v.sparkSession, fresh(v.sparkSession, "packed") + ".vcf.gz"
+    records = v.select("chrom", "pos", F.concat(F.lit("rs"), "variant_id").alias("id"), "ref", "alt", F.lit(".").alias("qual"), F.lit("PASS").alias("filter"), F.sha2("clinvar", 512).alias("info"), F.lit("GT").alias("format"), F.lit("0/1").alias("S1"))
+    writers.vcf(records, spark.createDataFrame([(x,) for x in VCF_HEAD], "line string"), at, block_gzip=True)
+    return readers.vcf(spark, at, contigs="chr1,chrX", columns=8, split_bytes=50_000)[1].filter("S1 IS NULL AND format IS NULL").select("chrom", "pos", "ref", "alt", "id")
+
+
 def s03_csq_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields are the regions' names."""
     names = spark.read.parquet(f"{sf_dir}/region.parquet").agg(F.array_join(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name")))["r_name"], "|").alias("n"))
@@ -272,6 +281,22 @@ def k04_split_vcf(v):
     return readers.vcf(spark, f"{at}/snv")[1].withColumn("file", F.lit("snv")).unionByName(readers.vcf(spark, f"{at}/indel")[1].withColumn("file", F.lit("indel"))).select("chrom", "pos", "ref", "alt", "file")
 
 
+@register("fx_variants", sql="SELECT pos, file, row_number() OVER (PARTITION BY file ORDER BY chrom, pos) + 2 AS place FROM (SELECT chrom, pos, CASE WHEN length(ref) = 1 AND length(alt) = 1 THEN 'snv' ELSE 'indel' END AS file FROM fx_variants WHERE (length(ref) = 1 OR length(alt) = 1) AND NOT contains(alt, ','))")
+def k04_one_file(v):
+    """Each route as one file in order, made of parts that all tasks write; place is the line in the file."""
+    from pyspark.sql import Window
+
+    from .operators import annotate
+
+    spark, at = v.sparkSession, fresh(v.sparkSession, "one")
+    records = v.select("chrom", "pos", F.lit(".").alias("id"), "ref", "alt", F.lit(".").alias("qual"), F.lit("PASS").alias("filter"), F.lit("X=1").alias("info"))
+    head = spark.createDataFrame([(x,) for x in (VCF_HEAD[0], "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO")], "line string")
+    writers.split_vcf(annotate.routed(records), head, at, single_file=True)
+    every = [spark.read.text(f"{at}/{k}.vcf").select(F.lit(k).alias("file"), F.monotonically_increasing_id().alias("nth"), "value") for k in ("snv", "indel")]
+    lines = every[0].unionByName(every[1]).withColumn("place", F.row_number().over(Window.partitionBy("file").orderBy("nth")).cast("long"))  # a check of order: one task a file by nature
+    return lines.filter(~F.col("value").startswith("#")).select(F.split("value", "\t")[1].cast("long").alias("pos"), "file", "place")
+
+
 def k05_reduced_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contigs of even nations are kept, the other lines go."""
     n = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat(F.when(F.col("n_nationkey") % 2 == 0, "##contig=<ID=").otherwise("##command=<ID="), "n_name", F.lit(">")).alias("value"))

@@ -1,5 +1,6 @@
-"""Scans of variant, resource and ontology files as DataFrames. Gzip files are one split each: repartition after them
-where they are large. Missing values become null at the source; NaN is never stored."""
+"""Scans of variant, resource and ontology files as DataFrames. Block-gzipped VCF files are read in many tasks; other gzip
+files are one split each: repartition after them where they are large. Missing values become null at the source; NaN is
+never stored."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators.filters import blanks_to_null
+from . import blockgzip
 
 VCF_COLUMNS = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format")
 
@@ -24,18 +26,26 @@ def variants_tsv(spark: SparkSession, path: str, schema: str | None = None) -> D
     return df.select(*[X.missing_to_null(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
+def text_lines(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
+    """value: the lines of a text file or folder; of a ``.gz`` or ``.bgz`` file in as many tasks as its size asks for.
+    ``options``, for these alone: contigs, columns, split_bytes (see ``blockgzip``)."""
+    if path.endswith((".gz", ".bgz")):
+        return blockgzip.lines(spark, path, **options)
+    return spark.read.text(path)
+
+
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """line: the header lines of a VCF or GSvar file."""
-    return spark.read.text(path).filter(F.col("value").startswith("#")).select(F.col("value").alias("line"))
+    return text_lines(spark, path).filter(F.col("value").startswith("#")).select(F.col("value").alias("line"))
 
 
-def vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def vcf(spark: SparkSession, path: str, **options: str | int) -> tuple[DataFrame, DataFrame]:
     """(header lines, records) of a VCF: records have the fixed columns, then one text column a sample. The column names
-    take one small read of the header."""
+    take one small read of the header. ``options``: see ``text_lines``."""
     head = header_lines(spark, path)
     names = (head.filter(F.col("line").startswith("#CHROM")).first() or [""])[0].split("\t")[9:]
     cells = F.split("value", "\t")
-    records = spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate([*VCF_COLUMNS, *names])])
+    records = text_lines(spark, path, **options).filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate([*VCF_COLUMNS, *names])])
     return head, records.withColumn("pos", F.col("pos").try_cast("long"))
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 from ..operators.inheritance import MODES
+from ..shared import fresh
+from . import blockgzip
 
 #: Header lines that a reduced VCF keeps, columns of the exchange format.
 KEPT_HEADER = ("##fileformat=", "##filedate=", "##source=", "##reference=", "##contig=", "##FORMAT=", "##FILTER=", "#CHROM")
@@ -51,16 +55,63 @@ def vcf_lines(records: DataFrame, header: DataFrame, reduced: bool = False) -> D
     return head.unionByName(body).orderBy("r", "c", "p", "value").select("value")
 
 
-def vcf(records: DataFrame, header: DataFrame, path: str, reduced: bool = False, single_file: bool = False) -> None:
-    """Text in order; with ``single_file`` one task writes all of it, for small exports only."""
+def joined_files(spark: SparkSession, parts: list[str], path: str, ending: bytes = b"") -> None:
+    """The files ``parts``, one after the other, as one file. No task and no table holds all rows: bytes are appended by the
+    file system where it can (as HDFS does, by moving blocks), else copied in order through a buffer. They gather under a
+    name of this attempt's own, and only the whole file gets its name, so an attempt that fails or is repeated leaves no
+    half or doubled file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    of = jvm.org.apache.hadoop.fs.Path
+    target = of(path)
+    fs, own = target.getFileSystem(conf), of(f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(own)
+    if fs.getScheme() == "hdfs" and parts:
+        out.close()
+        some = spark.sparkContext._gateway.new_array(of, len(parts))
+        for i, p in enumerate(parts):
+            some[i] = of(p)
+        fs.concat(own, some)
+        out = fs.append(own)
+    else:
+        for p in parts:
+            source = of(p)
+            read = source.getFileSystem(conf).open(source)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, conf, False)
+            read.close()
+    out.write(bytearray(ending))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(own, target):
+        raise OSError(f"{path} could not be put in place")
+
+
+def one_text_file(lines: DataFrame, path: str, block_gzip: bool = False) -> None:
+    """The lines (value) of an ordered table as one file, written in parts by all tasks and joined in order."""
+    spark = lines.sparkSession
+    if block_gzip:
+        return joined_files(spark, blockgzip.write_parts(lines), path, blockgzip.LAST)
+    at = fresh(spark, "parts")
+    lines.select("value").write.text(at)
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = of(at).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().toString() for f in fs.listStatus(of(at)) if f.getPath().getName().startswith("part-")]
+    joined_files(spark, sorted(names), path)  # part-00000 and so on: the order of the partitions
+
+
+def vcf(records: DataFrame, header: DataFrame, path: str, reduced: bool = False, single_file: bool = False, block_gzip: bool = False) -> None:
+    """Text in order: a folder of files, or, as other tools want it, one file, also block-gzipped."""
     lines = vcf_lines(records, header, reduced)
-    (lines.coalesce(1) if single_file else lines).write.mode("overwrite").text(path)
+    if single_file or block_gzip:
+        one_text_file(lines, path, block_gzip)
+    else:
+        lines.write.mode("overwrite").text(path)
 
 
-def split_vcf(routed: DataFrame, header: DataFrame, path: str) -> None:
-    """SNVs and indels (column route) into two folders, each with the header."""
+def split_vcf(routed: DataFrame, header: DataFrame, path: str, single_file: bool = False) -> None:
+    """SNVs and indels (column route) into two folders or files, each with the header."""
     for route in ("snv", "indel"):
-        vcf(routed.filter(F.col("route") == route).drop("route"), header, f"{path}/{route}")
+        vcf(routed.filter(F.col("route") == route).drop("route"), header, f"{path}/{route}" + ".vcf" * single_file, single_file=single_file)
 
 
 def gsvar_table(df: DataFrame, sample: str) -> DataFrame:
@@ -81,11 +132,15 @@ def gsvar_table(df: DataFrame, sample: str) -> DataFrame:
     return df.select(*[values.get(c, F.lit(None).cast("string")).alias(c) for c in GSVAR_COLUMNS], X.genotype_text("gt").alias(sample) if "gt" in df.columns else F.lit("n/a").alias(sample))
 
 
-def gsvar(df: DataFrame, path: str, sample: str) -> None:
-    """The exchange format as text, header lines first; one folder of ordered files."""
+def gsvar(df: DataFrame, path: str, sample: str, single_file: bool = False) -> None:
+    """The exchange format as text, header lines first: a folder of ordered files, or one file."""
     table = gsvar_table(df, sample)
     head = ["##GENOME_BUILD=GRCh38", f"##SAMPLE=<ID={sample},DiseaseStatus=affected>", "##FILTER=off-target=Variant marked as 'off-target'.",
             "##FILTER=low_conf_region=Variant marked as 'low_conf_region'.", f"##DESCRIPTION={sample}=Genotype of variant in sample.", "#" + "\t".join(table.columns)]
     top = df.sparkSession.createDataFrame([(i, "", 0, line) for i, line in enumerate(head)], "r int, c string, p long, value string")
     body = table.select(F.lit(len(head)).alias("r"), F.col("chr").alias("c"), F.col("start").cast("long").alias("p"), F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in table.columns]).alias("value"))
-    top.unionByName(body).orderBy("r", "c", "p", "value").select("value").write.mode("overwrite").text(path)
+    lines = top.unionByName(body).orderBy("r", "c", "p", "value").select("value")
+    if single_file:
+        one_text_file(lines, path)
+    else:
+        lines.write.mode("overwrite").text(path)
