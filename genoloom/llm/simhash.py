@@ -151,10 +151,11 @@ def links(fps: DataFrame, limit: int = 4, block_rows: int = 4096, blocks: int |
     return dealt.select("cell", "fp").repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most: int = 100_000) -> DataFrame:
     """node, root of every node of the links (a, b). In each round a node moves to its neighbour (or itself) of least
     hash, anew in each round, and the links are carried over; links within one node vanish. Expected rounds: the
-    logarithm of the largest component. Only nodes that have links take part; nothing is collected."""
+    logarithm of the largest component. Only nodes that have links take part; nothing is collected. Where there are over
+    ``most`` links or nodes, nodes of many links and components of many nodes are joined apart."""
     links_, maps = saved(edges.select("a", "b").filter("a != b").distinct()), []
     while left := links_.count():
         r = F.lit(len(maps))
@@ -162,16 +163,21 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", r).alias("h"), "b")).alias("m"), F.count("*").alias("n"))
         moved = saved(least.select(F.col("a").alias("node"), F.when(F.struct(F.xxhash64("a", r).alias("h"), F.col("a").alias("b")) < F.col("m"), F.col("a")).otherwise(F.col("m.b")).alias("root"), "n"))
         to = lambda c: moved.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"), "n")  # noqa: E731, B023
-        met = join_skewed(join_skewed(links_, to("a"), ["a"], left), to("b"), ["b"], left)  # a node may have any number of links
+        met = join_skewed(join_skewed(links_, to("a"), ["a"], left, most), to("b"), ["b"], left, most)  # a node may have any number of links
         links_ = saved(met.select(F.col("a_to").alias("a"), F.col("b_to").alias("b")).filter("a != b").distinct())
         maps.append(moved.drop("n"))
     if not maps:
         return links_.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = maps[0]
+    many = len(maps) > 1 and out.count() > most
     for later in maps[1:]:
-        out = saved(out)
-        ends = out.groupBy("root").agg(F.count("*").alias("n")).join(later.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
-        out = join_skewed(out, ends.select("root", F.coalesce("next", "root").alias("next"), "n"), ["root"], out.count()).select("node", F.col("next").alias("root"))
+        after = later.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        if many:
+            out = saved(out)
+            ends = out.groupBy("root").agg(F.count("*").alias("n")).join(after, "root", "left").select("root", F.coalesce("next", "root").alias("next"), "n")
+            out = join_skewed(out, ends, ["root"], out.count(), most).select("node", F.col("next").alias("root"))
+        else:
+            out = out.join(after, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
     return out
 
 

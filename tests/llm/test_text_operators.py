@@ -304,10 +304,10 @@ def test_links_lose_none(spark, block_rows, blocks):
 def test_components_of_most_rows(spark, monkeypatch):
     """A chain and a star, each of thousands of nodes, with hot keys from a handful of rows on."""
     plain = simhash.join_skewed
-    monkeypatch.setattr(simhash, "join_skewed", lambda left, right, keys, total: plain(left, right, keys, total, most=5, parts=50))
+    monkeypatch.setattr(simhash, "join_skewed", lambda left, right, keys, total, most: plain(left, right, keys, total, most, parts=50))
     edges = [(i, i + 1) for i in range(1500)] + [(5000, i) for i in range(5001, 7000)] + [(9000, 9001)]
     got = {}
-    for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect():
+    for r in simhash.components(spark.createDataFrame(edges, "a long, b long"), most=5).collect():
         got.setdefault(r.root, set()).add(r.node)
     assert sorted(map(sorted, got.values())) == [list(range(1501)), list(range(5000, 7000)), [9000, 9001]]
 
