@@ -79,6 +79,11 @@ def pick_rank(causal: str, picks: list[str]):
     return out
 
 
+def causal_ranks(df: DataFrame, score: str = "pathogenicity", label: str = "label", keys: tuple[str, ...] = ("sample_id",)) -> DataFrame:
+    """keys, causal_rank: the best rank of a sample's variants of label 1 by score; samples without one have no row."""
+    return ranked(df, score, keys, "causal_rank").filter(F.col(label) == 1).groupBy(*keys).agg(F.min("causal_rank").alias("causal_rank"))
+
+
 def hit_rates(df: DataFrame, rank: str = "causal_rank", ks: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Share of samples whose causal gene ranks within each k."""
     return df.agg(F.count("*").alias("samples"), *[F.avg(F.when((F.col(rank) >= 1) & (F.col(rank) <= k), 1.0).otherwise(0.0)).alias(f"top_{k}") for k in ks])

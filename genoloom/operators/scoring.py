@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import FEATURES, MEAN, MEDIAN, POPULATIONS, SPLICE, SYNONYMOUS, Settings
 from ..functions import scalars as X
 from ..functions.forests import FlatForest
-from ..shared import fresh, ship
+from ..shared import fresh, ship, written
 
 
 def max_frequency(df: DataFrame, populations: tuple[str, ...] = POPULATIONS) -> DataFrame:
@@ -114,6 +114,49 @@ def predict(df: DataFrame, model: PipelineModel, out: str = "pathogenicity") ->
     return done.select(*[F.col(c) for c in df.columns if c != out], vector_to_array("probability")[1].alias(out))
 
 
+def fold_of(patient: str, folds: int = 5, seed: int = 14038) -> Column:
+    """The fold of a patient, by a hash of seed and id: the same in every run, and one for all of a patient's variants."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(patient).cast("string"), F.lit("")))
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % folds).cast("int")
+
+
+def out_of_fold(labelled: DataFrame, features: list[str], patient: str = "sample_id", label: str = "label", folds: int = 5, out: str = "pathogenicity", seed: int = 14038, **forest: int) -> DataFrame:
+    """``labelled`` with fold and a score by a forest that has seen no variant of the patient: ``folds`` forests, each trained
+    on the other folds (which must hold both labels). What is measured on these scores holds for new patients."""
+    df = written(labelled.withColumn("fold", fold_of(patient, folds, seed)), "folds")
+    every = None
+    for k in range(folds):
+        own, others = df.filter(F.col("fold") == k), df.filter(F.col("fold") != k)
+        if own.isEmpty():
+            continue
+        part = predict(own, train_forest(others, features, label, seed=seed, **forest), out)
+        every = part if every is None else every.unionByName(part)
+    return every if every is not None else df.withColumn(out, F.lit(None).cast("double"))
+
+
+def fit_calibration(scored: DataFrame, score: str = "pathogenicity", label: str = "label", bins: int = 1000):
+    """Isotonic regression of label on score, to be fitted on out-of-fold scores: the best steps that never fall. Scores
+    are first summed into ``bins`` bins of equal width, so however many variants there are, Spark's fit, whose last step is
+    one task's, sees no more rows than bins."""
+    from pyspark.ml.regression import IsotonicRegression
+
+    place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1))
+    few = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(place.alias("bin")).agg(F.avg(score).alias("_score"), F.avg(F.col(label).cast("double")).alias("_label"), F.count("*").cast("double").alias("_weight"))
+    return IsotonicRegression(featuresCol="_score", labelCol="_label", weightCol="_weight", predictionCol="_calibrated").fit(few)
+
+
+def calibrated(df: DataFrame, model, score: str = "pathogenicity", out: str = "calibrated") -> DataFrame:
+    """``df`` with the calibrated score, between steps on the line from one to the next; null where the score is."""
+    known = model.transform(df.withColumn("_score", F.coalesce(score, F.lit(0.0))))
+    return known.withColumn(out, F.when(F.col(score).isNotNull(), F.col("_calibrated"))).drop("_score", "_calibrated")
+
+
+def log_loss(score: str, label: str, least: float = 1e-6) -> Column:
+    """Mean log loss of a probability, cut at ``least`` from either end; an aggregate."""
+    p = F.least(F.greatest(F.col(score), F.lit(least)), F.lit(1 - least))
+    return F.avg(-F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p)))
+
+
 def overridden(score: Column, consequence: str = "consequence", ref: str = "ref", alt: str = "alt") -> Column:
     """Frameshifts score 0.9, purely synonymous variants 0.0, purely splice variants nothing."""
     return F.when(X.length_difference(ref, alt) % 3 != 0, F.lit(0.9)).when(X.only_terms(consequence, SPLICE), F.lit(None).cast("double")).when(X.only_terms(consequence, SYNONYMOUS), F.lit(0.0)).otherwise(score)

@@ -636,6 +636,26 @@ def m03_full_forest(v):
     return p.select("variant_id", F.abs(F.round(F.col("pathogenicity") - F.col("again"), 6)).alias("difference"), F.col("pathogenicity").between(0, 1).alias("probability"))
 
 
+@query("fx_variants", sql="SELECT variant_id, sample_id, CAST(CAST(concat('0x', substring(md5(concat('14038:', CAST(sample_id AS VARCHAR))), 1, 8)) AS BIGINT) % 4 AS INT) AS fold, true AS probability, true AS rises FROM fx_variants")
+def m05_out_of_fold(v):
+    """Folds by patient, scores by forests that haven't seen the patient, calibrated on those scores."""
+    df = scoring.with_imputed(as_features(v), tuple(USED)).withColumn("label", (F.col("impact") == "HIGH").cast("double"))
+    scored = scoring.out_of_fold(df, [f"x_{f}" for f in USED], folds=4, trees=8, depth=5)
+    known = scoring.calibrated(scored, scoring.fit_calibration(scored))
+    before = F.max("calibrated").over(Window.partitionBy("sample_id").orderBy("pathogenicity"))  # a higher score is never less likely
+    return known.select("variant_id", "sample_id", "fold", (F.col("pathogenicity").between(0, 1) & F.col("calibrated").between(0, 1)).alias("probability"), (F.col("calibrated") >= before).alias("rises"))
+
+
+@query("fx_variants", "fx_tiles", sql="""_, want AS (SELECT variant_id, greatest(pos - 6, 0) AS a, pos + 5 AS b FROM fx_variants WHERE chrom = 'chr1'), t AS (SELECT w.variant_id, tile, substring(seq, CAST(greatest(a - tile * 32, 0) + 1 AS INT), CAST(least(b - tile * 32, 32) - greatest(a - tile * 32, 0) AS INT)) AS s FROM want w JOIN fx_tiles ON tile BETWEEN floor(a / 32) AND floor((b - 1) / 32))
+SELECT variant_id, string_agg(s, '' ORDER BY tile) AS context FROM t GROUP BY variant_id""")
+def j07_tile_store(v, t):
+    """J7 from a tile store: files around the variants alone are opened."""
+    at = fresh(v.sparkSession, "tiles")
+    store.write_tiles(t, at, block_tiles=64)
+    near = v.filter("chrom = 'chr1'")
+    return annotate.with_context(near, store.tiles_around(near, at, 32), 32).filter("context <> '.'").select("variant_id", "context")
+
+
 @query("fx_variants", sql="SELECT variant_id, symbol, max_af FROM fx_variants WHERE variant_id % 7 <> 0")
 def f09_empty_rows(v):
     """Rows without any value go, those with one stay."""

@@ -1,6 +1,6 @@
-"""One table of all allele resources, bucketed and sorted by allele, that variants join without a shuffle of the table.
+"""Resources kept for many annotations: one table of all allele resources, and the reference's tiles.
 
-A resource of a whole genome is merged into the store once, not grouped and shuffled at every annotation: the store has
+The allele store is bucketed and sorted by allele; variants join it without a shuffle of the table. A resource of a whole genome is merged into the store once, not grouped and shuffled at every annotation: the store has
 one row an allele with the columns of all resources, so any number of them costs one join. Variants alone are shuffled,
 into the store's buckets. An allele is its bases, or for long ones a 256-bit hash of them, so keys stay short."""
 
@@ -57,3 +57,27 @@ def with_store(variants: DataFrame, store: DataFrame, columns: list[str] | None
     by = (*KEYS, *keys)
     columns = [c for c in store.columns if c not in by] if columns is None else columns
     return variants.withColumn("allele", allele()).join(store.select(*by, *columns), list(by), "left").drop("allele").select(*variants.columns, *columns)
+
+
+def write_tiles(tiles: DataFrame, path: str, block_tiles: int = 4096) -> None:
+    """Reference tiles (chrom, tile, seq) as files of ``block_tiles`` neighbouring tiles, a folder each, sorted."""
+    blocks = tiles.withColumn("block", F.floor(F.col("tile") / block_tiles))
+    blocks.repartition("chrom", "block").sortWithinPartitions("chrom", "block", "tile").write.partitionBy("chrom", "block").parquet(path)
+    tiles.sparkSession.createDataFrame([(block_tiles,)], "block_tiles int").coalesce(1).write.parquet(f"{path}/_tiles")
+
+
+def tiles_around(variants: DataFrame, path: str, width: int, reach: int = 8) -> DataFrame:
+    """The tiles (of ``width`` bases) of a tile store around ``variants``, for ``with_context`` and ``expand_indels``. The
+    blocks that hold any of them are found first, at most as many as the genome has, and only their files are opened: a
+    panel of a few genes reads a few files, whatever the genome's size. ``reach``: bases on either side of a variant's."""
+    spark = variants.sparkSession
+    own = spark.read.parquet(f"{path}/_tiles").first()["block_tiles"] * width
+    first, last = F.greatest(F.col("pos") - 1 - reach, F.lit(0)), F.col("pos") + F.length("ref") + reach
+    asked = variants.select("chrom", F.explode(F.sequence(F.floor(first / own), F.floor(last / own))).alias("block")).distinct().collect()
+    blocks: dict[str, list[int]] = {}
+    for r in asked:
+        blocks.setdefault(r.chrom, []).append(r.block)
+    wanted = F.lit(False)
+    for chrom, some in sorted(blocks.items(), key=str):
+        wanted = wanted | ((F.col("chrom") == chrom) & F.col("block").isin(some))
+    return spark.read.schema("tile long, seq string, chrom string, block long").parquet(path).filter(wanted).select("chrom", "tile", "seq")

@@ -13,6 +13,7 @@ from genoloom import fixtures, queries
 from genoloom.functions.forests import FlatForest
 from genoloom.operators import annotate, filters, genes, inheritance, meta, ontology, ranking, scoring
 from genoloom.plans import pipelines
+from genoloom.shared import written
 from genoloom.sources import store
 
 from .conftest import SMALL
@@ -262,6 +263,44 @@ def test_flat_forests_equal_walks_down_the_trees():
         assert np.allclose(flat(x), want, atol=1e-12)
 
 
+def test_folds_keep_patients_together_and_calibration_helps(spark):
+    """A feature that names the patient gives label away within a patient, and nothing to forests that haven't seen him."""
+    r = random.Random(12)
+    ill = {s: r.random() < 0.5 for s in range(60)}
+    rows = [(i, s := i % 60, float(s), (x := r.random()), float(r.random() < (0.9 if x > 0.6 else 0.1)) if i % 3 else float(ill[s])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, sample_id long, patient double, x double, label double")
+    scored = written(scoring.out_of_fold(df, ["patient", "x"], folds=4, trees=12, depth=6), "scored")
+    folds = {(a.sample_id, a.fold) for a in scored.collect()}
+    assert len(folds) == 60 and {f for _, f in folds} == {0, 1, 2, 3} and scored.count() == 3000
+    inside = scoring.predict(df, scoring.train_forest(df, ["patient", "x"], trees=12, depth=6))
+    raw = scored.agg(scoring.log_loss("pathogenicity", "label")).first()[0]
+    assert inside.agg(scoring.log_loss("pathogenicity", "label")).first()[0] < raw - 0.02  # what the folds take away
+    skewed = scored.withColumn("pathogenicity", F.col("pathogenicity") ** 3)
+    fitted = scoring.calibrated(skewed, scoring.fit_calibration(skewed))
+    got = fitted.agg(scoring.log_loss("pathogenicity", "label").alias("before"), scoring.log_loss("calibrated", "label").alias("after")).first()
+    assert got.after < got.before - 0.05
+    pairs = sorted((a.pathogenicity, a.calibrated) for a in fitted.collect())
+    assert all(a[1] <= b[1] + 1e-12 for a, b in zip(pairs, pairs[1:])) and all(0 <= c <= 1 for _, c in pairs)
+    assert scoring.calibrated(spark.createDataFrame([(None,)], "pathogenicity double"), scoring.fit_calibration(skewed)).first().calibrated is None
+    ranks = {a.sample_id: a.causal_rank for a in ranking.causal_ranks(scored).collect()}
+    first = {s: max(a.pathogenicity for a in scored.filter(f"sample_id = {s}").collect()) for s in (0, 7)}
+    assert all((ranks[s] == 1) == any(a.pathogenicity == top for a in scored.filter(f"sample_id = {s} AND label = 1").collect()) for s, top in first.items())
+
+
+def test_a_panel_opens_few_files_of_the_genome(spark, tmp_path):
+    tiles = spark.range(4000).select(F.concat(F.lit("chr"), F.col("id") % 4).alias("chrom"), F.floor(F.col("id") / 4).alias("tile"), F.lpad(F.conv("id", 10, 4), 16, "0").alias("seq"))
+    tiles = tiles.withColumn("seq", F.translate("seq", "0123", "ACGT"))
+    at = str(tmp_path / "tiles")
+    store.write_tiles(tiles, at, block_tiles=50)  # 4 chromosomes of 20 files
+    v = spark.createDataFrame([(1, "chr1", 30, "A"), (2, "chr1", 800, "A" * 4), (3, "chr3", 9000, "A"), (4, "chr9", 5, "A")], "variant_id long, chrom string, pos long, ref string")
+    near = store.tiles_around(v, at, 16)
+    assert len(near.collect()) == 150
+    scan = near._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 3  # of 80; two of them for the variant at a border
+    assert sorted(map(tuple, annotate.with_context(v, near, 16).collect())) == sorted(map(tuple, annotate.with_context(v, tiles, 16).collect()))
+    assert store.tiles_around(v.filter("variant_id = 4"), at, 16).count() == 0
+
+
 def test_a_large_forest_is_planned_in_no_time(spark):
     """200 trees of depth 10, equal to the walk; null features go right."""
     r = random.Random(3)
