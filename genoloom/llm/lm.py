@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 from pyspark import TaskContext
@@ -139,7 +140,10 @@ class LogBilinear:
             up, down = _against(np.einsum("nd,nd->n", t, own) - less, np.einsum("nd,nkd->nk", t, others) - less[:, None])
             gq[i] += up[:, None] * own - np.einsum("nk,nkd->nd", down, others)
             ids += [w[i], drawn.ravel()]
-            parts += [up[:, None] * t, np.add.reduceat((down[:, :, None] * -t[:, None, :]).reshape(-1, wide), at, axis=0).reshape(-1, d + 1)]
+            pull = np.empty((len(at), word_noise, d + 1), np.float32)
+            for j, (x, y) in enumerate(pairwise([*at.tolist(), len(k)])):
+                np.dot(down[x:y].T, t[x:y], out=pull[j])
+            parts += [up[:, None] * t, -pull.reshape(-1, d + 1)]
         for k, c in enumerate(self.C):
             parts[k] = np.zeros_like(gq)
             parts[k][:, :d] = gq[:, :d] @ c.T
