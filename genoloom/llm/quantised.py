@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .ann import fit_centres, kmeans, vectors_of
 from .codebooks import finite
-from .common import hashed_share, join_skewed, map_rows, saved, ship, stored, table
+from .common import hashed_share, join_skewed, map_rows, ship, stored, table
 from .simhash import components
 
 SLACK = 1e-6  # on the safe side of rounding, in routes and bounds; links themselves are decided exactly
