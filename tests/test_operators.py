@@ -44,6 +44,23 @@ def test_a_region_is_one_row_however_long(spark):
     assert plan.count("Generate") == 1 and annotate.overlaps(variants, regions.filter("chrom = 'chr9'")).count() == 0
 
 
+@pytest.mark.parametrize("rows", [5, 16_384])
+def test_regions_are_named_without_a_row_a_pair(spark, rows):
+    """Long and short regions, equal names, a crowded place, rows without a place; no shuffle or join carries pairs."""
+    r = random.Random(rows)
+    v = [(i, f"chr{r.randint(1, 3)}", r.choice([500, r.randint(1, 3000)]), "A" * r.randint(1, 40)) for i in range(400)] + [(900, None, 5, "A"), (901, "chr1", None, "A"), (902, "chr1", 5, ""), (903, "chr1", 5, None)]
+    g = [(f"chr{r.randint(1, 2)}", s := r.randint(0, 3000), s + r.choice([0, 30, 700, 10**11]), f"n{i % 60}") for i in range(200)] + [("chr1", 0, 9, None)]
+    variants, regions = spark.createDataFrame(v, "variant_id long, chrom string, pos long, ref string"), spark.createDataFrame(g, "chrom string, start0 long, end0 long, name string")
+    got = annotate.with_regions(variants, regions, "names", width=16, stretch_rows=rows)
+    assert got.columns == ["variant_id", "chrom", "pos", "ref", "names"]
+    touch = lambda c, p, ref, rc, s, e: c == rc and p and ref and e > s and s < p - 1 + len(ref) and e > p - 1
+    want = {x[0]: "&".join(sorted({n for rc, s, e, n in g if n and touch(*x[1:], rc, s, e)})) or None for x in v}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("hashpartitioning") == 1
+    found = got.collect()
+    assert len(found) == len(v) and {x.variant_id: x.names for x in found} == want
+
+
 @pytest.mark.parametrize("width", [7, 64, 10_000])
 def test_track_by_sweep(spark, width):
     """Intervals of a base up to many tiles, gaps, tiles without an interval or without a variant, missing contigs."""
