@@ -2,52 +2,118 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-
-from ..shared import written
-
-
-def closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000, most_edges: int = 1_000_000) -> DataFrame:
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+
+from ..shared import ship, written
+
+
+def _ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each of ``many`` cells, one range after the other."""
+    return np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
+
+
+def _above(first: np.ndarray, parents: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """row, node: the strict ancestors of each of ``starts``, by row and node; all rows take a step up at a time."""
+    n = len(first) - 1
+    own = new = np.arange(len(starts)) * n + starts
+    seen = np.zeros(0, np.int64)
+    while len(new):
+        row, node = np.divmod(new, n)
+        many = first[node + 1] - first[node]
+        new = np.unique(np.repeat(row, many) * n + parents[_ranges(first[node], many)])
+        if len(seen):
+            new = new[seen[np.minimum(np.searchsorted(seen, new), len(seen) - 1)] != new]
+        seen = np.sort(np.concatenate([seen, new]), kind="stable")
+    if np.isin(own, seen).any():
+        raise ValueError("the ontology has a cycle")
+    return np.divmod(seen, n)
+
+
+class Graph:
+    """An ontology's edges (term, parent) as flat arrays that travel to the tasks, 4 bytes an edge and 8 a term, and are
+    walked up there. Terms are numbered in their order, so that terms of near numbers, which one task walks from, share most
+    of their ancestors where names follow the graph. ``inclusive``: a term is its own ancestor, too."""
+
+    def __init__(self, up: DataFrame, inclusive: bool = False):
+        self.spark, self.inclusive, schema = up.sparkSession, inclusive, to_arrow_schema(up.schema)
+        ship(self.spark)
+        known = up.toArrow()  # at most most_edges rows
+        both = pa.chunked_array([*known["term"].chunks, *known["ancestor"].chunks], schema.field(0).type).combine_chunks().dictionary_encode()
+        order = pc.sort_indices(both.dictionary).to_numpy()
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        at, self.names = number[both.indices.to_numpy()], both.dictionary.take(pa.array(order))
+        child, parent = at[: len(known)], at[len(known) :]
+        self.size, self.type = len(order), up.schema["term"].dataType
+        self.sent = self.spark.sparkContext.broadcast((np.searchsorted(np.sort(child), np.arange(len(order) + 1)), parent[np.argsort(child, kind="stable")]))
+        self.tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.block = max(64, min(4096, self.size // (4 * self.tasks)))
+        self._terms = None
+
+    def terms(self) -> DataFrame:
+        """term, _i: the terms and their numbers."""
+        if self._terms is None:
+            out = StructType([StructField("term", self.type), StructField("_i", LongType())])
+            schema, names = to_arrow_schema(out), self.spark.sparkContext.broadcast(self.names)
+
+            def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    yield pa.RecordBatch.from_arrays([names.value.take(batch.column(0)), batch.column(0)], schema=schema)
+
+            self._terms = written(self.spark.range(self.size).mapInArrow(named, out), "terms")
+        return self._terms
+
+    def dealt(self, df: DataFrame, *more: str) -> DataFrame:
+        """``df`` (_i, ...) by blocks of terms, over as many tasks as a shuffle makes."""
+        return df.repartition(self.tasks, F.floor(F.col("_i") / self.block)).sortWithinPartitions("_i", *more)
+
+    def pairs(self) -> DataFrame:
+        """term, ancestor."""
+        out = StructType([StructField("term", self.type), StructField("ancestor", self.type)])
+        schema, sent, inclusive, names = to_arrow_schema(out), self.sent, self.inclusive, self.spark.sparkContext.broadcast(self.names)
+
+        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                every = batch.column(0).to_numpy()
+                for lo in range(0, len(every), 1024):
+                    starts = every[lo : lo + 1024]
+                    row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
+                    yield pa.RecordBatch.from_arrays([names.value.take(pa.array(starts[row])), names.value.take(pa.array(node))], schema=schema)
+
+        return self.dealt(self.spark.range(self.size).withColumnRenamed("id", "_i")).mapInArrow(walk, out)
+
+
+def _with_own(row: np.ndarray, node: np.ndarray, starts: np.ndarray, inclusive: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of ``_above``, and each start with itself if ``inclusive``; in order of the rows."""
+    if not inclusive:
+        return row, node
+    row, node = np.concatenate([row, np.arange(len(starts))]), np.concatenate([node, starts])
+    order = np.argsort(row, kind="stable")
+    return row[order], node[order]
+
+
+def above(edges: DataFrame, hops: int = 4, most_rounds: int = 1000, most_edges: int = 25_000_000) -> Graph | DataFrame:
+    """The ancestors of all terms, for the other functions: up to ``most_edges`` edges a ``Graph``, so no pair of a term and an
+    ancestor is shuffled or written; of a larger graph the pairs themselves (``joined_closure``)."""
+    up = written(edges.select("term", F.col("parent").alias("ancestor")).filter("term <> ancestor").distinct(), "edges")
+    return joined_closure(edges, hops, most_rounds) if up.count() > most_edges else Graph(up)
+
+
+def closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000, most_edges: int = 25_000_000) -> DataFrame:
     """term, ancestor for all strict ancestors of (term, parent). Loops of a term to itself are ignored; longer cycles end in
     an error. Up to ``most_edges`` edges, as any ontology has, travel to the tasks, which walk up from their terms: no
     shuffle of pairs at all. A larger graph is closed by joins (``joined_closure``)."""
-    plain = edges.select("term", F.col("parent").alias("ancestor")).filter("term <> ancestor").distinct()
-    up = written(plain, "edges")
-    if up.count() > most_edges:
-        return joined_closure(edges, hops, most_rounds)
-    schema = to_arrow_schema(up.schema)
-    known = up.toArrow()  # at most most_edges rows
-    both = pa.chunked_array([*known["term"].chunks, *known["ancestor"].chunks], schema.field(0).type).combine_chunks().dictionary_encode()
-    at, names = both.indices.to_numpy(), both.dictionary
-    child, parent = at[: len(known)], at[len(known) :]
-    order = np.argsort(child, kind="stable")
-    sent = edges.sparkSession.sparkContext.broadcast((np.searchsorted(child[order], np.arange(len(names) + 1)), parent[order], names))
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, parents, names = sent.value
-        for batch in batches:
-            below, above = [], []
-            for start in batch.column(0).to_pylist():
-                seen, todo = set(), [start]
-                while todo:
-                    for p in parents[first[t := todo.pop()] : first[t + 1]].tolist():
-                        if p not in seen:
-                            seen.add(p)
-                            todo.append(p)
-                if start in seen:
-                    raise ValueError("the ontology has a cycle")
-                above += seen
-                below += [start] * len(seen)
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(x, pa.int64())) for x in (below, above)], schema=schema)
-
-    starts = edges.sparkSession.range(len(names)).repartition(edges.sparkSession.sparkContext.defaultParallelism)
-    return written(starts.mapInArrow(walk, up.schema), "closure")
+    up = above(edges, hops, most_rounds, most_edges)
+    return written(up.pairs(), "closure") if isinstance(up, Graph) else up
 
 
 def joined_closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000) -> DataFrame:
@@ -73,8 +139,34 @@ def joined_closure(edges: DataFrame, hops: int = 4, most_rounds: int = 1000) ->
     return written(every.select("term", "ancestor").distinct(), "closure")
 
 
-def inclusive_counts(terms: DataFrame, ancestors: DataFrame, counts: DataFrame) -> DataFrame:
+def _walked_counts(terms: DataFrame, graph: Graph, counts: DataFrame) -> DataFrame:
+    """``inclusive_counts`` by walks: a task adds its terms' counts to all that is above them and gives the sums."""
+    every = graph.terms().select("_i", "term").join(counts.groupBy("term").agg(F.sum("n").cast("long").alias("n")), "term", "left").select("_i", F.coalesce("n", F.lit(0)).alias("n"))
+    sent, size = graph.sent, graph.size
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            at, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            total = np.zeros(size, np.int64) if total is None else total
+            for lo in range(0, len(at), 1024):
+                row, node = _with_own(*_above(*sent.value, at[lo : lo + 1024]), at[lo : lo + 1024], True)
+                np.add.at(total, node, n[lo : lo + 1024][row])
+        if total is not None:
+            hit = np.flatnonzero(total)
+            for lo in range(0, len(hit), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(hit[lo : lo + (1 << 16)]), pa.array(total[hit[lo : lo + (1 << 16)]])], ["_i", "n"])
+
+    sums = graph.dealt(every).mapInArrow(add, "_i long, n long").groupBy("_i").agg(F.sum("n").alias("n"))
+    known = graph.terms().join(sums, "_i").select("term", "n")
+    lone = counts.groupBy("term").agg(F.sum("n").cast("long").alias("_own"))  # of terms without an edge
+    return terms.select("term").join(known, "term", "left").join(lone, "term", "left").select("term", F.coalesce("n", "_own", F.lit(0)).alias("n"))
+
+
+def inclusive_counts(terms: DataFrame, ancestors: DataFrame | Graph, counts: DataFrame) -> DataFrame:
     """term, n: annotations (term, n) of a term and all its distinct descendants; 0 where there are none."""
+    if isinstance(ancestors, Graph):
+        return _walked_counts(terms, ancestors, counts)
     own = terms.select("term", F.col("term").alias("below")).union(ancestors.select(F.col("ancestor").alias("term"), F.col("term").alias("below")))
     met = own.join(counts.select(F.col("term").alias("below"), "n"), "below", "left")
     return met.groupBy("term").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
@@ -93,7 +185,11 @@ def resolved(query: DataFrame, terms: DataFrame, replacements: DataFrame) -> Dat
     return named.join(terms.select("term"), "term", "left_semi").distinct()
 
 
-def with_self(ancestors: DataFrame, terms: DataFrame) -> DataFrame:
+def with_self(ancestors: DataFrame | Graph, terms: DataFrame) -> DataFrame | Graph:
+    if isinstance(ancestors, Graph):
+        out = copy.copy(ancestors)
+        out.inclusive = True
+        return out
     return ancestors.union(terms.select("term", F.col("term").alias("ancestor")))
 
 
@@ -103,7 +199,7 @@ def _measure(name: str, a: Column, b: Column, m: Column) -> Column:
     return {"lin": lin, "resnik": m, "jiang_conrath": 1 - (a + b - 2 * m), "information_coefficient": lin * (1 - 1 / (1 + m))}[name]
 
 
-def _measured(name: str, a: float, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+def _measured(name: str, a: float | np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
     """``_measure`` on arrays."""
     if name in ("lin", "information_coefficient"):
         lin = np.divide(2 * m, a + b, out=np.zeros_like(m), where=a + b > 0)
@@ -157,7 +253,137 @@ def _least_below(own: DataFrame, informative: DataFrame) -> DataFrame:
     return _dealt(informative.groupBy("ancestor", "ic_c").agg(F.collect_list("term").alias("below"))).mapInArrow(least, out)
 
 
-def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", most_pairs: int = 4_000_000) -> DataFrame:
+def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: DataFrame, measure: str) -> DataFrame:
+    """``best_match`` by walks. A block of near terms gives the least information of each gene below each ancestor of theirs,
+    as one row of vectors an ancestor; rows of an ancestor from several blocks are merged. A block of query terms then gets
+    the vectors of its ancestors, those of few, and takes the maxima. What travels grows with the terms and their genes,
+    not with the pairs of terms and ancestors."""
+    spark, jc, sent, inclusive = graph.spark, measure == "jiang_conrath", graph.sent, graph.inclusive
+    numbered = graph.terms().join(ic.select("term", "ic"), "term")
+    own = written(gene_terms.select("gene", "term").distinct().join(numbered, "term").select("gene", "_i", "ic"), "gene-terms")
+    if jc:
+        of = own.groupBy("gene").agg(F.min("ic").alias("b")).orderBy("gene").toArrow()  # a row a gene
+    else:
+        of = own.select("gene").distinct().orderBy("gene").toArrow()
+    names = of["gene"].combine_chunks()
+    many = max(1, len(names))
+    gene_type = gene_terms.schema["gene"].dataType
+    genes = spark.createDataFrame([(x, i) for i, x in enumerate(names.to_pylist())], StructType([StructField("gene", gene_type), StructField("_g", IntegerType())]))
+    listed = own.join(F.broadcast(genes), "gene").groupBy("_i", "ic").agg(F.collect_list("_g").alias("_genes"))
+    vectors = StructType([StructField("_i", LongType()), StructField("_genes", ArrayType(IntegerType())), StructField("_least", ArrayType(DoubleType()))])
+    flat = to_arrow_schema(vectors)
+
+    def rows_of(node: np.ndarray, gene: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        """One row a node, of cells in order of the nodes."""
+        first = np.flatnonzero(np.diff(node, prepend=-1))
+        offsets = pa.array(np.append(first, len(node)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)).cast(flat.field(i).type) for i, x in ((1, gene.astype(np.int32)), (2, value))]
+        return pa.RecordBatch.from_arrays([pa.array(node[first].astype(np.int64)), *lists], schema=flat)
+
+    def least_of(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((value, key))
+        key, value = key[order], value[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        return key[first], value[first]
+
+    def cells_of(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists = batch.column(column)
+        offsets = lists.offsets.to_numpy()
+        return offsets[:-1] - offsets[0], np.diff(offsets), lists.flatten().to_numpy(zero_copy_only=False)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts, values = batch.column("_i").to_numpy(), batch.column("ic").to_numpy()
+            first, of, every = cells_of(batch, "_genes")
+            row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
+            tops, place = np.unique(node, return_inverse=True)
+            dense = np.full(len(tops) * many, np.inf) if len(tops) * many <= 1 << 23 else None
+            keys, found = [np.zeros(0, np.int64)], [np.zeros(0)]
+            step = max(1, (1 << 20) * max(1, len(row)) // max(1, of[row].sum()))
+            for lo in range(0, len(row), step):
+                r, p = row[lo : lo + step], place[lo : lo + step]
+                key = np.repeat(p * many, of[r]) + every[_ranges(first[r], of[r])]
+                value = np.repeat(values[r], of[r])
+                if dense is None:
+                    key, value = least_of(key, value)
+                    keys.append(key), found.append(value)
+                else:
+                    np.minimum.at(dense, key, value)
+            key, value = least_of(np.concatenate(keys), np.concatenate(found)) if dense is None else (hit := np.flatnonzero(dense < np.inf), dense[hit])
+            if len(key):
+                yield rows_of(tops[key // many], key % many, value)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # an ancestor that goes over the border of two batches has two rows: no harm to a maximum
+            _, of, every = cells_of(batch, "_genes")
+            key, value = least_of(np.repeat(batch.column("_i").to_numpy(), of) * many + every, cells_of(batch, "_least")[2])
+            if len(key):
+                yield rows_of(key // many, key % many, value)
+
+    info = numbered.select("_i", "ic") if jc else numbered.select("_i", "ic").filter("ic > 0")
+    held = graph.dealt(graph.dealt(listed).mapInArrow(least, vectors)).mapInArrow(merge, vectors).join(info, "_i")
+    asked = query.select("term").distinct().join(numbered, "term").select("term", "_i", "ic")
+    block = graph.block
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts = batch.column(0).to_numpy()
+            row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
+            pair = np.unique(starts[row] // block * len(sent.value[0]) + node)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.divmod(pair, len(sent.value[0]))], ["_block", "_i"])
+
+    wanted = graph.dealt(asked.select("_i")).mapInArrow(needed, "_block long, _i long").distinct()
+    text = asked.schema["term"].dataType
+    given = wanted.join(held, "_i").select("_block", F.lit(False).alias("_asked"), "_i", "ic", "_genes", "_least", F.lit(None).cast(text).alias("term"))
+    asks = asked.select(F.floor(F.col("_i") / block).alias("_block"), F.lit(True).alias("_asked"), "_i", "ic", F.lit(None).cast("array<int>").alias("_genes"), F.lit(None).cast("array<double>").alias("_least"), "term")
+    streams = given.unionByName(asks).repartition(graph.tasks, "_block").sortWithinPartitions("_block", "_asked", "_i")
+    out = StructType([StructField("term", text), StructField("gene", gene_type), StructField("best", DoubleType())])
+    schema, tail = to_arrow_schema(out), spark.sparkContext.broadcast((names, of["b"].to_numpy() if jc else None))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, none = tail.value
+        at, parts, known = None, [], None
+        for batch in batches:
+            blocks, asked = batch.column("_block").to_numpy(), batch.column("_asked").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(asked.astype(np.int8)) != 0)) + 1
+            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(blocks)]):
+                piece = batch.slice(lo, hi - lo)
+                if blocks[lo] != at:
+                    at, parts, known = blocks[lo], [], None
+                if not asked[lo]:
+                    parts.append((piece.column("_i").to_numpy(), piece.column("ic").to_numpy(), cells_of(piece, "_genes")[1], cells_of(piece, "_genes")[2], cells_of(piece, "_least")[2]))
+                    continue
+                if known is None:
+                    column = lambda i: np.concatenate([x[i] for x in parts]) if parts else np.zeros(0, np.int64)  # noqa: B023, E731
+                    node, ic_c, of, gene, least_b = (column(i) for i in range(5))
+                    tops = np.unique(node)
+                    cells = np.concatenate([[0], np.cumsum(of)]).astype(np.int64)
+                    first = cells[np.searchsorted(node, np.append(tops, node[-1] + 1 if len(node) else 0))]
+                    known = tops, first[:-1], np.diff(first), gene, least_b, np.repeat(ic_c, of)
+                tops, first, of, gene, least_b, ic_c = known
+                starts, a = piece.column("_i").to_numpy(), piece.column("ic").to_numpy()
+                step = max(1, min(128, (1 << 22) // many))
+                for k in range(0, len(starts), step):
+                    mine = starts[k : k + step]
+                    best = np.full(len(mine) * many, -np.inf)
+                    if none is not None:
+                        best[:] = _measured(measure, np.repeat(a[k : k + step], many), np.tile(none, len(mine)), np.zeros(len(mine) * many))
+                    row, node = _with_own(*_above(*sent.value, mine), mine, inclusive)
+                    if len(tops):
+                        place = np.minimum(np.searchsorted(tops, node), len(tops) - 1)
+                        has = tops[place] == node
+                        row, place = row[has], place[has]
+                        n = of[place]
+                        cell, line = _ranges(first[place], n), np.repeat(row, n)
+                        np.maximum.at(best, line * many + gene[cell], _measured(measure, a[k : k + step][line], least_b[cell], ic_c[cell]))
+                    hit = np.flatnonzero(best > -np.inf)
+                    if len(hit):
+                        yield pa.RecordBatch.from_arrays([piece.column("term").take(pa.array(k + hit // many)), names.take(pa.array(hit % many)), pa.array(best[hit])], schema=schema)
+
+    return streams.mapInArrow(look_up, out)
+
+
+def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame, measure: str = "lin", most_pairs: int = 4_000_000) -> DataFrame:
     """term, gene, best: for each distinct query term and gene, the largest similarity to any of the gene's terms.
 
     Every measure grows with the shared ancestor's information and falls with the gene term's, so the maximum over the
@@ -170,7 +396,10 @@ def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic
     The light rest, whose ancestors are of few genes each, meets in a join. Where ancestors of no information can't raise
     a maximum above the 0 that a missing pair means, they are left out. A term that shares no ancestor with a gene has no
     row; by jiang_conrath it counts as sharing one of no information, as in ``node_similarity``."""
+    if isinstance(ancestors, Graph):
+        return _walked_match(query, gene_terms, ancestors, ic, measure)
     spark, jc = query.sparkSession, measure == "jiang_conrath"
+    ship(spark)
     ic_of = lambda key, name: ic.select(F.col("term").alias(key), F.col("ic").alias(name))
     informative = ancestors.join(ic_of("ancestor", "ic_c"), "ancestor")
     informative = informative if jc else informative.filter("ic_c > 0")
@@ -239,26 +468,79 @@ def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic
     return whole.unionByName(rare).groupBy("term", "gene").agg(F.max("best").alias("best"))
 
 
-def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin", key: str = "sample_id") -> DataFrame:
+def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame, measure: str = "lin", key: str = "sample_id", bins: int = 4096) -> DataFrame:
     """key, gene, similarity: the median over a query's terms of their best match among the gene's (asymmetric); terms
-    without a match count as 0. Genes that match no query term at all are left out: their similarity is 0."""
-    terms = query.select(key, "term").distinct().join(ic.select("term"), "term", "left_semi")
-    best = best_match(terms, gene_terms, ancestors, ic, measure)
-    met = terms.join(best, "term").groupBy(key, "gene").agg(F.collect_list("best").alias("_b"))
-    sizes = terms.groupBy(key).agg(F.count("*").cast("int").alias("_n"))
-    every = F.sort_array(F.concat("_b", F.array_repeat(F.lit(0.0), F.col("_n") - F.size("_b"))))
-    middle = (F.element_at("_s", F.floor((F.col("_n") + 1) / 2).cast("int")) + F.element_at("_s", (F.floor(F.col("_n") / 2) + 1).cast("int"))) / 2
-    return met.join(sizes, key).withColumn("_s", every).select(key, "gene", middle.alias("similarity"))
+    without a match count as 0. Genes that match no query term at all are left out: their similarity is 0.
+
+    The median is exact, and values aren't gathered for it: matches are counted in bins of 1 / ``bins``, and only those in
+    the bins of the one or two middle ranks are looked at one by one, equal ones as one row."""
+    terms = written(query.select(key, "term").distinct().join(ic.select("term"), "term", "left_semi"), "query")
+    best = written(best_match(terms, gene_terms, ancestors, ic, measure), "best")
+    place = F.floor(F.col("best") * bins).alias("_bin")
+    met = terms.join(best, "term").select(key, "gene", "best", place)
+    sizes = terms.groupBy(key).agg(F.count("*").alias("_n"))
+    counts = written(met.groupBy(key, "gene", "_bin").agg(F.count("*").alias("_m")), "bins")
+    missing = written(counts.groupBy(key, "gene").agg(F.sum("_m").alias("_m")).join(sizes, key).select(key, "gene", "_n", (F.col("_n") - F.col("_m")).alias("_m")), "missing").filter("_m > 0")
+    zero = F.lit(0).cast("long").alias("_bin")
+    every = counts.unionByName(missing.select(key, "gene", zero, "_m")).groupBy(key, "gene", "_bin").agg(F.sum("_m").alias("_m")).join(sizes, key)
+    up_to = lambda order: F.sum("_m").over(Window.partitionBy(key, "gene").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    holds = lambda rank: (F.col("_to") - F.col("_m") < rank) & (F.col("_to") >= rank)
+    middle = every.withColumn("_to", up_to("_bin")).filter(holds(low) | holds(high)).select(key, "gene", "_bin", "_n", (F.col("_to") - F.col("_m")).alias("_before"))
+    middle = written(middle, "middle")
+    values = met.join(middle, [key, "gene", "_bin"]).groupBy(key, "gene", "best").agg(F.count("*").alias("_m"), F.first("_n").alias("_n"), F.first("_before").alias("_before"))
+    zeros = missing.drop("_n").withColumn("_bin", zero).join(middle, [key, "gene", "_bin"]).select(key, "gene", F.lit(0.0).alias("best"), "_m", "_n", "_before")
+    least = F.min("_before").over(Window.partitionBy(key, "gene"))
+    # the bins of both ranks may lie apart, but what is between them holds no value
+    at = values.unionByName(zeros).withColumn("_to", least + up_to("best"))
+    of = lambda rank: F.max(F.when(holds(rank), F.col("best")))
+    return at.groupBy(key, "gene").agg(((of(low) + of(high)) / 2).alias("similarity"))
+
+
+def shared_information(pairs: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame) -> DataFrame:
+    """a, b, ia, ib, m of pairs (a, b) whose terms have information: their own and that of their most informative strict
+    shared ancestor, 0 where they share none."""
+    p = pairs.select("a", "b").distinct()
+    of = lambda key, c: ic.select(F.col("term").alias(key), F.col("ic").alias(c))
+    if not isinstance(ancestors, Graph):
+        up = lambda key, c: ancestors.select(F.col("term").alias(key), F.col("ancestor").alias(c))
+        shared = p.join(up("a", "c"), "a").join(up("b", "c"), ["b", "c"]).join(ic.select(F.col("term").alias("c"), "ic"), "c").groupBy("a", "b").agg(F.max("ic").alias("m"))
+        return p.join(shared, ["a", "b"], "left").join(of("a", "ia"), "a").join(of("b", "ib"), "b").select("a", "b", "ia", "ib", F.coalesce("m", F.lit(0.0)).alias("m"))
+    known = ancestors.terms().join(ic.select("term", "ic"), "term")
+    numbers = written(known.select("_i", "ic"), "information").toArrow()  # a number a term, as many as the graph's
+    info = np.full(ancestors.size, -np.inf)
+    info[numbers["_i"].to_numpy()] = numbers["ic"].to_numpy()
+    sent, told, inclusive = ancestors.sent, ancestors.spark.sparkContext.broadcast(info), ancestors.inclusive
+    end = lambda key: known.select(F.col("term").alias(key), F.col("_i").alias(f"_{key}"), F.col("ic").alias(f"i{key}"))
+    ends = p.join(end("a"), "a").join(end("b"), "b").select("a", "b", "ia", "ib", F.col("_a").alias("_i"), "_b")
+    out = StructType([*ends.schema.fields[:4], StructField("m", DoubleType())])
+    schema = to_arrow_schema(out)
 
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = np.full(batch.num_rows, -np.inf)
+            for lo in range(0, batch.num_rows, 1024):
+                n, keys = len(info_ := told.value), []
+                for c in ("_i", "_b"):
+                    starts = batch.column(c).to_numpy()[lo : lo + 1024]
+                    row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
+                    keys.append(row * n + node)
+                row, node = np.divmod(np.intersect1d(*keys, assume_unique=True), n)
+                np.maximum.at(m, row + lo, info_[node])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(np.where(m > -np.inf, m, 0.0))], schema=schema)
 
-def node_similarity(pairs: DataFrame, ancestors: DataFrame, ic: DataFrame, measure: str = "lin") -> DataFrame:
+    return ancestors.dealt(ends).mapInArrow(meet, out)
+
+
+def node_similarity(pairs: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame, measure: str = "lin") -> DataFrame:
     """a, b, similarity of pairs (a, b) by their most informative strict shared ancestor; 0 where they share none.
     Measures: lin, resnik, jiang_conrath, information_coefficient."""
-    up = lambda key, c: ancestors.select(F.col("term").alias(key), F.col("ancestor").alias(c))
-    p = pairs.select("a", "b").distinct()
-    shared = p.join(up("a", "c"), "a").join(up("b", "c"), ["b", "c"]).join(ic.select(F.col("term").alias("c"), "ic"), "c").groupBy("a", "b").agg(F.max("ic").alias("m"))
-    full = p.join(shared, ["a", "b"], "left").join(ic.select(F.col("term").alias("a"), F.col("ic").alias("ia")), "a").join(ic.select(F.col("term").alias("b"), F.col("ic").alias("ib")), "b")
-    return full.select("a", "b", _measure(measure, F.col("ia"), F.col("ib"), F.coalesce("m", F.lit(0.0))).alias("similarity"))
+    return shared_information(pairs, ancestors, ic).select("a", "b", measured(measure).alias("similarity"))
+
+
+def measured(name: str) -> Column:
+    """A measure of the rows of ``shared_information``."""
+    return _measure(name, F.col("ia"), F.col("ib"), F.col("m"))
 
 
 def partner_similarity(edges: DataFrame, per_gene: DataFrame, key: str = "sample_id") -> DataFrame:

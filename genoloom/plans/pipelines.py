@@ -68,12 +68,12 @@ def phenotype_tables(query: DataFrame, gene_terms: DataFrame, edges: DataFrame,
     """(sample, gene, similarity) and (sample, gene, partner_similarity) of query terms, from the ontology's edges (term,
     parent), its annotation counts (term, n), genes' terms and the gene graph. Counts of terms outside the graph are dropped."""
     terms = edges.select("term").union(edges.select(F.col("parent").alias("term"))).distinct()
-    ancestors = ontology.closure(edges)
+    ancestors = ontology.above(edges)
     counts = counts.join(terms, "term", "left_semi")
     total = counts.agg(F.sum("n")).first()[0] or 1
-    ic = ontology.information_content(ontology.inclusive_counts(terms, ancestors, counts), total)
+    ic = written(ontology.information_content(ontology.inclusive_counts(terms, ancestors, counts), total), "information")
     up = ontology.with_self(ancestors, terms) if include_self else ancestors
-    per_gene = ontology.similarity(query, gene_terms, up, ic)
+    per_gene = written(ontology.similarity(query, gene_terms, up, ic), "per-gene")
     return per_gene, ontology.partner_similarity(graph_edges, per_gene)
 
 

@@ -424,3 +424,30 @@ def test_single_sample_inheritance(spark):
     got = {r.variant_id: r.inheritance for r in inheritance.inheritance(v, g, "SINGLE").collect()}
     assert got == {1: "COMPOUND", 2: "COMPOUND", 3: "RECESSIVE", 4: ""}
     assert [r.x for r in g.select(inheritance.dominant_single().alias("x")).collect()] == [1, 1, 0, 1]
+
+
+@pytest.mark.parametrize("measure", ["lin", "jiang_conrath"])
+def test_walks_give_what_the_pairs_give(spark, measure):
+    """Counts, best matches, shared information and medians by walks, against those of the closure's pairs."""
+    r = random.Random(8)
+    edges = spark.createDataFrame(list({(f"t{i:03}", f"t{r.randint(0, i - 1) if r.random() < 0.7 else i // 2:03}") for i in range(1, 150) for _ in range(2)}), "term string, parent string")
+    terms = edges.select("term").union(edges.select("parent")).distinct()
+    counts = spark.createDataFrame([(f"t{i:03}", r.randint(0, 9)) for i in range(150) if i % 4], "term string, n long")
+    genes = spark.createDataFrame(list({(f"G{r.randint(0, 9)}", f"t{r.randint(0, 149):03}") for _ in range(200)}), "gene string, term string")
+    query = spark.createDataFrame(list({(r.randint(0, 4), f"t{r.randint(0, 160):03}") for _ in range(90)}), "sample_id int, term string")
+    graph, pairs = ontology.above(edges), ontology.closure(edges)
+    assert isinstance(graph, ontology.Graph) and not isinstance(ontology.above(edges, most_edges=3), ontology.Graph)
+    got = ontology.inclusive_counts(terms, graph, counts)
+    rows = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in df.collect())
+    assert rows(got) == rows(ontology.inclusive_counts(terms, pairs, counts))
+    ic = written(ontology.information_content(got, 700), "ic")
+    ab = edges.select(F.col("term").alias("a"), F.lit("t099").alias("b"))
+    assert rows(ontology.node_similarity(ab, graph, ic, measure)) == rows(ontology.node_similarity(ab, pairs, ic, measure))
+    for up, every in ((graph, pairs), (ontology.with_self(graph, terms), ontology.with_self(pairs, terms))):
+        best = ontology.best_match(query, genes, up, ic, measure)
+        assert rows(best) == rows(ontology.best_match(query, genes, every, ic, measure)) and best.count() > 100
+    known = {(x.term, x.gene): x.best for x in ontology.best_match(query, genes, graph, ic, measure).collect()}
+    of = {k: sorted({x.term for x in query.collect() if x.sample_id == k and x.term < "t150"}) for k in range(5)}
+    want = {(k, g): round(median(known.get((t, g), 0.0) for t in of[k]), 9) for k in of for g in {g for t, g in known if t in of[k]}}
+    for bins in (1, 4096):
+        assert {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(query, genes, graph, ic, measure, bins=bins).collect()} == want
