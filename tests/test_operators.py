@@ -451,3 +451,15 @@ def test_walks_give_what_the_pairs_give(spark, measure):
     want = {(k, g): round(median(known.get((t, g), 0.0) for t in of[k]), 9) for k in of for g in {g for t, g in known if t in of[k]}}
     for bins in (1, 4096):
         assert {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(query, genes, graph, ic, measure, bins=bins).collect()} == want
+
+
+def test_rows_are_numbered_by_parts(spark):
+    """Numbers of ordered rows without a task that sees all of them: what is windowed are parts, not rows."""
+    df = written(spark.range(1000).withColumn("k", F.pmod(F.hash("id"), F.lit(37))).orderBy("k", "id").repartitionByRange(6, "k", "id").sortWithinPartitions("k", "id").select("*", F.monotonically_increasing_id().alias("_id")), "ordered")
+    got = queries.nth_row(df)
+    assert "row_number" not in got._jdf.queryExecution().toString()
+    assert [x._nth for x in got.orderBy("k", "id").collect()] == list(range(1, 1001))
+    from genoloom import file_queries  # noqa: F401  registers the last two
+
+    for name in ("t01_sorts", "k04_one_file", "k03_sorted_tsv"):
+        assert "row_number" not in queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
