@@ -55,7 +55,7 @@ class Graph:
         child, parent = at[: len(known)], at[len(known) :]
         self.size, self.type = len(order), up.schema["term"].dataType
         self.sent = self.spark.sparkContext.broadcast((np.searchsorted(np.sort(child), np.arange(len(order) + 1)), parent[np.argsort(child, kind="stable")]))
-        self.tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tasks = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 4 * self.spark.sparkContext.defaultParallelism)
         self.block = max(64, min(4096, self.size // (4 * self.tasks)))
         self._terms = None
 
@@ -73,7 +73,7 @@ class Graph:
         return self._terms
 
     def dealt(self, df: DataFrame, *more: str) -> DataFrame:
-        """``df`` (_i, ...) by blocks of terms, over as many tasks as a shuffle makes."""
+        """``df`` (_i, ...) by blocks of terms, over a few tasks a core."""
         return df.repartition(self.tasks, F.floor(F.col("_i") / self.block)).sortWithinPartitions("_i", *more)
 
     def pairs(self) -> DataFrame:
