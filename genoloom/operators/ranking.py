@@ -46,10 +46,11 @@ def ranked_in_pieces(df: DataFrame, score: str = "final_score", keys: tuple[str,
     with_sums = large.join(sums, [large[f"_k{i}"].eqNullSafe(sums[f"_k{i}"]) for i in range(len(keys))], "left").select(*[large[f"_k{i}"] for i in range(len(keys))], "_cuts", "_sums")
     rows = cut(df, written(with_sums, "pieces"))
     tie = F.when(F.col("_piece") % 2 == 1, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]), F.lit(salts)))
-    rows = rows.withColumn("_salt", tie)
+    before = F.coalesce(F.try_element_at("_sums", F.col("_piece")), F.lit(0))  # looked up here: a sample's cuts and sums don't travel with its rows
+    rows = rows.withColumns({"_salt": tie, "_before": before}).drop("_cuts", "_sums")
     within = F.rank().over(Window.partitionBy(*keys, "_piece", "_salt").orderBy(F.desc_nulls_last(score)))
-    placed = rows.withColumn(out, (within + F.coalesce(F.try_element_at("_sums", F.col("_piece")), F.lit(0))).cast("int"))
-    return placed.drop("_cuts", "_sums", "_piece", "_salt")
+    placed = rows.withColumn(out, (within + F.col("_before")).cast("int"))
+    return placed.drop("_before", "_piece", "_salt")
 
 
 def top_ranked(df: DataFrame, k: int, score: str = "final_score", keys: tuple[str, ...] = ("sample_id",)) -> DataFrame:

@@ -418,6 +418,20 @@ def test_inheritance_shuffles_variants_for_one_join_and_one_window(spark):
     assert plan.count("Window [") == 1 and plan.count("Exchange hashpartitioning") == 3, plan  # variants twice, genotypes once
 
 
+def test_inheritance_aggregates_after_the_shuffle_and_by_hash(spark):
+    """Nothing is aggregated before the shuffle, where a task would hold all families of its piece of the input."""
+    plan = inheritance.inheritance(fixtures.fixture(spark, SMALL, "fx_variants"), fixtures.fixture(spark, SMALL, "fx_genotypes")).select("variant_id", "inheritance")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.index("HashAggregate") < plan.index("REPARTITION_BY_COL") and "HashAggregate" not in plan[plan.index("REPARTITION_BY_COL") :], plan
+    dealt = plan[plan.index("Window [") :]
+    assert "_bits" in dealt[: dealt.index("SortMergeJoin") if "SortMergeJoin" in dealt else dealt.index("Join")], plan
+
+
+def test_single_patients_without_a_members_name(spark):
+    v = spark.createDataFrame([(i, 1, "chr1", "A") for i in (1, 2, 3)], "variant_id long, sample_id long, chrom string, symbol string")
+    g = spark.createDataFrame([(1, None, 1, "0/1"), (2, "b", 0, "0/1"), (2, "c", 1, "0/1"), (3, "a", 0, "0/1"), (3, "b", 1, "1/1")], "variant_id long, member string, affected int, gt string")
+    assert {r.variant_id: r.inheritance for r in inheritance.inheritance(v, g, "SINGLE").collect()} == {1: "COMPOUND", 2: "COMPOUND", 3: "RECESSIVE"}
+
+
 def test_single_sample_inheritance(spark):
     v = spark.createDataFrame([(1, 1, "chr1", "A"), (2, 1, "chr1", "A"), (3, 1, "chr1", "B"), (4, 1, "chr1", None)], "variant_id long, sample_id long, chrom string, symbol string")
     g = spark.createDataFrame([(1, 0, 1, "0/1"), (2, 0, 1, "0|1"), (3, 0, 1, "1/1"), (4, 0, 1, "0/1")], "variant_id long, member long, affected int, gt string")
