@@ -109,3 +109,12 @@ def test_cascade(spark):
 def test_answers(spark, text, genes):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(meta.parsed_answer("t")).first()[0] == genes
+
+
+def test_records_and_genotypes_are_cut_once(spark):
+    """The work on a CSQ record or a sample cell doesn't grow with the square of its fields."""
+    cuts = lambda c: str(spark.createDataFrame([("a", "b")], "f string, s string").select(c.alias("x"))._jdf.queryExecution().optimizedPlan().toString()).count("split(")
+    assert cuts(X.csq_records("f", list("abcdef"))) == cuts(X.csq_records("f", ["a"])) == 2
+    assert cuts(X.genotype_fields("f", "s")) == 4
+    g = one(spark, X.genotype_fields("f", "s"), f="GT:GT:AD", s="0/1:1/1:3,1")
+    assert (g.gt, g.ad_ref, g.ad_alt, g.af, g.dp) == ("0/1", 3, 1, 0.25, None)
