@@ -34,6 +34,12 @@ def text_lines(spark: SparkSession, path: str, **options: str | int) -> DataFram
     return spark.read.text(path)
 
 
+def _cells(lines: DataFrame) -> DataFrame:
+    """cells: an array of a line's cells, cut once a line. A plain ``split`` would be cut again for each column that is
+    taken from it and each filter on those, as the optimizer puts the expression in their place."""
+    return lines.select(F.explode(F.array(F.split("value", "\t"))).alias("cells"))
+
+
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """line: the header lines of a VCF or GSvar file."""
     return text_lines(spark, path).filter(F.col("value").startswith("#")).select(F.col("value").alias("line"))
@@ -44,8 +50,7 @@ def vcf(spark: SparkSession, path: str, **options: str | int) -> tuple[DataFrame
     take one small read of the header. ``options``: see ``text_lines``."""
     head = header_lines(spark, path)
     names = (head.filter(F.col("line").startswith("#CHROM")).first() or [""])[0].split("\t")[9:]
-    cells = F.split("value", "\t")
-    records = text_lines(spark, path, **options).filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate([*VCF_COLUMNS, *names])])
+    records = _cells(text_lines(spark, path, **options).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))).select(*[F.try_element_at("cells", F.lit(i + 1)).alias(c) for i, c in enumerate([*VCF_COLUMNS, *names])])
     return head, records.withColumn("pos", F.col("pos").try_cast("long"))
 
 
@@ -62,9 +67,8 @@ def sample_ids(head: DataFrame) -> list[str]:
 def gsvar(spark: SparkSession, path: str) -> DataFrame:
     """An evidence ranking: ``##`` lines skipped, columns named by the ``#chr`` line."""
     names = header_lines(spark, path).filter(F.col("line").startswith("#chr")).first()[0].lstrip("#").split("\t")
-    cells = F.split("value", "\t")
-    df = spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
-    return blanks_to_null(df.select(*[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate(names)]))
+    df = _cells(spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != "")))
+    return blanks_to_null(df.select(*[F.try_element_at("cells", F.lit(i + 1)).alias(c) for i, c in enumerate(names)]))
 
 
 def obo(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -180,9 +184,8 @@ PLACES = {"cadd": (0, 1, 2, 3, 5), "capice": (0, 1, 2, 3, 4), "fathmm_xf": (0, 1
 
 def score_table(spark: SparkSession, path: str, resource: str) -> DataFrame:
     """chrom, pos, ref, alt, score of a resource in PLACES; rows without a score, and headers, are dropped."""
-    cells = F.split("value", "\t")
-    df = spark.read.text(path).filter(~F.col("value").startswith("#") & ~F.lower("value").startswith("chr\t"))
-    return _scores(df, *[F.coalesce(F.try_element_at(cells, F.lit(i + 1)), F.lit("")) for i in PLACES[resource]])
+    df = _cells(spark.read.text(path).filter(~F.col("value").startswith("#") & ~F.lower("value").startswith("chr\t")))
+    return _scores(df, *[F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")) for i in PLACES[resource]])
 
 
 def condel(spark: SparkSession, path: str) -> DataFrame:
@@ -191,8 +194,8 @@ def condel(spark: SparkSession, path: str) -> DataFrame:
 
 def mutation_assessor(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Many files at once; the place is the Mutation cell's second to fifth part."""
-    m = F.split("Mutation", ",")
-    df = spark.read.option("header", True).csv(paths)
+    m = F.col("m")
+    df = spark.read.option("header", True).csv(paths).select("FI score", F.explode(F.array(F.split("Mutation", ","))).alias("m"))
     return _scores(df, m[1], m[2], m[3], m[4], F.col("FI score"))
 
 
@@ -219,7 +222,9 @@ GNOMAD = {"AN": "an", "AF": "af", "nhomalt": "hom", "AF_afr": "af_afr", "AF_amr"
 def gnomad(spark: SparkSession, path: str) -> DataFrame:
     """Allele number, frequency, homozygotes and five populations' frequencies; the first three are required."""
     _, df = vcf(spark, path)
-    df = df.select(X.chrom_with_prefix("chrom").alias("chrom"), "pos", "ref", "alt", *[X.info_value("info", k).try_cast("double").alias(v) for k, v in GNOMAD.items()])
+    df = df.select("chrom", "pos", "ref", "alt", F.explode(F.array(F.concat(F.lit(";"), "info"))).alias("info"))
+    df = df.select("chrom", "pos", "ref", "alt", F.inline(F.array(F.struct(*[X.info_text("info", k).alias(v) for k, v in GNOMAD.items()]))))  # once a row, not once more for the filter
+    df = df.select(X.chrom_with_prefix("chrom").alias("chrom"), "pos", "ref", "alt", *[X.missing_to_null(v).try_cast("double").alias(v) for v in GNOMAD.values()])
     return df.filter("an IS NOT NULL AND af IS NOT NULL AND hom IS NOT NULL")
 
 
@@ -232,8 +237,8 @@ def repeatmasker(spark: SparkSession, path: str) -> DataFrame:
 
 def bed(spark: SparkSession, path: str, name: int | None = 3) -> DataFrame:
     """chrom, start0, end0, name (a column, or 1 where there is none); missing names are dropped."""
-    c = F.split("value", "\t")
-    df = spark.read.text(path).filter(~F.col("value").rlike("^(#|track|browser)") & (F.trim("value") != ""))
+    c = F.col("cells")
+    df = _cells(spark.read.text(path).filter(~F.col("value").rlike("^(#|track|browser)") & (F.trim("value") != "")))
     named = F.lit("1") if name is None else X.missing_to_null(F.try_element_at(c, F.lit(name + 1)))
     return df.select(c[0].alias("chrom"), c[1].cast("long").alias("start0"), c[2].cast("long").alias("end0"), named.alias("name")).filter("name IS NOT NULL")
 

@@ -147,3 +147,15 @@ def test_one_file_in_order(spark, tmp_path):
     assert gzip.decompress((tmp_path / "out.gz").read_bytes()).decode().splitlines() == want
     writers.one_text_file(lines.filter("value < ''"), str(tmp_path / "none.txt"))
     assert (tmp_path / "none.txt").read_bytes() == b"" and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["none.txt", "out.gz", "out.txt"]
+
+
+def test_lines_are_cut_once(spark, tmp_path):
+    """However many columns and filters read a line's cells, and an INFO cell's keys."""
+    lines = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO", "1\t5\t.\tA\tG\t.\t.\tXAN=1;AN=7;AF=0.5;AN=8;nhomalt=2", "1\t6\t.\tA\tG\t.\t.\tAN=.;AF=0.5;nhomalt=2", "1\t7\t.\tA\tG"]
+    (tmp_path / "x.vcf").write_text("\n".join(lines) + "\n")
+    df = readers.gnomad(spark, str(tmp_path / "x.vcf"))
+    assert [(r.chrom, r.pos, r.an, r.af, r.hom, r.af_afr) for r in df.collect()] == [("chr1", 5, 7.0, 0.5, 2.0, None)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count(";AN=, ") <= 2, plan
+    (tmp_path / "x.tsv").write_text("1\t5\ta\tg\t0.5\n")
+    assert readers.score_table(spark, str(tmp_path / "x.tsv"), "capice")._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
