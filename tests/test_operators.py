@@ -477,3 +477,9 @@ def test_rows_are_numbered_by_parts(spark):
 
     for name in ("t01_sorts", "k04_one_file", "k03_sorted_tsv"):
         assert "row_number" not in queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
+
+
+def test_a_large_forests_tables_stay_small():
+    """Each Python worker holds all of them."""
+    flat = FlatForest([queries.two_sided(t) for t in range(60)])
+    assert sum(masks.nbytes for g in flat.groups for _, masks in g["by_feature"].values()) < 60 << 20
