@@ -483,3 +483,10 @@ def test_a_large_forests_tables_stay_small():
     """Each Python worker holds all of them."""
     flat = FlatForest([queries.two_sided(t) for t in range(60)])
     assert sum(masks.nbytes for g in flat.groups for _, masks in g["by_feature"].values()) < 60 << 20
+
+
+def test_ranks_in_pieces_move_no_cuts(spark):
+    """A sample's cuts and sums, thousands of bytes, are looked up before its rows are dealt."""
+    df = spark.createDataFrame([(i, i % 2, float(i)) for i in range(100)], "id long, sample_id long, final_score double")
+    plan = ranking.ranked_in_pieces(df, piece_rows=20, pieces=8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window [") < plan.index("AS _before"), plan
