@@ -17,16 +17,20 @@ from .sources import readers, writers
 FILLED = "CASE WHEN {0} NOT IN ('', '.', 'nan', 'NA') THEN {0} END"
 
 
-def text_file(lines: DataFrame, name: str) -> str:
+#: As resources come: packed, in files that one task reads each.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
+
+def text_file(lines: DataFrame, name: str, **options: str | int) -> str:
     """A folder of text files of the one column of ``lines``."""
     at = fresh(lines.sparkSession, name)
-    lines.write.text(at)
+    lines.write.options(**options).text(at)
     return at
 
 
-def table_file(df: DataFrame, name: str, sep: str = "\t", header: bool = True) -> str:
+def table_file(df: DataFrame, name: str, sep: str = "\t", header: bool = True, **options: str | int) -> str:
     at = fresh(df.sparkSession, name)
-    df.write.option("sep", sep).option("header", header).option("emptyValue", "").option("comment", "\u0001").csv(at)
+    df.write.options(**options).option("sep", sep).option("header", header).option("emptyValue", "").option("comment", "\u0001").csv(at)
     return at
 
 
@@ -188,15 +192,15 @@ def s17_score_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.when(F.col("l_linenumber") % 4 == 0, F.lit(".")).otherwise(F.col("l_partkey").cast("string")).alias("s"), "l_linenumber")
     a, g, x = F.lit("a").alias("ref"), F.lit("G").alias("alt"), lambda n: [F.lit("x").alias(f"x{i}") for i in range(n)]
     out = {
-        "cadd": readers.score_table(spark, text_file(with_lines(l_.select(tabbed("c", "p", a, g, F.lit("0.1"), "s")), "## CADD", "#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED"), "cadd"), "cadd"),
-        "capice": readers.score_table(spark, text_file(with_lines(l_.select(tabbed("c", "p", a, g, "s")), "#chr\tpos\tref\talt\tscore"), "capice"), "capice"),
-        "fathmm_xf": readers.score_table(spark, text_file(l_.select(tabbed("c", "p", a, g, "s")), "fathmm"), "fathmm_xf"),
-        "eigen": readers.score_table(spark, text_file(with_lines(l_.select(tabbed("c", "p", a, g, *x(14), "s", *x(2))), "chr\tpos\tref\talt"), "eigen"), "eigen"),
-        "condel": readers.condel(spark, table_file(l_.select(F.col("c").alias("CHR"), F.col("p").alias("START"), a.alias("REF"), g.alias("ALT"), F.col("s").alias("CONDEL")), "condel")),
+        "cadd": readers.score_table(spark, text_file(with_lines(l_.select(tabbed("c", "p", a, g, F.lit("0.1"), "s")), "## CADD", "#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED"), "cadd", **PACKED), "cadd"),
+        "capice": readers.score_table(spark, text_file(with_lines(l_.select(tabbed("c", "p", a, g, "s")), "#chr\tpos\tref\talt\tscore"), "capice", **PACKED), "capice"),
+        "fathmm_xf": readers.score_table(spark, text_file(l_.select(tabbed("c", "p", a, g, "s")), "fathmm", **PACKED), "fathmm_xf"),
+        "eigen": readers.score_table(spark, text_file(with_lines(l_.select(tabbed("c", "p", a, g, *x(14), "s", *x(2))), "chr\tpos\tref\talt"), "eigen", **PACKED), "eigen"),
+        "condel": readers.condel(spark, table_file(l_.select(F.col("c").alias("CHR"), F.col("p").alias("START"), a.alias("REF"), g.alias("ALT"), F.col("s").alias("CONDEL")), "condel", **PACKED)),
     }
     m = l_.select(F.concat_ws(",", F.lit("hg38"), "c", "p", a, g).alias("Mutation"), F.lit("v").alias("Variant"), F.col("s").alias("FI score"), "l_linenumber")
-    out["mutation_assessor"] = readers.mutation_assessor(spark, [table_file(m.filter(t).drop("l_linenumber"), "assessor", sep=",") for t in ("l_linenumber <= 3", "l_linenumber > 3")])
-    r = table_file(l_.select(F.col("c").alias("chr"), F.col("p").alias("hg19_pos"), F.when(F.col("l_linenumber") == 1, ".").otherwise((F.col("p") + 7).cast("string")).alias("grch38_pos"), a, g, F.col("s").alias("REVEL")), "revel", sep=",")
+    out["mutation_assessor"] = readers.mutation_assessor(spark, [table_file(m.filter(t).drop("l_linenumber"), "assessor", sep=",", **PACKED) for t in ("l_linenumber <= 3", "l_linenumber > 3")])
+    r = table_file(l_.select(F.col("c").alias("chr"), F.col("p").alias("hg19_pos"), F.when(F.col("l_linenumber") == 1, ".").otherwise((F.col("p") + 7).cast("string")).alias("grch38_pos"), a, g, F.col("s").alias("REVEL")), "revel", sep=",", **PACKED)
     out["revel_hg19"], out["revel_grch38"] = readers.revel(spark, r)
     every = [df.select(F.lit(k).alias("resource"), "chrom", "pos", "ref", "alt", "score") for k, df in out.items()]
     first = every[0]

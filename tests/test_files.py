@@ -159,3 +159,11 @@ def test_lines_are_cut_once(spark, tmp_path):
     assert plan.count("split(") == 1 and plan.count(";AN=, ") <= 2, plan
     (tmp_path / "x.tsv").write_text("1\t5\ta\tg\t0.5\n")
     assert readers.score_table(spark, str(tmp_path / "x.tsv"), "capice")._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_score_files_are_packed(spark):
+    from genoloom import file_queries
+
+    rows = spark.range(3000, numPartitions=1).select(F.concat(F.lit("chr1\t"), "id", F.lit("\ta\tG\t0.5")).alias("value"))
+    at = file_queries.text_file(rows, "scores", **(file_queries.PACKED | {"maxRecordsPerFile": 1000}))
+    assert len(glob.glob(f"{at}/*.gz")) == 3 and readers.score_table(spark, at, "capice").count() == 3000
