@@ -99,13 +99,19 @@ def trees_of(model, features: list[str]) -> list[dict[int, tuple]]:
 
 
 def train_forest(labelled: DataFrame, features: list[str], label: str = "label", trees: int = 50, depth: int = 8, seed: int = 14038) -> PipelineModel:
-    """A random forest on named columns, in Spark's own format (``write().save(path)``)."""
+    """A random forest on named columns, in Spark's own format (``write().save(path)``). The trainer reads its rows several
+    times before it holds them, and then once a level; so label and features are computed once and dealt to four tasks a
+    core, however few pieces the input's files have."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     steps = [VectorAssembler(inputCols=features, outputCol="_features"), RandomForestClassifier(labelCol=label, featuresCol="_features", numTrees=trees, maxDepth=depth, seed=seed)]
-    return Pipeline(stages=steps).fit(labelled)
+    dealt = labelled.select(label, *features).repartition(4 * labelled.sparkSession.sparkContext.defaultParallelism).persist()
+    try:
+        return Pipeline(stages=steps).fit(dealt)
+    finally:
+        dealt.unpersist()
 
 
 def predict(df: DataFrame, model: PipelineModel, out: str = "pathogenicity") -> DataFrame:

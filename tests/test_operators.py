@@ -490,3 +490,24 @@ def test_ranks_in_pieces_move_no_cuts(spark):
     df = spark.createDataFrame([(i, i % 2, float(i)) for i in range(100)], "id long, sample_id long, final_score double")
     plan = ranking.ranked_in_pieces(df, piece_rows=20, pieces=8)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window [") < plan.index("AS _before"), plan
+
+
+def test_training_computes_rows_once_in_all_tasks(spark):
+    """Features of an input in one piece: computed once a row, not at each reading, and trained on in many tasks."""
+    seen, context = spark.sparkContext.accumulator(0), spark.sparkContext
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x / 7
+
+    df = spark.range(0, 600, 1, 1).select(counted(F.col("id") % 50).alias("a"), (F.col("id") % 3 == 0).cast("double").alias("label"))
+    context.setJobGroup("training", "")
+    try:
+        scoring.train_forest(df, ["a"], trees=3, depth=3)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("training") for s in status.getJobInfo(j).stageIds]
+    assert seen.value == 600
+    assert max(s.numTasks for s in stages if s) == 4 * context.defaultParallelism
