@@ -9,8 +9,8 @@ the values of one block at a time: no table of 64-bit offsets of a file exists,
 
 Edge cases: a null text is an empty one (its only id is the end id); repeated doc_ids are kept, in the order of a hash
 of their texts, so a doc_id that many rows share is spread over many files; null doc_ids come first and are counted in the
-header; texts of any length are encoded whole and never cut, one may exceed a file's usual size; an empty table writes
-no file; other columns are ignored.
+header; texts of any length are encoded whole and never cut, one longer than a file's size has a file alone; an empty
+table writes no file; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,10 +135,11 @@ class TokenFile:
 
 
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int = 0, file_tokens: int = 4_000_000) -> DataFrame:
-    """Write ``docs`` (doc_id, text) in ascending doc_id order into files of about ``file_tokens`` ids under ``out_dir``,
-    a folder all executors share. Ranges of (doc_id, hash of the text, row) keep the order and split a doc_id that many
-    rows share. Each task writes its own files under names of its attempt, and the returned manifest (part, seq, path,
-    n_docs, n_tokens) names only those of attempts that counted. Memory in a task: one file and the rows of one batch."""
+    """Write ``docs`` (doc_id, text) in ascending doc_id order into files of at most ``file_tokens`` ids (a longer text has
+    one of its own) under ``out_dir``, a folder all executors share. Ranges of (doc_id, hash of the text, row) keep the
+    order and split a doc_id that many rows share. Each task writes its own files under names of its attempt, and the
+    returned manifest (part, seq, path, n_docs, n_tokens) names only those of attempts that counted. Memory in a task: one
+    file and the rows of one batch."""
     order = ["doc_id", "h", "row"]
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"h": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
@@ -161,12 +162,12 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
 
         for ids, texts in rows_in_batches(batches, ["doc_id", "text"], 512):
             for d, raw in zip(ids, enc.encode(texts)):
+                if keys and size + len(raw) + width > file_tokens * width:
+                    yield flush()
+                    keys, held, size, seq = [], [], 0, seq + 1
                 keys.append(d)
                 held.append(raw + end)
                 size += len(held[-1])
-                if size >= file_tokens * width:
-                    yield flush()
-                    keys, held, size, seq = [], [], 0, seq + 1
         if keys:
             yield flush()
 

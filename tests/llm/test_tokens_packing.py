@@ -109,6 +109,16 @@ def test_thousands_of_files_are_dealt_by_size(spark):
     assert [tuple(r) for r in read.orderBy("start").collect()] == expected_files(rows)
 
 
+def test_no_file_exceeds_its_size(spark):
+    """But one with a single longer text."""
+    rows = [(i, f"text {i % 7} " * (40 if i % 50 == 0 else 1 + i % 4)) for i in range(400)]
+    at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    manifest = token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), at, byte_bpe(), file_tokens=30)
+    sizes = [(r.n_docs, r.n_tokens) for r in manifest.collect()]
+    assert all(n <= 30 or docs == 1 for docs, n in sizes) and max(docs for docs, _ in sizes) > 1 and max(n for _, n in sizes) > 30
+    assert [tuple(r) for r in token_files.read_token_files(manifest, at).orderBy("start").collect()] == expected_files(rows)
+
+
 def test_token_files_of_nothing(spark):
     at = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     assert token_files.read_token_files(token_files.write_token_files(no_documents(spark), at, byte_bpe()), at).count() == 0
