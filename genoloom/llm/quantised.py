@@ -14,9 +14,12 @@ with the code, so the candidates that it lets pass hold all links; the exact cos
 Hot groups: where at least ``hot`` vectors of the sample lie within ``delta / 2`` of one of them, that one becomes the
 centre of a ball, and all vectors that near to it form its list. Any two of a ball are linked, so their links are counted
 without looking at them, however many they are; only vectors outside it and other balls ask its list.
-Lists that lie side by side make groups of about ``block_rows`` vectors, and a vector travels once to each group in which
-it has lists; full groups, and groups that many ask, are dealt over blocks. Of each block a spanning forest and one count
-a vector are returned, never the pairs.
+Lists that lie side by side make groups of about ``block_rows`` vectors, full groups are cut, and each such block of the
+index is a file in the shared folder, written once, its rows by list. Vectors don't travel to the lists they ask: a task
+reads one block and then those that any of its rows ask, one at a time, at first their codes alone, the vectors only where
+a code lets something pass. So the pairs of blocks may grow with the square of the vectors, as they do on data without
+clusters, but what is shuffled and written grows with the vectors. Of each pair of blocks a spanning forest and one count a
+vector are returned, never the pairs.
 
 Equal vectors meet as one row with a weight. Edge cases: vectors that are null, zero, of another length than most, or
 hold null or non-finite components link with nothing, but are returned. Every row is a vector of its own: a repeated row
@@ -26,6 +29,9 @@ null. Other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +39,10 @@ from pyspark.sql import functions as F
 
 from .ann import fit_centres, kmeans, vectors_of
 from .codebooks import finite
-from .common import hashed_share, join_skewed, map_rows, ship, stored, table
+from .common import arrow_schema, batch_of, hashed_share, join_skewed, map_rows, rows_in_batches, shared_dir, ship, stored, table
 from .simhash import components
 
+INDEX = "uid long, block long, list long, raw binary, copies long, code binary, left double, constant double"
 SLACK = 1e-6  # on the safe side of rounding, in routes and bounds; links themselves are decided exactly
 
 
@@ -147,108 +154,158 @@ def linked(distinct: DataFrame, n: int, least: float = 0.9, sample: int = 20_000
     sent = spark.sparkContext.broadcast((centres, balls, every, books))
     few = max(64, (1 << 21) // len(every))
 
-    def assign():
+    def at_home():
         def step(uids, raw, copies):
-            centres, balls, every, books = sent.value
-            x = vectors_of(raw)
-            at = home(x, centres, balls)
-            codes = encode(padded_to(x - every[at]), books)
-            coded = decode(codes, books)[:, :d]
-            left = np.sqrt(((x - every[at] - coded) ** 2).sum(1))
-            constant = (coded * coded).sum(1) + 2 * (every[at] * coded).sum(1)  # of the distance to the coded vector
-            return [uids, at, raw, copies, [c.tobytes() for c in codes], left, constant]
+            centres, balls, _, _ = sent.value
+            return [uids, home(vectors_of(raw), centres, balls), copies]
 
         return step
 
-    index = stored(map_rows(distinct, assign, "uid long, list long, raw binary, copies long, code binary, left double, constant double", ["uid", "raw", "copies"], most=few), "index")
-    sizes = {r.list: r["count"] for r in index.groupBy("list").count().collect()}  # at most one row a list
+    homes = stored(map_rows(distinct, at_home, "uid long, list long, copies long", ["uid", "raw", "copies"], most=few), "homes")
+    sizes = {r.list: r["count"] for r in homes.groupBy("list").count().collect()}  # at most one row a list
     groups, filled = np.zeros(len(every), np.int64), [0]
     for i in range(len(every)):
         if filled[-1] and filled[-1] + sizes.get(i, 0) > block_rows:
             filled.append(0)
         groups[i] = len(filled) - 1
         filled[-1] += sizes.get(i, 0)
-    empty = np.array([i not in sizes for i in range(len(every))])
-    sent_groups = spark.sparkContext.broadcast((groups, empty))
-    parts_of = lambda g: -(-filled[g] // block_rows) or 1
-    grouped = F.broadcast(spark.createDataFrame([(i, int(g), parts_of(g)) for i, g in enumerate(groups.tolist())], "list long, g long, parts int"))  # as many rows as lists
-    parts = F.broadcast(spark.createDataFrame([(g, parts_of(g)) for g in range(len(filled))], "g long, parts int"))
-
-    def routes():
-        def step(uids, raw, copies, own):
-            centres, balls, every, _ = sent.value
-            groups, empty = sent_groups.value
-            x, own = vectors_of(raw), np.array(own)
-            cell = np.minimum(own, first_ball - 1)
-            asks = np.zeros((len(x), len(every)), bool)
-            asks[:, :first_ball] = (plane_distances(x, cell, centres) <= delta / 2 + SLACK) & (own < first_ball)[:, None]
-            if len(balls):  # a ball's radius is at most delta / 2; of two balls the one of lower number asks
-                near = x @ balls.T >= 1 - (1.5 * delta + SLACK) ** 2 / 2
-                asks[:, first_ball:] = near & (np.arange(first_ball, len(every)) > own[:, None])
-            asks &= ~empty
-            q, at = np.nonzero(asks)
-            g = groups[at]
-            begins = np.flatnonzero((np.diff(q, prepend=-1) != 0) | (np.diff(g, prepend=-1) != 0))
-            some = np.split(at, begins[1:]) if len(begins) else []
-            who = q[begins].tolist()
-            return [[uids[i] for i in who], [raw[i] for i in who], [copies[i] for i in who], own[q[begins]], g[begins], [s.tolist() for s in some]]
+    parts = np.maximum(1, -(-np.array(filled) // block_rows))
+    blocks, empty = int(parts.sum()), np.array([i not in sizes for i in range(len(every))])
+    sent_groups = spark.sparkContext.broadcast((groups, parts, np.cumsum(parts) - parts, empty))
+
+    def assign():
+        def step(uids, raw, copies):
+            centres, balls, every, books = sent.value
+            groups, parts, first, _ = sent_groups.value
+            x = vectors_of(raw)
+            at = home(x, centres, balls)
+            codes = encode(padded_to(x - every[at]), books)
+            coded = decode(codes, books)[:, :d]
+            left = np.sqrt(((x - every[at] - coded) ** 2).sum(1))
+            constant = (coded * coded).sum(1) + 2 * (every[at] * coded).sum(1)  # of the distance to the coded vector
+            deal = (np.array(uids, np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts[groups[at]]
+            return [uids, first[groups[at]] + deal, at, raw, copies, [c.tobytes() for c in codes], left, constant]
 
         return step
 
-    routed = stored(map_rows(index, routes, "uid long, raw binary, copies long, own long, g long, lists array<long>", ["uid", "raw", "copies", "list"], most=min(few, 1024)), "routed")
-    asking = F.broadcast(routed.groupBy("g").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("times")))  # a row a group, fewer than lists
-    deal = lambda m: F.pmod(F.hash("uid"), F.col(m))
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
-    left = index.join(grouped, "list").join(asking, "g").select("g", deal("parts").alias("i"), each("times").alias("j"), "uid", "list", "raw", "copies", "code", "left", "constant")
-    right = routed.join(parts, "g").join(asking, "g").select("g", deal("times").alias("j"), each("parts").alias("i"), "uid", "raw", "copies", "own", "lists")
-
-    def scan(vectors: pa.Table, asks: pa.Table) -> pa.Table:
-        from_, to, mutual = [], [], []
-        if vectors.num_rows and asks.num_rows:
-            _, _, every, books = sent.value
-            x, list_of, x_uid = vectors_of(vectors["raw"]), vectors["list"].to_numpy(), vectors["uid"].to_numpy()
-            codes = np.frombuffer(b"".join(vectors["code"].to_pylist()), np.uint8).reshape(len(x), -1)
-            over, constant = (delta + vectors["left"].to_numpy()) ** 2, vectors["constant"].to_numpy()
-            y, own, y_uid, wanted = vectors_of(asks["raw"]), asks["own"].to_numpy(), asks["uid"].to_numpy(), asks["lists"].combine_chunks()
-            asks_of, asked_list = np.repeat(np.arange(len(y)), np.diff(wanted.offsets.to_numpy())), wanted.values.to_numpy()[wanted.offsets[0].as_py() : wanted.offsets[-1].as_py()]
-            pieces = padded_to(y).reshape(len(y), len(books), -1)
-            tables = np.stack([pieces[:, m] @ books[m].T for m in range(len(books))]).astype(np.float32)  # subspaces, queries, entries
-            for i in np.unique(list_of).tolist():
-                mine, who = np.flatnonzero(list_of == i), np.flatnonzero(asked_list == i)
-                bound = (0.5 * (constant[mine] - over[mine]) - 1e-4).astype(np.float32)
-                for at in range(0, len(who), 512):
-                    w = asks_of[who[at : at + 512]]
-                    met = np.zeros((len(w), len(mine)), np.float32)
-                    for m in range(len(books)):
-                        met += tables[m][w][:, codes[mine, m]]
-                    q, c = np.nonzero(met >= bound + (0.5 * ((y[w] - every[i]) ** 2).sum(1)).astype(np.float32)[:, None])
-                    q, c = w[q], mine[c]
-                    near = (y[q] * x[c]).sum(1) >= least
-                    near &= y_uid[q] != x_uid[c]
-                    q, c = q[near], c[near]
-                    apart = own[q] != i
-                    if i < first_ball and apart.any():  # a pair of two cells counts at the list on whose side its midpoint lies
-                        low, high = np.minimum(own[q], i), np.maximum(own[q], i)
-                        side = midpoint_side(y[q], x[c], every[low], every[high])
-                        here = ~apart | np.where(i == low, side > 0, side <= 0)
-                        q, c, apart = q[here], c[here], apart[here]
-                    from_.append(q)
-                    to.append(c)
-                    mutual.append(apart)
-        if not from_ or not sum(map(len, from_)):
-            return pa.table({"uid": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
+    def asked(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The lists that each row asks: rows, lists."""
+        centres, balls, every, _ = sent.value
+        asks = np.zeros((len(x), len(every)), bool)
+        for at in range(0, len(x), few):
+            part, of = x[at : at + few], own[at : at + few]
+            asks[at : at + few, :first_ball] = (plane_distances(part, np.minimum(of, first_ball - 1), centres) <= delta / 2 + SLACK) & (of < first_ball)[:, None]
+            if len(balls):  # a ball's radius is at most delta / 2; of two balls the one of lower number asks
+                near = part @ balls.T >= 1 - (1.5 * delta + SLACK) ** 2 / 2
+                asks[at : at + few, first_ball:] = near & (np.arange(first_ball, len(every)) > of[:, None])
+        return asks & ~sent_groups.value[3]
+
+    index = map_rows(distinct, assign, INDEX, ["uid", "raw", "copies"], most=few)
+    dealt = index.repartition(min(blocks, 4 * spark.sparkContext.defaultParallelism + blocks // 16), "block").sortWithinPartitions("block", "list", "uid")
+    index_dir, about = f"{shared_dir(spark)}/vector-blocks-{uuid.uuid4().hex}", "block long, g long, path string, asks array<long>"
+
+    def write(batches):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(index_dir)
+        store.create_dir(root, recursive=True)
+        mark, schema, held = uuid.uuid4().hex, arrow_schema(about), []
+
+        def flush():
+            block = pa.Table.from_batches(held).combine_chunks()
+            number, lists, groups = block["block"][0].as_py(), block["list"].to_numpy(), sent_groups.value[0]
+            path = f"{root}/{number:09d}-{mark}.arrow"
+            with store.open_output_stream(path) as out, pa.ipc.new_file(out, block.schema) as file:
+                file.write_table(block)
+            wants = np.unique(groups[asked(vectors_of(block["raw"]), lists).any(0)])
+            return batch_of(schema, [[number], [groups[lists[0]]], [path], [wants.tolist()]])
+
+        for batch in batches:
+            numbers = batch.column(1).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for lo, hi in zip(edges, edges[1:]) if len(numbers) else ():
+                if held and held[0].column(1)[0].as_py() != numbers[lo]:
+                    yield flush()
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield flush()
+
+    manifest = stored(dealt.mapInArrow(write, about), "vector-manifest")
+    cores = spark.sparkContext.defaultParallelism
+    span = max(1, min(32, blocks * blocks // (8 * cores)))  # blocks that a piece of work meets
+    wanted = manifest.select(F.col("path").alias("asks"), F.explode("asks").alias("g"))
+    work = wanted.join(manifest.select("g", "block", "path"), "g").groupBy("asks", F.floor(F.col("block") / span).alias("near")).agg(F.collect_list("path").alias("paths"))
+    work = stored(work.select("asks", "paths"), "vector-work")
+    pieces = work.count()
+
+    def met(y: np.ndarray, own: np.ndarray, y_uid: np.ndarray, asked_copies: np.ndarray, asks: np.ndarray, tables: np.ndarray, vectors: pa.Table, exact: Callable[[], np.ndarray]) -> pa.RecordBatch | None:
+        """uid, n, other of the links between the rows of one block, which ask, and those of another or the same."""
+        _, _, every, _ = sent.value
+        from_, to, mutual, x = [], [], [], None
+        list_of, x_uid = vectors["list"].to_numpy(), vectors["uid"].to_numpy()
+        codes = np.frombuffer(b"".join(vectors["code"].to_pylist()), np.uint8).reshape(len(list_of), -1)
+        over, constant = (delta + vectors["left"].to_numpy()) ** 2, vectors["constant"].to_numpy()
+        for i in np.unique(list_of).tolist():
+            mine, who = np.flatnonzero(list_of == i), np.flatnonzero(asks[:, i])
+            bound = (0.5 * (constant[mine] - over[mine]) - 1e-4).astype(np.float32)
+            for at in range(0, len(who), 512):
+                w = who[at : at + 512]
+                near = np.zeros((len(w), len(mine)), np.float32)
+                for m in range(len(tables)):
+                    near += tables[m][w][:, codes[mine, m]]
+                q, c = np.nonzero(near >= bound + (0.5 * ((y[w] - every[i]) ** 2).sum(1)).astype(np.float32)[:, None])
+                if not len(q):
+                    continue
+                x = exact() if x is None else x
+                q, c = w[q], mine[c]
+                close = (y[q] * x[c]).sum(1) >= least
+                close &= y_uid[q] != x_uid[c]
+                q, c = q[close], c[close]
+                apart = own[q] != i
+                if i < first_ball and apart.any():  # a pair of two cells counts at the list on whose side its midpoint lies
+                    low, high = np.minimum(own[q], i), np.maximum(own[q], i)
+                    side = midpoint_side(y[q], x[c], every[low], every[high])
+                    here = ~apart | np.where(i == low, side > 0, side <= 0)
+                    q, c, apart = q[here], c[here], apart[here]
+                from_.append(q)
+                to.append(c)
+                mutual.append(apart)
+        if not sum(map(len, from_)):
+            return None
         q, c, both = map(np.concatenate, (from_, to, mutual))
-        asked_copies, copies = asks["copies"].to_numpy(), vectors["copies"].to_numpy()
+        copies = vectors["copies"].to_numpy()
         node, at = np.unique(np.concatenate([y_uid[q], x_uid[c]]), return_inverse=True)
         a, b = at[: len(q)], at[len(q) :]
         count = np.zeros(len(node), np.int64)
         np.add.at(count, a, copies[c])
         np.add.at(count, b[both], asked_copies[q[both]])  # within a list both ask, between lists one does
         label = forest(a, b, len(node))
-        return pa.table({"uid": node, "n": count, "other": node[label]})
-
-    found = stored(left.groupBy("g", "i", "j").cogroup(right.groupBy("g", "i", "j")).applyInArrow(lambda a, b: scan(a, b), "uid long, n long, other long"), "links")
-    in_ball = index.filter(F.col("list") >= first_ball)
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(count), pa.array(node[label])], ["uid", "n", "other"])
+
+    def scan(batches):
+        from pyarrow import fs
+
+        store, _ = fs.FileSystem.from_uri(index_dir)
+        names = arrow_schema(INDEX).names
+
+        def read(path: str, *columns: str) -> pa.Table:
+            with store.open_input_file(path) as file:
+                return pa.ipc.open_file(file, options=pa.ipc.IpcReadOptions(included_fields=[names.index(c) for c in columns])).read_all().combine_chunks()
+
+        for path, others in (row for some in rows_in_batches(batches, ["asks", "paths"]) for row in zip(*some)):
+            own = read(path, "uid", "list", "raw", "copies")
+            y, lists, books = vectors_of(own["raw"]), own["list"].to_numpy(), sent.value[3]
+            cut = padded_to(y).reshape(len(y), len(books), -1)
+            tables = np.stack([(cut[:, m] @ books[m].T).astype(np.float32) for m in range(len(books))])  # subspaces, queries, entries
+            asks = asked(y, lists)
+            for other in others:
+                found = met(y, lists, own["uid"].to_numpy(), own["copies"].to_numpy(), asks, tables, read(other, "uid", "list", "copies", "code", "left", "constant"), lambda: vectors_of(read(other, "raw")["raw"]))  # noqa: B023
+                if found:
+                    yield found
+
+    found = stored(work.repartition(max(1, min(pieces, max(4 * cores, pieces // 4)))).mapInArrow(scan, "uid long, n long, other long"), "links")
+    in_ball = homes.filter(F.col("list") >= first_ball)
     whole = F.broadcast(in_ball.groupBy("list").agg(F.sum("copies").alias("all"), F.min("uid").alias("other")))  # a row a ball, at most sample / hot
     of_balls = in_ball.join(whole, "list").select("uid", (F.col("all") - F.col("copies")).alias("n"), "other")
     every_link = found.unionByName(of_balls)

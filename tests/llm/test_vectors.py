@@ -78,6 +78,25 @@ def test_no_link_is_lost(spark, index):
     assert found_links(quantised.near_duplicate_vectors(vectors(spark, rows), **index)) == brute_links(rows)
 
 
+def test_vectors_do_not_travel_to_the_lists_they_ask(spark):
+    """Without clusters every vector asks most blocks: what is shuffled doesn't follow their number."""
+    x = np.random.default_rng(8).normal(size=(1200, 64))
+    df = vectors(spark, [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)])
+
+    def shuffled():
+        none, it = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), []
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, none, None).iterator()
+        while stages.hasNext():
+            it.append(stages.next().shuffleWriteBytes())
+        return sum(it)
+
+    sizes = [shuffled()]
+    for rows in (4096, 48):
+        assert quantised.near_duplicate_vectors(df, block_rows=rows, lists=60).filter("kept").count() == 1200
+        sizes.append(shuffled())
+    assert sizes[2] - sizes[1] < 1.5 * (sizes[1] - sizes[0])
+
+
 def test_a_hot_group_is_a_ball(spark):
     rows = planted()
     x = np.array([v for _, v in rows])
