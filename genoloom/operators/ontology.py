@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import copy
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..shared import ship, written
 
@@ -21,21 +21,50 @@ def _ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
 
 
-def _above(first: np.ndarray, parents: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """row, node: the strict ancestors of each of ``starts``, by row and node; all rows take a step up at a time."""
-    n = len(first) - 1
-    own = new = np.arange(len(starts)) * n + starts
-    seen = np.zeros(0, np.int64)
+def _levels(first: np.ndarray, parents: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The ``starts`` and all above them, in order, and the steps that carry something up from every node to its parents, in
+    an order in which a node has got all from below before it gives: children (by place among the nodes), where each
+    parent's children begin, parents."""
+    nodes = new = np.unique(starts)
     while len(new):
-        row, node = np.divmod(new, n)
-        many = first[node + 1] - first[node]
-        new = np.unique(np.repeat(row, many) * n + parents[_ranges(first[node], many)])
-        if len(seen):
-            new = new[seen[np.minimum(np.searchsorted(seen, new), len(seen) - 1)] != new]
-        seen = np.sort(np.concatenate([seen, new]), kind="stable")
-    if np.isin(own, seen).any():
+        new = np.unique(parents[_ranges(first[new], first[new + 1] - first[new])]).astype(np.int64)
+        new = new[nodes[np.minimum(np.searchsorted(nodes, new), len(nodes) - 1)] != new]
+        nodes = np.sort(np.concatenate([nodes, new]), kind="stable")
+    many = first[nodes + 1] - first[nodes]
+    up, begin = np.searchsorted(nodes, parents[_ranges(first[nodes], many)]), np.cumsum(many) - many
+    waits, steps, done = np.bincount(up, minlength=len(nodes)), [], 0
+    ready = np.flatnonzero(waits == 0)
+    while len(ready):
+        done += len(ready)
+        to, child = up[_ranges(begin[ready], many[ready])], np.repeat(ready, many[ready])
+        order = np.argsort(to, kind="stable")
+        to, child = to[order], child[order]
+        cut = np.flatnonzero(np.diff(to, prepend=-1))
+        if len(cut):
+            steps.append((child, cut, to[cut]))
+        waits[to[cut]] -= np.diff(cut, append=len(to))
+        ready = to[cut][waits[to[cut]] == 0]
+    if done < len(nodes):
         raise ValueError("the ontology has a cycle")
-    return np.divmod(seen, n)
+    return nodes, steps
+
+
+def _above(first: np.ndarray, parents: np.ndarray, starts: np.ndarray, most_bits: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """row, node: the strict ancestors of each of ``starts``, by row and node. Each start is a bit, and the bits are carried
+    up through all that lies above any of them; starts far apart, which share little, are taken in smaller groups."""
+    nodes, steps = _levels(first, parents, starts)
+    if len(nodes) * len(starts) > most_bits and len(starts) > 64:
+        half = len(starts) // 2
+        (row, node), (more, other) = (_above(first, parents, x, most_bits) for x in (starts[:half], starts[half:]))
+        return np.concatenate([row, more + half]), np.concatenate([node, other])
+    rows = np.arange(len(starts))
+    own, bits = (np.zeros((len(nodes), -(-len(starts) // 64)), np.uint64) for _ in range(2))
+    np.bitwise_or.at(own, (np.searchsorted(nodes, starts), rows // 64), np.uint64(1) << (rows % 64).astype(np.uint64))
+    for child, cut, to in steps:
+        bits[to] |= np.bitwise_or.reduceat(bits[child] | own[child], cut, axis=0)
+    seen = np.ascontiguousarray(np.unpackbits(bits.astype("<u8").view(np.uint8), axis=1, bitorder="little")[:, : len(starts)].T)
+    row, place = np.divmod(np.flatnonzero(seen.view(bool)), max(1, len(nodes)))
+    return row, nodes[place]
 
 
 class Graph:
@@ -253,8 +282,8 @@ def _least_below(own: DataFrame, informative: DataFrame) -> DataFrame:
     return _dealt(informative.groupBy("ancestor", "ic_c").agg(F.collect_list("term").alias("below"))).mapInArrow(least, out)
 
 
-def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: DataFrame, measure: str) -> DataFrame:
-    """``best_match`` by walks. A block of near terms gives the least information of each gene below each ancestor of theirs,
+def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: DataFrame, measure: str) -> tuple[DataFrame, pa.Array]:
+    """``best_match`` by walks, as a row a term: term, _g (numbers of genes), _best; and the names of the genes. A block of near terms gives the least information of each gene below each ancestor of theirs,
     as one row of vectors an ancestor; rows of an ancestor from several blocks are merged. A block of query terms then gets
     the vectors of its ancestors, those of few, and takes the maxima. What travels grows with the terms and their genes,
     not with the pairs of terms and ancestors."""
@@ -295,21 +324,26 @@ def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: Dat
         for batch in batches:
             starts, values = batch.column("_i").to_numpy(), batch.column("ic").to_numpy()
             first, of, every = cells_of(batch, "_genes")
-            row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
-            tops, place = np.unique(node, return_inverse=True)
-            dense = np.full(len(tops) * many, np.inf) if len(tops) * many <= 1 << 23 else None
-            keys, found = [np.zeros(0, np.int64)], [np.zeros(0)]
-            step = max(1, (1 << 20) * max(1, len(row)) // max(1, of[row].sum()))
-            for lo in range(0, len(row), step):
-                r, p = row[lo : lo + step], place[lo : lo + step]
-                key = np.repeat(p * many, of[r]) + every[_ranges(first[r], of[r])]
-                value = np.repeat(values[r], of[r])
-                if dense is None:
-                    key, value = least_of(key, value)
+            tops, steps = _levels(*sent.value, starts)
+            if len(tops) * many <= 1 << 23:  # carried up, a vector of all genes a node
+                own, below = (np.full((len(tops), many), np.inf) for _ in range(2))
+                at = np.searchsorted(tops, starts)
+                own[np.repeat(at, of), every] = np.repeat(values, of)
+                for child, cut, to in steps:
+                    below[to] = np.minimum(below[to], np.minimum.reduceat(np.minimum(below[child], own[child]), cut, axis=0))
+                dense = (np.minimum(below, own) if inclusive else below).ravel()
+                key = np.flatnonzero(dense < np.inf)
+                value = dense[key]
+            else:
+                row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
+                tops, place = np.unique(node, return_inverse=True)
+                keys, found = [np.zeros(0, np.int64)], [np.zeros(0)]
+                step = max(1, (1 << 20) * max(1, len(row)) // max(1, of[row].sum()))
+                for lo in range(0, len(row), step):
+                    r, p = row[lo : lo + step], place[lo : lo + step]
+                    key, value = least_of(np.repeat(p * many, of[r]) + every[_ranges(first[r], of[r])], np.repeat(values[r], of[r]))
                     keys.append(key), found.append(value)
-                else:
-                    np.minimum.at(dense, key, value)
-            key, value = least_of(np.concatenate(keys), np.concatenate(found)) if dense is None else (hit := np.flatnonzero(dense < np.inf), dense[hit])
+                key, value = least_of(np.concatenate(keys), np.concatenate(found))
             if len(key):
                 yield rows_of(tops[key // many], key % many, value)
 
@@ -328,20 +362,40 @@ def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: Dat
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             starts = batch.column(0).to_numpy()
-            row, node = _with_own(*_above(*sent.value, starts), starts, inclusive)
-            pair = np.unique(starts[row] // block * len(sent.value[0]) + node)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.divmod(pair, len(sent.value[0]))], ["_block", "_i"])
+            for own in np.split(starts, np.flatnonzero(np.diff(starts // block)) + 1) if len(starts) else ():
+                nodes, steps = _levels(*sent.value, own)
+                nodes = nodes if inclusive else nodes[np.unique(np.concatenate([np.zeros(0, np.int64), *(to for _, _, to in steps)]))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), own[0] // block)), pa.array(nodes)], ["_block", "_i"])
 
     wanted = graph.dealt(asked.select("_i")).mapInArrow(needed, "_block long, _i long").distinct()
     text = asked.schema["term"].dataType
     given = wanted.join(held, "_i").select("_block", F.lit(False).alias("_asked"), "_i", "ic", "_genes", "_least", F.lit(None).cast(text).alias("term"))
     asks = asked.select(F.floor(F.col("_i") / block).alias("_block"), F.lit(True).alias("_asked"), "_i", "ic", F.lit(None).cast("array<int>").alias("_genes"), F.lit(None).cast("array<double>").alias("_least"), "term")
     streams = given.unionByName(asks).repartition(graph.tasks, "_block").sortWithinPartitions("_block", "_asked", "_i")
-    out = StructType([StructField("term", text), StructField("gene", gene_type), StructField("best", DoubleType())])
-    schema, tail = to_arrow_schema(out), spark.sparkContext.broadcast((names, of["b"].to_numpy() if jc else None))
+    out = StructType([StructField("term", text), StructField("_g", ArrayType(IntegerType())), StructField("_best", ArrayType(DoubleType()))])
+    schema, tail = to_arrow_schema(out), spark.sparkContext.broadcast(of["b"].to_numpy() if jc else None)
+
+    def best_of(best: np.ndarray, row: np.ndarray, place: np.ndarray, a: np.ndarray, full: np.ndarray, least: np.ndarray, ic_c: np.ndarray, there: np.ndarray) -> None:
+        """Raise ``best`` (rows, genes) to the measure of all pairs (row, place). A row meets its ancestors from the one that
+        can give most, which is the measure of the gene of least information there, until none left can raise any gene."""
+        most = _measured(measure, a[row], least[place], ic_c[place])
+        order = np.lexsort((-most, row))
+        place, most = place[order], most[order]
+        n = np.bincount(row, minlength=len(a))
+        at, end = np.cumsum(n) - n, np.cumsum(n)
+        live = np.flatnonzero(n)
+        while len(live):
+            c = place[at[live]]
+            value = _measured(measure, np.repeat(a[live], many), full[c].ravel(), np.repeat(ic_c[c], many)).reshape(-1, many)
+            now = np.maximum(best[live], np.where(full[c] < np.inf, value, -np.inf))
+            best[live] = now
+            at[live] += 1
+            more = at[live] < end[live]
+            live, now = live[more], now[more]
+            live = live[now[:, there].min(1) < most[at[live]]]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, none = tail.value
+        none, full = tail.value, None
         at, parts, known = None, [], None
         for batch in batches:
             blocks, asked = batch.column("_block").to_numpy(), batch.column("_asked").to_numpy(zero_copy_only=False)
@@ -360,9 +414,14 @@ def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: Dat
                     cells = np.concatenate([[0], np.cumsum(of)]).astype(np.int64)
                     first = cells[np.searchsorted(node, np.append(tops, node[-1] + 1 if len(node) else 0))]
                     known = tops, first[:-1], np.diff(first), gene, least_b, np.repeat(ic_c, of)
+                    full = None
+                    if 4 * len(gene) >= len(tops) * many and len(tops) * many <= 1 << 23:  # most genes lie below most nodes
+                        full = np.full((len(tops), many), np.inf)
+                        np.minimum.at(full, (np.repeat(np.arange(len(tops)), known[2]), gene), least_b)  # an ancestor may have two rows
+                        full = full, full.min(1), known[5][known[1]], (full < np.inf).any(0)
                 tops, first, of, gene, least_b, ic_c = known
                 starts, a = piece.column("_i").to_numpy(), piece.column("ic").to_numpy()
-                step = max(1, min(128, (1 << 22) // many))
+                step = max(1, min(128, (1 << 22) // many)) if full is None else max(1, min(4096, (1 << 20) // many))
                 for k in range(0, len(starts), step):
                     mine = starts[k : k + step]
                     best = np.full(len(mine) * many, -np.inf)
@@ -373,14 +432,35 @@ def _walked_match(query: DataFrame, gene_terms: DataFrame, graph: Graph, ic: Dat
                         place = np.minimum(np.searchsorted(tops, node), len(tops) - 1)
                         has = tops[place] == node
                         row, place = row[has], place[has]
-                        n = of[place]
-                        cell, line = _ranges(first[place], n), np.repeat(row, n)
-                        np.maximum.at(best, line * many + gene[cell], _measured(measure, a[k : k + step][line], least_b[cell], ic_c[cell]))
+                        if full is not None:
+                            best_of(best.reshape(-1, many), row, place, a[k : k + step], *full)
+                        else:
+                            n = of[place]
+                            cell, line = _ranges(first[place], n), np.repeat(row, n)
+                            np.maximum.at(best, line * many + gene[cell], _measured(measure, a[k : k + step][line], least_b[cell], ic_c[cell]))
                     hit = np.flatnonzero(best > -np.inf)
                     if len(hit):
-                        yield pa.RecordBatch.from_arrays([piece.column("term").take(pa.array(k + hit // many)), names.take(pa.array(hit % many)), pa.array(best[hit])], schema=schema)
+                        line = hit // many
+                        cut = np.flatnonzero(np.diff(line, prepend=-1))
+                        lists = [pa.ListArray.from_arrays(pa.array(np.append(cut, len(hit)).astype(np.int32)), pa.array(x)).cast(schema.field(i).type) for i, x in ((1, (hit % many).astype(np.int32)), (2, best[hit]))]
+                        yield pa.RecordBatch.from_arrays([piece.column("term").take(pa.array(k + line[cut])), *lists], schema=schema)
 
-    return streams.mapInArrow(look_up, out)
+    return streams.mapInArrow(look_up, out), names
+
+
+def _cells(found: DataFrame, names: pa.Array, gene_type: DataType) -> DataFrame:
+    """term, gene, best of rows (term, _g, _best)."""
+    out = StructType([found.schema["term"], StructField("gene", gene_type), StructField("best", DoubleType())])
+    schema, sent = to_arrow_schema(out), found.sparkSession.sparkContext.broadcast(names)
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                terms, genes, best = (batch.column(i).slice(lo, 256) for i in range(3))
+                rows = np.repeat(np.arange(len(terms)), np.diff(genes.offsets.to_numpy()))
+                yield pa.RecordBatch.from_arrays([terms.take(pa.array(rows)), sent.value.take(genes.flatten()), best.flatten()], schema=schema)
+
+    return found.mapInArrow(flat, out)
 
 
 def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame, measure: str = "lin", most_pairs: int = 4_000_000) -> DataFrame:
@@ -397,7 +477,8 @@ def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | G
     a maximum above the 0 that a missing pair means, they are left out. A term that shares no ancestor with a gene has no
     row; by jiang_conrath it counts as sharing one of no information, as in ``node_similarity``."""
     if isinstance(ancestors, Graph):
-        return _walked_match(query, gene_terms, ancestors, ic, measure)
+        found, names = _walked_match(query, gene_terms, ancestors, ic, measure)
+        return _cells(found, names, gene_terms.schema["gene"].dataType)
     spark, jc = query.sparkSession, measure == "jiang_conrath"
     ship(spark)
     ic_of = lambda key, name: ic.select(F.col("term").alias(key), F.col("ic").alias(name))
@@ -468,33 +549,120 @@ def best_match(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | G
     return whole.unionByName(rare).groupBy("term", "gene").agg(F.max("best").alias("best"))
 
 
-def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame, measure: str = "lin", key: str = "sample_id", bins: int = 4096) -> DataFrame:
+def similarity(query: DataFrame, gene_terms: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame, measure: str = "lin", key: str = "sample_id", bins: int = 4096, most_cells: int = 1_000_000) -> DataFrame:
     """key, gene, similarity: the median over a query's terms of their best match among the gene's (asymmetric); terms
     without a match count as 0. Genes that match no query term at all are left out: their similarity is 0.
 
     The median is exact, and values aren't gathered for it: matches are counted in bins of 1 / ``bins``, and only those in
-    the bins of the one or two middle ranks are looked at one by one, equal ones as one row."""
+    the bins of the one or two middle ranks are looked at one by one, equal ones as one row. Walks of a graph give a row a
+    term, of all its genes, to which the keys that ask it are joined; up to ``most_cells`` pairs of a key and a gene, a task
+    counts them by array operations, so no match is a row of its own."""
     terms = written(query.select(key, "term").distinct().join(ic.select("term"), "term", "left_semi"), "query")
-    best = written(best_match(terms, gene_terms, ancestors, ic, measure), "best")
-    place = F.floor(F.col("best") * bins).alias("_bin")
-    met = terms.join(best, "term").select(key, "gene", "best", place)
     sizes = terms.groupBy(key).agg(F.count("*").alias("_n"))
+    if not isinstance(ancestors, Graph):
+        return _joined_median(terms, sizes, best_match(terms, gene_terms, ancestors, ic, measure), key, bins)
+    found, names = _walked_match(terms, gene_terms, ancestors, ic, measure)
+    sizes = written(sizes.filter(F.col(key).isNotNull()), "sizes")
+    if sizes.count() * max(1, len(names)) > most_cells:
+        return _joined_median(terms, sizes, _cells(found, names, gene_terms.schema["gene"].dataType), key, bins)
+    return _counted_median(terms, sizes, found, names, gene_terms.schema["gene"].dataType, key, bins)
+
+
+def _joined_median(terms: DataFrame, sizes: DataFrame, best: DataFrame, key: str, bins: int) -> DataFrame:
+    """``similarity`` from term, gene, best, a row a match."""
+    best = written(best, "best")
+    met = terms.join(best, "term").select(key, "gene", "best", F.floor(F.col("best") * bins).alias("_bin"))
     counts = written(met.groupBy(key, "gene", "_bin").agg(F.count("*").alias("_m")), "bins")
-    missing = written(counts.groupBy(key, "gene").agg(F.sum("_m").alias("_m")).join(sizes, key).select(key, "gene", "_n", (F.col("_n") - F.col("_m")).alias("_m")), "missing").filter("_m > 0")
+    return _median(counts, sizes, key, "gene", lambda middle: met.join(middle.select(key, "gene", "_bin"), [key, "gene", "_bin"]).groupBy(key, "gene", "_bin", "best").agg(F.count("*").alias("_m")))
+
+
+def _counted_median(terms: DataFrame, sizes: DataFrame, found: DataFrame, names: pa.Array, gene_type: DataType, key: str, bins: int) -> DataFrame:
+    """``similarity`` from a row a term (term, _g, _best); keys and genes are numbered, and a task counts."""
+    spark, many = terms.sparkSession, max(1, len(names))
+    keys = [r[0] for r in sizes.select(key).orderBy(key).collect()]
+    of = lambda name, kind, values, number: F.broadcast(spark.createDataFrame([(x, i) for i, x in enumerate(values)], StructType([StructField(name, kind), StructField(number, IntegerType())])))
+    key_of, gene_of = of(key, terms.schema[key].dataType, keys, "_k"), of("gene", gene_type, names.to_pylist(), "_g")
+    asked = terms.join(key_of, key).groupBy("term").agg(F.collect_list("_k").alias("_keys"))
+    lines = written(found.join(asked, "term").select("_keys", "_g", "_best"), "matches")
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The number of key and gene, and the value, of about a million matches at a time."""
+        for batch in batches:
+            (keys, n_keys), (genes, n), (best, _) = ((c.flatten().to_numpy(), np.diff(c.offsets.to_numpy())) for c in batch.columns)
+            row = np.repeat(np.arange(len(n)), n_keys)
+            first, up_to = (np.cumsum(n) - n)[row], np.cumsum(n[row])
+            cuts = np.unique(np.searchsorted(up_to, np.arange(0, up_to[-1] if len(up_to) else 0, 1 << 20), "right"))
+            for lo, hi in zip(cuts, [*cuts[1:], len(row)]):
+                at = _ranges(first[lo:hi], n[row[lo:hi]])
+                yield np.repeat(keys[lo:hi].astype(np.int64) * many, n[row[lo:hi]]) + genes[at], best[at]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, low, wide = np.zeros(0, np.int64), 0, 0  # counts by cell and bin, from bin ``low`` on, ``wide`` bins a cell
+
+        def told(cell: np.ndarray, place: np.ndarray, m: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(m), 1 << 16):
+                k, g = np.divmod(cell[lo : lo + (1 << 16)], many)
+                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(g.astype(np.int32)), pa.array(place[lo : lo + (1 << 16)]), pa.array(m[lo : lo + (1 << 16)])], ["_k", "_g", "_bin", "_m"])
+
+        def kept() -> Iterator[pa.RecordBatch]:
+            hit = np.flatnonzero(held)
+            return told(hit // max(1, wide), hit % max(1, wide) + low, held[hit])
+
+        for cell, best in cells(batches):
+            place = np.floor(best * bins).astype(np.int64)
+            least, most = int(place.min()), int(place.max())
+            if least < low or most >= low + wide:
+                yield from kept()
+                low, wide = (min(least, low), max(most + 1, low + wide) - min(least, low)) if wide else (min(0, least), max(most + 1, bins + 1) - min(0, least))
+                fits = len(keys) * many * wide <= 1 << 23
+                held = np.zeros(len(keys) * many * wide if fits else 0, np.int64)
+            if len(held):
+                held += np.bincount(cell * wide + (place - low), minlength=len(held))
+            else:
+                code, m = np.unique(cell * wide + (place - low), return_counts=True)
+                yield from told(code // wide, code % wide + low, m)
+        yield from kept()
+
+    counts = written(lines.mapInArrow(count, "_k int, _g int, _bin long, _m long").groupBy("_k", "_g", "_bin").agg(F.sum("_m").alias("_m")), "bins")
+
+    def near(middle: DataFrame) -> DataFrame:
+        table = middle.groupBy("_k", "_g").agg(F.min("_bin").alias("low"), F.max("_bin").alias("high")).toArrow()  # a row a key and gene, at most most_cells
+        bounds = np.full((2, len(keys) * many), np.iinfo(np.int64).min)
+        bounds[:, table["_k"].to_numpy().astype(np.int64) * many + table["_g"].to_numpy()] = table["low"].to_numpy(), table["high"].to_numpy()
+        sent = spark.sparkContext.broadcast(bounds)
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for cell, best in cells(batches):
+                place = np.floor(best * bins).astype(np.int64)
+                hit = np.flatnonzero((place == sent.value[0][cell]) | (place == sent.value[1][cell]))
+                order = hit[np.lexsort((best[hit], cell[hit]))]
+                first = np.flatnonzero((np.diff(cell[order], prepend=-1) != 0) | (np.diff(best[order], prepend=np.nan) != 0))
+                k, g = np.divmod(cell[order[first]], many)
+                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(g.astype(np.int32)), pa.array(place[order[first]]), pa.array(best[order[first]]), pa.array(np.diff(first, append=len(order)))], ["_k", "_g", "_bin", "best", "_m"])
+
+        return lines.mapInArrow(pick, "_k int, _g int, _bin long, best double, _m long").groupBy("_k", "_g", "_bin", "best").agg(F.sum("_m").alias("_m"))
+
+    return _median(counts, sizes.join(key_of, key).drop(key), "_k", "_g", near).join(key_of, "_k").join(gene_of, "_g").select(key, "gene", "similarity")
+
+
+def _median(counts: DataFrame, sizes: DataFrame, key: str, gene: str, values_in: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """key, gene, similarity from counts of matches by bin (key, gene, _bin, _m), the number of terms a key (key, _n), and a
+    function that gives the values (key, gene, _bin, best, _m) in given bins (key, gene, _bin)."""
+    missing = written(counts.groupBy(key, gene).agg(F.sum("_m").alias("_m")).join(sizes, key).select(key, gene, "_n", (F.col("_n") - F.col("_m")).alias("_m")), "missing").filter("_m > 0")
     zero = F.lit(0).cast("long").alias("_bin")
-    every = counts.unionByName(missing.select(key, "gene", zero, "_m")).groupBy(key, "gene", "_bin").agg(F.sum("_m").alias("_m")).join(sizes, key)
-    up_to = lambda order: F.sum("_m").over(Window.partitionBy(key, "gene").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    every = counts.unionByName(missing.select(key, gene, zero, "_m")).groupBy(key, gene, "_bin").agg(F.sum("_m").alias("_m")).join(sizes, key)
+    up_to = lambda order: F.sum("_m").over(Window.partitionBy(key, gene).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     holds = lambda rank: (F.col("_to") - F.col("_m") < rank) & (F.col("_to") >= rank)
-    middle = every.withColumn("_to", up_to("_bin")).filter(holds(low) | holds(high)).select(key, "gene", "_bin", "_n", (F.col("_to") - F.col("_m")).alias("_before"))
+    middle = every.withColumn("_to", up_to("_bin")).filter(holds(low) | holds(high)).select(key, gene, "_bin", "_n", (F.col("_to") - F.col("_m")).alias("_before"))
     middle = written(middle, "middle")
-    values = met.join(middle, [key, "gene", "_bin"]).groupBy(key, "gene", "best").agg(F.count("*").alias("_m"), F.first("_n").alias("_n"), F.first("_before").alias("_before"))
-    zeros = missing.drop("_n").withColumn("_bin", zero).join(middle, [key, "gene", "_bin"]).select(key, "gene", F.lit(0.0).alias("best"), "_m", "_n", "_before")
-    least = F.min("_before").over(Window.partitionBy(key, "gene"))
+    values = values_in(middle).join(middle, [key, gene, "_bin"]).select(key, gene, "best", "_m", "_n", "_before")
+    zeros = missing.drop("_n").withColumn("_bin", zero).join(middle, [key, gene, "_bin"]).select(key, gene, F.lit(0.0).alias("best"), "_m", "_n", "_before")
+    least = F.min("_before").over(Window.partitionBy(key, gene))
     # the bins of both ranks may lie apart, but what is between them holds no value
     at = values.unionByName(zeros).withColumn("_to", least + up_to("best"))
     of = lambda rank: F.max(F.when(holds(rank), F.col("best")))
-    return at.groupBy(key, "gene").agg(((of(low) + of(high)) / 2).alias("similarity"))
+    return at.groupBy(key, gene).agg(((of(low) + of(high)) / 2).alias("similarity"))
 
 
 def shared_information(pairs: DataFrame, ancestors: DataFrame | Graph, ic: DataFrame) -> DataFrame:

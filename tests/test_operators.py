@@ -467,6 +467,53 @@ def test_walks_give_what_the_pairs_give(spark, measure):
         assert {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(query, genes, graph, ic, measure, bins=bins).collect()} == want
 
 
+def test_bits_carried_up_are_the_ancestors():
+    r = np.random.default_rng(3)
+    edges = np.unique([(i, r.integers(0, i)) for i in range(1, 400) for _ in range(2)], axis=0)
+    first, parents = np.searchsorted(edges[:, 0], np.arange(401)), edges[:, 1].astype(np.int32)
+    up = [set() for _ in range(400)]
+    for i in range(400):
+        up[i] = {x for p in parents[first[i] : first[i + 1]].tolist() for x in (p, *up[p])}
+    starts = np.concatenate([r.integers(0, 400, 300), [0, 5, 5]])
+    for bits in (1, 1 << 20):
+        got = [x.tolist() for x in ontology._above(first, parents, starts, bits)]
+        assert list(zip(*got)) == [(i, x) for i, t in enumerate(starts.tolist()) for x in sorted(up[t])]
+    with pytest.raises(ValueError, match="cycle"):
+        ontology._above(np.array([0, 1, 2]), np.array([1, 0]), np.array([1]))
+
+
+@pytest.mark.parametrize("measure", ["lin", "resnik", "jiang_conrath"])
+@pytest.mark.parametrize("many", [8, 150])
+def test_medians_are_counted_without_a_row_a_match(spark, monkeypatch, measure, many):
+    """Few genes, most of which lie below most nodes, and many; blocks of a few rows, so ancestors come in several."""
+    r = random.Random(many)
+    edges = spark.createDataFrame(list({(f"t{i:03}", f"t{r.randint(0, i - 1) if r.random() < 0.3 else i // 2:03}") for i in range(1, 150) for _ in range(2)}), "term string, parent string")
+    terms = edges.select("term").union(edges.select("parent")).distinct()
+    counts = spark.createDataFrame([(f"t{i:03}", r.randint(0, 9)) for i in range(150)], "term string, n long")
+    genes = spark.createDataFrame(list({(f"G{r.randint(0, many - 1)}", f"t{r.randint(0, 149):03}") for _ in range(250)}), "gene string, term string")
+    query = spark.createDataFrame(list({(r.choice([None, "a", "b", "c"]), f"t{r.randint(0, 160):03}") for _ in range(160)}), "sample_id string, term string")
+    sizes, write = {}, ontology.written
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        graph, pairs = ontology.above(edges), ontology.closure(edges)
+        ic = written(ontology.information_content(ontology.inclusive_counts(terms, graph, counts), 700), "ic")
+        rows = lambda up, **more: sorted((x.sample_id, x.gene, round(x.similarity, 9)) for x in ontology.similarity(query, genes, up, ic, measure, **more).collect())
+        want = rows(pairs)
+        with monkeypatch.context() as m:
+            m.setattr(ontology, "written", counted)
+            assert rows(graph, bins=2) == want and want
+        assert max(sizes.get("best", 0), sizes.get("matches", 0)) <= query.select("term").distinct().count()
+        assert rows(graph, most_cells=0) == rows(graph) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_rows_are_numbered_by_parts(spark):
     """Numbers of ordered rows without a task that sees all of them: what is windowed are parts, not rows."""
     df = written(spark.range(1000).withColumn("k", F.pmod(F.hash("id"), F.lit(37))).orderBy("k", "id").repartitionByRange(6, "k", "id").sortWithinPartitions("k", "id").select("*", F.monotonically_increasing_id().alias("_id")), "ordered")
