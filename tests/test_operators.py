@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import time
 from statistics import median
 
@@ -467,6 +468,11 @@ def test_walks_give_what_the_pairs_give(spark, measure):
         assert {(x.sample_id, x.gene): round(x.similarity, 9) for x in ontology.similarity(query, genes, graph, ic, measure, bins=bins).collect()} == want
 
 
+def test_regions_shuffle_no_columns_that_nobody_reads(spark):
+    plan = queries.QUERIES["j02_region_overlap"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "variant_id" in plan and not {"clinvar", "hgmd", "consequence", "o_totalprice"} & set(re.findall(r"\w+", plan))
+
+
 def test_bits_carried_up_are_the_ancestors():
     r = np.random.default_rng(3)
     edges = np.unique([(i, r.integers(0, i)) for i in range(1, 400) for _ in range(2)], axis=0)
